@@ -22,6 +22,19 @@ def daily_calendar(spark: SparkSession, start, end) -> DataFrame:
     return spark.range(n).select(F.date_add(F.lit(s), F.col("id").cast("int")).alias("data"))
 
 
+def covering_years(df: DataFrame, date_col: str) -> tuple[dt.date, dt.date]:
+    """Jan 1 of the first and Dec 31 of the last year present in ``date_col``
+    (one aggregate row reaches the driver)."""
+    lo, hi = df.agg(F.min(date_col), F.max(date_col)).first()
+    return dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31)
+
+
+def calendar_for(df: DataFrame, date_col: str) -> DataFrame:
+    """C1 over the years of the data instead of fixed literals."""
+    start, end = covering_years(df, date_col)
+    return daily_calendar(df.sparkSession, start, end)
+
+
 def calendar_attributes(days: DataFrame, date_col: str = "data") -> DataFrame:
     """Weekday, workday flag, names, and semester/quarter/bimester keys."""
     d = F.col(date_col)

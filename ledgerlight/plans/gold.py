@@ -184,13 +184,21 @@ def gold_lancamentos(sv: Silver, strategy: str = "chunked") -> DataFrame:
 
 
 # ------------------------------------------------------------------ G4
+def daily_grid(sv: Silver, cfg: Config, end: dt.date | None = None) -> DataFrame:
+    """J3 + J4: (day x cost centre x category) grid from the calendar start
+    to ``end`` with the day totals, zero where nothing was booked."""
+    fl = sv.fact_lancamentos
+    daily = grid.daily_totals(fl, "data_lancamento", ["id_centro_custo", "id_categoria"], "valor", "total_do_dia")
+    combos = fl.select("id_centro_custo", "id_categoria").distinct()      # from ALL entries
+    g = grid.dense_grid(combos, cfg.calendar_start, end or cfg.calendar_end, "data_lancamento")
+    return grid.fill_grid(g, daily, [("data_lancamento", "data_lancamento"), ("id_centro_custo", "id_centro_custo"),
+                                     ("id_categoria", "id_categoria")], "total_do_dia", "total_do_dia")
+
+
 def mtd_history(sv: Silver, cfg: Config) -> DataFrame:
     """G4 steps FACT_DIARIA .. FINAL: dense (day x cost centre x category)
     grid with day totals, MTD, month total and cumulative share, days
     before the history cut."""
-    fl = sv.fact_lancamentos
-    daily = grid.daily_totals(fl, "data_lancamento", ["id_centro_custo", "id_categoria"], "valor", "total_do_dia")
-    combos = fl.select("id_centro_custo", "id_categoria").distinct()      # from ALL entries
     cut = cfg.history_cut
     # Windows partition by month: if the cut is a month start, months at or
     # after it never reach the output and are not generated at all.
@@ -199,9 +207,7 @@ def mtd_history(sv: Silver, cfg: Config) -> DataFrame:
     else:
         nxt = (cut.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
         grid_end = min(cfg.calendar_end, nxt - dt.timedelta(days=1))
-    g = grid.dense_grid(combos, cfg.calendar_start, grid_end, "data_lancamento")
-    h = grid.fill_grid(g, daily, [("data_lancamento", "data_lancamento"), ("id_centro_custo", "id_centro_custo"),
-                                  ("id_categoria", "id_categoria")], "total_do_dia", "total_do_dia")
+    h = daily_grid(sv, cfg, grid_end)
     part = ["ano", "mes", "id_centro_custo", "id_categoria"]
     h = (h.withColumn("gasto_mtd", periods.cumulative("total_do_dia", part, ["data_lancamento"]))
           .withColumn("total_do_mes", F.sum("total_do_dia").over(Window.partitionBy(*part))))

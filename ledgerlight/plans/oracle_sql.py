@@ -68,6 +68,25 @@ stg_dim_campanha AS (
   FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED') p)
 """
 
+CAL_ATTRS = """
+  SELECT data,
+         ['Domingo','Segunda-feira','Terça-feira','Quarta-feira','Quinta-feira','Sexta-feira','Sábado'][dayofweek(data) + 1] AS dia_da_semana,
+         CASE WHEN dayofweek(data) IN (0, 6) THEN 'nao' ELSE 'sim' END AS dia_util,
+         CAST(year(data) AS INTEGER) AS ano, CAST(month(data) AS INTEGER) AS mes, CAST(day(data) AS INTEGER) AS dia,
+         ['Janeiro','Fevereiro','Março','Abril','Maio','Junho','Julho','Agosto','Setembro','Outubro','Novembro','Dezembro'][month(data)] AS nome_do_mes,
+         ['jan','fev','mar','abr','mai','jun','jul','ago','set','out','nov','dez'][month(data)] || '/' || lpad(CAST(year(data) % 100 AS VARCHAR), 2, '0') AS mes_ano,
+         CAST(year(data) * 100 + month(data) AS INTEGER) AS ano_mes,
+         CASE WHEN month(data) <= 6 THEN 1 ELSE 2 END AS semestre,
+         CAST(CASE WHEN month(data) <= 6 THEN 1 ELSE 2 END AS VARCHAR) || '/' || CAST(year(data) AS VARCHAR) AS semestre_ano,
+         CAST(year(data) * 10 + CASE WHEN month(data) <= 6 THEN 1 ELSE 2 END AS INTEGER) AS ano_semestre,
+         CAST(quarter(data) AS INTEGER) AS trimestre,
+         CAST(quarter(data) AS VARCHAR) || '/' || CAST(year(data) AS VARCHAR) AS trimestre_ano,
+         CAST(year(data) * 10 + quarter(data) AS INTEGER) AS ano_trimestre,
+         CAST(ceil(month(data) / 2) AS INTEGER) AS bimestre,
+         CAST(CAST(ceil(month(data) / 2) AS INTEGER) AS VARCHAR) || '/' || CAST(year(data) AS VARCHAR) AS bimestre_ano,
+         CAST(year(data) * 10 + ceil(month(data) / 2) AS INTEGER) AS ano_bimestre
+"""
+
 SILVER = f"""
 dim_camp_marketing AS (
   SELECT TRY_CAST(id_camp AS INTEGER) AS id_camp, nome_camp AS nome_campanha,
@@ -128,23 +147,7 @@ fact_orcamento AS (
 cal_days AS (
   SELECT CAST(g AS DATE) AS data FROM generate_series({d(CFG.calendar_start)}, {d(CFG.calendar_end)}, INTERVAL 1 DAY) t(g)),
 dim_calendario AS (
-  SELECT data,
-         ['Domingo','Segunda-feira','Terça-feira','Quarta-feira','Quinta-feira','Sexta-feira','Sábado'][dayofweek(data) + 1] AS dia_da_semana,
-         CASE WHEN dayofweek(data) IN (0, 6) THEN 'nao' ELSE 'sim' END AS dia_util,
-         CAST(year(data) AS INTEGER) AS ano, CAST(month(data) AS INTEGER) AS mes, CAST(day(data) AS INTEGER) AS dia,
-         ['Janeiro','Fevereiro','Março','Abril','Maio','Junho','Julho','Agosto','Setembro','Outubro','Novembro','Dezembro'][month(data)] AS nome_do_mes,
-         ['jan','fev','mar','abr','mai','jun','jul','ago','set','out','nov','dez'][month(data)] || '/' || lpad(CAST(year(data) % 100 AS VARCHAR), 2, '0') AS mes_ano,
-         CAST(year(data) * 100 + month(data) AS INTEGER) AS ano_mes,
-         CASE WHEN month(data) <= 6 THEN 1 ELSE 2 END AS semestre,
-         CAST(CASE WHEN month(data) <= 6 THEN 1 ELSE 2 END AS VARCHAR) || '/' || CAST(year(data) AS VARCHAR) AS semestre_ano,
-         CAST(year(data) * 10 + CASE WHEN month(data) <= 6 THEN 1 ELSE 2 END AS INTEGER) AS ano_semestre,
-         CAST(quarter(data) AS INTEGER) AS trimestre,
-         CAST(quarter(data) AS VARCHAR) || '/' || CAST(year(data) AS VARCHAR) AS trimestre_ano,
-         CAST(year(data) * 10 + quarter(data) AS INTEGER) AS ano_trimestre,
-         CAST(ceil(month(data) / 2) AS INTEGER) AS bimestre,
-         CAST(CAST(ceil(month(data) / 2) AS INTEGER) AS VARCHAR) || '/' || CAST(year(data) AS VARCHAR) AS bimestre_ano,
-         CAST(year(data) * 10 + ceil(month(data) / 2) AS INTEGER) AS ano_bimestre
-  FROM cal_days)
+{CAL_ATTRS}  FROM cal_days)
 """
 
 PREFIX = "WITH " + STAGING.strip() + ",\n" + SILVER.strip() + "\n"
@@ -159,3 +162,12 @@ def q(body: str) -> str:
     if body.startswith(","):
         return PREFIX + body + "\n"
     return PREFIX + body + "\n"
+
+
+DATA_CALENDAR = f"""
+, span AS (SELECT make_date(CAST(year(min(data_lancamento)) AS INTEGER), 1, 1) AS s,
+                  make_date(CAST(year(max(data_lancamento)) AS INTEGER), 12, 31) AS e FROM fact_lancamentos),
+data_days AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS data FROM span),
+data_calendario AS (
+{CAL_ATTRS}  FROM data_days)
+"""
