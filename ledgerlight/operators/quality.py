@@ -58,7 +58,7 @@ def duplicate_keys(df: DataFrame, key: str | Column, name: str = "chave") -> Dat
     """Keys seen more than once. COUNT(key) skips NULL, so a NULL
     key is never reported. Partial aggregation keeps a hot key cheap."""
     k = F.col(key) if isinstance(key, str) else key
-    return (df.groupBy(k.alias(name)).agg(F.count(name).alias("contagem"))
+    return (df.groupBy(k.alias(name)).agg(F.count(k).alias("contagem"))
             .filter(F.col("contagem") > 1))
 
 

@@ -1 +1,413 @@
-"""Registered queries."""
+"""Registered profiling (Q), rule (R) and source/sink (B) operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlight import schemas as S
+from ledgerlight.functions.safe import money
+from ledgerlight.functions.text import has_extra_space, is_null_or_blank
+from ledgerlight.operators import audit, quality, rules
+from ledgerlight.plans import gold
+from ledgerlight.plans import silver as silver_plan
+from ledgerlight.plans.config import TESTDATA as CFG
+from ledgerlight.plans.oracle_sql import q, sentence
+from ledgerlight.plans.queries_gold import view_ctes
+from ledgerlight.plans.registry import register, silver, staging
+from ledgerlight.sources import files
+
+STG_COLUMNS = {name: [f.name for f in st.fields] for name, st in S.STAGING_SCHEMAS.items()}
+
+SQL_PRED = {
+    quality.RULE_EXTRA_SPACE: "coalesce(length({c}) > length(trim({c})), false)",
+    quality.RULE_NULL_OR_EMPTY: "({c} IS NULL OR length(rtrim({c})) = 0)",
+}
+
+
+def _sql_report(rules_: list[str], with_rows: bool = False) -> str:
+    parts = []
+    for t, cols in STG_COLUMNS.items():
+        if with_rows:
+            parts.append(f"SELECT '{t}' AS tabela, '*' AS coluna, 'linhas' AS regra, CAST(COUNT(*) AS BIGINT) AS qtd FROM {t}")
+        for r in rules_:
+            for c in cols:
+                pred = SQL_PRED[r].format(c=c)
+                parts.append(f"SELECT '{t}' AS tabela, '{c}' AS coluna, '{r}' AS regra, "
+                             f"CAST(COUNT(*) FILTER (WHERE {pred}) AS BIGINT) AS qtd FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _report(spark, sf_dir, rule_names, with_rows=False):
+    stg = staging(spark, sf_dir)
+    out = None
+    for t, cols in STG_COLUMNS.items():
+        p = quality.profile(stg[t], t, cols, {r: quality.STANDARD_RULES[r] for r in rule_names})
+        if not with_rows:
+            p = p.filter(F.col("regra") != "linhas")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------------ Q1, Q2, Q17
+@register("q1", q(_sql_report([quality.RULE_EXTRA_SPACE])))
+def q1(spark, sf_dir):
+    return _report(spark, sf_dir, [quality.RULE_EXTRA_SPACE])
+
+
+@register("q2", q(_sql_report([quality.RULE_NULL_OR_EMPTY])))
+def q2(spark, sf_dir):
+    return _report(spark, sf_dir, [quality.RULE_NULL_OR_EMPTY])
+
+
+@register("q17", q(_sql_report([quality.RULE_EXTRA_SPACE, quality.RULE_NULL_OR_EMPTY], with_rows=True)))
+def q17(spark, sf_dir):
+    return _report(spark, sf_dir, [quality.RULE_EXTRA_SPACE, quality.RULE_NULL_OR_EMPTY], with_rows=True)
+
+
+# ------------------------------------------------------------------ Q3 .. Q16
+@register("q3", q("SELECT * FROM stg_lancamentos WHERE data_lancamento IS NULL OR id_fornecedor IS NULL"))
+def q3(spark, sf_dir):
+    return quality.offending_rows(staging(spark, sf_dir)["stg_lancamentos"], ["data_lancamento", "id_fornecedor"])
+
+
+@register("q4", q("""
+SELECT 'stg_lancamentos' AS tabela, id_lancamento AS chave, COUNT(id_lancamento) AS contagem
+FROM stg_lancamentos GROUP BY id_lancamento HAVING COUNT(id_lancamento) > 1
+UNION ALL
+SELECT 'stg_orcamento', id_orcamento, COUNT(id_orcamento) FROM stg_orcamento
+GROUP BY id_orcamento HAVING COUNT(id_orcamento) > 1
+"""))
+def q4(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    a = quality.duplicate_keys(stg["stg_lancamentos"], "id_lancamento").select(
+        F.lit("stg_lancamentos").alias("tabela"), "chave", "contagem")
+    b = quality.duplicate_keys(stg["stg_orcamento"], "id_orcamento").select(
+        F.lit("stg_orcamento").alias("tabela"), "chave", "contagem")
+    return a.unionByName(b)
+
+
+@register("q5", q("""
+SELECT lower(trim(nome_cat)) AS nome, COUNT(lower(trim(nome_cat))) AS contagem
+FROM stg_dim_categoria GROUP BY 1 HAVING COUNT(lower(trim(nome_cat))) > 1
+"""))
+def q5(spark, sf_dir):
+    return quality.duplicate_names(staging(spark, sf_dir)["stg_dim_categoria"], "nome_cat")
+
+
+@register("q6", q(f"""
+SELECT * FROM stg_dim_centro_custo WHERE length(trim(nome_cc)) > 3 AND trim(nome_cc) <> {sentence('nome_cc')}
+"""))
+def q6(spark, sf_dir):
+    return quality.not_sentence_case(staging(spark, sf_dir)["stg_dim_centro_custo"], "nome_cc")
+
+
+@register("q7", q("""
+SELECT * FROM stg_dim_categoria WHERE length(trim(nome_cat)) > 3 AND trim(nome_cat) = upper(trim(nome_cat))
+"""))
+def q7(spark, sf_dir):
+    return quality.all_upper(staging(spark, sf_dir)["stg_dim_categoria"], "nome_cat")
+
+
+@register("q8", q(f"""
+SELECT 'mes' AS coluna,
+       CAST(COUNT(*) FILTER (WHERE TRY_CAST(mes AS INTEGER) IS NOT NULL AND TRY_CAST(mes AS INTEGER) NOT BETWEEN 1 AND 12) AS BIGINT) AS fora_do_intervalo,
+       CAST(COUNT(*) FILTER (WHERE mes IS NOT NULL AND TRY_CAST(mes AS INTEGER) IS NULL) AS BIGINT) AS nao_numerico
+FROM stg_orcamento
+UNION ALL
+SELECT 'ano',
+       CAST(COUNT(*) FILTER (WHERE TRY_CAST(ano AS INTEGER) IS NOT NULL
+                             AND TRY_CAST(ano AS INTEGER) NOT BETWEEN {CFG.budget_min_year} AND 1999) AS BIGINT),
+       CAST(COUNT(*) FILTER (WHERE ano IS NOT NULL AND TRY_CAST(ano AS INTEGER) IS NULL) AS BIGINT)
+FROM stg_orcamento
+"""))
+def q8(spark, sf_dir):
+    o = staging(spark, sf_dir)["stg_orcamento"]
+    # an analysed year range narrower than the data, so the check finds rows
+    m = quality.out_of_range(o, "mes", 1, 12).select(F.lit("mes").alias("coluna"), "*")
+    a = quality.out_of_range(o, "ano", CFG.budget_min_year, 1999).select(F.lit("ano").alias("coluna"), "*")
+    return m.unionByName(a)
+
+
+@register("q9", q("""
+SELECT 'stg_dim_categoria' AS tabela, 'id_cat' AS coluna, CAST(COUNT(*) FILTER (WHERE id_cat LIKE '%.%') AS BIGINT) AS qtd FROM stg_dim_categoria
+UNION ALL SELECT 'stg_dim_categoria', 'id_cc', CAST(COUNT(*) FILTER (WHERE id_cc LIKE '%.%') AS BIGINT) FROM stg_dim_categoria
+UNION ALL SELECT 'stg_lancamentos', 'id_campanha_marketing',
+                 CAST(COUNT(*) FILTER (WHERE id_campanha_marketing LIKE '%.%') AS BIGINT) FROM stg_lancamentos
+"""))
+def q9(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    a = quality.decimal_point_keys(stg["stg_dim_categoria"], ["id_cat", "id_cc"])
+    b = quality.decimal_point_keys(stg["stg_lancamentos"], ["id_campanha_marketing"])
+    a = a.unpivot([], ["id_cat", "id_cc"], "coluna", "qtd").select(F.lit("stg_dim_categoria").alias("tabela"), "*")
+    b = b.unpivot([], ["id_campanha_marketing"], "coluna", "qtd").select(F.lit("stg_lancamentos").alias("tabela"), "*")
+    return a.unionByName(b)
+
+
+FK_SQL = """
+SELECT 'id_centro_custo' AS coluna, CAST(COUNT(*) AS BIGINT) AS qtd FROM stg_lancamentos
+WHERE TRY_CAST(id_centro_custo AS INTEGER) NOT IN (SELECT id_cc FROM dim_centro_custo)
+UNION ALL SELECT 'id_categoria', CAST(COUNT(*) AS BIGINT) FROM stg_lancamentos
+WHERE TRY_CAST(id_categoria AS INTEGER) NOT IN (SELECT id_categoria FROM dim_categoria)
+UNION ALL SELECT 'id_fornecedor', CAST(COUNT(*) AS BIGINT) FROM stg_lancamentos
+WHERE TRY_CAST(id_fornecedor AS INTEGER) NOT IN (SELECT id_forn FROM dim_fornecedores)
+UNION ALL SELECT 'id_campanha', CAST(COUNT(*) AS BIGINT) FROM stg_lancamentos
+WHERE CAST(TRUNC(TRY_CAST(id_campanha_marketing AS DOUBLE)) AS INTEGER) NOT IN (SELECT id_camp FROM dim_camp_marketing)
+"""
+
+
+# The profiling runs on staging BEFORE the default member exists.
+Q10_PREFIX = ", dim_cc_raw AS (SELECT TRY_CAST(id_cc AS INTEGER) AS id_cc FROM stg_dim_centro_custo)\n"
+FK_SQL_RAW = FK_SQL.replace("SELECT id_cc FROM dim_centro_custo", "SELECT id_cc FROM dim_cc_raw", 1)
+
+
+@register("q10", q(Q10_PREFIX + FK_SQL_RAW))
+def q10(spark, sf_dir):
+    stg = staging(spark, sf_dir)["stg_lancamentos"]
+    sv = silver(spark, sf_dir)
+    dim_cc = silver_plan.dim_centro_custo(staging(spark, sf_dir)["stg_dim_centro_custo"], with_default=False)
+    return quality.fk_violations(stg, {
+        "id_centro_custo": (F.col("id_centro_custo").try_cast("int"), dim_cc, "id_cc"),
+        "id_categoria": (F.col("id_categoria").try_cast("int"), sv.dim_categoria, "id_categoria"),
+        "id_fornecedor": (F.col("id_fornecedor").try_cast("int"), sv.dim_fornecedores, "id_forn"),
+        "id_campanha": (F.col("id_campanha_marketing").try_cast("double").try_cast("int"),
+                        sv.dim_camp_marketing, "id_camp"),
+    })
+
+
+@register("q11", q(Q10_PREFIX + """
+SELECT DISTINCT TRY_CAST(id_centro_custo AS INTEGER) AS chave FROM stg_lancamentos
+WHERE TRY_CAST(id_centro_custo AS INTEGER) NOT IN (SELECT id_cc FROM dim_cc_raw)
+"""))
+def q11(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"], with_default=False)
+    return quality.orphan_keys(stg["stg_lancamentos"], F.col("id_centro_custo").try_cast("int"), dim_cc, "id_cc")
+
+
+@register("q12", q(Q10_PREFIX + """
+, typed AS (SELECT *, TRY_CAST(valor_lancamento AS DECIMAL(18,2)) AS v FROM stg_lancamentos)
+SELECT 'data_nula' AS defeito, CAST(SUM(v) AS DOUBLE) AS valor_total,
+       CAST(COALESCE(SUM(v) FILTER (WHERE data_lancamento IS NULL), 0) AS DOUBLE) AS valor_defeito,
+       round(CAST(COALESCE(SUM(v) FILTER (WHERE data_lancamento IS NULL), 0) AS DOUBLE) / CAST(SUM(v) AS DOUBLE), 6) AS impacto
+FROM typed
+UNION ALL
+SELECT 'centro_custo_invalido', CAST(SUM(v) AS DOUBLE),
+       CAST(COALESCE(SUM(v) FILTER (WHERE TRY_CAST(id_centro_custo AS INTEGER) NOT IN (SELECT id_cc FROM dim_cc_raw)), 0) AS DOUBLE),
+       round(CAST(COALESCE(SUM(v) FILTER (WHERE TRY_CAST(id_centro_custo AS INTEGER) NOT IN (SELECT id_cc FROM dim_cc_raw)), 0) AS DOUBLE)
+             / CAST(SUM(v) AS DOUBLE), 6)
+FROM typed
+"""))
+def q12(spark, sf_dir):
+    stg = staging(spark, sf_dir)
+    fl = stg["stg_lancamentos"].withColumn("__v", F.col("valor_lancamento").try_cast("decimal(18,2)"))
+    a = quality.financial_impact(fl, F.col("__v"), F.col("data_lancamento").isNull())
+    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"], with_default=False)
+    from ledgerlight.operators.joins import bounded
+    keys = bounded(dim_cc.select(F.col("id_cc").alias("__pk")).distinct())
+    ck = F.col("id_centro_custo").try_cast("int")
+    flk = fl.join(keys, ck == F.col("__pk"), "left")
+    b = quality.financial_impact(flk, F.col("__v"), ck.isNotNull() & F.col("__pk").isNull())
+    return a.select(F.lit("data_nula").alias("defeito"), "*") \
+            .unionByName(b.select(F.lit("centro_custo_invalido").alias("defeito"), "*"))
+
+
+@register("q13", q("""
+SELECT status_pagamento, COUNT(TRY_CAST(valor_lancamento AS DECIMAL(18,2))) AS qtd_registros,
+       CAST(SUM(TRY_CAST(valor_lancamento AS DECIMAL(18,2))) AS DOUBLE) AS valor_por_status
+FROM stg_lancamentos WHERE TRY_CAST(valor_lancamento AS DECIMAL(18,2)) < 0 GROUP BY status_pagamento
+"""))
+def q13(spark, sf_dir):
+    fl = staging(spark, sf_dir)["stg_lancamentos"]
+    return quality.negative_profile(fl, F.col("valor_lancamento").try_cast("decimal(18,2)"), "status_pagamento")
+
+
+@register("q14", q("SELECT DISTINCT status_pagamento FROM stg_lancamentos"))
+def q14(spark, sf_dir):
+    return quality.domain_values(staging(spark, sf_dir)["stg_lancamentos"], "status_pagamento")
+
+
+BANDS_SQL = """
+, base AS (SELECT id_centro_custo, id_categoria, TRY_CAST(valor_orcado AS DECIMAL(18,2)) AS valor_tipado FROM stg_orcamento),
+media AS (SELECT *, CAST(SUM(valor_tipado) OVER w AS DOUBLE) / COUNT(valor_tipado) OVER w AS m
+          FROM base WINDOW w AS (PARTITION BY id_centro_custo, id_categoria)),
+var AS (SELECT *, CAST(valor_tipado AS DOUBLE) / NULLIF(m, 0) - 1 AS variacao FROM media),
+final AS (
+  SELECT *, CASE WHEN variacao > 10 THEN '1. 1000%+'
+                 WHEN variacao BETWEEN 9 AND 10 THEN '2. 900~1000%'
+                 WHEN variacao BETWEEN 1 AND 9 THEN '3. 100~900%'
+                 WHEN variacao BETWEEN 0.1 AND 0.2 THEN '4. 10 ~ 20%'
+                 WHEN variacao BETWEEN 0 AND 0.1 THEN '5. 0 ~ 10%'
+                 WHEN variacao BETWEEN -0.1 AND 0 THEN '6. -10~0%'
+                 WHEN variacao BETWEEN -0.2 AND -0.1 THEN '7. -20~-10%'
+                 WHEN variacao BETWEEN -0.3 AND -0.2 THEN '8. -30~-20%'
+                 WHEN variacao < -0.3 THEN '9. -30%-' END AS faixas
+  FROM var),
+lista AS (SELECT * FROM (VALUES ('1. 1000%+'), ('2. 900~1000%'), ('3. 100~900%'), ('4. 10 ~ 20%'), ('5. 0 ~ 10%'),
+                                ('6. -10~0%'), ('7. -20~-10%'), ('8. -30~-20%'), ('9. -30%-')) AS l(faixa_nome))
+SELECT l.faixa_nome, CAST(COALESCE(SUM(f.valor_tipado), 0) AS DOUBLE) AS valor_concentrado,
+       COUNT(f.faixas) AS registros
+FROM lista l LEFT JOIN final f ON l.faixa_nome = f.faixas GROUP BY l.faixa_nome
+"""
+
+
+def _bands(spark, sf_dir):
+    o = staging(spark, sf_dir)["stg_orcamento"]
+    return quality.deviation_bands(o, F.col("valor_orcado").try_cast("decimal(18,2)"),
+                                   ["id_centro_custo", "id_categoria"])
+
+
+register("q15", q(BANDS_SQL))(_bands)
+register("j7", q(BANDS_SQL))(_bands)
+
+
+@register("q16", q("SELECT * FROM stg_lancamentos"))
+def q16(spark, sf_dir):
+    return staging(spark, sf_dir)["stg_lancamentos"]
+
+
+# ------------------------------------------------------------------ R1 .. R4
+@register("r1", q("""
+SELECT id_lancamento, COUNT(*) AS contagem FROM vw_lancamentos GROUP BY id_lancamento
+HAVING COUNT(*) > 1 OR bool_or(id_lancamento IS NULL)
+"""))
+def r1(spark, sf_dir):
+    return rules.uniqueness_violations(silver(spark, sf_dir).vw_lancamentos, ["id_lancamento"])
+
+
+LEDGER_RULES_SQL = [
+    ("id_lancamento_not_null", "id_lancamento IS NOT NULL"),
+    ("data_lancamento_not_null", "data_lancamento IS NOT NULL"),
+    ("id_centro_custo_not_null", "id_centro_custo IS NOT NULL"),
+    ("id_categoria_not_null", "id_categoria IS NOT NULL"),
+    ("id_fornecedor_not_null", "id_fornecedor IS NOT NULL"),
+    ("valor_not_null", "valor IS NOT NULL"),
+    ("valor_original_not_null", "valor_original IS NOT NULL"),
+    ("status_pagamento_not_null", "status_pagamento IS NOT NULL"),
+    ("data_lancamento_range", f"data_lancamento > DATE '{CFG.ledger_min_date}' AND data_lancamento <= DATE '{CFG.load_date}'"),
+    ("valor_positive", "valor > 0"),
+    ("status_domain", "status_pagamento IN ('Pago', 'Aberto')"),
+    ("fk_centro_custo", "id_centro_custo IS NULL OR id_centro_custo IN (SELECT id_cc FROM dim_centro_custo)"),
+    ("fk_categoria", "id_categoria IS NULL OR id_categoria IN (SELECT id_categoria FROM dim_categoria)"),
+    ("fk_fornecedor", "id_fornecedor IS NULL OR id_fornecedor IN (SELECT id_forn FROM dim_fornecedores)"),
+    ("fk_campanha", "id_campanha IS NULL OR id_campanha IN (SELECT id_camp FROM dim_camp_marketing)"),
+]
+_BROKEN = ", ".join(f"CASE WHEN NOT coalesce({c}, true) THEN '{n}' END" for n, c in LEDGER_RULES_SQL)
+
+
+@register("r2", q(f"""
+SELECT id_lancamento, concat_ws(',', {_BROKEN}) AS regras_violadas FROM vw_lancamentos
+WHERE concat_ws(',', {_BROKEN}) <> ''
+"""))
+def r2(spark, sf_dir):
+    sv = silver(spark, sf_dir)
+    return sv.rejects_lancamentos.select("id_lancamento",
+                                         F.concat_ws(",", rules.RULES_COL).alias(rules.RULES_COL))
+
+
+@register("r3", q("""
+SELECT 'fact_orcamento.id_centro_custo' AS coluna, CAST(COUNT(*) AS BIGINT) AS qtd FROM vw_orcamento
+WHERE id_centro_custo NOT IN (SELECT id_cc FROM dim_centro_custo)
+UNION ALL SELECT 'fact_orcamento.id_categoria', CAST(COUNT(*) AS BIGINT) FROM vw_orcamento
+WHERE id_categoria NOT IN (SELECT id_categoria FROM dim_categoria)
+UNION ALL SELECT 'fact_lancamentos.id_fornecedor', CAST(COUNT(*) AS BIGINT) FROM vw_lancamentos
+WHERE id_fornecedor NOT IN (SELECT id_forn FROM dim_fornecedores)
+UNION ALL SELECT 'fact_lancamentos.id_campanha', CAST(COUNT(*) AS BIGINT) FROM vw_lancamentos
+WHERE id_campanha NOT IN (SELECT id_camp FROM dim_camp_marketing)
+"""))
+def r3(spark, sf_dir):
+    sv = silver(spark, sf_dir)
+    a = quality.fk_violations(sv.vw_orcamento, {
+        "fact_orcamento.id_centro_custo": ("id_centro_custo", sv.dim_centro_custo, "id_cc"),
+        "fact_orcamento.id_categoria": ("id_categoria", sv.dim_categoria, "id_categoria")})
+    b = quality.fk_violations(sv.vw_lancamentos, {
+        "fact_lancamentos.id_fornecedor": ("id_fornecedor", sv.dim_fornecedores, "id_forn"),
+        "fact_lancamentos.id_campanha": ("id_campanha", sv.dim_camp_marketing, "id_camp")})
+    return a.unionByName(b)
+
+
+@register("r4", q("""
+SELECT id_lancamento, data_lancamento, id_centro_custo, id_categoria, id_fornecedor, id_campanha,
+       CAST(valor AS DOUBLE) AS valor, CAST(valor_original AS DOUBLE) AS valor_original, status_pagamento
+FROM fact_lancamentos
+"""))
+def r4(spark, sf_dir):
+    """Load gate: the loaded fact must pass every rule, else raise."""
+    sv = silver(spark, sf_dir)
+    fl = sv.fact_lancamentos
+    gate = {k: v for k, v in silver_plan.ledger_rules(CFG).items() if not k.startswith("fk_")}
+    checked = rules.assert_rules(fl, gate, on_fail="raise")
+    return checked.withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+
+
+# ------------------------------------------------------------------ B
+@register("b1", q("SELECT * FROM stg_lancamentos"))
+def b1(spark, sf_dir):
+    """Raw ledger landed as CSV text, then bulk-ingested with the declared
+    all-text staging schema: the round trip must be lossless."""
+    path = files.scratch_path(spark, "bronze-lancamentos")
+    files.write_csv(staging(spark, sf_dir)["stg_lancamentos"], path)
+    return files.ingest_csv(spark, path, S.STG_LANCAMENTOS)
+
+
+@register("b2", q("""
+SELECT id_orcamento, data_orcamento, ano, mes, id_centro_custo, id_categoria, CAST(valor AS DOUBLE) AS valor, status_dado
+FROM fact_orcamento
+"""))
+def b2(spark, sf_dir):
+    """Full refresh twice (idempotent): the target holds one copy."""
+    path = files.scratch_path(spark, "fact-orcamento")
+    fo = silver(spark, sf_dir).fact_orcamento
+    files.full_refresh(fo, path, ["ano"])
+    out = files.full_refresh(fo, path, ["ano"])
+    return out.select(*[f.name for f in S.FACT_ORCAMENTO.fields]).withColumn("valor", money("valor"))
+
+
+@register("b3", q("""
+SELECT 'dim_camp_marketing' AS tabela, COUNT(*) AS total_registros FROM dim_camp_marketing
+UNION ALL SELECT 'dim_centro_custo', COUNT(*) FROM dim_centro_custo
+UNION ALL SELECT 'dim_categoria', COUNT(*) FROM dim_categoria
+UNION ALL SELECT 'dim_fornecedores', COUNT(*) FROM dim_fornecedores
+UNION ALL SELECT 'dim_calendario', COUNT(*) FROM dim_calendario
+UNION ALL SELECT 'fact_lancamentos', COUNT(*) FROM fact_lancamentos
+UNION ALL SELECT 'fact_orcamento', COUNT(*) FROM fact_orcamento
+"""))
+def b3(spark, sf_dir):
+    return audit.audit_counts(silver(spark, sf_dir).tables())
+
+
+@register("b4")
+def b4(spark, sf_dir):
+    """Schema audit of the silver tables against the declared layouts (no SQL oracle)."""
+    sv = silver(spark, sf_dir)
+    tables = {k: v for k, v in sv.tables().items() if k in S.SILVER_SCHEMAS}
+    return audit.schema_audit(spark, tables, S.SILVER_SCHEMAS)
+
+
+@register("b5", q("""
+SELECT id_lancamento, data_lancamento, id_centro_custo, id_categoria, id_fornecedor, id_campanha,
+       CAST(valor AS DOUBLE) AS valor, CAST(valor_original AS DOUBLE) AS valor_original, status_pagamento
+FROM fact_lancamentos
+"""))
+def b5(spark, sf_dir):
+    """Insert-select load of the ledger fact into a typed target partitioned by (ano, mes)."""
+    path = files.scratch_path(spark, "fact-lancamentos")
+    fl = silver(spark, sf_dir).fact_lancamentos
+    part = fl.withColumn("ano", F.year("data_lancamento")).withColumn("mes", F.month("data_lancamento"))
+    out = files.full_refresh(part, path, ["ano", "mes"])
+    return out.select(*[f.name for f in S.FACT_LANCAMENTOS.fields]) \
+              .withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+
+
+@register("b7", q(view_ctes("g2") + """
+SELECT ano, mes, id_centro_de_custo, id_categoria, realizado, realizado_ytd FROM v_g2
+WHERE flag_centro_custo_coringa = 'Sim'
+"""))
+def b7(spark, sf_dir):
+    """Gold view published to SQL, then queried by name."""
+    view = f"vw_gold_realizado_{abs(hash(sf_dir)) % 10**8}"
+    files.publish_views({view: gold.gold_realizado(silver(spark, sf_dir))})
+    return spark.sql(f"SELECT ano, mes, id_centro_de_custo, id_categoria, realizado, realizado_ytd "
+                     f"FROM {view} WHERE flag_centro_custo_coringa = 'Sim'")
+
+
+_ = (has_extra_space, is_null_or_blank)
