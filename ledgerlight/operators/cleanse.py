@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end
 from ledgerlight.functions.text import float_text_to_int, normalise_status, sentence_case
-from ledgerlight.operators.joins import bounded
+from ledgerlight.operators.joins import bounded, runtime_sized
 
 
 def typed_projection(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
@@ -98,7 +98,7 @@ def outlier_flag(df: DataFrame, value: str, group_cols: Sequence[str], out: str,
     """
     means = df.groupBy(*group_cols).agg(
         (F.sum(value).cast("double") / F.count(value)).alias("__mean"))
-    j = df.join(bounded(means), list(group_cols), "left")
+    j = df.join(runtime_sized(means), list(group_cols), "left")
     ratio = F.try_divide(F.col(value).cast("double"), F.col("__mean"))
     flag = F.when(ratio - 1 > threshold, F.lit(suspect)).otherwise(F.lit(trusted))
     return j.select(*df.columns, flag.alias(out))

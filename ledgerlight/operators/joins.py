@@ -9,6 +9,7 @@ shuffle statistics).
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,9 +20,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (scans <= max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (scans <= max_rows+1).
+    The answer is remembered per DataFrame object, so a dimension joined
+    several times in one plan is counted once."""
+    seen = _CHECKED.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -29,6 +38,15 @@ def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def runtime_sized(df: DataFrame) -> DataFrame:
+    """A side derived from the data (group means, month totals): no hint and
+    no eager count (that would run its whole plan twice). Adaptive execution
+    measures the side after its shuffle and converts the join to a
+    broadcast only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+    above it the sort-merge join stays."""
+    return df
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[lc].eqNullSafe(right[rc]) for lc, rc in pairs])
 

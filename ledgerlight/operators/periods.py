@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import nullif
-from ledgerlight.operators.joins import bounded
+from ledgerlight.operators.joins import runtime_sized
 
 
 def cumulative(value: str | Column, partition: Sequence, order: Sequence) -> Column:
@@ -93,7 +93,7 @@ def share_of_total(df: DataFrame, value: str, total_keys: Sequence[str], out: st
     total from a partial aggregate joined back: no window over a huge, low-
     cardinality partition such as (year, month)."""
     tot = df.groupBy(*total_keys).agg(F.sum(value).alias("__tot"))
-    j = df.join(bounded(tot), list(total_keys), "left")
+    j = df.join(runtime_sized(tot), list(total_keys), "left")
     return j.select(*df.columns, F.round(F.try_divide(F.col(value).cast("double"),
                                                       F.col("__tot").cast("double")), digits).alias(out))
 

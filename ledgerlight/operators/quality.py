@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.text import has_extra_space, is_null_or_blank, sentence_case
-from ledgerlight.operators.joins import anti_join, bounded
+from ledgerlight.operators.joins import anti_join, runtime_sized
 
 RULE_EXTRA_SPACE = "espacos_extras"
 RULE_NULL_OR_EMPTY = "nulos_ou_vazios"
@@ -148,7 +148,7 @@ def deviation_bands(df: DataFrame, value: Column, group_cols: Sequence[str],
     spark = df.sparkSession
     base = df.select(*group_cols, value.alias("__v"))
     means = base.groupBy(*group_cols).agg((F.sum("__v").cast("double") / F.count("__v")).alias("__m"))
-    v = base.join(bounded(means), list(group_cols), "left")
+    v = base.join(runtime_sized(means), list(group_cols), "left")
     var = F.try_divide(F.col("__v").cast("double"), F.when(F.col("__m") != 0, F.col("__m"))) - 1
     label = F.lit(None).cast("string")
     for name, low, high in reversed(bands):

@@ -16,7 +16,7 @@ from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif
 from ledgerlight.operators import benchmark, grid, periods
-from ledgerlight.operators.joins import bounded
+from ledgerlight.operators.joins import bounded, fits
 from ledgerlight.operators.running import running_sum
 from ledgerlight.plans.config import Config
 from ledgerlight.plans.silver import Silver
@@ -27,7 +27,8 @@ def _dim(df: DataFrame, **names: str) -> DataFrame:
     dimension also feeds the silver steps) and broadcast if proven small."""
     if not names:
         return bounded(df)
-    return bounded(df.select(*[F.col(src).alias(dst) for src, dst in names.items()]))
+    renamed = df.select(*[F.col(src).alias(dst) for src, dst in names.items()])
+    return F.broadcast(renamed) if fits(df) else renamed
 
 
 def cc_dim(sv: Silver) -> DataFrame:
