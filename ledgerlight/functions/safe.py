@@ -21,9 +21,18 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), nullif(_c(den).cast("double"), 0.0))
 
 
+def rnd(x, digits: int) -> Column:
+    """Round a double half away from zero at ``digits`` decimals, computed as
+    round(x * 10^digits) / 10^digits on the binary value. (Spark's
+    ``round(x, d)`` rounds the shortest decimal text of the double, which
+    splits ties like 0.45315 differently from engines that scale first.)"""
+    m = float(10 ** digits)
+    return F.round(_c(x).cast("double") * F.lit(m), 0) / F.lit(m)
+
+
 def ratio(num, den, digits: int = 6) -> Column:
     """Rounded ratio: shares and percentages are never emitted unrounded."""
-    return F.round(safe_div(num, den), digits)
+    return rnd(safe_div(num, den), digits)
 
 
 def money(x) -> Column:

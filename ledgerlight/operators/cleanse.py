@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end
 from ledgerlight.functions.text import float_text_to_int, normalise_status, sentence_case
-from ledgerlight.operators.joins import bounded, runtime_sized
+from ledgerlight.operators.joins import fits, has_null, runtime_sized
 
 
 def typed_projection(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
@@ -56,10 +56,10 @@ def rekey_unknown(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
     ``CASE WHEN k NOT IN (SELECT pk FROM dim) THEN -1 ELSE k END``: with a
     NULL in the dimension keys nothing is re-keyed (NOT IN is unknown).
     """
-    keys = dim.select(F.col(dim_key).alias("__pk")).distinct()
-    if keys.filter(F.col("__pk").isNull()).limit(1).count() > 0:
+    if has_null(dim, dim_key):
         return df
-    k = bounded(keys)
+    keys = dim.select(F.col(dim_key).alias("__pk")).distinct()
+    k = F.broadcast(keys) if fits(dim) else keys                 # keys <= dimension rows
     j = df.join(k, df[key] == k["__pk"], "left")
     fixed = F.when(F.col(key).isNotNull() & F.col("__pk").isNull(), F.lit(default)).otherwise(F.col(key))
     return j.select(*[fixed.cast(df.schema[key].dataType).alias(c) if c == key else F.col(c)

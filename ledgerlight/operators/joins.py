@@ -23,14 +23,23 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 _CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (scans <= max_rows+1).
-    The answer is remembered per DataFrame object, so a dimension joined
-    several times in one plan is counted once."""
+def _memo(kind: str, df: DataFrame, arg, compute) -> bool:
+    """Remember a size/NULL check per DataFrame object, so a dimension that
+    is joined several times in one plan is checked once."""
     seen = _CHECKED.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return seen[max_rows]
+    if (kind, arg) not in seen:
+        seen[(kind, arg)] = compute()
+    return seen[(kind, arg)]
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (scans <= max_rows+1)."""
+    return _memo("fits", df, max_rows, lambda: df.limit(max_rows + 1).count() <= max_rows)
+
+
+def has_null(df: DataFrame, col: str) -> bool:
+    """True when ``col`` holds a NULL (stops at the first one)."""
+    return _memo("null", df, col, lambda: df.filter(F.col(col).isNull()).limit(1).count() > 0)
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -71,10 +80,9 @@ def anti_join(child: DataFrame, parent: DataFrame, child_key: Column | str, pare
     is reported either.
     """
     ck = F.col(child_key) if isinstance(child_key, str) else child_key
-    keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
-    has_null = keys.filter(F.col("__pk").isNull()).limit(1).count() > 0
-    if has_null:
+    if has_null(parent, parent_key):
         return child.limit(0)
+    keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
     probe = child.withColumn("__ck", ck).filter(F.col("__ck").isNotNull())
-    k = bounded(keys, max_rows)
+    k = F.broadcast(keys) if fits(parent, max_rows) else keys     # keys <= parent rows
     return probe.join(k, probe["__ck"] == k["__pk"], "left_anti").drop("__ck")

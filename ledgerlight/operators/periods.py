@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
-from ledgerlight.functions.safe import nullif
+from ledgerlight.functions.safe import nullif, rnd
 from ledgerlight.operators.joins import runtime_sized
 
 
@@ -44,7 +44,7 @@ def change_abs(value: Column, previous: Column) -> Column:
 
 def change_pct(value: Column, previous: Column, digits: int = 6) -> Column:
     """V / NULLIF(prev, 0) - 1."""
-    return F.round(F.try_divide(value.cast("double"), nullif(previous, 0).cast("double")) - 1, digits)
+    return rnd(F.try_divide(value.cast("double"), nullif(previous, 0).cast("double")) - 1, digits)
 
 
 def period_change(df: DataFrame, value: str, members: Sequence[str], year: str, month: str,
@@ -84,7 +84,7 @@ def window_share(value: str | Column, part: Sequence, total: Sequence, digits: i
     if guard_numerator:
         num = nullif(num, 0)
     den = nullif(F.sum(v).over(Window.partitionBy(*total)), 0)
-    return F.round(F.try_divide(num.cast("double"), den.cast("double")), digits)
+    return rnd(F.try_divide(num.cast("double"), den.cast("double")), digits)
 
 
 def share_of_total(df: DataFrame, value: str, total_keys: Sequence[str], out: str,
@@ -94,7 +94,7 @@ def share_of_total(df: DataFrame, value: str, total_keys: Sequence[str], out: st
     cardinality partition such as (year, month)."""
     tot = df.groupBy(*total_keys).agg(F.sum(value).alias("__tot"))
     j = df.join(runtime_sized(tot), list(total_keys), "left")
-    return j.select(*df.columns, F.round(F.try_divide(F.col(value).cast("double"),
+    return j.select(*df.columns, rnd(F.try_divide(F.col(value).cast("double"),
                                                       F.col("__tot").cast("double")), digits).alias(out))
 
 

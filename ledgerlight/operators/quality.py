@@ -13,6 +13,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight.functions.safe import rnd
+
 from ledgerlight import schemas as S
 from ledgerlight.functions.text import has_extra_space, is_null_or_blank, sentence_case
 from ledgerlight.operators.joins import anti_join, runtime_sized
@@ -121,7 +123,7 @@ def financial_impact(df: DataFrame, value: Column, defect: Column) -> DataFrame:
     bad = F.sum(F.when(defect, value))
     return df.agg(total.cast("double").alias("valor_total"),
                   F.coalesce(bad, F.lit(0)).cast("double").alias("valor_defeito"),
-                  F.round(F.try_divide(F.coalesce(bad, F.lit(0)).cast("double"),
+                  rnd(F.try_divide(F.coalesce(bad, F.lit(0)).cast("double"),
                                        total.cast("double")), 6).alias("impacto"))
 
 

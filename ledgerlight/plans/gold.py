@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
-from ledgerlight.functions.safe import money, nullif
+from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import benchmark, grid, periods
 from ledgerlight.operators.joins import bounded, fits
 from ledgerlight.operators.running import running_sum
@@ -74,7 +74,7 @@ def gold_orcamento(sv: Silver) -> DataFrame:
                              ["ano", "mes", "status_dado"], guard_numerator=True).alias("peso_centro_custo"),
         periods.window_share(o, ["ano", "id_categoria", "mes", "status_dado"],
                              ["ano", "mes", "status_dado"], guard_numerator=True).alias("peso_categoria"),
-        F.round(mean, 6).alias("media_mensal"),
+        rnd(mean, 6).alias("media_mensal"),
         periods.atypical_two_way(nullif(o, 0), mean).alias("flag_valor_atipico_orcamento"),
         "status_dado",
     )
@@ -122,7 +122,7 @@ def gold_realizado(sv: Silver, lag_mode: str = "rows") -> DataFrame:
            periods.change_pct(r, F.col("__p1")).alias("mom_perc"),
            money(periods.change_abs(r, F.col("__p12"))).alias("yoy_abs"),
            periods.change_pct(r, F.col("__p12")).alias("yoy_perc")] if lag_mode == "rows" else []),
-        F.round(periods.group_mean(r, year_member), 6).alias("media_mensal"),
+        rnd(periods.group_mean(r, year_member), 6).alias("media_mensal"),
         periods.window_share(r, ["id_centro_de_custo", "ano", "mes"], ["ano", "mes"]).alias("peso_centro_custo"),
         periods.window_share(r, ["id_categoria", "ano", "mes"], ["ano", "mes"]).alias("peso_categoria"),
         periods.atypical_three_way(r, mean_nz).alias("flag_valor_atipico_realizado"),
@@ -225,8 +225,8 @@ def gold_referencia_mtd(sv: Silver, cfg: Config, approx: bool = False) -> DataFr
         h, "dia", ["id_centro_custo", "id_categoria"],
         {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"}, approx=approx)
     return m.select("dia", "id_centro_custo", "id_categoria",
-                    F.round("peso_do_dia", 6).alias("peso_do_dia"),
-                    F.round("valor_mediano_dia", 4).alias("valor_mediano_dia"))
+                    rnd("peso_do_dia", 6).alias("peso_do_dia"),
+                    rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
 
 
 # ------------------------------------------------------------------ G5
@@ -283,7 +283,7 @@ def mtd_report(sv: Silver, cfg: Config, strategy: str = "chunked") -> DataFrame:
             .select(F.col("id_cc").alias("rep_cc"))
     fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start_month), F.lit(cfg.report_end)))
     fl = fl.join(bounded(ids), F.col("id_centro_custo") == F.col("rep_cc"), "left_semi")
-    sliced = Silver(**{**sv.__dict__, "fact_lancamentos": fl})
+    sliced = sv.replace(fact_lancamentos=fl)
     e = with_ledger_mtd(ledger_enriched(sliced), strategy)
     e = e.filter((F.col("centro_de_custo") == cfg.report_cost_centre)
                  & F.col("data_lancamento").between(F.lit(cfg.report_start), F.lit(cfg.report_end))
@@ -318,8 +318,8 @@ def gold_mensal(sv: Silver) -> DataFrame:
         "ano", "mes", F.col("id_centro_custo").alias("id_centro_de_custo"), F.col("nome_cc").alias("centro_de_custo"),
         "id_categoria", F.col("nome_categoria").alias("categoria"),
         money(o).alias("orcado"), money(r).alias("realizado"), money("desvio").alias("desvio"),
-        F.round(F.try_divide(r.cast("double"), nullif(o, 0).cast("double")), 6).alias("perc_atingimento"),
-        F.round(F.try_divide(F.col("desvio").cast("double"), nullif(o, 0).cast("double")), 6).alias("percentual_desvio"),
+        rnd(F.try_divide(r.cast("double"), nullif(o, 0).cast("double")), 6).alias("perc_atingimento"),
+        rnd(F.try_divide(F.col("desvio").cast("double"), nullif(o, 0).cast("double")), 6).alias("percentual_desvio"),
         F.when(o.isNotNull(), F.lit(S.FLAG_YES)).otherwise(F.lit(S.FLAG_NO)).alias("flag_houve_orcamento"),
         periods.window_share(F.coalesce(r, F.lit(0)), ["ano", "mes", "id_centro_custo"], ["ano", "mes"])
         .alias("peso_centro_custo"),

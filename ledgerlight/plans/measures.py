@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
-from ledgerlight.functions.safe import money, nullif
+from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import ranking
 from ledgerlight.operators.joins import bounded, runtime_sized
 from ledgerlight.plans.config import Config
@@ -118,8 +118,8 @@ def consumption(sv: Silver, cfg: Config) -> DataFrame:
     p = Period.of(cfg)
     k = kpis_by_cost_centre(sv, cfg)
     return k.select("id_centro_custo", "orcado", "realizado",
-                    F.round(F.try_divide(F.col("realizado"), nullif(F.col("orcado"), 0.0)), 6).alias("perc_consumido"),
-                    F.round(F.lit(p.day) / F.lit(p.days_in_month), 6).alias("perc_mes_decorrido"))
+                    rnd(F.try_divide(F.col("realizado"), nullif(F.col("orcado"), 0.0)), 6).alias("perc_consumido"),
+                    rnd(F.lit(p.day) / F.lit(p.days_in_month), 6).alias("perc_mes_decorrido"))
 
 
 def ideal_budget_mtd(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def ideal_budget_mtd(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
     w = weights(ref, p.day, True, True, "peso_do_dia")
     j = o.join(w, ["id_centro_custo", "id_categoria"], "left")
     return j.select("id_centro_custo", "id_categoria", money("orcado").alias("orcado"), "peso_do_dia",
-                    F.round(money("orcado") * F.col("peso_do_dia"), 4).alias("orcado_ideal_mtd"))
+                    rnd(money("orcado") * F.col("peso_do_dia"), 4).alias("orcado_ideal_mtd"))
 
 
 def _cc_cat_projections(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def linear_projection(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
     """M4: actual / day x days in month."""
     b = _cc_cat_projections(sv, cfg, ref)
     return b.select("id_centro_custo", "id_categoria", money("realizado").alias("realizado"),
-                    F.round("__linear", 4).alias("projecao_linear"))
+                    rnd("__linear", 4).alias("projecao_linear"))
 
 
 def historical_projection(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def historical_projection(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
     b = _cc_cat_projections(sv, cfg, ref)
     return b.select("id_centro_custo", "id_categoria", money("realizado").alias("realizado"),
                     F.col("__w_now").alias("peso_atual"), F.col("__w_final").alias("peso_final"),
-                    F.round("__hist", 4).alias("projecao_historica"))
+                    rnd("__hist", 4).alias("projecao_historica"))
 
 
 def projection_path(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
@@ -166,8 +166,8 @@ def projection_path(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
                                    nullif(F.col("__w_final") - F.col("__w_now"), 0.0)), F.lit(0.0))
     r = money("realizado")
     return j.select("id_centro_custo", "id_categoria", "dia",
-                    F.round("__final", 4).alias("projecao_final"),
-                    F.round(r + (F.col("__final") - r) * frac, 4).alias("projecao_no_dia"))
+                    rnd("__final", 4).alias("projecao_final"),
+                    rnd(r + (F.col("__final") - r) * frac, 4).alias("projecao_no_dia"))
 
 
 def risk_matrix(sv: Silver, cfg: Config) -> DataFrame:
@@ -189,16 +189,16 @@ def pace(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
     """M8: pace status per cost centre from its hybrid projection."""
     j = _cc_projection(sv, cfg, ref)
     return j.select("id_centro_custo", money("orcado").alias("orcado"),
-                    F.round("__final", 2).alias("projecao_fechamento"),
+                    rnd("__final", 2).alias("projecao_fechamento"),
                     pace_status(F.col("__final"), money("orcado"), cfg.pace_tolerance).alias("status_ritmo"))
 
 
 def forecast_vs_budget(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
     """Expected month-end result = hybrid projection - budget."""
     j = _cc_projection(sv, cfg, ref)
-    return j.select("id_centro_custo", F.round("__final", 2).alias("projecao_fechamento"),
+    return j.select("id_centro_custo", rnd("__final", 2).alias("projecao_fechamento"),
                     money("orcado").alias("orcado"),
-                    F.round(F.col("__final") - F.coalesce(money("orcado"), F.lit(0.0)), 2).alias("resultado_previsto"))
+                    rnd(F.col("__final") - F.coalesce(money("orcado"), F.lit(0.0)), 2).alias("resultado_previsto"))
 
 
 def top_risk(sv: Silver, cfg: Config) -> DataFrame:
@@ -233,7 +233,7 @@ def _yoy(cur: DataFrame, prev: DataFrame, key: str) -> DataFrame:
     j = c.join(pr, [key], "full_outer")
     return j.select(key, money("__cur").alias("realizado_atual"), money("__prev").alias("realizado_anterior"),
                     money(F.coalesce(F.col("__cur"), F.lit(0)) - F.coalesce(F.col("__prev"), F.lit(0))).alias("yoy_abs"),
-                    F.round(F.try_divide(F.col("__cur").cast("double"), nullif(F.col("__prev"), 0).cast("double")) - 1, 6)
+                    rnd(F.try_divide(F.col("__cur").cast("double"), nullif(F.col("__prev"), 0).cast("double")) - 1, 6)
                     .alias("yoy_perc"))
 
 
@@ -253,7 +253,7 @@ def pending_payables(sv: Silver, cfg: Config) -> DataFrame:
     pend = F.sum(F.when(F.col("status_pagamento") == S.STATUS_OPEN, F.col("valor")))
     tot = F.sum("valor")
     return fl.agg(money(tot).alias("total"), money(F.coalesce(pend, F.lit(0))).alias("total_pendente"),
-                  F.round(F.try_divide(F.coalesce(pend, F.lit(0)).cast("double"), tot.cast("double")), 6)
+                  rnd(F.try_divide(F.coalesce(pend, F.lit(0)).cast("double"), tot.cast("double")), 6)
                   .alias("perc_pendente"))
 
 
@@ -268,7 +268,7 @@ def daily_cumulative(sv: Silver, cfg: Config) -> DataFrame:
                             .rowsBetween(Window.unboundedPreceding, 0))
     tot = F.sum("__t").over(Window.partitionBy(*month))
     return d.select("data_lancamento", money("__t").alias("total_dia"), money(run).alias("acumulado"),
-                    F.round(run.cast("double") / tot.cast("double"), 6).alias("perc_acumulado"))
+                    rnd(run.cast("double") / tot.cast("double"), 6).alias("perc_acumulado"))
 
 
 def annual_kpis(sv: Silver, cfg: Config) -> DataFrame:
@@ -282,7 +282,7 @@ def annual_kpis(sv: Silver, cfg: Config) -> DataFrame:
     desvio = F.coalesce(F.col("realizado_ytd"), F.lit(0)) - F.coalesce(F.col("orcado_ytd"), F.lit(0))
     return j.select(F.lit(p.year).alias("ano"), money("orcado_ytd").alias("orcado_ytd"),
                     money("realizado_ytd").alias("realizado_ytd"), money(desvio).alias("desvio"),
-                    F.round(F.try_divide(desvio.cast("double"), nullif(F.col("orcado_ytd"), 0).cast("double")), 6)
+                    rnd(F.try_divide(desvio.cast("double"), nullif(F.col("orcado_ytd"), 0).cast("double")), 6)
                     .alias("perc_desvio"))
 
 
@@ -360,8 +360,8 @@ def pace_table(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
                                    nullif(F.col("__w_final") - F.col("__w_now"), 0.0)), F.lit(0.0))
     return j.select(
         "dia",
-        F.round(F.col("__orc") * F.col("__w_day"), 4).alias("orcado_ideal_mtd"),
+        rnd(F.col("__orc") * F.col("__w_day"), 4).alias("orcado_ideal_mtd"),
         F.when(F.col("dia") <= p.day, money(run)).alias("realizado_mtd"),
         F.col("valor_mediano_dia").alias("mediana_historica_mtd"),
-        F.when(F.col("dia") >= p.day, F.round(r + (F.col("__final") - r) * frac, 4)).alias("projecao"),
+        F.when(F.col("dia") >= p.day, rnd(r + (F.col("__final") - r) * frac, 4)).alias("projecao"),
     )

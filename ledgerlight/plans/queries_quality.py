@@ -411,3 +411,23 @@ def b7(spark, sf_dir):
 
 
 _ = (has_extra_space, is_null_or_blank)
+
+
+@register("b1s", q("""
+SELECT id_lancamento, data_lancamento, id_centro_custo, id_categoria, id_fornecedor, id_campanha,
+       CAST(valor AS DOUBLE) AS valor, CAST(valor_original AS DOUBLE) AS valor_original, status_pagamento
+FROM fact_lancamentos
+"""))
+def b1s(spark, sf_dir):
+    """Raw ledger landed as several CSV files and ingested incrementally by a
+    Structured Streaming query (availableNow): same rows as the batch load."""
+    from ledgerlight.streaming import ledger_stream
+    base = files.scratch_path(spark, "stream")
+    landing = f"{base}/landing"
+    files.write_csv(staging(spark, sf_dir)["stg_lancamentos"].repartition(4), landing)
+    sv = silver(spark, sf_dir)
+    qry = ledger_stream.start_ingest(spark, landing, f"{base}/out", f"{base}/checkpoint", sv, CFG)
+    qry.awaitTermination()
+    out = ledger_stream.read_ingested(spark, f"{base}/out")
+    return out.select(*[f.name for f in S.FACT_LANCAMENTOS.fields]) \
+              .withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))

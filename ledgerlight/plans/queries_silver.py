@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
-from ledgerlight.functions.safe import money
+from ledgerlight.functions.safe import money, rnd
 from ledgerlight.operators import benchmark, calendar, cleanse, grid, periods
 from ledgerlight.operators.joins import anti_join, bounded
 from ledgerlight.plans import gold
@@ -384,8 +384,8 @@ def a8(spark, sf_dir):
     m = benchmark.multi_grain_median(h, "dia", ["id_centro_custo", "id_categoria"],
                                      {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"},
                                      sets=[["id_centro_custo", "id_categoria"]])
-    return m.select("dia", "id_centro_custo", "id_categoria", F.round("peso_do_dia", 6).alias("peso_do_dia"),
-                    F.round("valor_mediano_dia", 4).alias("valor_mediano_dia"))
+    return m.select("dia", "id_centro_custo", "id_categoria", rnd("peso_do_dia", 6).alias("peso_do_dia"),
+                    rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
 
 
 @register("a9", q("""
@@ -450,7 +450,7 @@ def _hist(cols):
     def fn(spark, sf_dir):
         h = gold.mtd_history(silver(spark, sf_dir), CFG)
         out = {"gasto_mtd": money("gasto_mtd"), "total_do_mes": money("total_do_mes"),
-               "perc_gasto_mes": F.round("perc_gasto_mes", 6)}
+               "perc_gasto_mes": rnd("perc_gasto_mes", 6)}
         return h.select("data_lancamento", "id_centro_custo", "id_categoria", *[out[c].alias(c) for c in cols])
     return fn
 
@@ -477,7 +477,7 @@ FROM vw_orcamento GROUP BY 1, 2
 def w19(spark, sf_dir):
     o = silver(spark, sf_dir).vw_orcamento
     return o.groupBy("id_centro_custo", "id_categoria").agg(
-        F.round(F.sum("valor").cast("double") / F.count("valor"), 6).alias("media"),
+        rnd(F.sum("valor").cast("double") / F.count("valor"), 6).alias("media"),
         F.count(F.lit(1)).alias("meses"))
 
 
@@ -490,7 +490,7 @@ def w20(spark, sf_dir):
     h = gold.mtd_history(silver(spark, sf_dir), CFG)
     m = benchmark.multi_grain_median(h, "dia", ["id_centro_custo", "id_categoria"],
                                      {"peso_do_dia": "perc_gasto_mes"}, sets=[["id_centro_custo", "id_categoria"]])
-    return m.select("dia", "id_centro_custo", "id_categoria", F.round("peso_do_dia", 6).alias("peso_do_dia"))
+    return m.select("dia", "id_centro_custo", "id_categoria", rnd("peso_do_dia", 6).alias("peso_do_dia"))
 
 
 _ = (ROWS, d, periods)

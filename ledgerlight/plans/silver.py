@@ -8,7 +8,8 @@ Catalyst prunes what a query does not need.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import copy
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
 from ledgerlight.operators import cleanse, rules
-from ledgerlight.operators.joins import bounded
+from ledgerlight.operators.joins import fits
 from ledgerlight.plans.config import Config
 
 
@@ -86,7 +87,8 @@ def _fk_flags(df: DataFrame, fks: dict[str, tuple[str, DataFrame, str]]) -> Data
     """Attach one boolean per FK: parent found (or child key NULL)."""
     out = df
     for name, (ck, parent, pk) in fks.items():
-        keys = bounded(parent.select(F.col(pk).alias(f"__fk_{name}")).distinct())
+        keys = parent.select(F.col(pk).alias(f"__fk_{name}")).distinct()
+        keys = F.broadcast(keys) if fits(parent) else keys      # keys <= dimension rows
         out = (out.join(keys, out[ck] == keys[f"__fk_{name}"], "left")
                .withColumn(f"__fk_{name}", F.col(ck).isNull() | F.col(f"__fk_{name}").isNotNull()))
     return out
@@ -119,20 +121,83 @@ def budget_rules(cfg: Config) -> dict:
     return r
 
 
-@dataclass
 class Silver:
-    dim_camp_marketing: DataFrame
-    dim_centro_custo: DataFrame
-    dim_categoria: DataFrame
-    dim_fornecedores: DataFrame
-    dim_calendario: DataFrame
-    dim_mes: DataFrame
-    fact_lancamentos: DataFrame
-    fact_orcamento: DataFrame
-    rejects_lancamentos: DataFrame
-    rejects_orcamento: DataFrame
-    vw_lancamentos: DataFrame
-    vw_orcamento: DataFrame
+    """The silver tables of one run, built lazily: a query that only needs
+    the ledger never plans (or checks) the budget, and vice versa."""
+
+    def __init__(self, spark: SparkSession, stg: dict[str, DataFrame], cfg: Config):
+        self.spark, self.stg, self.cfg = spark, stg, cfg
+
+    def replace(self, **tables: DataFrame) -> "Silver":
+        """A copy with some tables substituted (e.g. a sliced ledger)."""
+        out = copy.copy(self)
+        out.__dict__ = dict(self.__dict__)
+        out.__dict__.update(tables)
+        return out
+
+    @cached_property
+    def dim_camp_marketing(self) -> DataFrame:
+        return dim_camp_marketing(self.stg["stg_dim_campanha"])
+
+    @cached_property
+    def dim_centro_custo(self) -> DataFrame:
+        return dim_centro_custo(self.stg["stg_dim_centro_custo"])
+
+    @cached_property
+    def dim_categoria(self) -> DataFrame:
+        return dim_categoria(self.stg["stg_dim_categoria"])
+
+    @cached_property
+    def dim_fornecedores(self) -> DataFrame:
+        return dim_fornecedores(self.stg["stg_dim_fornecedores"])
+
+    @cached_property
+    def dim_calendario(self) -> DataFrame:
+        return cal.dim_calendario(self.spark, self.cfg.calendar_start, self.cfg.calendar_end)
+
+    @cached_property
+    def dim_mes(self) -> DataFrame:
+        return cal.dim_mes(self.dim_calendario)
+
+    @cached_property
+    def vw_lancamentos(self) -> DataFrame:
+        return vw_lancamentos(self.stg["stg_lancamentos"], self.dim_centro_custo)
+
+    @cached_property
+    def vw_orcamento(self) -> DataFrame:
+        return vw_orcamento(self.stg["stg_orcamento"])
+
+    @cached_property
+    def _ledger_split(self) -> tuple[DataFrame, DataFrame]:
+        f = _fk_flags(self.vw_lancamentos, {
+            "centro_custo": ("id_centro_custo", self.dim_centro_custo, "id_cc"),
+            "categoria": ("id_categoria", self.dim_categoria, "id_categoria"),
+            "fornecedor": ("id_fornecedor", self.dim_fornecedores, "id_forn"),
+            "campanha": ("id_campanha", self.dim_camp_marketing, "id_camp")})
+        return rules.split(f, ledger_rules(self.cfg))
+
+    @cached_property
+    def _budget_split(self) -> tuple[DataFrame, DataFrame]:
+        f = _fk_flags(self.vw_orcamento, {
+            "centro_custo": ("id_centro_custo", self.dim_centro_custo, "id_cc"),
+            "categoria": ("id_categoria", self.dim_categoria, "id_categoria")})
+        return rules.split(f, budget_rules(self.cfg))
+
+    @cached_property
+    def fact_lancamentos(self) -> DataFrame:
+        return self._ledger_split[0].select([f.name for f in S.FACT_LANCAMENTOS.fields])
+
+    @cached_property
+    def rejects_lancamentos(self) -> DataFrame:
+        return self._ledger_split[1].select(*[f.name for f in S.FACT_LANCAMENTOS.fields], rules.RULES_COL)
+
+    @cached_property
+    def fact_orcamento(self) -> DataFrame:
+        return self._budget_split[0].select([f.name for f in S.FACT_ORCAMENTO.fields])
+
+    @cached_property
+    def rejects_orcamento(self) -> DataFrame:
+        return self._budget_split[1].select(*[f.name for f in S.FACT_ORCAMENTO.fields], rules.RULES_COL)
 
     def tables(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in (
@@ -141,26 +206,4 @@ class Silver:
 
 
 def build(spark: SparkSession, stg: dict[str, DataFrame], cfg: Config) -> Silver:
-    camp = dim_camp_marketing(stg["stg_dim_campanha"])
-    cc = dim_centro_custo(stg["stg_dim_centro_custo"])
-    cat = dim_categoria(stg["stg_dim_categoria"])
-    forn = dim_fornecedores(stg["stg_dim_fornecedores"])
-    calendario = cal.dim_calendario(spark, cfg.calendar_start, cfg.calendar_end)
-    mes = cal.dim_mes(calendario)
-
-    lanc = vw_lancamentos(stg["stg_lancamentos"], cc)
-    lanc_f = _fk_flags(lanc, {"centro_custo": ("id_centro_custo", cc, "id_cc"),
-                              "categoria": ("id_categoria", cat, "id_categoria"),
-                              "fornecedor": ("id_fornecedor", forn, "id_forn"),
-                              "campanha": ("id_campanha", camp, "id_camp")})
-    lanc_ok, lanc_bad = rules.split(lanc_f, ledger_rules(cfg))
-    orc = vw_orcamento(stg["stg_orcamento"])
-    orc_f = _fk_flags(orc, {"centro_custo": ("id_centro_custo", cc, "id_cc"),
-                            "categoria": ("id_categoria", cat, "id_categoria")})
-    orc_ok, orc_bad = rules.split(orc_f, budget_rules(cfg))
-    lcols = [f.name for f in S.FACT_LANCAMENTOS.fields]
-    ocols = [f.name for f in S.FACT_ORCAMENTO.fields]
-    return Silver(camp, cc, cat, forn, calendario, mes,
-                  lanc_ok.select(lcols), orc_ok.select(ocols),
-                  lanc_bad.select(*lcols, rules.RULES_COL), orc_bad.select(*ocols, rules.RULES_COL),
-                  lanc, orc)
+    return Silver(spark, stg, cfg)
