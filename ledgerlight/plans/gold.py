@@ -217,13 +217,22 @@ def mtd_history(sv: Silver, cfg: Config) -> DataFrame:
     return h.filter(F.col("data_lancamento") < F.lit(cut))
 
 
-def gold_referencia_mtd(sv: Silver, cfg: Config, approx: bool = False) -> DataFrame:
+def gold_referencia_mtd(sv: Silver, cfg: Config, strategy: str = "auto") -> DataFrame:
     """Per day of month, the median cumulative share (peso_do_dia) and
-    median MTD value at four grains, -999 = all."""
+    median MTD value at four grains, -999 = all. ``strategy``: "auto" (exact;
+    distributed when a group is too large for one task), "exact",
+    "distributed" or "approx"."""
     h = mtd_history(sv, cfg)
+    if strategy == "auto":
+        # The largest group (one day of the month, all members) holds at most
+        # months x cost centres x categories values: bound it from the small
+        # dimensions instead of a pass over the grid.
+        months = (cfg.history_cut.year - cfg.calendar_start.year) * 12 + cfg.history_cut.month
+        bound = months * sv.dim_centro_custo.count() * sv.dim_categoria.count()
+        strategy = "exact" if bound <= benchmark.EXACT_GROUP_LIMIT else "distributed"
     m = benchmark.multi_grain_median(
         h, "dia", ["id_centro_custo", "id_categoria"],
-        {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"}, approx=approx)
+        {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"}, strategy=strategy)
     return m.select("dia", "id_centro_custo", "id_categoria",
                     rnd("peso_do_dia", 6).alias("peso_do_dia"),
                     rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))

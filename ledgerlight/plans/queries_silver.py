@@ -388,6 +388,21 @@ def a8(spark, sf_dir):
                     rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
 
 
+@register("a8d", q(MTD_HISTORY + """
+SELECT dia, id_centro_custo, id_categoria, round(quantile_cont(perc_gasto_mes, 0.5), 6) AS peso_do_dia,
+       round(quantile_cont(CAST(gasto_mtd AS DOUBLE), 0.5), 4) AS valor_mediano_dia
+FROM final GROUP BY 1, 2, 3
+"""))
+def a8d(spark, sf_dir):
+    """A8 by the distributed exact median (ranked with the chunked running count)."""
+    h = gold.mtd_history(silver(spark, sf_dir), CFG)
+    m = benchmark.multi_grain_median(h, "dia", ["id_centro_custo", "id_categoria"],
+                                     {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"},
+                                     sets=[["id_centro_custo", "id_categoria"]], strategy="distributed")
+    return m.select("dia", "id_centro_custo", "id_categoria", rnd("peso_do_dia", 6).alias("peso_do_dia"),
+                    rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
+
+
 @register("a9", q("""
 SELECT data_lancamento, id_fornecedor, COUNT(id_fornecedor) AS contagem
 FROM fact_lancamentos GROUP BY 1, 2 HAVING COUNT(id_fornecedor) > 1

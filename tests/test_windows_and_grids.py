@@ -112,6 +112,27 @@ def test_multi_grain_median_matches_brute_force(spark):
     assert got == {k: statistics.median(v) for k, v in groups.items()}   # NULL cc is a real key
 
 
+@pytest.mark.parametrize("strategy", ["distributed", "auto"])
+def test_distributed_median_matches_brute_force(spark, strategy):
+    rnd = random.Random(11)
+    data = []
+    for i in range(1200):
+        cc = None if i % 13 == 0 else (1 if i % 2 else rnd.choice([2, 3]))       # one hot member
+        data.append((rnd.randint(1, 2), cc, rnd.randint(1, 2), float(rnd.randint(0, 40)),
+                     None if i % 7 == 0 else float(rnd.randint(0, 9))))
+    df = spark.createDataFrame(data, "dia int, cc int, cat int, x double, y double")
+    m = benchmark.multi_grain_median(df, "dia", ["cc", "cat"], {"mx": "x", "my": "y"}, strategy=strategy)
+    got = {(r["dia"], r["cc"], r["cat"]): (r["mx"], r["my"]) for r in m.collect()}
+    gx, gy = {}, {}
+    for dia, cc, cat, x, y in data:
+        for key in [(dia, cc, cat), (dia, cc, -999), (dia, -999, cat), (dia, -999, -999)]:
+            gx.setdefault(key, []).append(x)
+            if y is not None:
+                gy.setdefault(key, []).append(y)
+    want = {k: (statistics.median(v), statistics.median(gy[k]) if k in gy else None) for k, v in gx.items()}
+    assert got == want
+
+
 def test_top_k_per_group_salted_equals_plain(spark):
     rnd = random.Random(5)
     data = [(rnd.choice("aab"), i, float(rnd.randint(1, 100))) for i in range(500)]
