@@ -38,17 +38,31 @@ from ledgerlight.session import checkpoint_dir, shuffle_partitions
 _CHUNK = "__chunk"
 _GROUP = "__group"
 
+# Largest group (rows) a single window task is allowed to sort.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Rows of the biggest group: one partial aggregation over the group
+    columns only; a single number reaches the driver."""
+    top = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                 value_col: str, out_col: str, chunks: int | None = None,
-                strategy: str = "chunked") -> DataFrame:
+                strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``out_col`` = SUM(value) OVER (PARTITION BY group ORDER BY order
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW).
 
-    ``strategy="window"`` is the single-shuffle plain window, for inputs
-    whose groups are known to be small (e.g. pre-aggregated grids).
+    ``strategy``: "window" is the single-shuffle plain window (every group
+    sorted by one task); "chunked" is the skew-safe form below; "auto"
+    measures the largest group and uses the window only when it is at most
+    ``max_group_rows``. Both give the same exact result.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
+    if strategy == "auto":
+        strategy = "window" if largest_group(df, group_cols) <= max_group_rows else "chunked"
     if strategy == "window":
         w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))

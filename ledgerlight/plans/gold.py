@@ -17,7 +17,8 @@ from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import benchmark, grid, periods
 from ledgerlight.operators.joins import bounded, fits
-from ledgerlight.operators.running import running_sum
+from ledgerlight.operators.running import MAX_GROUP_ROWS, running_sum
+from ledgerlight.operators.running import largest_group as running_largest
 from ledgerlight.plans.config import Config
 from ledgerlight.plans.silver import Silver
 
@@ -164,10 +165,15 @@ LEDGER_COLUMNS = ["id_lancamento", "data_lancamento", "id_centro_de_custo", "cen
                   "campanha_de_marketing", "valor", "valor_original"]
 
 
-def with_ledger_mtd(e: DataFrame, strategy: str = "chunked") -> DataFrame:
+def with_ledger_mtd(e: DataFrame, strategy: str = "auto") -> DataFrame:
     """W12 + W13: running month-to-date per entry (skew-safe running sums)."""
     e = e.withColumn("__ano", F.year("data_lancamento")).withColumn("__mes", F.month("data_lancamento"))
     order = ["data_lancamento", "id_lancamento"]
+    if strategy == "auto":
+        # the (month, cc, cat) groups contain the finer supplier/campaign ones:
+        # one measurement decides both running totals
+        biggest = running_largest(e, ["__ano", "__mes", "__cc", "__cat"])
+        strategy = "window" if biggest <= MAX_GROUP_ROWS else "chunked"
     e = running_sum(e, ["__ano", "__mes", "__cc", "__cat", "__forn", "__camp"], order, "valor",
                     "gasto_mtd", strategy=strategy)
     e = running_sum(e, ["__ano", "__mes", "__cc", "__cat"], order, "valor", "gasto_mtd_cc_cat",
@@ -175,7 +181,7 @@ def with_ledger_mtd(e: DataFrame, strategy: str = "chunked") -> DataFrame:
     return e
 
 
-def gold_lancamentos(sv: Silver, strategy: str = "chunked") -> DataFrame:
+def gold_lancamentos(sv: Silver, strategy: str = "auto") -> DataFrame:
     """Entry-level ledger with two MTD running totals."""
     e = with_ledger_mtd(ledger_enriched(sv), strategy)
     return e.select(*[F.col(c) for c in LEDGER_COLUMNS[:10]], money("valor").alias("valor"),
@@ -278,7 +284,7 @@ def gold_lancamentos_consolidados_dia(sv: Silver) -> DataFrame:
 
 
 # ------------------------------------------------------------------ G7
-def mtd_report(sv: Silver, cfg: Config, strategy: str = "chunked") -> DataFrame:
+def mtd_report(sv: Silver, cfg: Config, strategy: str = "auto") -> DataFrame:
     """For one cost centre name, a date range and a status: per
     day, SUM(valor) and SUM(gasto_mtd_cc_cat).
 
