@@ -313,6 +313,8 @@ UNION ALL SELECT 'fact_lancamentos.id_fornecedor', CAST(COUNT(*) AS BIGINT) FROM
 WHERE id_fornecedor NOT IN (SELECT id_forn FROM dim_fornecedores)
 UNION ALL SELECT 'fact_lancamentos.id_campanha', CAST(COUNT(*) AS BIGINT) FROM vw_lancamentos
 WHERE id_campanha NOT IN (SELECT id_camp FROM dim_camp_marketing)
+UNION ALL SELECT 'dim_categoria.id_cc', CAST(COUNT(*) AS BIGINT) FROM dim_categoria
+WHERE id_cc NOT IN (SELECT id_cc FROM dim_centro_custo)
 """))
 def r3(spark, sf_dir):
     sv = silver(spark, sf_dir)
@@ -322,7 +324,9 @@ def r3(spark, sf_dir):
     b = quality.fk_violations(sv.vw_lancamentos, {
         "fact_lancamentos.id_fornecedor": ("id_fornecedor", sv.dim_fornecedores, "id_forn"),
         "fact_lancamentos.id_campanha": ("id_campanha", sv.dim_camp_marketing, "id_camp")})
-    return a.unionByName(b)
+    c = quality.fk_violations(sv.dim_categoria, {
+        "dim_categoria.id_cc": ("id_cc", sv.dim_centro_custo, "id_cc")})
+    return a.unionByName(b).unionByName(c)
 
 
 @register("r4", q("""
