@@ -381,10 +381,12 @@ def b3(spark, sf_dir):
 
 @register("b4")
 def b4(spark, sf_dir):
-    """Schema audit of the silver tables against the declared layouts (no SQL oracle)."""
+    """Schema audit of the silver tables against the declared layouts, with
+    each table's row count (no SQL oracle: DuckDB has other type names)."""
     sv = silver(spark, sf_dir)
     tables = {k: v for k, v in sv.tables().items() if k in S.SILVER_SCHEMAS}
-    return audit.schema_audit(spark, tables, S.SILVER_SCHEMAS)
+    counts = audit.audit_counts(tables)
+    return audit.schema_audit(spark, tables, S.SILVER_SCHEMAS).join(counts, "tabela", "left")
 
 
 @register("b5", q("""

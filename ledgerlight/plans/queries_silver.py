@@ -13,7 +13,7 @@ from ledgerlight.plans import gold
 from ledgerlight.plans.config import TESTDATA as CFG
 from ledgerlight.plans.oracle_sql import DATA_CALENDAR, d, q, sentence
 from ledgerlight.plans.queries_gold import (
-    ACTUAL_MONTHLY, BUDGET_MONTHLY, G5_SQL, G8_BASE, LEDGER_ENRICHED, MTD_HISTORY, ROWS, view_ctes,
+    ACTUAL_MONTHLY, BUDGET_MONTHLY, G2_CTES, G5_SQL, G8_BASE, LEDGER_ENRICHED, MTD_HISTORY, ROWS, view_ctes,
 )
 from ledgerlight.plans.registry import register, silver, staging
 
@@ -446,10 +446,23 @@ for _k, _c in {"w2": "realizado_ytd", "w3": "mom_abs", "w4": "mom_perc", "w5": "
     _w(_k, "g2", _cols, _g2(_split(_cols)))
 
 
-@register("w3c")
+def _calendar_lag_sql() -> str:
+    def prev(alias, k):
+        return (f"LEFT JOIN g {alias} ON {alias}.ano * 12 + {alias}.mes + {k} = a.ano * 12 + a.mes "
+                f"AND {alias}.id_centro_de_custo IS NOT DISTINCT FROM a.id_centro_de_custo "
+                f"AND {alias}.id_categoria IS NOT DISTINCT FROM a.id_categoria")
+    return G2_CTES + """
+, g AS (SELECT ano, mes, id_centro_de_custo, id_categoria, CAST(realizado AS DOUBLE) AS realizado FROM scaffold)
+SELECT a.ano, a.mes, a.id_centro_de_custo, a.id_categoria, a.realizado,
+       a.realizado - NULLIF(p1.realizado, 0) AS mom_abs, round(a.realizado / NULLIF(p1.realizado, 0) - 1, 6) AS mom_perc,
+       a.realizado - NULLIF(p12.realizado, 0) AS yoy_abs, round(a.realizado / NULLIF(p12.realizado, 0) - 1, 6) AS yoy_perc
+FROM g a """ + prev("p1", 1) + "\n" + prev("p12", 12)
+
+
+@register("w3c", q(_calendar_lag_sql()))
 def w3c(spark, sf_dir):
-    """MoM / YoY against the calendar month (mode="calendar"): no SQL oracle
-    here, checked by unit tests against a brute-force month lookup."""
+    """MoM / YoY against the calendar month (mode="calendar"): an equi-join
+    on a month index instead of LAG over rows."""
     return gold.gold_realizado(silver(spark, sf_dir), lag_mode="calendar").select(
         *_split(_G2_KEY), "realizado", "mom_abs", "mom_perc", "yoy_abs", "yoy_perc")
 

@@ -33,7 +33,7 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_documented():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"b4", "w3c"}
+    assert set(qs) - set(sqls) == {"b4"}
 
 
 @pytest.fixture(scope="module")
