@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight.session import shuffle_partitions
+
 
 def daily_totals(facts: DataFrame, date_col: str, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """A3/A4/A5: SUM(value) per (date, keys...)."""
@@ -30,7 +32,10 @@ def dense_grid(combos: DataFrame, start: dt.date, end: dt.date, date_col: str =
                      .withColumn("ano", F.year(date_col)).withColumn("mes", F.month(date_col)) \
                      .withColumn("dia", F.dayofmonth(date_col))
     days = F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY")))
-    g = combos.select("*", days.alias(date_col))
+    # A distinct list often ends in one partition after adaptive coalescing;
+    # spread it first so the days x combinations fan-out runs in parallel.
+    n = shuffle_partitions(combos.sparkSession)
+    g = combos.repartition(n).select("*", days.alias(date_col))
     return g.withColumn("ano", F.year(date_col)).withColumn("mes", F.month(date_col)) \
             .withColumn("dia", F.dayofmonth(date_col))
 
