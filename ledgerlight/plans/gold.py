@@ -138,9 +138,11 @@ def gold_realizado(sv: Silver, lag_mode: str = "rows") -> DataFrame:
 
 
 # ------------------------------------------------------------------ G3
-def ledger_enriched(sv: Silver) -> DataFrame:
-    """J1 x4: each entry with its cost centre, category, supplier and campaign."""
-    fl = sv.fact_lancamentos
+def ledger_enriched(sv: Silver, fact: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """J1 x4: each entry with its cost centre, category, supplier and campaign.
+    ``fact`` replaces the silver ledger (e.g. with running totals added);
+    ``carry`` lists its extra columns to keep."""
+    fl = sv.fact_lancamentos if fact is None else fact
     j = (fl.join(cc_dim(sv), F.col("id_centro_custo") == F.col("cc_id"), "left")
            .join(cat_dim(sv), F.col("id_categoria") == F.col("cat_id"), "left")
            .join(forn_dim(sv), F.col("id_fornecedor") == F.col("forn_id"), "left")
@@ -154,9 +156,7 @@ def ledger_enriched(sv: Silver) -> DataFrame:
         c("camp_id").alias("id_campanha"), c("camp_nome").alias("campanha_de_marketing"),
         "valor", "valor_original",
         F.replace(c("status_pagamento"), F.lit(S.STATUS_OPEN), F.lit(S.STATUS_PENDING)).alias("status_pagamento"),
-        # fact keys, for the window partitions
-        c("id_centro_custo").alias("__cc"), c("id_categoria").alias("__cat"),
-        c("id_fornecedor").alias("__forn"), c("id_campanha").alias("__camp"),
+        *carry,
     )
 
 
@@ -165,25 +165,29 @@ LEDGER_COLUMNS = ["id_lancamento", "data_lancamento", "id_centro_de_custo", "cen
                   "campanha_de_marketing", "valor", "valor_original"]
 
 
-def with_ledger_mtd(e: DataFrame, strategy: str = "auto") -> DataFrame:
-    """W12 + W13: running month-to-date per entry (skew-safe running sums)."""
-    e = e.withColumn("__ano", F.year("data_lancamento")).withColumn("__mes", F.month("data_lancamento"))
+MTD_COLUMNS = ("gasto_mtd", "gasto_mtd_cc_cat")
+
+
+def with_ledger_mtd(fl: DataFrame, strategy: str = "auto") -> DataFrame:
+    """W12 + W13: running month-to-date per entry of the (narrow) ledger
+    fact, before any name is joined, so the chunked form moves and
+    checkpoints keys and values only."""
+    e = fl.withColumn("__ano", F.year("data_lancamento")).withColumn("__mes", F.month("data_lancamento"))
     order = ["data_lancamento", "id_lancamento"]
+    fine = ["__ano", "__mes", "id_centro_custo", "id_categoria", "id_fornecedor", "id_campanha"]
+    coarse = fine[:4]
     if strategy == "auto":
         # the (month, cc, cat) groups contain the finer supplier/campaign ones:
         # one measurement decides both running totals
-        biggest = running_largest(e, ["__ano", "__mes", "__cc", "__cat"])
-        strategy = "window" if biggest <= MAX_GROUP_ROWS else "chunked"
-    e = running_sum(e, ["__ano", "__mes", "__cc", "__cat", "__forn", "__camp"], order, "valor",
-                    "gasto_mtd", strategy=strategy)
-    e = running_sum(e, ["__ano", "__mes", "__cc", "__cat"], order, "valor", "gasto_mtd_cc_cat",
-                    strategy=strategy)
-    return e
+        strategy = "window" if running_largest(e, coarse) <= MAX_GROUP_ROWS else "chunked"
+    e = running_sum(e, fine, order, "valor", "gasto_mtd", strategy=strategy)
+    e = running_sum(e, coarse, order, "valor", "gasto_mtd_cc_cat", strategy=strategy)
+    return e.drop("__ano", "__mes")
 
 
 def gold_lancamentos(sv: Silver, strategy: str = "auto") -> DataFrame:
     """Entry-level ledger with two MTD running totals."""
-    e = with_ledger_mtd(ledger_enriched(sv), strategy)
+    e = ledger_enriched(sv, with_ledger_mtd(sv.fact_lancamentos, strategy), MTD_COLUMNS)
     return e.select(*[F.col(c) for c in LEDGER_COLUMNS[:10]], money("valor").alias("valor"),
                     money("valor_original").alias("valor_original"),
                     money("gasto_mtd").alias("gasto_mtd"), money("gasto_mtd_cc_cat").alias("gasto_mtd_cc_cat"),
@@ -298,8 +302,7 @@ def mtd_report(sv: Silver, cfg: Config, strategy: str = "auto") -> DataFrame:
             .select(F.col("id_cc").alias("rep_cc"))
     fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start_month), F.lit(cfg.report_end)))
     fl = fl.join(bounded(ids), F.col("id_centro_custo") == F.col("rep_cc"), "left_semi")
-    sliced = sv.replace(fact_lancamentos=fl)
-    e = with_ledger_mtd(ledger_enriched(sliced), strategy)
+    e = ledger_enriched(sv, with_ledger_mtd(fl, strategy), MTD_COLUMNS)
     e = e.filter((F.col("centro_de_custo") == cfg.report_cost_centre)
                  & F.col("data_lancamento").between(F.lit(cfg.report_start), F.lit(cfg.report_end))
                  & (F.col("status_pagamento") == cfg.report_status))
