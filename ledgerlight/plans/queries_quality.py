@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import money
-from ledgerlight.functions.text import has_extra_space, is_null_or_blank
 from ledgerlight.operators import audit, quality, rules
 from ledgerlight.plans import gold
 from ledgerlight.plans import silver as silver_plan
@@ -416,7 +415,6 @@ def b7(spark, sf_dir):
                      f"FROM {view} WHERE flag_centro_custo_coringa = 'Sim'")
 
 
-_ = (has_extra_space, is_null_or_blank)
 
 
 @register("b1s", q("""

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import money, rnd
-from ledgerlight.operators import benchmark, calendar, cleanse, grid, periods
+from ledgerlight.operators import benchmark, calendar, cleanse, grid
 from ledgerlight.operators.joins import anti_join, bounded
 from ledgerlight.plans import gold
 from ledgerlight.plans.config import TESTDATA as CFG
-from ledgerlight.plans.oracle_sql import DATA_CALENDAR, d, q, sentence
+from ledgerlight.plans.oracle_sql import DATA_CALENDAR, q, sentence
 from ledgerlight.plans.queries_gold import (
-    ACTUAL_MONTHLY, BUDGET_MONTHLY, G2_CTES, G5_SQL, G8_BASE, LEDGER_ENRICHED, MTD_HISTORY, ROWS, view_ctes,
+    ACTUAL_MONTHLY, BUDGET_MONTHLY, G2_CTES, G5_SQL, G8_BASE, LEDGER_ENRICHED, MTD_HISTORY, view_ctes,
 )
 from ledgerlight.plans.registry import register, silver, staging
 
@@ -408,7 +408,6 @@ SELECT data_lancamento, id_fornecedor, COUNT(id_fornecedor) AS contagem
 FROM fact_lancamentos GROUP BY 1, 2 HAVING COUNT(id_fornecedor) > 1
 """))
 def a9(spark, sf_dir):
-    from ledgerlight.operators.quality import duplicate_keys
     fl = silver(spark, sf_dir).fact_lancamentos
     g = fl.groupBy("data_lancamento", "id_fornecedor").agg(F.count("id_fornecedor").alias("contagem"))
     return g.filter(F.col("contagem") > 1)
@@ -520,5 +519,3 @@ def w20(spark, sf_dir):
                                      {"peso_do_dia": "perc_gasto_mes"}, sets=[["id_centro_custo", "id_categoria"]])
     return m.select("dia", "id_centro_custo", "id_categoria", rnd("peso_do_dia", 6).alias("peso_do_dia"))
 
-
-_ = (ROWS, d, periods)
