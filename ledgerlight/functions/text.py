@@ -40,15 +40,16 @@ def float_text_to_int(x) -> Column:
     return _c(x).try_cast("double").try_cast("int")
 
 
-def normalise_status(x, case_insensitive: bool = False) -> Column:
+def normalise_status(x, case_insensitive: bool = True) -> Column:
     """Map payment-status spellings to Pago / Aberto / Outros.
 
-    ``case_insensitive`` compares upper(trim(x)), like a case-insensitive
-    collation would; the default is an exact comparison of the text.
+    By default the comparison is that of a case-insensitive collation
+    (upper case, trailing blanks ignored): 'pago' and 'PAGO ' are Pago.
+    ``case_insensitive=False`` compares the text exactly.
     """
     x = _c(x)
     if case_insensitive:
-        key = F.upper(F.trim(x))
+        key = F.upper(F.rtrim(x))
         paid = [s.upper() for s in S.PAID_SPELLINGS]
         open_ = [s.upper() for s in S.OPEN_SPELLINGS]
     else:

@@ -82,7 +82,7 @@ def sign_repair(df: DataFrame, value: str, out: str, original: str) -> DataFrame
     return df.withColumn(original, F.col(value)).withColumn(out, F.abs(F.col(value)))
 
 
-def normalise_category(df: DataFrame, col: str, case_insensitive: bool = False) -> DataFrame:
+def normalise_category(df: DataFrame, col: str, case_insensitive: bool = True) -> DataFrame:
     """Status spellings -> Pago / Aberto, anything else -> Outros."""
     return df.withColumn(col, normalise_status(col, case_insensitive))
 

@@ -298,12 +298,13 @@ def mtd_report(sv: Silver, cfg: Config, strategy: str = "auto") -> DataFrame:
     the window runs on that slice instead of the whole ledger.
     """
     start_month = cfg.report_start.replace(day=1)
-    ids = sv.dim_centro_custo.filter(F.col("nome_cc") == cfg.report_cost_centre) \
+    same_name = F.upper(F.rtrim("nome_cc")) == cfg.report_cost_centre.rstrip().upper()   # CI collation
+    ids = sv.dim_centro_custo.filter(same_name) \
             .select(F.col("id_cc").alias("rep_cc"))
     fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start_month), F.lit(cfg.report_end)))
     fl = fl.join(bounded(ids), F.col("id_centro_custo") == F.col("rep_cc"), "left_semi")
     e = ledger_enriched(sv, with_ledger_mtd(fl, strategy), MTD_COLUMNS)
-    e = e.filter((F.col("centro_de_custo") == cfg.report_cost_centre)
+    e = e.filter((F.upper(F.rtrim("centro_de_custo")) == cfg.report_cost_centre.rstrip().upper())
                  & F.col("data_lancamento").between(F.lit(cfg.report_start), F.lit(cfg.report_end))
                  & (F.col("status_pagamento") == cfg.report_status))
     return (e.groupBy(F.dayofmonth("data_lancamento").alias("dia"), "centro_de_custo")

@@ -110,8 +110,8 @@ vw_lancamentos AS (
          CAST(TRUNC(TRY_CAST(id_campanha_marketing AS DOUBLE)) AS INTEGER) AS id_campanha,
          abs(TRY_CAST(valor_lancamento AS DECIMAL(16,2))) AS valor,
          TRY_CAST(valor_lancamento AS DECIMAL(16,2)) AS valor_original,
-         CASE WHEN status_pagamento IN ('PAGO', 'Paga', 'Pago') THEN 'Pago'
-              WHEN status_pagamento IN ('Pending', 'Aberto') THEN 'Aberto' ELSE 'Outros' END AS status_pagamento
+         CASE WHEN upper(rtrim(status_pagamento)) IN ('PAGO', 'PAGA') THEN 'Pago'
+              WHEN upper(rtrim(status_pagamento)) IN ('PENDING', 'ABERTO') THEN 'Aberto' ELSE 'Outros' END AS status_pagamento
   FROM stg_lancamentos WHERE data_lancamento IS NOT NULL),
 fact_lancamentos AS (
   SELECT * FROM vw_lancamentos

@@ -97,8 +97,8 @@ def s8(spark, sf_dir):
 
 @register("s9", q("""
 SELECT id_lancamento, status_pagamento AS status_original,
-       CASE WHEN status_pagamento IN ('PAGO', 'Paga', 'Pago') THEN 'Pago'
-            WHEN status_pagamento IN ('Pending', 'Aberto') THEN 'Aberto' ELSE 'Outros' END AS status_pagamento
+       CASE WHEN upper(rtrim(status_pagamento)) IN ('PAGO', 'PAGA') THEN 'Pago'
+            WHEN upper(rtrim(status_pagamento)) IN ('PENDING', 'ABERTO') THEN 'Aberto' ELSE 'Outros' END AS status_pagamento
 FROM stg_lancamentos
 """))
 def s9(spark, sf_dir):

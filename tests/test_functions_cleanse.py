@@ -44,11 +44,11 @@ def test_float_text_keys(spark):
 
 
 def test_status_normalisation(spark):
-    df = spark.createDataFrame([(s,) for s in ["PAGO", "Paga", "Pago", "Pending", "Aberto", "pago", None]], "s string")
-    got = [r[0] for r in df.select(normalise_status("s")).collect()]
-    assert got == ["Pago", "Pago", "Pago", "Aberto", "Aberto", "Outros", "Outros"]
-    got_ci = [r[0] for r in df.select(normalise_status("s", case_insensitive=True)).collect()]
-    assert got_ci[5] == "Pago"
+    df = spark.createDataFrame([(s,) for s in ["PAGO", "Paga", "Pago", "Pending", "Aberto", "pago ", None]], "s string")
+    got = [r[0] for r in df.select(normalise_status("s")).collect()]          # case-insensitive collation
+    assert got == ["Pago", "Pago", "Pago", "Aberto", "Aberto", "Pago", "Outros"]
+    exact = [r[0] for r in df.select(normalise_status("s", case_insensitive=False)).collect()]
+    assert exact[5] == "Outros"
 
 
 def test_rekey_unknown_keeps_null(spark):
