@@ -6,6 +6,7 @@
            idempotent full refreshes; facts partitioned by (ano, mes)
   gold     G1-G9 written from the persisted silver tables (lineage cut: gold
            jobs read parquet, not the staging plans)
+  measures M1-M21 as of ``Config.as_of``, from silver and the persisted benchmark
 
 Every write is an overwrite of its own folder, so re-running the pipeline
 gives the same result (no truncate/drop ordering, no duplicate rows).
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.operators import audit, quality
-from ledgerlight.plans import gold
+from ledgerlight.plans import gold, measures
 from ledgerlight.plans import silver as silver_plan
 from ledgerlight.plans.config import Config
 from ledgerlight.sources import files
@@ -75,8 +76,9 @@ def _persist_silver(sv: silver_plan.Silver, out: str) -> dict[str, DataFrame]:
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config,
-        stg: dict[str, DataFrame] | None = None) -> Result:
-    """Run bronze -> quality -> silver -> gold; ``stg`` may replace the CSV ingest."""
+        stg: dict[str, DataFrame] | None = None, with_measures: bool = True) -> Result:
+    """Run bronze -> quality -> silver -> gold (-> measures); ``stg`` may
+    replace the CSV ingest."""
     out = out_dir.rstrip("/")
     stg = stg or bronze(spark, raw_dir)
     files.full_refresh(profile_report(stg), f"{out}/quality/profile")
@@ -96,5 +98,29 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config,
     for name, df in views.items():
         paths[name] = f"{out}/gold/{name}"
         files.full_refresh(df, paths[name])
+    if with_measures:
+        ref = spark.read.parquet(paths["gold_referencia_mtd"])      # persisted benchmark, read once
+        for name, df in measure_reports(sv, cfg, ref).items():
+            paths[name] = f"{out}/measures/{name}"
+            files.full_refresh(df, paths[name])
     counts = audit.audit_counts(sv.tables())
     return Result(sv, counts, paths)
+
+
+def measure_reports(sv: silver_plan.Silver, cfg: Config, ref: DataFrame) -> dict[str, DataFrame]:
+    """M1-M21 as of ``cfg.as_of`` (the benchmark ``ref`` is the G4 view)."""
+    m = measures
+    return {
+        "m01_kpis": m.kpis_by_cost_centre(sv, cfg), "m02_consumo": m.consumption(sv, cfg),
+        "m03_orcado_ideal": m.ideal_budget_mtd(sv, cfg, ref), "m04_proj_linear": m.linear_projection(sv, cfg, ref),
+        "m05_proj_historica": m.historical_projection(sv, cfg, ref),
+        "m06_proj_caminho": m.projection_path(sv, cfg, ref), "m07_semaforo": m.risk_matrix(sv, cfg),
+        "m08_ritmo": m.pace(sv, cfg, ref), "m09_top_risco": m.top_risk(sv, cfg),
+        "m10_top_categorias": m.top_categories(sv, cfg), "m10_top_fornecedores": m.top_suppliers_per_category(sv, cfg),
+        "m11_top_crescimento": m.top_growth(sv, cfg), "m12_pendentes": m.pending_payables(sv, cfg),
+        "m13_diario": m.daily_cumulative(sv, cfg), "m14_kpis_anuais": m.annual_kpis(sv, cfg),
+        "m15_mensal": m.monthly_variance(sv), "m16_matriz": m.variance_matrix(sv, cfg),
+        "m17_yoy_mensal": m.yoy_monthly(sv, cfg), "m18_ytd_vs_ly": m.ytd_vs_last_year(sv, cfg),
+        "m19_crescimento": m.growth_table(sv, cfg), "m20_resultado_previsto": m.forecast_vs_budget(sv, cfg, ref),
+        "m21_ritmo_diario": m.pace_table(sv, cfg, ref),
+    }

@@ -28,6 +28,7 @@ def test_pipeline_from_raw_csv_is_idempotent(spark):
     assert c1 == c2
     g = spark.read.parquet(r2.paths["gold_realizado"])
     assert g.count() == expected.fact_lancamentos.sparkSession.read.parquet(r1.paths["gold_realizado"]).count()
+    assert spark.read.parquet(r2.paths["m21_ritmo_diario"]).count() == 31        # days of the as-of month
     prof = spark.read.parquet(f"{base}/out/quality/profile")
     assert prof.filter("regra = 'linhas' AND tabela = 'stg_lancamentos'").first()["qtd"] == \
         staging(spark, SMOKE_DIR)["stg_lancamentos"].count()
