@@ -17,7 +17,7 @@ from ledgerlight.functions.safe import rnd
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.text import has_extra_space, is_null_or_blank, sentence_case
-from ledgerlight.operators.joins import anti_join, runtime_sized
+from ledgerlight.operators.joins import anti_join, fits, has_null, runtime_sized
 
 RULE_EXTRA_SPACE = "espacos_extras"
 RULE_NULL_OR_EMPTY = "nulos_ou_vazios"
@@ -99,16 +99,26 @@ def decimal_point_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fk_violations(child: DataFrame, checks: Mapping[str, tuple[Column | str, DataFrame, str]]) -> DataFrame:
     """Per foreign key, rows whose non-null key is missing from the
-    parent (NOT IN semantics). ``checks``: name -> (child key, parent, parent key).
-    Returns (coluna, qtd)."""
-    parts = []
-    for name, (ck, parent, pk) in checks.items():
-        n = anti_join(child, parent, ck, pk).agg(F.count(F.lit(1)).alias("qtd"))
-        parts.append(n.select(F.lit(name).alias("coluna"), "qtd"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parent (NOT IN semantics: a NULL among the parent keys reports nothing).
+    ``checks``: name -> (child key, parent, parent key). Returns (coluna, qtd).
+
+    ONE scan of the child: each parent's distinct keys are left-joined
+    (broadcast when the parent is proven small) and a single conditional
+    aggregate counts the misses of every key."""
+    probe = child
+    counts = []
+    for i, (name, (ck, parent, pk)) in enumerate(checks.items()):
+        key = F.col(ck) if isinstance(ck, str) else ck
+        probe = probe.withColumn(f"__ck{i}", key)
+        if has_null(parent, pk):
+            counts.append(F.lit(0).cast("long").alias(name))
+            continue
+        keys = parent.select(F.col(pk).alias(f"__pk{i}")).distinct()
+        keys = F.broadcast(keys) if fits(parent) else keys
+        probe = probe.join(keys, F.col(f"__ck{i}") == F.col(f"__pk{i}"), "left")
+        counts.append(F.count_if(F.col(f"__ck{i}").isNotNull() & F.col(f"__pk{i}").isNull()).alias(name))
+    wide = probe.agg(*counts)
+    return wide.unpivot([], list(checks), "coluna", "qtd")
 
 
 def orphan_keys(child: DataFrame, child_key: Column | str, parent: DataFrame, parent_key: str) -> DataFrame:

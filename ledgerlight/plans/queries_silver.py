@@ -230,7 +230,7 @@ def j3(spark, sf_dir):
 
 
 @register("j4", q(MTD_HISTORY + """
-SELECT data_lancamento, id_centro_custo, id_categoria, CAST(total_do_dia AS DOUBLE) AS total_do_dia FROM historico
+SELECT data_lancamento, id_centro_custo, id_categoria, CAST(total_do_dia AS DOUBLE) AS total_do_dia FROM filled_grid
 """))
 def j4(spark, sf_dir):
     h = gold.daily_grid(silver(spark, sf_dir), CFG)
@@ -324,9 +324,9 @@ def a3(spark, sf_dir):
                .withColumn("total_do_dia", money("total_do_dia"))
 
 
-@register("a4", q(G5_SQL.split("combinacoes AS")[0].rstrip().rstrip(",") + """
+@register("a4", q(G5_SQL.split("status_members AS")[0].rstrip().rstrip(",") + """
 SELECT data_lancamento, id_centro_custo, id_categoria, status_pagamento, CAST(valor_dia AS DOUBLE) AS valor_dia
-FROM lancamentos_base
+FROM status_day_totals
 """))
 def a4(spark, sf_dir):
     fl = silver(spark, sf_dir).fact_lancamentos
@@ -377,7 +377,7 @@ def a7(spark, sf_dir):
 @register("a8", q(MTD_HISTORY + """
 SELECT dia, id_centro_custo, id_categoria, round(quantile_cont(perc_gasto_mes, 0.5), 6) AS peso_do_dia,
        round(quantile_cont(CAST(gasto_mtd AS DOUBLE), 0.5), 4) AS valor_mediano_dia
-FROM final GROUP BY 1, 2, 3
+FROM history_rows GROUP BY 1, 2, 3
 """))
 def a8(spark, sf_dir):
     h = gold.mtd_history(silver(spark, sf_dir), CFG)
@@ -391,7 +391,7 @@ def a8(spark, sf_dir):
 @register("a8d", q(MTD_HISTORY + """
 SELECT dia, id_centro_custo, id_categoria, round(quantile_cont(perc_gasto_mes, 0.5), 6) AS peso_do_dia,
        round(quantile_cont(CAST(gasto_mtd AS DOUBLE), 0.5), 4) AS valor_mediano_dia
-FROM final GROUP BY 1, 2, 3
+FROM history_rows GROUP BY 1, 2, 3
 """))
 def a8d(spark, sf_dir):
     """A8 by the distributed exact median (ranked with the chunked running count)."""
@@ -485,7 +485,7 @@ def _hist(cols):
 for _k, _c, _sql in (("w14", "gasto_mtd", "CAST(gasto_mtd AS DOUBLE) AS gasto_mtd"),
                      ("w15", "total_do_mes", "CAST(total_do_mes AS DOUBLE) AS total_do_mes"),
                      ("w16", "perc_gasto_mes", "round(perc_gasto_mes, 6) AS perc_gasto_mes")):
-    register(_k, q(MTD_HISTORY + f"SELECT data_lancamento, id_centro_custo, id_categoria, {_sql} FROM final"))(
+    register(_k, q(MTD_HISTORY + f"SELECT data_lancamento, id_centro_custo, id_categoria, {_sql} FROM history_rows"))(
         _hist([_c]))
 
 _G5_COLS = "data_lancamento, id_centro_custo, id_categoria, status_pagamento, gasto_mtd_agregado"
@@ -511,7 +511,7 @@ def w19(spark, sf_dir):
 @register("w20", q(MTD_HISTORY + """
 SELECT DISTINCT dia, id_centro_custo, id_categoria,
        round(quantile_cont(perc_gasto_mes, 0.5) OVER (PARTITION BY dia, id_centro_custo, id_categoria), 6) AS peso_do_dia
-FROM final
+FROM history_rows
 """))
 def w20(spark, sf_dir):
     h = gold.mtd_history(silver(spark, sf_dir), CFG)
