@@ -111,14 +111,15 @@ def fk_violations(child: DataFrame, checks: Mapping[str, tuple[Column | str, Dat
         key = F.col(ck) if isinstance(ck, str) else ck
         probe = probe.withColumn(f"__ck{i}", key)
         if has_null(parent, pk):
-            counts.append(F.lit(0).cast("long").alias(name))
+            counts.append(F.lit(0).cast("long").alias(f"__n{i}"))
             continue
         keys = parent.select(F.col(pk).alias(f"__pk{i}")).distinct()
         keys = F.broadcast(keys) if fits(parent) else keys
         probe = probe.join(keys, F.col(f"__ck{i}") == F.col(f"__pk{i}"), "left")
-        counts.append(F.count_if(F.col(f"__ck{i}").isNotNull() & F.col(f"__pk{i}").isNull()).alias(name))
+        counts.append(F.count_if(F.col(f"__ck{i}").isNotNull() & F.col(f"__pk{i}").isNull()).alias(f"__n{i}"))
     wide = probe.agg(*counts)
-    return wide.unpivot([], list(checks), "coluna", "qtd")
+    pairs = [F.struct(F.lit(name).alias("coluna"), F.col(f"__n{i}").alias("qtd")) for i, name in enumerate(checks)]
+    return wide.select(F.explode(F.array(*pairs)).alias("__p")).select("__p.coluna", "__p.qtd")
 
 
 def orphan_keys(child: DataFrame, child_key: Column | str, parent: DataFrame, parent_key: str) -> DataFrame:
