@@ -10,7 +10,7 @@ from ledgerlight.operators import audit, quality, rules
 from ledgerlight.plans import gold
 from ledgerlight.plans import silver as silver_plan
 from ledgerlight.plans.config import TESTDATA as CFG
-from ledgerlight.plans.oracle_sql import q, sentence
+from ledgerlight.plans.oracle_sql import DATA_CALENDAR, q, sentence
 from ledgerlight.plans.queries_gold import view_ctes
 from ledgerlight.plans.registry import register, silver, staging
 from ledgerlight.sources import files
@@ -438,3 +438,28 @@ def b1s(spark, sf_dir):
     out = ledger_stream.read_ingested(spark, f"{base}/out")
     return out.select(*[f.name for f in S.FACT_LANCAMENTOS.fields]) \
               .withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+
+
+CAL_RULES_SQL = [
+    ("data_not_null", "data IS NOT NULL"), ("dia_da_semana_not_null", "dia_da_semana IS NOT NULL"),
+    ("ano_not_null", "ano IS NOT NULL"), ("mes_not_null", "mes IS NOT NULL"), ("dia_not_null", "dia IS NOT NULL"),
+    ("nome_do_mes_not_null", "nome_do_mes IS NOT NULL"), ("mes_ano_not_null", "mes_ano IS NOT NULL"),
+    ("ano_mes_not_null", "ano_mes IS NOT NULL"),
+    ("data_range", f"data BETWEEN DATE '{CFG.calendar_start}' AND DATE '{CFG.calendar_end}'"),
+    ("dia_util_domain", "dia_util IN ('sim', 'nao')"),
+    ("ano_range", f"ano BETWEEN {CFG.calendar_start.year} AND {CFG.calendar_end.year}"),
+    ("mes_range", "mes BETWEEN 1 AND 12"), ("dia_range", "dia BETWEEN 1 AND 31"),
+    ("semestre_domain", "semestre IN (1, 2)"), ("trimestre_domain", "trimestre IN (1, 2, 3, 4)"),
+    ("bimestre_domain", "bimestre IN (1, 2, 3, 4, 5, 6)"),
+]
+
+
+@register("r2c", q(DATA_CALENDAR + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS regra, CAST(COUNT(*) FILTER (WHERE NOT coalesce({c}, true)) AS BIGINT) AS qtd FROM data_calendario"
+    for n, c in CAL_RULES_SQL)))
+def r2c(spark, sf_dir):
+    """R2 on the calendar generated over the ledger's years: broken rows per rule."""
+    from ledgerlight.operators import calendar
+    cal = calendar.calendar_attributes(calendar.calendar_for(silver(spark, sf_dir).fact_lancamentos,
+                                                             "data_lancamento"))
+    return rules.rule_counts(cal, silver_plan.calendar_rules(CFG))

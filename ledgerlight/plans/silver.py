@@ -121,6 +121,32 @@ def budget_rules(cfg: Config) -> dict:
     return r
 
 
+def calendar_rules(cfg: Config) -> dict:
+    """R2 for the daily calendar (the day check tests ``dia``, the column it means)."""
+    c = F.col
+    r = rules.not_null("data", "dia_da_semana", "ano", "mes", "dia", "nome_do_mes", "mes_ano", "ano_mes")
+    r["data_range"] = c("data").between(F.lit(cfg.calendar_start), F.lit(cfg.calendar_end))
+    r["dia_util_domain"] = c("dia_util").isin(S.WORKDAY_YES, S.WORKDAY_NO)
+    r["ano_range"] = c("ano").between(cfg.calendar_start.year, cfg.calendar_end.year)
+    r["mes_range"] = c("mes").between(1, 12)
+    r["dia_range"] = c("dia").between(1, 31)
+    r["semestre_domain"] = c("semestre").isin(1, 2)
+    r["trimestre_domain"] = c("trimestre").isin(1, 2, 3, 4)
+    r["bimestre_domain"] = c("bimestre").isin(1, 2, 3, 4, 5, 6)
+    return r
+
+
+def month_rules(cfg: Config) -> dict:
+    """R2 for the month dimension."""
+    c = F.col
+    r = rules.not_null("ano_mes", "ano", "mes", "primeiro_dia", "ultimo_dia")
+    r["ano_range"] = c("ano").between(cfg.calendar_start.year, cfg.calendar_end.year)
+    r["mes_range"] = c("mes").between(1, 12)
+    r["primeiro_dia_is_first"] = F.dayofmonth("primeiro_dia") == 1
+    r["ultimo_dia_is_month_end"] = F.dayofmonth("ultimo_dia").between(28, 31)
+    return r
+
+
 class Silver:
     """The silver tables of one run, built lazily: a query that only needs
     the ledger never plans (or checks) the budget, and vice versa."""

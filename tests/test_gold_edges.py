@@ -93,3 +93,15 @@ def test_empty_grid_and_unknown_rule(spark):
     df = spark.createDataFrame([(1, None)], "id int, v int")
     valid, rejects = rules.split(df, {"v_positive": F.col("v") > 0})
     assert valid.count() == 1 and rejects.count() == 0         # NULL rule result passes, like a CHECK
+
+
+def test_generated_calendar_passes_its_rules(spark):
+    from ledgerlight.operators import calendar
+    cal = calendar.dim_calendario(spark, CFG.calendar_start, CFG.calendar_end)
+    counts = dict(rows(rules.rule_counts(cal, silver_plan.calendar_rules(CFG))))
+    assert set(counts.values()) == {0} and "dia_range" in counts
+    mon = dict(rows(rules.rule_counts(calendar.dim_mes(cal), silver_plan.month_rules(CFG))))
+    assert set(mon.values()) == {0}
+    bad = spark.createDataFrame([(dt.date(2024, 1, 1),)], "data date")
+    broken = calendar.calendar_attributes(bad).withColumn("dia", F.lit(40))
+    assert dict(rows(rules.rule_counts(broken, silver_plan.calendar_rules(CFG))))["dia_range"] == 1
