@@ -42,6 +42,29 @@ def has_null(df: DataFrame, col: str) -> bool:
     return _memo("null", df, col, lambda: df.filter(F.col(col).isNull()).limit(1).count() > 0)
 
 
+def check_all(dims: dict[str, tuple[DataFrame, str]], max_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
+    """Size and NULL-key checks of several dimensions in ONE action: a union
+    of limited one-row aggregates (each scans at most max_rows + 1 rows).
+    The answers fill the memo used by ``fits`` / ``has_null``; a NULL-key
+    answer is kept only when the whole dimension was seen."""
+    todo = {n: (df, key) for n, (df, key) in dims.items() if ("fits", max_rows) not in _CHECKED.get(df, {})}
+    if not todo:
+        return
+    parts = [df.limit(max_rows + 1)
+               .agg(F.count(F.lit(1)).alias("n"), F.max(F.col(key).isNull().cast("int")).alias("nulls"))
+               .select(F.lit(name).alias("dim"), "n", "nulls")
+             for name, (df, key) in todo.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    for r in out.collect():                              # one row per dimension
+        df, key = todo[r["dim"]]
+        seen = _CHECKED.setdefault(df, {})
+        seen[("fits", max_rows)] = r["n"] <= max_rows
+        if r["n"] <= max_rows:
+            seen[("null", key)] = bool(r["nulls"])
+
+
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for ``df`` only if its size is proven small."""
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
 from ledgerlight.operators import cleanse, rules
-from ledgerlight.operators.joins import fits
+from ledgerlight.operators.joins import check_all, fits
 from ledgerlight.plans.config import Config
 
 
@@ -185,8 +185,16 @@ class Silver:
     def dim_mes(self) -> DataFrame:
         return cal.dim_mes(self.dim_calendario)
 
+    @cached_property
+    def dimension_checks(self) -> bool:
+        """Size and NULL-key checks of the four dimensions in one action."""
+        check_all({"cc": (self.dim_centro_custo, "id_cc"), "cat": (self.dim_categoria, "id_categoria"),
+                   "forn": (self.dim_fornecedores, "id_forn"), "camp": (self.dim_camp_marketing, "id_camp")})
+        return True
+
     @cached_property
     def vw_lancamentos(self) -> DataFrame:
+        self.dimension_checks
         return vw_lancamentos(self.stg["stg_lancamentos"], self.dim_centro_custo)
 
     @cached_property
@@ -204,6 +212,7 @@ class Silver:
 
     @cached_property
     def _budget_split(self) -> tuple[DataFrame, DataFrame]:
+        self.dimension_checks
         f = _fk_flags(self.vw_orcamento, {
             "centro_custo": ("id_centro_custo", self.dim_centro_custo, "id_cc"),
             "categoria": ("id_categoria", self.dim_categoria, "id_categoria")})
