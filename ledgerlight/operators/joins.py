@@ -79,6 +79,14 @@ def runtime_sized(df: DataFrame) -> DataFrame:
     return df
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a global aggregate (exactly one row, so the
+    broadcast is bounded by construction) to every row, through a constant
+    equi-join key."""
+    k = "__one"
+    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[lc].eqNullSafe(right[rc]) for lc, rc in pairs])
 

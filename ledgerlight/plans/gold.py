@@ -16,7 +16,7 @@ from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import benchmark, grid, periods
-from ledgerlight.operators.joins import bounded, fits
+from ledgerlight.operators.joins import bounded, fits, with_scalars
 from ledgerlight.operators.running import MAX_GROUP_ROWS, running_sum
 from ledgerlight.operators.running import largest_group as running_largest
 from ledgerlight.plans.config import Config
@@ -261,9 +261,11 @@ def gold_lancamentos_diarios(sv: Silver, cfg: Config) -> DataFrame:
                      .alias("status_pagamento")) \
             .agg(F.sum("valor").alias("valor_dia"))
     combos = base.select("id_centro_custo", "id_categoria", "status_pagamento").distinct()
-    last = fl.agg(F.max("data_lancamento")).first()[0]          # one scalar to the driver
-    end = min(cfg.calendar_end, last) if last else cfg.calendar_start - dt.timedelta(days=1)
-    g = grid.dense_grid(combos, cfg.calendar_start, end, "data")
+    # grid up to the last entry date: a one-row aggregate attached in the same
+    # plan (no separate action over the ledger)
+    last = fl.agg(F.max("data_lancamento").alias("__last"))
+    g = grid.dense_grid(combos, cfg.calendar_start, cfg.calendar_end, "data")
+    g = with_scalars(g, last).filter(F.col("data") <= F.col("__last")).drop("__last")
     d = grid.fill_grid(g, base, [("data", "data_lancamento"), ("id_centro_custo", "id_centro_custo"),
                                  ("id_categoria", "id_categoria"), ("status_pagamento", "status_pagamento")],
                        "valor_dia", "valor_dia")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import ranking
-from ledgerlight.operators.joins import bounded, runtime_sized
+from ledgerlight.operators.joins import bounded, runtime_sized, with_scalars
 from ledgerlight.plans.config import Config
 from ledgerlight.plans.silver import Silver
 
@@ -48,13 +48,6 @@ class Period:
 
 
 # ------------------------------------------------------------------ building blocks
-def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a global aggregate (exactly one row, so the
-    broadcast is bounded) to every row, through a constant equi-join key."""
-    k = "__one"
-    return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
-
-
 def actual_between(sv: Silver, start: dt.date, end: dt.date, keys: list[str]) -> DataFrame:
     fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start), F.lit(end)))
     return fl.groupBy(*keys).agg(F.sum("valor").alias("realizado"), F.count(F.lit(1)).alias("qtd_lancamentos"))

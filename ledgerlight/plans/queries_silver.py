@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import money, rnd
 from ledgerlight.operators import benchmark, calendar, cleanse, grid
-from ledgerlight.operators.joins import anti_join, bounded
+from ledgerlight.operators.joins import anti_join, bounded, with_scalars
 from ledgerlight.plans import gold
 from ledgerlight.plans.config import TESTDATA as CFG
 from ledgerlight.plans.oracle_sql import DATA_CALENDAR, q, sentence
@@ -253,8 +253,8 @@ SELECT data FROM dim_calendario WHERE data <= (SELECT MAX(data_lancamento) FROM
 """))
 def j6(spark, sf_dir):
     sv = silver(spark, sf_dir)
-    last = sv.fact_lancamentos.agg(F.max("data_lancamento")).first()[0]   # one scalar
-    return sv.dim_calendario.filter(F.col("data") <= F.lit(last)).select("data")
+    last = sv.fact_lancamentos.agg(F.max("data_lancamento").alias("__last"))   # scalar subquery
+    return with_scalars(sv.dim_calendario, last).filter(F.col("data") <= F.col("__last")).select("data")
 
 
 @register("j8", q(G8_BASE + """
