@@ -102,8 +102,8 @@ def gold_realizado(sv: Silver, lag_mode: str = "rows") -> DataFrame:
     """Monthly actuals on a month scaffold (J2), YTD, MoM/YoY, mean,
     shares and atypical flag."""
     base = actual_monthly(sv)
-    months = bounded(sv.dim_calendario.select(F.col("ano").alias("cal_ano"),
-                                              F.col("mes").alias("cal_mes")).distinct())
+    months = sv.calendar_side(sv.dim_calendario.select(F.col("ano").alias("cal_ano"),
+                                                       F.col("mes").alias("cal_mes")).distinct())
     # the calendar is preserved: a month without entries keeps one all-NULL row
     j = months.join(base, (base.ano == months.cal_ano) & (base.mes == months.cal_mes), "left")
     r = F.col("realizado")

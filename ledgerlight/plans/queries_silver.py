@@ -212,7 +212,8 @@ LEFT JOIN actual_monthly b ON b.ano = c.cal_ano AND b.mes = c.cal_mes
 def j2(spark, sf_dir):
     sv = silver(spark, sf_dir)
     base = gold.actual_monthly(sv)
-    months = bounded(sv.dim_calendario.select(F.col("ano").alias("cal_ano"), F.col("mes").alias("cal_mes")).distinct())
+    months = sv.calendar_side(sv.dim_calendario.select(F.col("ano").alias("cal_ano"),
+                                                       F.col("mes").alias("cal_mes")).distinct())
     j = months.join(base, (F.col("ano") == F.col("cal_ano")) & (F.col("mes") == F.col("cal_mes")), "left")
     return j.select("cal_ano", "cal_mes", "ano", "mes", "id_centro_de_custo", "id_categoria",
                     money("realizado").alias("realizado"))
@@ -286,7 +287,7 @@ def j9(spark, sf_dir):
     sv = silver(spark, sf_dir)
     daily = grid.daily_totals(sv.fact_lancamentos, "data_lancamento", ["id_centro_custo", "id_categoria"],
                               "valor", "realizado_dia")
-    cal = bounded(sv.dim_calendario.select(F.col("data").alias("cal_data"), "ano_mes"))
+    cal = sv.calendar_side(sv.dim_calendario.select(F.col("data").alias("cal_data"), "ano_mes"))
     budget = sv.fact_orcamento.groupBy(F.expr("CAST(ano * 100 + mes AS INT)").alias("b_ano_mes"),
                                        F.col("id_centro_custo").alias("b_cc"), F.col("id_categoria").alias("b_cat")) \
                               .agg(F.sum("valor").alias("orcado_mes"))

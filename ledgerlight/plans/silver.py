@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
 from ledgerlight.operators import cleanse, rules
-from ledgerlight.operators.joins import check_all, fits
+from ledgerlight.operators.joins import DEFAULT_BROADCAST_ROWS, check_all, fits
 from ledgerlight.plans.config import Config
 
 
@@ -181,6 +181,15 @@ class Silver:
     def dim_calendario(self) -> DataFrame:
         return cal.dim_calendario(self.spark, self.cfg.calendar_start, self.cfg.calendar_end)
 
+    @property
+    def calendar_small(self) -> bool:
+        """The generated calendar's size is known without a scan: one row a day."""
+        return (self.cfg.calendar_end - self.cfg.calendar_start).days + 1 <= DEFAULT_BROADCAST_ROWS
+
+    def calendar_side(self, df: DataFrame) -> DataFrame:
+        """A projection of the calendar as a join side (broadcast when small)."""
+        return F.broadcast(df) if self.calendar_small else df
+
     @cached_property
     def dim_mes(self) -> DataFrame:
         return cal.dim_mes(self.dim_calendario)
