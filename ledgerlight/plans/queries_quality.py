@@ -69,20 +69,22 @@ def q3(spark, sf_dir):
     return quality.offending_rows(staging(spark, sf_dir)["stg_lancamentos"], ["data_lancamento", "id_fornecedor"])
 
 
-@register("q4", q("""
-SELECT 'stg_lancamentos' AS tabela, id_lancamento AS chave, COUNT(id_lancamento) AS contagem
-FROM stg_lancamentos GROUP BY id_lancamento HAVING COUNT(id_lancamento) > 1
-UNION ALL
-SELECT 'stg_orcamento', id_orcamento, COUNT(id_orcamento) FROM stg_orcamento
-GROUP BY id_orcamento HAVING COUNT(id_orcamento) > 1
-"""))
+PK_COLUMNS = {"stg_lancamentos": "id_lancamento", "stg_orcamento": "id_orcamento",
+              "stg_dim_centro_custo": "id_cc", "stg_dim_categoria": "id_cat",
+              "stg_dim_fornecedores": "id_forn", "stg_dim_campanha": "id_camp"}
+
+
+@register("q4", q("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, {k} AS chave, COUNT({k}) AS contagem FROM {t} GROUP BY {k} HAVING COUNT({k}) > 1"
+    for t, k in PK_COLUMNS.items())))
 def q4(spark, sf_dir):
+    """Primary-key duplicates of every staging table (NULL keys never reported)."""
     stg = staging(spark, sf_dir)
-    a = quality.duplicate_keys(stg["stg_lancamentos"], "id_lancamento").select(
-        F.lit("stg_lancamentos").alias("tabela"), "chave", "contagem")
-    b = quality.duplicate_keys(stg["stg_orcamento"], "id_orcamento").select(
-        F.lit("stg_orcamento").alias("tabela"), "chave", "contagem")
-    return a.unionByName(b)
+    out = None
+    for t, k in PK_COLUMNS.items():
+        d = quality.duplicate_keys(stg[t], k).select(F.lit(t).alias("tabela"), "chave", "contagem")
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 @register("q5", q("""
@@ -118,13 +120,20 @@ SELECT 'ano',
                              AND TRY_CAST(ano AS INTEGER) NOT BETWEEN {CFG.budget_min_year} AND 1999) AS BIGINT),
        CAST(COUNT(*) FILTER (WHERE ano IS NOT NULL AND TRY_CAST(ano AS INTEGER) IS NULL) AS BIGINT)
 FROM stg_orcamento
+UNION ALL
+SELECT 'mes_ref',
+       CAST(COUNT(*) FILTER (WHERE TRY_CAST(mes_ref AS INTEGER) IS NOT NULL AND TRY_CAST(mes_ref AS INTEGER) NOT BETWEEN 1 AND 12) AS BIGINT),
+       CAST(COUNT(*) FILTER (WHERE mes_ref IS NOT NULL AND TRY_CAST(mes_ref AS INTEGER) IS NULL) AS BIGINT)
+FROM stg_dim_campanha
 """))
 def q8(spark, sf_dir):
     o = staging(spark, sf_dir)["stg_orcamento"]
     # an analysed year range narrower than the data, so the check finds rows
     m = quality.out_of_range(o, "mes", 1, 12).select(F.lit("mes").alias("coluna"), "*")
     a = quality.out_of_range(o, "ano", CFG.budget_min_year, 1999).select(F.lit("ano").alias("coluna"), "*")
-    return m.unionByName(a)
+    c = quality.out_of_range(staging(spark, sf_dir)["stg_dim_campanha"], "mes_ref", 1, 12) \
+               .select(F.lit("mes_ref").alias("coluna"), "*")
+    return m.unionByName(a).unionByName(c)
 
 
 @register("q9", q("""
@@ -220,6 +229,16 @@ def q13(spark, sf_dir):
     return quality.negative_profile(fl, F.col("valor_lancamento").try_cast("decimal(18,2)"), "status_pagamento")
 
 
+@register("q13b", q("""
+SELECT CAST(COUNT(*) FILTER (WHERE TRY_CAST(valor_orcado AS DOUBLE) < 0) AS BIGINT) AS valores_negativos
+FROM stg_orcamento
+"""))
+def q13b(spark, sf_dir):
+    """Q13, budget variant: a bare count of negative values."""
+    o = staging(spark, sf_dir)["stg_orcamento"]
+    return o.agg(F.count_if(F.col("valor_orcado").try_cast("double") < 0).alias("valores_negativos"))
+
+
 @register("q14", q("SELECT DISTINCT status_pagamento FROM stg_lancamentos"))
 def q14(spark, sf_dir):
     return quality.domain_values(staging(spark, sf_dir)["stg_lancamentos"], "status_pagamento")
