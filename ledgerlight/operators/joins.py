@@ -16,8 +16,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension up to this many rows is broadcast (~ tens of MB of narrow rows).
+# A dimension is broadcast when it has at most this many rows AND its
+# estimated size (rows x schema width) stays under BROADCAST_BYTES.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
+
+_WIDTH = {"int": 4, "bigint": 8, "smallint": 2, "tinyint": 1, "double": 8, "float": 4, "date": 4,
+          "timestamp": 8, "timestamp_ntz": 8, "boolean": 1, "string": 32}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (strings counted as 32 bytes)."""
+    w = 0
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        w += 16 if t.startswith("decimal") else _WIDTH.get(t, 64)
+    return max(w, 1)
+
+
+def row_limit(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+    return min(max_rows, BROADCAST_BYTES // row_width(df))
 
 
 _CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
@@ -33,8 +51,10 @@ def _memo(kind: str, df: DataFrame, arg, compute) -> bool:
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (scans <= max_rows+1)."""
-    return _memo("fits", df, max_rows, lambda: df.limit(max_rows + 1).count() <= max_rows)
+    """True when ``df`` has at most ``row_limit`` rows: ``max_rows`` capped so
+    that rows x estimated width <= BROADCAST_BYTES (scans <= limit + 1 rows)."""
+    n = row_limit(df, max_rows)
+    return _memo("fits", df, max_rows, lambda: df.limit(n + 1).count() <= n)
 
 
 def has_null(df: DataFrame, col: str) -> bool:
@@ -50,7 +70,8 @@ def check_all(dims: dict[str, tuple[DataFrame, str]], max_rows: int = DEFAULT_BR
     todo = {n: (df, key) for n, (df, key) in dims.items() if ("fits", max_rows) not in _CHECKED.get(df, {})}
     if not todo:
         return
-    parts = [df.limit(max_rows + 1)
+    limits = {name: row_limit(df, max_rows) for name, (df, _) in todo.items()}
+    parts = [df.limit(limits[name] + 1)
                .agg(F.count(F.lit(1)).alias("n"), F.max(F.col(key).isNull().cast("int")).alias("nulls"))
                .select(F.lit(name).alias("dim"), "n", "nulls")
              for name, (df, key) in todo.items()]
@@ -60,8 +81,9 @@ def check_all(dims: dict[str, tuple[DataFrame, str]], max_rows: int = DEFAULT_BR
     for r in out.collect():                              # one row per dimension
         df, key = todo[r["dim"]]
         seen = _CHECKED.setdefault(df, {})
-        seen[("fits", max_rows)] = r["n"] <= max_rows
-        if r["n"] <= max_rows:
+        whole = r["n"] <= limits[r["dim"]]
+        seen[("fits", max_rows)] = whole
+        if whole:
             seen[("null", key)] = bool(r["nulls"])
 
 

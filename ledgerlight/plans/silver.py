@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
 from ledgerlight.operators import cleanse, rules
-from ledgerlight.operators.joins import DEFAULT_BROADCAST_ROWS, check_all, fits
+from ledgerlight.operators.joins import BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, check_all, fits
 from ledgerlight.plans.config import Config
 
 
@@ -184,7 +184,8 @@ class Silver:
     @property
     def calendar_small(self) -> bool:
         """The generated calendar's size is known without a scan: one row a day."""
-        return (self.cfg.calendar_end - self.cfg.calendar_start).days + 1 <= DEFAULT_BROADCAST_ROWS
+        days = (self.cfg.calendar_end - self.cfg.calendar_start).days + 1
+        return days <= DEFAULT_BROADCAST_ROWS and days * 256 <= BROADCAST_BYTES    # 18 narrow columns
 
     def calendar_side(self, df: DataFrame) -> DataFrame:
         """A projection of the calendar as a join side (broadcast when small)."""
