@@ -77,16 +77,16 @@ def input_bytes(paths: list[str]) -> int:
 
 
 def size_shuffles(spark: SparkSession, scanned_bytes: int, total_cores: int,
-                  target_partition_bytes: int = 512 << 20, expansion: float = 1.0) -> int:
+                  target_partition_bytes: int = 512 << 20, expansion: float = 1.0, per_core: int = 2) -> int:
     """Size the shuffle so each partition holds about ``target_partition_bytes``
     of shuffled data (``expansion`` x the scanned parquet bytes: compressed
     shuffle blocks are about as big as compressed parquet, and projections
-    and partial aggregation shrink them), with at least two partitions per
-    core. AQE coalesces the small ones and splits skewed ones;
+    and partial aggregation shrink them), with at least ``per_core``
+    partitions per core (2 on a shared cluster, 1 for a single local JVM). AQE coalesces the small ones and splits skewed ones;
     the advisory size is set to the same target, and parquet splits are
     capped at it too, so map and reduce tasks both fit executor memory.
     Returns the partition count set."""
-    n = max(2 * total_cores, int(scanned_bytes * expansion // target_partition_bytes) + 1)
+    n = max(per_core * total_cores, int(scanned_bytes * expansion // target_partition_bytes) + 1)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_partition_bytes, 128 << 20)))
