@@ -85,6 +85,12 @@ def check_all(dims: dict[str, tuple[DataFrame, str]], max_rows: int = DEFAULT_BR
         seen[("fits", max_rows)] = whole
         if whole:
             seen[("null", key)] = bool(r["nulls"])
+            seen[("rows", None)] = int(r["n"])
+
+
+def row_count(df: DataFrame) -> int:
+    """Exact row count, reused from ``check_all`` when it saw the whole table."""
+    return _memo("rows", df, None, df.count)
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -16,7 +16,7 @@ from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import benchmark, grid, periods
-from ledgerlight.operators.joins import bounded, fits, with_scalars
+from ledgerlight.operators.joins import bounded, fits, row_count, with_scalars
 from ledgerlight.operators.running import MAX_GROUP_ROWS, running_sum
 from ledgerlight.operators.running import largest_group as running_largest
 from ledgerlight.plans.config import Config
@@ -238,7 +238,8 @@ def gold_referencia_mtd(sv: Silver, cfg: Config, strategy: str = "auto") -> Data
         # months x cost centres x categories values: bound it from the small
         # dimensions instead of a pass over the grid.
         months = (cfg.history_cut.year - cfg.calendar_start.year) * 12 + cfg.history_cut.month
-        bound = months * sv.dim_centro_custo.count() * sv.dim_categoria.count()
+        sv.dimension_checks
+        bound = months * row_count(sv.dim_centro_custo) * row_count(sv.dim_categoria)
         strategy = "exact" if bound <= benchmark.EXACT_GROUP_LIMIT else "distributed"
     m = benchmark.multi_grain_median(
         h, "dia", ["id_centro_custo", "id_categoria"],
