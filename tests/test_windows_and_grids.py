@@ -144,21 +144,21 @@ def test_top_k_per_group_salted_equals_plain(spark):
     assert salted.count() == 10
 
 
-def test_auto_strategy_switches_to_chunked_for_a_hot_group(spark, monkeypatch):
-    import ledgerlight.operators.running as R
-    seen = []
-    orig = R.running_sum
+def _plan(df) -> str:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
-    def spy(df, g, o, v, out, chunks=None, strategy="auto", max_group_rows=R.MAX_GROUP_ROWS):
-        if strategy == "auto":
-            strategy = "window" if R.largest_group(df, g) <= max_group_rows else "chunked"
-        seen.append(strategy)
-        return orig(df, g, o, v, out, chunks=chunks, strategy=strategy)
 
+def test_auto_strategy_switches_to_chunked_for_a_hot_group(spark):
     data = [(i, "hot" if i % 10 else "cold", i % 28, 1) for i in range(400)]   # 'hot' holds 90 %
     df = spark.createDataFrame(data, "id long, g string, d int, v long")
-    out = spy(df, ["g"], ["d", "id"], "v", "rs", max_group_rows=100)
-    assert seen == ["chunked"]
     want = _brute_running(data, lambda r: r[1], lambda r: (r[2], r[0]))
-    assert dict(rows(out, "id", "rs")) == want
-    assert R.largest_group(df, ["g"]) == 360
+    chunked = running_sum(df, ["g"], ["d", "id"], "v", "rs", strategy="auto", max_group_rows=100)
+    plain = running_sum(df, ["g"], ["d", "id"], "v", "rs", strategy="auto", max_group_rows=1000)
+    assert "ExistingRDD" in _plan(chunked)          # read back from the chunk checkpoint
+    assert "ExistingRDD" not in _plan(plain)
+    assert dict(rows(chunked, "id", "rs")) == want == dict(rows(plain, "id", "rs"))
