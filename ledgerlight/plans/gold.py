@@ -16,7 +16,7 @@ from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import benchmark, grid, periods
-from ledgerlight.operators.joins import bounded, fits, row_count, with_scalars
+from ledgerlight.operators.joins import bounded, fits, row_count, runtime_sized, with_scalars
 from ledgerlight.operators.running import MAX_GROUP_ROWS, running_sum
 from ledgerlight.operators.running import largest_group as running_largest
 from ledgerlight.plans.config import Config
@@ -102,10 +102,13 @@ def gold_realizado(sv: Silver, lag_mode: str = "rows") -> DataFrame:
     """Monthly actuals on a month scaffold (J2), YTD, MoM/YoY, mean,
     shares and atypical flag."""
     base = actual_monthly(sv)
-    months = sv.calendar_side(sv.dim_calendario.select(F.col("ano").alias("cal_ano"),
-                                                       F.col("mes").alias("cal_mes")).distinct())
-    # the calendar is preserved: a month without entries keeps one all-NULL row
-    j = months.join(base, (base.ano == months.cal_ano) & (base.mes == months.cal_mes), "left")
+    months = sv.dim_calendario.select(F.col("ano").alias("cal_ano"), F.col("mes").alias("cal_mes")).distinct()
+    # The calendar is preserved (a month without entries keeps one all-NULL
+    # row). Written as base RIGHT JOIN months so the aggregated base can be the
+    # build side: AQE broadcasts it when its measured size is small (a hint on
+    # the preserved side of an outer join could not be used).
+    j = runtime_sized(base).join(months, (F.col("ano") == F.col("cal_ano")) & (F.col("mes") == F.col("cal_mes")),
+                                 "right")
     r = F.col("realizado")
     member = ["id_centro_de_custo", "id_categoria"]
     year_member = ["ano", *member]

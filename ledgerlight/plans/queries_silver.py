@@ -212,9 +212,8 @@ LEFT JOIN actual_monthly b ON b.ano = c.cal_ano AND b.mes = c.cal_mes
 def j2(spark, sf_dir):
     sv = silver(spark, sf_dir)
     base = gold.actual_monthly(sv)
-    months = sv.calendar_side(sv.dim_calendario.select(F.col("ano").alias("cal_ano"),
-                                                       F.col("mes").alias("cal_mes")).distinct())
-    j = months.join(base, (F.col("ano") == F.col("cal_ano")) & (F.col("mes") == F.col("cal_mes")), "left")
+    months = sv.dim_calendario.select(F.col("ano").alias("cal_ano"), F.col("mes").alias("cal_mes")).distinct()
+    j = base.join(months, (F.col("ano") == F.col("cal_ano")) & (F.col("mes") == F.col("cal_mes")), "right")
     return j.select("cal_ano", "cal_mes", "ano", "mes", "id_centro_de_custo", "id_categoria",
                     money("realizado").alias("realizado"))
 
