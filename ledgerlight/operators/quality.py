@@ -175,7 +175,9 @@ def deviation_bands(df: DataFrame, value: Column, group_cols: Sequence[str],
     banded = (v.select(label.alias("faixa"), F.col("__v"))
               .groupBy("faixa").agg(F.sum("__v").alias("valor"), F.count("faixa").alias("registros")))
     names = spark.createDataFrame([(b[0],) for b in bands], "faixa_nome string")
-    out = F.broadcast(names).join(banded, F.col("faixa_nome") == F.col("faixa"), "left")
+    # the band list is preserved; the banded aggregate has at most one row per
+    # band (+ NULL), a fixed bound, so it is the broadcast build side
+    out = F.broadcast(banded).join(names, F.col("faixa_nome") == F.col("faixa"), "right")
     return out.select("faixa_nome",
                       F.coalesce(F.col("valor"), F.lit(0)).cast("double").alias("valor_concentrado"),
                       F.coalesce(F.col("registros"), F.lit(0)).alias("registros"))
