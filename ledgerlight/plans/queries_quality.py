@@ -53,6 +53,25 @@ def q1(spark, sf_dir):
     return _report(spark, sf_dir, [quality.RULE_EXTRA_SPACE])
 
 
+_LEADING_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, '{c}' AS coluna, CAST(COUNT(*) FILTER (WHERE length(rtrim({c})) > length(trim({c}))) "
+    f"AS BIGINT) AS qtd FROM {t}" for t, cols in STG_COLUMNS.items() for c in cols)
+
+
+@register("q1l", q(_LEADING_SQL))
+def q1l(spark, sf_dir):
+    """Q1 as the reference's length function counts it: trailing blanks are
+    ignored, so only leading blanks are found."""
+    stg = staging(spark, sf_dir)
+    out = None
+    for t, cols in STG_COLUMNS.items():
+        w = quality.extra_space_counts(stg[t], cols, leading_only=True)
+        p = w.select(F.explode(F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).alias("qtd")) for c in cols]))
+                     .alias("__p")).select(F.lit(t).alias("tabela"), "__p.coluna", "__p.qtd")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 @register("q2", q(_sql_report([quality.RULE_NULL_OR_EMPTY])))
 def q2(spark, sf_dir):
     return _report(spark, sf_dir, [quality.RULE_NULL_OR_EMPTY])
