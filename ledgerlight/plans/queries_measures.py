@@ -100,12 +100,12 @@ def m5(spark, sf_dir):
 
 
 @register("m6", q(PROJ_CC_CAT + f"""
-, dias AS (SELECT CAST(unnest(range({D}, {DIM} + 1)) AS INTEGER) AS dia)
-SELECT p.id_centro_custo, p.id_categoria, dias.dia, round(p.final, 4) AS projecao_final,
+, proj_days AS (SELECT *, CAST(unnest(range({D}, {DIM} + 1)) AS INTEGER) AS dia FROM proj2)
+SELECT p.id_centro_custo, p.id_categoria, p.dia, round(p.final, 4) AS projecao_final,
        round(CAST(p.realizado AS DOUBLE) + (p.final - CAST(p.realizado AS DOUBLE))
              * COALESCE((wd.peso_do_dia - p.w_now) / NULLIF(p.w_final - p.w_now, 0.0), 0.0), 4) AS projecao_no_dia
-FROM proj2 p CROSS JOIN dias
-LEFT JOIN ref_cc_cat wd ON wd.dia = dias.dia AND wd.id_centro_custo = p.id_centro_custo AND wd.id_categoria = p.id_categoria
+FROM proj_days p
+LEFT JOIN ref_cc_cat wd ON wd.dia = p.dia AND wd.id_centro_custo = p.id_centro_custo AND wd.id_categoria = p.id_categoria
 """))
 def m6(spark, sf_dir):
     sv = silver(spark, sf_dir)

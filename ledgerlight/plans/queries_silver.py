@@ -11,7 +11,7 @@ from ledgerlight.operators import benchmark, calendar, cleanse, grid
 from ledgerlight.operators.joins import anti_join, bounded, with_scalars
 from ledgerlight.plans import gold
 from ledgerlight.plans.config import TESTDATA as CFG
-from ledgerlight.plans.oracle_sql import DATA_CALENDAR, q, sentence
+from ledgerlight.plans.oracle_sql import DATA_CALENDAR, d, q, sentence
 from ledgerlight.plans.queries_gold import (
     ACTUAL_MONTHLY, BUDGET_MONTHLY, G2_CTES, G5_SQL, G8_BASE, LEDGER_ENRICHED, MTD_HISTORY, view_ctes,
 )
@@ -218,9 +218,10 @@ def j2(spark, sf_dir):
                     money("realizado").alias("realizado"))
 
 
-@register("j3", q("""
-SELECT cal.data AS data_lancamento, l.id_centro_custo, l.id_categoria
-FROM dim_calendario cal CROSS JOIN (SELECT DISTINCT id_centro_custo, id_categoria FROM fact_lancamentos) l
+@register("j3", q(f"""
+SELECT id_centro_custo, id_categoria,
+       CAST(unnest(generate_series({d(CFG.calendar_start)}, {d(CFG.calendar_end)}, INTERVAL 1 DAY)) AS DATE) AS data_lancamento
+FROM (SELECT DISTINCT id_centro_custo, id_categoria FROM fact_lancamentos) l
 """))
 def j3(spark, sf_dir):
     fl = silver(spark, sf_dir).fact_lancamentos
