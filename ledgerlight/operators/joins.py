@@ -1,10 +1,15 @@
-"""Join operators.
-
-Dimensions are broadcast only behind a row-count check: ``bounded``
-counts at most ``max_rows + 1`` rows of the candidate side (a cheap,
-limited scan); above the bound the plain DataFrame is returned and Spark
-plans a shuffle join (AQE may still convert it at runtime from real
-shuffle statistics).
+"""Join operators and the broadcast policy.
+
+Three kinds of small sides, three rules:
+
+* dimensions: broadcast only behind a size check (``fits`` / ``bounded`` /
+  ``check_all``): at most ``row_limit`` rows, i.e. 2 M rows capped so that
+  rows x estimated width <= 64 MB, counted with a limited scan. Above the
+  bound the plain DataFrame is returned and Spark plans a shuffle join.
+* sides derived from the data (group means, month totals, benchmark rows):
+  no hint and no eager count (``runtime_sized``); AQE converts the join to a
+  broadcast after measuring the side's shuffle output.
+* one-row global aggregates (``with_scalars``): bounded by construction.
 """
 
 from __future__ import annotations
