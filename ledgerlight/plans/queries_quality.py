@@ -501,3 +501,20 @@ def r2c(spark, sf_dir):
     cal = calendar.calendar_attributes(calendar.calendar_for(silver(spark, sf_dir).fact_lancamentos,
                                                              "data_lancamento"))
     return rules.rule_counts(cal, silver_plan.calendar_rules(CFG))
+
+
+@register("a3s", q("""
+SELECT data_lancamento, id_centro_custo, id_categoria, CAST(SUM(valor) AS DOUBLE) AS total_do_dia
+FROM fact_lancamentos GROUP BY 1, 2, 3
+"""))
+def a3s(spark, sf_dir):
+    """A3 maintained by a streaming aggregation over landed raw files."""
+    from ledgerlight.streaming import ledger_stream
+    base = files.scratch_path(spark, "stream-a3")
+    landing = f"{base}/landing"
+    files.write_csv(staging(spark, sf_dir)["stg_lancamentos"].repartition(4), landing)
+    qry = ledger_stream.start_daily_totals(spark, landing, f"{base}/out", f"{base}/checkpoint",
+                                           silver(spark, sf_dir), CFG)
+    qry.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("data_lancamento", "id_centro_custo", "id_categoria", money("total_do_dia").alias("total_do_dia"))

@@ -90,3 +90,24 @@ def daily_actuals_stream(stream: DataFrame, watermark: str = "31 days") -> DataF
             .withColumn("__ts", ts).withWatermark("__ts", watermark)
             .groupBy(F.window("__ts", "1 day").alias("dia"), "id_centro_custo", "id_categoria")
             .agg(F.sum("valor").alias("realizado_dia"), F.count(F.lit(1)).alias("lancamentos")))
+
+
+def start_daily_totals(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
+                       sv: silver_plan.Silver, cfg: Config, available_now: bool = True) -> StreamingQuery:
+    """A3 maintained incrementally: SUM(valor) per (day, cost centre,
+    category) of the valid entries, kept as streaming state (bounded by days
+    x members, not by entries) in ``complete`` mode; every micro-batch
+    overwrites the result table through ``foreachBatch`` (nothing is
+    collected to the driver)."""
+    stream = cleanse_stream(read_landing(spark, landing_dir), sv, cfg)
+    totals = (stream.filter(F.size(rules.RULES_COL) == 0)
+              .groupBy("data_lancamento", "id_centro_custo", "id_categoria")
+              .agg(F.sum("valor").alias("total_do_dia")))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out_dir)
+
+    w = (totals.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

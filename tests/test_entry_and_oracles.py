@@ -44,7 +44,7 @@ def duck():
     return con
 
 
-ORACLE_SAMPLE = ["g1", "g2", "g3", "g4", "g5", "g6", "g8", "g9", "s13", "s14", "q15", "q17", "r2",
+ORACLE_SAMPLE = ["a3s", "b1s", "g1", "g2", "g3", "g4", "g5", "g6", "g8", "g9", "s13", "s14", "q15", "q17", "r2",
                  "a7", "j8", "w3", "w12", "w16", "m6", "m10s", "m16", "m21", "b1", "c2",
                  "g3c", "g4d", "q1l", "r2c", "a11", "q10", "r3", "j3"]
 
