@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerlight.llm import capfilters, chat, language, lines, mixing, packing, pii, quality, substrings
+from ledgerlight.llm import capfilters, chat, language, lines, mixing, packing, pii, quality, similarity, substrings
 
 QUERIES = {
+    "op1_jaccard_join": similarity.op1_jaccard_join,
     "op2_line_dedup": lines.op2_line_dedup,
     "op3_chat_format": chat.op3_chat_format,
     "op4_substring_dedup": substrings.op4_substring_dedup,
