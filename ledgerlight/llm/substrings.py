@@ -22,6 +22,8 @@ from ledgerlight.llm.shared import free_name, mix64, ship, span_hashes, stored,
 
 #: One in so many word ends is a cut; cuts closer than GAP bytes to the one before are dropped.
 CUT_SHARE, GAP = 6, 12
+#: Bytes that the hash looks back, so the first possible cut of a text.
+WARM = 16
 #: Texts without white space for so many bytes are cut at any character, one in 32; longer chunks are cut every MOST bytes.
 BLANKLESS, MOST = 64, 512
 #: Words of a run of repeated chunks that is removed.
@@ -50,6 +52,7 @@ def chunk_ends(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     cut = blank & (h < (1 << 16) // CUT_SHARE) | (since > BLANKLESS) & lead & (h >> 11 == 0)
     ends = np.flatnonzero(cut) + 1
     ends = np.where(blank[ends - 1], ends, ends - 1)        # after white space, before another character
+    ends = ends[ends - first[np.searchsorted(first, ends, side="right") - 1] >= WARM]      # the hash saw this text only
     # distance to the candidate before it; a text's own start counts as one
     edges = np.concatenate([first, [len(data)]])
     marks = np.union1d(ends, edges)
