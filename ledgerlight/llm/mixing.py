@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlight.llm.shared import count_words, scratch_root
+from ledgerlight.llm.shared import count_words, free_name, scratch_root
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MAX_EPOCHS = 2
 #: Words of a block, and of an output shard.
 BLOCK_WORDS = 1 << 14
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 20
 #: Blocks per run in the two-step prefix sum.
 RUN = 4096
 #: The source table is broadcast up to this many sources; beyond it the join shuffles.
@@ -68,6 +68,11 @@ def _hash(*parts: Column | str, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once: expressions inside lambdas are not shared otherwise."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
     """How many of ``draws`` items, out of ``total`` of which ``good`` are of the kind, are of the kind.
 
@@ -93,13 +98,14 @@ def _hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Co
                 .when(x == m - 1, 1 / ratio(j)).otherwise(before / ratio(j)))
 
     mass = F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s")),
-                       lambda a, x: F.struct(weight(a["w"], x).alias("w"), (a["s"] + weight(a["w"], x)).alias("s")), lambda a: a["s"])
-    start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"), m.alias("pick"), F.lit(False).alias("done"))
+                       lambda a, x: _once(weight(a["w"], x), lambda w: F.struct(w.alias("w"), (a["s"] + w).alias("s"))), lambda a: a["s"])
+    # the level u * mass is part of the state, so it is worked out once
+    start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"), m.alias("pick"), F.lit(False).alias("done"), (u * mass).alias("need"))
 
     def walk(a: Column, x: Column) -> Column:
-        w = weight(a["w"], x)
-        return F.struct(w.alias("w"), (a["s"] + w).alias("s"), F.when(a["done"], a["pick"]).otherwise(x).alias("pick"),
-                        (a["done"] | (a["s"] + w >= u * mass)).alias("done"))
+        return _once(weight(a["w"], x), lambda w: F.struct(
+            w.alias("w"), (a["s"] + w).alias("s"), F.when(a["done"], a["pick"]).otherwise(x).alias("pick"),
+            (a["done"] | (a["s"] + w >= a["need"])).alias("done"), a["need"].alias("need")))
 
     picked = F.aggregate(steps, start, walk, lambda a: F.when(a["done"], a["pick"]).otherwise(m))
     return F.when((good <= 0) | (draws <= 0), F.lit(0).cast("long")).when(good >= total, draws.cast("long")).otherwise(picked)
@@ -128,7 +134,8 @@ def splitting_tree(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
         def carry(a: Column, x: Column) -> Column:  # noqa: B023
             u = _hash(F.col("shard"), x["rank"], u_level, seed=seed + 7).cast("double") / float(1 << 60)  # noqa: B023
             got = _hypergeometric(a["items"], x["n"], a["draws"], u)
-            return F.struct((a["items"] - x["n"]).alias("items"), (a["draws"] - got).alias("draws"), F.concat(a["took"], F.array(got)).alias("took"))
+            return _once(got, lambda g: F.struct((a["items"] - x["n"]).alias("items"), (a["draws"] - g).alias("draws"),
+                                                 F.concat(a["took"], F.array(g)).alias("took")))
 
         node = node.withColumn("_left", F.aggregate("q", first, carry, lambda a: a["took"]))
         left = F.zip_with("q", "_left", lambda x, t: F.struct(x["rank"].alias("rank"), x["start"].alias("start"), t.alias("n")))
@@ -204,7 +211,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     copied = (blocks.join(cuts, "rank", "left")
               .withColumn("passes", F.col("whole") + F.when((F.col("partial") > 0) & (F.col("block") <= F.coalesce("cut", F.lit(-1))), 1).otherwise(0)))
     quotas = copied.groupBy("rank").agg((F.max("whole") * F.max("blocks") + F.max(F.coalesce("cut", F.lit(-1))) + 1).alias("n"))
-    leaves = splitting_tree(quotas, depth, seed)
+    leaves = splitting_tree(quotas, depth, seed).checkpoint()
     drawn_blocks = (leaves.select("rank", "shard", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("at")))
     wanted = copied.where("passes > 0").select("rank", "block", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)).alias("pass"))
     wanted = wanted.withColumn("at", F.col("pass") * F.col("blocks") + F.col("block"))
@@ -227,17 +234,18 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     return both.select("key", "size", "source", "source_size", "target", shards.alias("shards"))
 
 
-def drawn(docs: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 17, shard: str = "shard", place: str = "shard_order") -> DataFrame:
-    """The mixed rows: every taken copy of a row of ``docs`` with its shard, shuffled locally inside the shard.
+def drawn(docs: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 17) -> DataFrame:
+    """The mixed rows: every taken copy of a row of ``docs`` with ``shard, shard_order``, shuffled locally inside the shard.
 
-    Expects one row per key (repeated keys: the copies of one of them). Rows are range-partitioned by shard and
-    the local hash, so a file holds neighbouring shards in their shuffled order.
+    Expects one row per key (rows with a repeated key all get the copies of one of them). A task holds whole
+    shards, each in its shuffled order. The two names are suffixed by ``_`` if taken.
     """
-    copies = (plan.where(F.size("shards") > 0).groupBy("key").agg(F.first("shards").alias("_shards"))
-              .select(F.col("key").alias("_key"), F.posexplode("_shards").alias("_copy", shard)))
-    out = docs.join(copies, docs[key].eqNullSafe(copies["_key"]))
-    out = out.withColumn(place, F.xxhash64(F.lit(seed), F.col(shard), F.col("_key"), F.col("_copy"))).drop("_key", "_copy")
-    return out.repartitionByRange(F.col(shard), F.col(place)).sortWithinPartitions(shard, place)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"))
+    copies = (plan.where(F.size("shards") > 0).groupBy("key").agg(F.first("shards").alias("shards"))
+              .select(F.col("key").alias("of"), F.posexplode("shards").alias("copy", "shard")))
+    out = rows.join(copies, F.col("key").eqNullSafe(F.col("of"))).withColumn("place", F.xxhash64(F.lit(seed), "shard", "of", "copy"))
+    return (out.repartition("shard").sortWithinPartitions("shard", "place")
+            .select("row.*", F.col("shard").alias(free_name(docs, "shard")), F.col("place").alias(free_name(docs, "shard_order"))))
 
 
 def op10_mix_sources(spark, sf_dir: str) -> DataFrame:
