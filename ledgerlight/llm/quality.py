@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import tokens
-from ledgerlight.llm.shared import fold_grams, mix64, ship, span_hashes, stored, text_chunks, word_spans
+from ledgerlight.llm.shared import fold_grams, mix64, scratch_root, ship, span_hashes, stored, text_chunks, word_spans
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -29,6 +31,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_TOKENS = 16
 #: Groups with fewer different texts set no band.
 MIN_GROUP = 30
+#: The table of bands is broadcast up to this many rows.
+BROADCAST_BANDS = 100_000
 #: Half-widths in standard errors: characters per token (both sides), token entropy (below).
 FERTILITY_WIDTH, ENTROPY_WIDTH = 4.0, 2.2
 #: Relative spread between clean documents, and variances per token of the two measures.
@@ -162,8 +166,9 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     """
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"),
                        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
+    scratch_root(docs.sparkSession)
     found = stored(measure(rows, vocabulary_folder), "quality")
-    n = F.col("n_tokens").cast("double")
+    n = F.greatest(F.col("n_tokens"), F.lit(1)).cast("double")
     found = (found
              .withColumn("group", F.coalesce("lang", F.concat(F.lit("script "), "script")))
              .withColumn("octave", F.when(F.col("n_tokens") > 0, F.floor(F.log2("n_tokens"))).cast("int"))
@@ -181,9 +186,13 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
                 .agg(F.count("*").alias("_n"), *[F.expr(f"percentile({x}, 0.5)").alias(f"m_{x}") for x in of])
                 .where(F.col("_n") >= MIN_GROUP).drop("_n"))
 
-    of_group, of_octave = medians(["group"], "cf", "g"), medians(["group", "octave"], "e", "o")
-    judged = (found.join(of_group, F.col("group") == F.col("g_group"), "left")
-              .join(of_octave, (F.col("group") == F.col("o_group")) & (F.col("octave") == F.col("o_octave")), "left"))
+    def attached(rows: DataFrame, by: list[str], of: str, name: str) -> DataFrame:
+        # the bands are broadcast only if there are few of them, else rows go to them by a shuffle
+        table = medians(by, of, name).checkpoint()
+        small = F.broadcast(table) if table.count() <= BROADCAST_BANDS else table
+        return rows.join(small, reduce(and_, [F.col(c) == F.col(f"{name}_{c}") for c in by]), "left")
+
+    judged = attached(attached(found, ["group"], "cf", "g"), ["group", "octave"], "e", "o")
     middle = {x: F.col(f"m_{x}") for x in "cef"}
     off_c = (F.col("chars_per_token") - middle["c"]) / F.sqrt(F.pow(middle["c"] * SPREAD, 2) + FERTILITY_VARIANCE / n)
     off_e = (F.col("entropy_ratio") - middle["e"]) / F.sqrt(F.lit(SPREAD ** 2) + ENTROPY_VARIANCE / n)
