@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         cfg = cfg.with_(history_cut=a.history_cut)
     spark = get_spark(a.master)
     if a.cores:
-        size_shuffles(spark, input_bytes([a.raw]), a.cores)
+        size_shuffles(spark, input_bytes(spark, [a.raw]), a.cores)
     res = pipeline.run(spark, a.raw, a.out, cfg)
     counts = {r["tabela"]: r["total_registros"] for r in res.counts.collect()}
     print(json.dumps({"silver_rows": counts, "outputs": res.paths}, default=str))

@@ -42,3 +42,15 @@ def schema_audit(spark: SparkSession, tables: Mapping[str, DataFrame],
     exp = spark.createDataFrame(exp_rows, "tabela string, coluna string, tipo_esperado string")
     j = actual.join(exp, ["tabela", "coluna"], "full_outer")
     return j.withColumn("confere", F.coalesce(F.col("tipo") == F.col("tipo_esperado"), F.lit(False)))
+
+
+def cast_audit(name: str, df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """B4 on the data: per column the declared type, the rows, the values that
+    do not cast to the type, and the NULLs; one scan of the table."""
+    aggs = [F.count(F.lit(1)).alias("linhas")]
+    for c, t in types.items():
+        aggs += [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"b_{c}"), F.count_if(F.col(c).isNull()).alias(f"n_{c}")]
+    wide = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("coluna"), F.lit(t).alias("tipo"), F.col(f"b_{c}").alias("nao_convertidos"), F.col(f"n_{c}").alias("nulos"))
+                     for c, t in types.items()])
+    return wide.select("linhas", F.explode(rows).alias("r")).select(F.lit(name).alias("tabela"), "r.coluna", "r.tipo", "linhas", "r.nao_convertidos", "r.nulos")

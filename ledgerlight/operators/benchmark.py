@@ -1,39 +1,31 @@
-"""Multi-grain median benchmarks.
-
-The reference writes four UNION ALL branches, each a windowed
-PERCENTILE_CONT + DISTINCT. Here it is one GROUPING SETS aggregation (one
-scan, Expand x4) with the plain ``percentile`` aggregate; ``grouping()``
-tells which keys are rolled up, and those get the sentinel (-999), never
-``coalesce`` (a real key may be NULL).
-
-Each group holds one value per (month, member) of the grid, so the exact
-``percentile`` buffer of a group is bounded by months x members. When that
-bound is too large for one task, ``strategy="distributed"`` computes the
-SAME exact median without gathering a group: rows are replicated per
-grouping set, ranked with the skew-safe running count (a hot group is
-range-split over many tasks), and only the one or two middle ranks of each
-group are kept and interpolated. ``strategy="auto"`` measures the largest
-group (one aggregate, one scalar to the driver) and picks the per-group
-aggregate below ``EXACT_GROUP_LIMIT`` values, the distributed form above.
-``strategy="approx"`` uses ``percentile_approx``.
+"""Multi-grain median benchmarks (A7/A8), one exact form for every size.
+
+Rows are expanded to the wanted grains; rolled-up keys get the sentinel
+(-999), never ``coalesce`` (a real key may be NULL). A median needs no group
+in one task:
+
+1. equal values are counted (partial aggregation): the many zeros of a dense
+   grid collapse to one row per group before the shuffle;
+2. values are put into ranges by the leading bits of their binary form, which
+   sort like the values; the counts of the ranges are summed up per group (a
+   few thousand ranges at most);
+3. inside the one or two ranges that hold the middle ranks, the counts of the
+   values are summed up, and the middle values are taken.
+
+The result is PERCENTILE_CONT(0.5): low + (high - low) / 2 of the middle values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
-from ledgerlight.operators.running import running_count
-
-EXACT_GROUP_LIMIT = 2_000_000        # values per group for the one-task exact aggregate
-
 
-def _median(col: str, approx: bool, accuracy: int):
-    c = F.col(col).cast("double")
-    return F.percentile_approx(c, 0.5, accuracy) if approx else F.percentile(c, 0.5)
+#: Ranges keep sign, exponent and this many leading bits of the mantissa: a range spans 0.02 % of its values.
+RANGE_BITS = 12
 
 
 def _all_sets(optional: list[str]) -> list[list[str]]:
@@ -41,85 +33,62 @@ def _all_sets(optional: list[str]) -> list[list[str]]:
     return [[optional[i] for i in range(n) if mask & (1 << (n - 1 - i))] for mask in range((1 << n) - 1, -1, -1)]
 
 
-def _replicate(df: DataFrame, always: str, optional: list[str], sets, values: dict[str, str]) -> DataFrame:
-    """One row per (input row, grouping set): rolled-up keys NULL, set id kept."""
-    variants = F.array(*[F.struct(F.lit(i).alias("__gid"),
-                                  *[(F.col(k) if k in st else F.lit(None).cast(df.schema[k].dataType)).alias(k)
-                                    for k in optional])
-                         for i, st in enumerate(sets)])
-    return df.select(always, *[F.col(src).cast("double").alias(out) for out, src in values.items()],
-                     F.explode(variants).alias("__v")).select(always, "__v.*", *values.keys())
-
-
-def largest_group(df: DataFrame, always: str, optional: list[str], sets, value: str) -> int:
-    """Values in the biggest group over all grouping sets (partial aggregation)."""
-    r = _replicate(df, always, optional, sets, {value: value}).filter(F.col(value).isNotNull())
-    top = r.groupBy("__gid", always, *optional).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
-
-
-def median_distributed(df: DataFrame, group_cols: list[str], value: str) -> DataFrame:
-    """Exact PERCENTILE_CONT(0.5) per group without gathering any group:
-    rank with the chunked running count, keep the middle one or two ranks."""
-    v = df.filter(F.col(value).isNotNull()).select(*group_cols, value)
-    gk = F.struct(*group_cols)                    # NULL group keys are real keys
-    ranked = running_count(v, group_cols, [value], "__r").withColumn("__gk", gk)
-    sizes = v.groupBy(gk.alias("__gk")).agg(F.count(F.lit(1)).alias("__n"))
-    j = ranked.join(sizes, "__gk")
-    pos = (F.col("__n") - 1) / 2.0                # 0-based position of the median
-    lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
-    mid = j.filter((F.col("__r") == lo) | (F.col("__r") == hi))
-    g = mid.groupBy("__gk").agg(F.max(F.when(F.col("__r") == lo, F.col(value))).alias("__lo"),
-                                F.max(F.when(F.col("__r") == hi, F.col(value))).alias("__hi"),
-                                F.first("__n").alias("__n"))
-    frac = (F.col("__n") - 1) / 2.0 - F.floor((F.col("__n") - 1) / 2.0)
-    return g.select(*[F.col("__gk")[c].alias(c) for c in group_cols],
-                    (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).alias(value))
-
-
-def multi_grain_median(df: DataFrame, always: str, optional: Sequence[str],
-                       values: dict[str, str], sets: Sequence[Sequence[str]] | None = None,
-                       sentinel: int = S.ALL_MEMBERS, approx: bool = False,
-                       accuracy: int = 10000, strategy: str = "exact") -> DataFrame:
-    """Median of each ``values`` column per grouping set.
-
-    ``sets`` defaults to every subset of ``optional`` (all combinations),
-    each together with ``always``. Rolled-up keys are set to ``sentinel``.
+def expand_grains(df: DataFrame, always: Sequence[str], optional: Sequence[str], sets: Sequence[Sequence[str]],
+                  values: dict[str, str], sentinel: int = S.ALL_MEMBERS) -> DataFrame:
+    """One row per (input row, grain): keys outside the grain become ``sentinel``."""
+    grains = F.array(*[F.struct(*[(F.col(k) if k in st else F.lit(sentinel).cast(df.schema[k].dataType)).alias(k) for k in optional])
+                       for st in sets])
+    return df.select(*always, *[F.col(src).cast("double").alias(out) for out, src in values.items()],
+                     F.explode(grains).alias("__v")).select(*always, "__v.*", *values.keys())
+
+
+def _range(value: str, bits: int) -> Column:
+    """An integer that sorts like the double: the leading part of its magnitude, signed."""
+    size = F.abs(F.col(value))
+    exponent = F.when(size > 0, F.floor(F.log2(size))).otherwise(F.lit(-1075))
+    lead = F.when(size > 0, F.floor(size / F.pow(F.lit(2.0), exponent) * (1 << bits))).otherwise(F.lit(0))
+    code = (exponent + 1076) * (1 << (bits + 2)) + lead
+    return F.when(F.col(value) < 0, -code).otherwise(code).cast("long")
+
+
+def group_median(df: DataFrame, group_cols: Sequence[str], value: str, bits: int = RANGE_BITS) -> DataFrame:
+    """Exact PERCENTILE_CONT(0.5) of ``value`` per group (NULL values are skipped, NULL keys form groups)."""
+    start = Window.unboundedPreceding
+    counted = (df.filter(F.col(value).isNotNull()).withColumn("__g", F.struct(*group_cols))
+               .groupBy("__g", F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+               .withColumn("__r", _range("__v", bits)))
+    ranges = counted.groupBy("__g", "__r").agg(F.sum("__n").alias("__n"))
+    upto = Window.partitionBy("__g").orderBy("__r").rowsBetween(start, 0)
+    ranges = ranges.select("__g", "__r", F.sum("__n").over(upto).alias("__to"), F.col("__n").alias("__in"),
+                           F.sum("__n").over(Window.partitionBy("__g")).alias("__all"))
+    low, high = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1        # the middle ranks, from 1
+    first = F.col("__to") - F.col("__in") + 1
+    middle = ranges.filter((first <= high) & (F.col("__to") >= low)).select("__g", "__r", "__all", (first - 1).alias("__before"))
+    near = counted.join(middle, ["__g", "__r"])
+    within = Window.partitionBy("__g", "__r").orderBy("__v").rowsBetween(start, 0)
+    near = near.withColumn("__end", F.col("__before") + F.sum("__n").over(within)).withColumn("__begin", F.col("__end") - F.col("__n") + 1)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__begin") <= rank) & (F.col("__end") >= rank), F.col("__v")))
+
+    found = near.groupBy("__g").agg(at(low).alias("__lo"), at(high).alias("__hi"))
+    return found.select(*[F.col("__g")[c].alias(c) for c in group_cols],
+                        (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * 0.5).alias(value))
+
+
+def multi_grain_median(df: DataFrame, always: str, optional: Sequence[str], values: dict[str, str],
+                       sets: Sequence[Sequence[str]] | None = None, sentinel: int = S.ALL_MEMBERS,
+                       bits: int = RANGE_BITS) -> DataFrame:
+    """Median of each ``values`` column per grain (every subset of ``optional`` by default), with ``always``.
+
+    A group all of whose values are NULL has a NULL median.
     """
     optional = list(optional)
     sets = [list(st) for st in sets] if sets is not None else _all_sets(optional)
-    if approx:
-        strategy = "approx"
-    if strategy == "auto":
-        biggest = max(largest_group(df, always, optional, sets, src) for src in values.values())
-        strategy = "exact" if biggest <= EXACT_GROUP_LIMIT else "distributed"
-    if strategy == "distributed":
-        return _multi_grain_distributed(df, always, optional, values, sets, sentinel)
-    approx = strategy == "approx"
-    gsets = [[always, *s] for s in sets]
-    aggs = [_median(src, approx, accuracy).alias(out) for out, src in values.items()]
-    aggs += [F.grouping(k).alias(f"__g_{k}") for k in optional]
-    g = df.groupingSets(gsets, always, *optional).agg(*aggs)
-    keys = [F.when(F.col(f"__g_{k}") == 1, F.lit(sentinel)).otherwise(F.col(k)).alias(k) for k in optional]
-    return g.select(always, *keys, *values.keys())
-
-
-def _multi_grain_distributed(df, always, optional, values, sets, sentinel) -> DataFrame:
-    rep = _replicate(df, always, optional, sets, values)
-    keys = ["__gid", always, *optional]
-    out = None
+    keys = [always, *optional]
+    rows = expand_grains(df, [always], optional, sets, values, sentinel)
+    out = rows.select(*keys).distinct().withColumn("__k", F.struct(*keys))
     for name in values:
-        m = median_distributed(rep.select(*keys, name), keys, name)
-        out = m if out is None else _join_null_safe(out, m, keys)
-    in_set = {k: F.array(*[F.lit(i) for i, st in enumerate(sets) if k in st]) for k in optional}
-    cols = [F.when(F.array_contains(in_set[k], F.col("__gid")), F.col(k)).otherwise(F.lit(sentinel)).alias(k)
-            for k in optional]
-    return out.select(always, *cols, *values.keys())
-
-
-def _join_null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join on keys that may be NULL (one struct key)."""
-    left = a.select(F.struct(*keys).alias("__k"), *[c for c in a.columns if c not in keys])
-    right = b.select(F.struct(*keys).alias("__k"), *[c for c in b.columns if c not in keys])
-    j = left.join(right, "__k", "full_outer")
-    return j.select(*[F.col("__k")[k].alias(k) for k in keys], *[c for c in j.columns if c != "__k"])
+        found = group_median(rows.select(*keys, name), keys, name, bits).select(F.struct(*keys).alias("__k"), name)
+        out = out.join(found, "__k", "left")
+    return out.select(*keys, *values.keys())

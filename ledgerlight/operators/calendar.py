@@ -22,17 +22,23 @@ def daily_calendar(spark: SparkSession, start, end) -> DataFrame:
     return spark.range(n).select(F.date_add(F.lit(s), F.col("id").cast("int")).alias("data"))
 
 
-def covering_years(df: DataFrame, date_col: str) -> tuple[dt.date, dt.date]:
-    """Jan 1 of the first and Dec 31 of the last year present in ``date_col``
-    (one aggregate row reaches the driver)."""
-    lo, hi = df.agg(F.min(date_col), F.max(date_col)).first()
-    return dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31)
+def covering_years(df: DataFrame, date_col: str) -> DataFrame:
+    """One row ``(inicio, fim)``: Jan 1 of the first and Dec 31 of the last
+    year present in ``date_col`` (NULLs if there is none); part of the plan,
+    nothing reaches the driver."""
+    first, last = F.min(date_col), F.max(date_col)
+    return df.agg(F.trunc(first, "year").alias("inicio"),
+                  F.date_sub(F.add_months(F.trunc(last, "year"), 12), 1).alias("fim"))
+
+
+def days_of(span: DataFrame) -> DataFrame:
+    """C1 for a one-row span: a column ``data`` with every day (none for a NULL span)."""
+    return span.select(F.explode(F.sequence("inicio", "fim")).alias("data"))
 
 
 def calendar_for(df: DataFrame, date_col: str) -> DataFrame:
     """C1 over the years of the data instead of fixed literals."""
-    start, end = covering_years(df, date_col)
-    return daily_calendar(df.sparkSession, start, end)
+    return days_of(covering_years(df, date_col))
 
 
 def calendar_attributes(days: DataFrame, date_col: str = "data") -> DataFrame:
@@ -75,8 +81,3 @@ def dim_mes(calendar: DataFrame, date_col: str = "data") -> DataFrame:
             .select(year_month(F.year("primeiro_dia"), F.month("primeiro_dia")).alias("ano_mes"),
                     F.year("primeiro_dia").alias("ano"), F.month("primeiro_dia").alias("mes"),
                     "primeiro_dia", F.last_day("primeiro_dia").alias("ultimo_dia")))
-
-
-def month_scaffold(calendar: DataFrame) -> DataFrame:
-    """Distinct (ano, mes) of a calendar."""
-    return calendar.select("ano", "mes").distinct()

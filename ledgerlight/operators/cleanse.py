@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end
 from ledgerlight.functions.text import float_text_to_int, normalise_status, sentence_case
-from ledgerlight.operators.joins import fits, has_null, runtime_sized
+from ledgerlight.operators.joins import fits, runtime_sized
 
 
 def typed_projection(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
@@ -53,12 +53,10 @@ def rekey_unknown(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
                   default: int = S.DEFAULT_MEMBER_ID) -> DataFrame:
     """A key absent from the dimension becomes ``default``; NULL stays NULL.
 
-    ``CASE WHEN k NOT IN (SELECT pk FROM dim) THEN -1 ELSE k END``: with a
-    NULL in the dimension keys nothing is re-keyed (NOT IN is unknown).
+    NULL keys of the dimension match nothing, so a bad dimension row cannot
+    switch the re-keying off (a literal ``NOT IN`` would be unknown for all).
     """
-    if has_null(dim, dim_key):
-        return df
-    keys = dim.select(F.col(dim_key).alias("__pk")).distinct()
+    keys = dim.filter(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("__pk")).distinct()
     k = F.broadcast(keys) if fits(dim) else keys                 # keys <= dimension rows
     j = df.join(k, df[key] == k["__pk"], "left")
     fixed = F.when(F.col(key).isNotNull() & F.col("__pk").isNull(), F.lit(default)).otherwise(F.col(key))
@@ -89,16 +87,19 @@ def normalise_category(df: DataFrame, col: str, case_insensitive: bool = True) -
 
 def outlier_flag(df: DataFrame, value: str, group_cols: Sequence[str], out: str,
                  threshold: float = S.SUSPECT_RATIO_MINUS_ONE,
-                 suspect: str = S.BUDGET_SUSPECT, trusted: str = S.BUDGET_TRUSTED) -> DataFrame:
+                 suspect: str = S.BUDGET_SUSPECT, trusted: str = S.BUDGET_TRUSTED, over: DataFrame | None = None) -> DataFrame:
     """Value / AVG(value) over the group - 1 > threshold -> suspect.
 
     The group mean comes from a partial aggregation joined back (no window,
     so a hot group is pre-aggregated, never gathered in one task). The mean
-    includes the outlier itself, as in the reference.
+    includes the outlier itself, as in the reference; it is taken ``over``
+    other rows if given (those without repeated keys).
     """
-    means = df.groupBy(*group_cols).agg(
+    means = (df if over is None else over).groupBy(*group_cols).agg(
         (F.sum(value).cast("double") / F.count(value)).alias("__mean"))
-    j = df.join(runtime_sized(means), list(group_cols), "left")
+    side = means.select(*[F.col(c).alias(f"__m_{c}") for c in group_cols], "__mean")
+    on = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in group_cols]
+    j = df.join(runtime_sized(side), on, "left")
     ratio = F.try_divide(F.col(value).cast("double"), F.col("__mean"))
     flag = F.when(ratio - 1 > threshold, F.lit(suspect)).otherwise(F.lit(trusted))
     return j.select(*df.columns, flag.alias(out))

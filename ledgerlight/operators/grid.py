@@ -11,13 +11,12 @@ fact side is at most one row per (day, combination).
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.session import shuffle_partitions
+from ledgerlight.operators.joins import with_scalars
 
 
 def daily_totals(facts: DataFrame, date_col: str, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -25,17 +24,16 @@ def daily_totals(facts: DataFrame, date_col: str, keys: Sequence[str], value: st
     return facts.groupBy(date_col, *keys).agg(F.sum(value).alias(out))
 
 
-def dense_grid(combos: DataFrame, start: dt.date, end: dt.date, date_col: str = "data") -> DataFrame:
-    """Every (combo, day) for days in [start, end]; adds ano, mes, dia."""
-    if end < start:
-        return combos.select("*", F.lit(None).cast("date").alias(date_col)).limit(0) \
-                     .withColumn("ano", F.year(date_col)).withColumn("mes", F.month(date_col)) \
-                     .withColumn("dia", F.dayofmonth(date_col))
-    days = F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY")))
-    # A distinct list often ends in one partition after adaptive coalescing;
-    # spread it first so the days x combinations fan-out runs in parallel.
-    n = shuffle_partitions(combos.sparkSession)
-    g = combos.repartition(n).select("*", days.alias(date_col))
+def dense_grid(combos: DataFrame, span: DataFrame, date_col: str = "data") -> DataFrame:
+    """Every (combo, day) for the days of ``span``, a one-row frame
+    ``(inicio, fim)``; adds ano, mes, dia. An empty or NULL span gives no rows.
+
+    The list of combinations is dealt out by its own columns, so the fan-out
+    over days runs in parallel; adaptive execution merges short partitions.
+    """
+    days = F.when(F.col("fim") >= F.col("inicio"), F.sequence("inicio", "fim"))
+    spread = combos.repartition(*combos.columns)
+    g = with_scalars(spread, span).select(*combos.columns, F.explode(days).alias(date_col))
     return g.withColumn("ano", F.year(date_col)).withColumn("mes", F.month(date_col)) \
             .withColumn("dia", F.dayofmonth(date_col))
 

@@ -2,9 +2,10 @@
 atypical flags.
 
 These windows run on PRE-AGGREGATED rows (one per month or per day and
-member), so a window partition holds at most 12 months, 31 days or the
-members of one month: bounded by the dimensions, never by the number of
-ledger rows. Running totals over raw ledger rows use
+member), so a window partition holds at most the months or days of one
+member, or the members of one dimension in one month: bounded by the
+dimensions, never by the number of ledger rows. No window is keyed by the
+month alone; month totals are partial aggregates joined back. Running totals over raw ledger rows use
 ``operators.running.running_sum`` instead.
 """
 
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import nullif, rnd
-from ledgerlight.operators.joins import runtime_sized
 
 
 def cumulative(value: str | Column, partition: Sequence, order: Sequence) -> Column:
@@ -47,6 +47,15 @@ def change_pct(value: Column, previous: Column, digits: int = 6) -> Column:
     return rnd(F.try_divide(value.cast("double"), nullif(previous, 0).cast("double")) - 1, digits)
 
 
+def calendar_lagged(value: str | Column, members: Sequence, month_index: Column, offset: int) -> Column:
+    """The member's value ``offset`` months earlier on the calendar (NULL if
+    that month has no row): a range window over the month index, for one row
+    per member and month."""
+    v = F.col(value) if isinstance(value, str) else value
+    w = Window.partitionBy(*members).orderBy(month_index).rangeBetween(-offset, -offset)
+    return F.max(v).over(w)
+
+
 def period_change(df: DataFrame, value: str, members: Sequence[str], year: str, month: str,
                   offset: int, out_abs: str, out_pct: str, mode: str = "rows") -> DataFrame:
     """MoM (offset 1) / YoY (offset 12) change of a monthly series.
@@ -54,46 +63,47 @@ def period_change(df: DataFrame, value: str, members: Sequence[str], year: str,
     ``mode="rows"``: LAG counts rows of the member's series, as the
     reference's SQL does (a month without entries is skipped).
     ``mode="calendar"``: compares with the calendar month ``offset`` months
-    earlier (NULL if that month has no row) via an equi-join on a month index.
+    earlier (NULL if that month has no row).
     """
     v = F.col(value)
     if mode == "rows":
         prev = lagged(value, members, [year, month], offset)
-        return df.withColumn(out_abs, change_abs(v, prev).cast("double")) \
-                 .withColumn(out_pct, change_pct(v, prev))
-    if mode != "calendar":
+    elif mode == "calendar":
+        prev = calendar_lagged(value, members, F.col(year) * 12 + F.col(month), offset)
+    else:
         raise ValueError(mode)
-    idx = F.col(year) * 12 + F.col(month)
-    prev = df.select(*[F.col(m).alias(f"__p_{m}") for m in members],
-                     (idx + offset).alias("__p_idx"), F.col(value).alias("__p_v"))
-    cur = df.withColumn("__idx", idx)
-    cond = F.col("__idx") == F.col("__p_idx")
-    for m in members:
-        cond = cond & F.col(m).eqNullSafe(F.col(f"__p_{m}"))
-    j = cur.join(prev, cond, "left")
-    return (j.withColumn(out_abs, change_abs(v, F.col("__p_v")).cast("double"))
-             .withColumn(out_pct, change_pct(v, F.col("__p_v")))
-             .select(*df.columns, out_abs, out_pct))
-
-
-def window_share(value: str | Column, part: Sequence, total: Sequence, digits: int = 6,
-                 guard_numerator: bool = False) -> Column:
-    """SUM(v) OVER (part) / NULLIF(SUM(v) OVER (total), 0)."""
+    return (df.withColumn("__prev", prev).withColumn(out_abs, change_abs(v, F.col("__prev")).cast("double"))
+              .withColumn(out_pct, change_pct(v, F.col("__prev"))).drop("__prev"))
+
+
+def with_month_total(df: DataFrame, value: str | Column, keys: Sequence[str], out: str) -> DataFrame:
+    """Attach SUM(value) per ``keys``, which name a month (and perhaps a
+    status): a partial aggregate joined back, never a window over a month.
+
+    The totals are broadcast: the load rules bound the months by the ledger's
+    and the calendar's date range, and statuses are a fixed list.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    totals = df.groupBy(*keys).agg(F.sum(v).alias(out))
+    side = totals.select(*[F.col(k).alias(f"__m_{k}") for k in keys], out)
+    on = [F.col(k) == F.col(f"__m_{k}") for k in keys]
+    return df.join(F.broadcast(side), on, "left").select(*df.columns, out)
+
+
+def share(value: str | Column, part: Sequence, total: str, digits: int = 6, guard_numerator: bool = False) -> Column:
+    """SUM(v) OVER (part) / NULLIF(total, 0). ``part`` is a month and
+    one member, so a window holds at most the other dimension's members."""
     v = F.col(value) if isinstance(value, str) else value
     num = F.sum(v).over(Window.partitionBy(*part))
     if guard_numerator:
         num = nullif(num, 0)
-    den = nullif(F.sum(v).over(Window.partitionBy(*total)), 0)
-    return rnd(F.try_divide(num.cast("double"), den.cast("double")), digits)
+    return rnd(F.try_divide(num.cast("double"), nullif(F.col(total), 0).cast("double")), digits)
 
 
 def share_of_total(df: DataFrame, value: str, total_keys: Sequence[str], out: str,
                    digits: int = 6) -> DataFrame:
-    """Row value / total of its ``total_keys`` group, with the group
-    total from a partial aggregate joined back: no window over a huge, low-
-    cardinality partition such as (year, month)."""
-    tot = df.groupBy(*total_keys).agg(F.sum(value).alias("__tot"))
-    j = df.join(runtime_sized(tot), list(total_keys), "left")
+    """Row value / total of its month, the total attached by ``with_month_total``."""
+    j = with_month_total(df, value, total_keys, "__tot")
     return j.select(*df.columns, rnd(F.try_divide(F.col(value).cast("double"),
                                                       F.col("__tot").cast("double")), digits).alias(out))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RULES_COL = "regras_violadas"
@@ -51,6 +51,21 @@ def uniqueness_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return g.filter((F.col("contagem") > 1) | (F.col("__null") == 1)).drop("__null")
 
 
+def keep_first(df: DataFrame, key: Sequence[str], rule: str = "chave_unica") -> tuple[DataFrame, DataFrame]:
+    """R1 on load: (one row per key, the repeats with ``rule`` as their broken rule).
+
+    The smallest row by the other columns stays (NULLs first), whatever the
+    input order. A filter on ``row_number() = 1`` is pushed below the shuffle
+    (each task keeps one row per key), so a key of any size is safe for the
+    rows that stay.
+    """
+    others = [F.col(c).asc_nulls_first() for c in df.columns if c not in key]
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*(others or [F.col(key[0])])))
+    numbered = df.withColumn("__nth", nth)
+    return (numbered.filter("__nth = 1").drop("__nth"),
+            numbered.filter("__nth > 1").drop("__nth").withColumn(RULES_COL, F.array(F.lit(rule))))
+
+
 class RuleViolation(Exception):
     pass
 

@@ -1,29 +1,18 @@
-"""Skew-safe running totals over raw rows.
+"""Running totals over raw entries, one form for every size.
 
-``Window.partitionBy(g).orderBy(o).rowsBetween(unbounded, current)`` sends
-every row of a group to one task; when one cost centre / month holds a third
-of the ledger that task holds a third of the data. ``running_sum`` splits
-the work the way a distributed prefix sum does:
+The total of an entry within its group (a month of a cost centre, ...) is the
+sum of three parts, each over a bounded number of rows:
 
-1. range-partition the rows on (group, order) into ``chunks`` ranges; the
-   sampled range bounds cut a hot group into many consecutive chunks;
-2. a local running sum inside (group, chunk): bounded by the chunk size;
-3. per (group, chunk) totals: at most chunks + groups rows, then an
-   exclusive prefix over the chunks of each group (<= chunks rows per group);
-4. add that offset back with an equi-join on (group, chunk): the big side
-   is already hash-partitioned on those keys by step 2, only the small
-   offset table moves (AQE turns it into a broadcast when its runtime size
-   is under the threshold).
+1. the totals of the group's earlier days: at most 31 per month;
+2. inside the day, the totals of earlier blocks of ids: entries are dealt to
+   blocks of ``block`` consecutive ids (``id div block``);
+3. inside the block, the running sum by id. Ids are unique (enforced on
+   load), so a block holds at most ``block`` entries.
 
-Range bounds are sampled with a seed derived from the RDD id, so two
-exchanges over the same input may cut different chunks. The chunked rows
-are therefore written once with a reliable ``checkpoint()`` to the shared
-``spark.checkpoint.dir``: both branches read the same chunk ids, and a lost
-executor re-reads them instead of re-sampling.
-
-Grouping keys may be NULL (NULL forms its own group, as in SQL windows), so
-the offset join is null-safe. The order must be total for the result to be
-deterministic (end it with a unique id).
+Blocks are a function of the id: nothing is sampled, measured or
+checkpointed, and a recomputed task deals the same blocks. A group of any
+size is spread over (group, day, block); only day and block totals, from a
+partial aggregation, meet per group and day.
 """
 
 from __future__ import annotations
@@ -33,68 +22,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.session import checkpoint_dir, shuffle_partitions
-
-_CHUNK = "__chunk"
-_GROUP = "__group"
-
-# Largest group (rows) a single window task is allowed to sort.
-MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Rows of the biggest group: one partial aggregation over the group
-    columns only; a single number reaches the driver."""
-    top = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
+BLOCK = 65_536
 
 
-def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                value_col: str, out_col: str, chunks: int | None = None,
-                strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Add ``out_col`` = SUM(value) OVER (PARTITION BY group ORDER BY order
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW).
+def running_sum(df: DataFrame, group_cols: Sequence[str], day_col: str, id_col: str,
+                value_col: str, out_col: str, block: int = BLOCK) -> DataFrame:
+    """Add ``out_col`` = SUM(value) OVER (PARTITION BY group ORDER BY day, id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) for unique ``id_col``.
 
-    ``strategy``: "window" is the single-shuffle plain window (every group
-    sorted by one task); "chunked" is the skew-safe form below; "auto"
-    measures the largest group and uses the window only when it is at most
-    ``max_group_rows``. Both give the same exact result.
+    NULL group keys form a group of their own, as in SQL windows: the keys
+    travel as one struct, and equality on structs treats NULL fields as equal.
     """
-    group_cols, order_cols = list(group_cols), list(order_cols)
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, group_cols) <= max_group_rows else "chunked"
-    if strategy == "window":
-        w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out_col, F.sum(value_col).over(w))
-    if strategy != "chunked":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    n = chunks or shuffle_partitions(df.sparkSession)
-    # One struct key: equality on structs treats NULL fields as equal, so the
-    # join below is null-safe and still partitioned like the window.
-    checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *group_cols, *order_cols)
-              .withColumn(_GROUP, F.struct(*group_cols))
-              .withColumn(_CHUNK, F.spark_partition_id())
-              .checkpoint(eager=True))
-    local_w = (Window.partitionBy(_GROUP, _CHUNK).orderBy(*order_cols)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("__local", F.sum(value_col).over(local_w))
-
-    totals = local.groupBy(_GROUP, _CHUNK).agg(F.sum(value_col).alias("__ct"))
-    prior_w = (Window.partitionBy(_GROUP).orderBy(_CHUNK)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(_GROUP, _CHUNK, F.sum("__ct").over(prior_w).alias("__off"))
-    joined = local.join(offsets, [_GROUP, _CHUNK], "left")
-    return joined.select(
-        *df.columns,
-        (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).alias(out_col),
-    )
-
-
-def running_count(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                  out_col: str, **kw) -> DataFrame:
-    """1-based row number within the group (ROW_NUMBER), skew-safe."""
-    one = "__one"
-    return running_sum(df.withColumn(one, F.lit(1)), group_cols, order_cols, one, out_col, **kw).drop(one)
+    start = Window.unboundedPreceding
+    keyed = df.withColumn("__g", F.struct(*group_cols)).withColumn("__d", F.col(day_col)) \
+              .withColumn("__b", F.floor(F.col(id_col) / block).cast("long"))
+    inside = Window.partitionBy("__g", "__d", "__b").orderBy(id_col).rowsBetween(start, 0)
+    rows = keyed.withColumn("__in", F.sum(value_col).over(inside))
+    blocks = keyed.groupBy("__g", "__d", "__b").agg(F.sum(value_col).alias("__t"))
+    days = blocks.groupBy("__g", "__d").agg(F.sum("__t").alias("__t"))
+    before_day = Window.partitionBy("__g").orderBy("__d").rowsBetween(start, -1)
+    before_block = Window.partitionBy("__g", "__d").orderBy("__b").rowsBetween(start, -1)
+    day_offsets = days.select("__g", "__d", F.sum("__t").over(before_day).alias("__day"))
+    offsets = (blocks.select("__g", "__d", "__b", F.sum("__t").over(before_block).alias("__block"))
+               .join(day_offsets, ["__g", "__d"]))
+    zero = F.lit(0)
+    joined = rows.join(offsets, ["__g", "__d", "__b"])
+    return joined.select(*df.columns, (F.coalesce("__day", zero) + F.coalesce("__block", zero) + F.col("__in")).alias(out_col))

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif, rnd
-from ledgerlight.operators import benchmark, grid, periods
-from ledgerlight.operators.joins import bounded, fits, row_count, runtime_sized, with_scalars
-from ledgerlight.operators.running import MAX_GROUP_ROWS, running_sum
-from ledgerlight.operators.running import largest_group as running_largest
+from ledgerlight.operators import benchmark, calendar, grid, periods
+from ledgerlight.operators.joins import bounded, fits, runtime_sized
+from ledgerlight.operators.running import BLOCK, running_sum
 from ledgerlight.plans.config import Config
 from ledgerlight.plans.silver import Silver
 
@@ -61,7 +60,7 @@ def budget_monthly(sv: Silver) -> DataFrame:
 
 
 def gold_orcamento(sv: Silver) -> DataFrame:
-    b = budget_monthly(sv)
+    b = periods.with_month_total(budget_monthly(sv), "orcado", ["ano", "mes", "status_dado"], "__mes")
     o = F.col("orcado")
     member = ["ano", "id_centro_de_custo", "id_categoria", "status_dado"]
     mean = periods.group_mean(o, member, ignore_zero=True)
@@ -71,10 +70,8 @@ def gold_orcamento(sv: Silver) -> DataFrame:
         "ano", "mes", "id_centro_de_custo", "centro_de_custo", "id_categoria", "categoria",
         money(nullif(o, 0)).alias("orcado_mensal"),
         money(periods.cumulative(o, member, ["mes"])).alias("orcado_ytd"),
-        periods.window_share(o, ["ano", "id_centro_de_custo", "mes", "status_dado"],
-                             ["ano", "mes", "status_dado"], guard_numerator=True).alias("peso_centro_custo"),
-        periods.window_share(o, ["ano", "id_categoria", "mes", "status_dado"],
-                             ["ano", "mes", "status_dado"], guard_numerator=True).alias("peso_categoria"),
+        periods.share(o, ["ano", "id_centro_de_custo", "mes", "status_dado"], "__mes", guard_numerator=True).alias("peso_centro_custo"),
+        periods.share(o, ["ano", "id_categoria", "mes", "status_dado"], "__mes", guard_numerator=True).alias("peso_categoria"),
         rnd(mean, 6).alias("media_mensal"),
         periods.atypical_two_way(nullif(o, 0), mean).alias("flag_valor_atipico_orcamento"),
         "status_dado",
@@ -98,46 +95,52 @@ def actual_monthly(sv: Silver) -> DataFrame:
                         .otherwise(F.lit(S.FLAG_NO)))
 
 
+def on_months(base: DataFrame) -> DataFrame:
+    """Monthly rows on the months of all years that they cover
+    (``cal_ano``, ``cal_mes``); a month without rows keeps one all-NULL row.
+
+    The years come from the rows themselves, so none can fall outside."""
+    years = base.agg(F.make_date(F.min("ano"), F.lit(1), F.lit(1)).alias("inicio"),
+                     F.make_date(F.max("ano"), F.lit(12), F.lit(1)).alias("fim"))
+    months = (years.select(F.explode(F.sequence("inicio", "fim", F.expr("INTERVAL 1 MONTH"))).alias("__m"))
+              .select(F.year("__m").alias("cal_ano"), F.month("__m").alias("cal_mes")))
+    # written as base RIGHT JOIN months so that the aggregated base can be the
+    # build side when adaptive execution finds it small
+    return runtime_sized(base).join(months, (F.col("ano") == F.col("cal_ano")) & (F.col("mes") == F.col("cal_mes")), "right")
+
+
 def gold_realizado(sv: Silver, lag_mode: str = "rows") -> DataFrame:
     """Monthly actuals on a month scaffold (J2), YTD, MoM/YoY, mean,
-    shares and atypical flag."""
-    base = actual_monthly(sv)
-    months = sv.dim_calendario.select(F.col("ano").alias("cal_ano"), F.col("mes").alias("cal_mes")).distinct()
-    # The calendar is preserved (a month without entries keeps one all-NULL
-    # row). Written as base RIGHT JOIN months so the aggregated base can be the
-    # build side: AQE broadcasts it when its measured size is small (a hint on
-    # the preserved side of an outer join could not be used).
-    j = runtime_sized(base).join(months, (F.col("ano") == F.col("cal_ano")) & (F.col("mes") == F.col("cal_mes")),
-                                 "right")
+    shares and atypical flag. ``lag_mode``: "rows" compares with the member's
+    previous row, "calendar" with the calendar month before."""
+    j = periods.with_month_total(on_months(actual_monthly(sv)), "realizado", ["ano", "mes"], "__mes")
     r = F.col("realizado")
     member = ["id_centro_de_custo", "id_categoria"]
     year_member = ["ano", *member]
     if lag_mode == "rows":
         prev1 = periods.lagged(r, member, ["cal_ano", "cal_mes"], 1)
         prev12 = periods.lagged(r, member, ["cal_ano", "cal_mes"], 12)
-        j = j.withColumn("__p1", prev1).withColumn("__p12", prev12)
+    else:
+        index = F.col("cal_ano") * 12 + F.col("cal_mes")
+        prev1 = periods.calendar_lagged(r, member, index, 1)
+        prev12 = periods.calendar_lagged(r, member, index, 12)
+    j = j.withColumn("__p1", prev1).withColumn("__p12", prev12)
     mean_nz = periods.group_mean(r, year_member, ignore_zero=True)
-    out = j.select(
+    return j.select(
         month_end("ano", "mes").alias("data_realizacao"),
         "ano", "mes", "ano_mes", "id_centro_de_custo", "centro_de_custo", "id_categoria", "categoria",
         money(r).alias("realizado"),
         money(periods.cumulative(r, year_member, ["ano", "mes"])).alias("realizado_ytd"),
-        *([money(periods.change_abs(r, F.col("__p1"))).alias("mom_abs"),
-           periods.change_pct(r, F.col("__p1")).alias("mom_perc"),
-           money(periods.change_abs(r, F.col("__p12"))).alias("yoy_abs"),
-           periods.change_pct(r, F.col("__p12")).alias("yoy_perc")] if lag_mode == "rows" else []),
+        money(periods.change_abs(r, F.col("__p1"))).alias("mom_abs"),
+        periods.change_pct(r, F.col("__p1")).alias("mom_perc"),
+        money(periods.change_abs(r, F.col("__p12"))).alias("yoy_abs"),
+        periods.change_pct(r, F.col("__p12")).alias("yoy_perc"),
         rnd(periods.group_mean(r, year_member), 6).alias("media_mensal"),
-        periods.window_share(r, ["id_centro_de_custo", "ano", "mes"], ["ano", "mes"]).alias("peso_centro_custo"),
-        periods.window_share(r, ["id_categoria", "ano", "mes"], ["ano", "mes"]).alias("peso_categoria"),
+        periods.share(r, ["id_centro_de_custo", "ano", "mes"], "__mes").alias("peso_centro_custo"),
+        periods.share(r, ["id_categoria", "ano", "mes"], "__mes").alias("peso_categoria"),
         periods.atypical_three_way(r, mean_nz).alias("flag_valor_atipico_realizado"),
         "flag_centro_custo_coringa",
     )
-    if lag_mode == "calendar":
-        keyed = out.withColumn("__r", F.col("realizado"))
-        keyed = periods.period_change(keyed, "__r", member, "ano", "mes", 1, "mom_abs", "mom_perc", "calendar")
-        keyed = periods.period_change(keyed, "__r", member, "ano", "mes", 12, "yoy_abs", "yoy_perc", "calendar")
-        out = keyed.drop("__r")
-    return out
 
 
 # ------------------------------------------------------------------ G3
@@ -171,26 +174,20 @@ LEDGER_COLUMNS = ["id_lancamento", "data_lancamento", "id_centro_de_custo", "cen
 MTD_COLUMNS = ("gasto_mtd", "gasto_mtd_cc_cat")
 
 
-def with_ledger_mtd(fl: DataFrame, strategy: str = "auto") -> DataFrame:
+def with_ledger_mtd(fl: DataFrame, which: tuple[str, ...] = MTD_COLUMNS, block: int = BLOCK) -> DataFrame:
     """W12 + W13: running month-to-date per entry of the (narrow) ledger
-    fact, before any name is joined, so the chunked form moves and
-    checkpoints keys and values only."""
+    fact, before any name is joined, so keys and values only are shuffled."""
     e = fl.withColumn("__ano", F.year("data_lancamento")).withColumn("__mes", F.month("data_lancamento"))
-    order = ["data_lancamento", "id_lancamento"]
-    fine = ["__ano", "__mes", "id_centro_custo", "id_categoria", "id_fornecedor", "id_campanha"]
-    coarse = fine[:4]
-    if strategy == "auto":
-        # the (month, cc, cat) groups contain the finer supplier/campaign ones:
-        # one measurement decides both running totals
-        strategy = "window" if running_largest(e, coarse) <= MAX_GROUP_ROWS else "chunked"
-    e = running_sum(e, fine, order, "valor", "gasto_mtd", strategy=strategy)
-    e = running_sum(e, coarse, order, "valor", "gasto_mtd_cc_cat", strategy=strategy)
+    coarse = ["__ano", "__mes", "id_centro_custo", "id_categoria"]
+    groups = {"gasto_mtd": [*coarse, "id_fornecedor", "id_campanha"], "gasto_mtd_cc_cat": coarse}
+    for name in which:
+        e = running_sum(e, groups[name], "data_lancamento", "id_lancamento", "valor", name, block)
     return e.drop("__ano", "__mes")
 
 
-def gold_lancamentos(sv: Silver, strategy: str = "auto") -> DataFrame:
-    """Entry-level ledger with two MTD running totals."""
-    e = ledger_enriched(sv, with_ledger_mtd(sv.fact_lancamentos, strategy), MTD_COLUMNS)
+def gold_lancamentos(sv: Silver, block: int = BLOCK) -> DataFrame:
+    """Entry-level ledger with two MTD running totals (``block``: ids per block of a hot day)."""
+    e = ledger_enriched(sv, with_ledger_mtd(sv.fact_lancamentos, block=block), MTD_COLUMNS)
     return e.select(*[F.col(c) for c in LEDGER_COLUMNS[:10]], money("valor").alias("valor"),
                     money("valor_original").alias("valor_original"),
                     money("gasto_mtd").alias("gasto_mtd"), money("gasto_mtd_cc_cat").alias("gasto_mtd_cc_cat"),
@@ -198,62 +195,57 @@ def gold_lancamentos(sv: Silver, strategy: str = "auto") -> DataFrame:
 
 
 # ------------------------------------------------------------------ G4
-def daily_grid(sv: Silver, cfg: Config, end: dt.date | None = None) -> DataFrame:
-    """J3 + J4: (day x cost centre x category) grid from the calendar start
-    to ``end`` with the day totals, zero where nothing was booked."""
+def daily_grid(sv: Silver, end: dt.date | None = None) -> DataFrame:
+    """J3 + J4: (day x cost centre x category) grid over the calendar of the
+    entries (up to ``end``) with the day totals, zero where nothing was
+    booked. Calendar and members come from the day totals, which are one
+    partial aggregation of the ledger."""
     fl = sv.fact_lancamentos
     daily = grid.daily_totals(fl, "data_lancamento", ["id_centro_custo", "id_categoria"], "valor", "total_do_dia")
-    combos = fl.select("id_centro_custo", "id_categoria").distinct()      # from ALL entries
-    g = grid.dense_grid(combos, cfg.calendar_start, end or cfg.calendar_end, "data_lancamento")
+    combos = daily.select("id_centro_custo", "id_categoria").distinct()   # from ALL entries
+    span = calendar.covering_years(daily, "data_lancamento")
+    if end:
+        span = span.select("inicio", F.least(F.col("fim"), F.lit(end)).alias("fim"))
+    g = grid.dense_grid(combos, span, "data_lancamento")
     return grid.fill_grid(g, daily, [("data_lancamento", "data_lancamento"), ("id_centro_custo", "id_centro_custo"),
                                      ("id_categoria", "id_categoria")], "total_do_dia", "total_do_dia")
 
 
-def mtd_history(sv: Silver, cfg: Config) -> DataFrame:
-    """G4 steps FACT_DIARIA .. FINAL: dense (day x cost centre x category)
-    grid with day totals, MTD, month total and cumulative share, days
-    before the history cut."""
-    cut = cfg.history_cut
-    # Windows partition by month: if the cut is a month start, months at or
-    # after it never reach the output and are not generated at all.
-    if cut.day == 1:
-        grid_end = min(cfg.calendar_end, cut - dt.timedelta(days=1))
-    else:
-        nxt = (cut.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
-        grid_end = min(cfg.calendar_end, nxt - dt.timedelta(days=1))
-    h = daily_grid(sv, cfg, grid_end)
+def mtd_history(sv: Silver, cfg: Config, cut: bool = True) -> DataFrame:
+    """Dense (day x cost centre x category) grid with day totals, MTD, month
+    total and cumulative share: the G4 steps before its medians. ``cut``
+    keeps the days before the history cut."""
+    end = None
+    if cut:             # months at or after the cut's month are not generated; the cut's own month is needed whole
+        last = cfg.history_cut - dt.timedelta(days=1)
+        end = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+    h = daily_grid(sv, end)
     part = ["ano", "mes", "id_centro_custo", "id_categoria"]
     h = (h.withColumn("gasto_mtd", periods.cumulative("total_do_dia", part, ["data_lancamento"]))
           .withColumn("total_do_mes", F.sum("total_do_dia").over(Window.partitionBy(*part))))
     h = h.withColumn("perc_gasto_mes", F.try_divide(F.col("gasto_mtd").cast("double"),
                                                     nullif(F.col("total_do_mes"), 0).cast("double")))
-    return h.filter(F.col("data_lancamento") < F.lit(cut))
+    return h.filter(F.col("data_lancamento") < F.lit(cfg.history_cut)) if cut else h
 
 
-def gold_referencia_mtd(sv: Silver, cfg: Config, strategy: str = "auto") -> DataFrame:
+def gold_referencia_mtd(sv: Silver, cfg: Config, sets: list[list[str]] | None = None, days: list[int] | None = None,
+                        bits: int = benchmark.RANGE_BITS) -> DataFrame:
     """Per day of month, the median cumulative share (peso_do_dia) and
-    median MTD value at four grains, -999 = all. ``strategy``: "auto" (exact;
-    distributed when a group is too large for one task), "exact",
-    "distributed" or "approx"."""
+    median MTD value at four grains, -999 = all. ``sets`` and ``days`` build
+    only the grains and days of the month that a measure needs."""
     h = mtd_history(sv, cfg)
-    if strategy == "auto":
-        # The largest group (one day of the month, all members) holds at most
-        # months x cost centres x categories values: bound it from the small
-        # dimensions instead of a pass over the grid.
-        months = (cfg.history_cut.year - cfg.calendar_start.year) * 12 + cfg.history_cut.month
-        sv.dimension_checks
-        bound = months * row_count(sv.dim_centro_custo) * row_count(sv.dim_categoria)
-        strategy = "exact" if bound <= benchmark.EXACT_GROUP_LIMIT else "distributed"
+    if days:
+        h = h.filter(F.col("dia").isin(*days))
     m = benchmark.multi_grain_median(
         h, "dia", ["id_centro_custo", "id_categoria"],
-        {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"}, strategy=strategy)
+        {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"}, sets=sets, bits=bits)
     return m.select("dia", "id_centro_custo", "id_categoria",
                     rnd("peso_do_dia", 6).alias("peso_do_dia"),
                     rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
 
 
 # ------------------------------------------------------------------ G5
-def gold_lancamentos_diarios(sv: Silver, cfg: Config) -> DataFrame:
+def gold_lancamentos_diarios(sv: Silver) -> DataFrame:
     """Dense (day x cost centre x category x status) grid up to the last
     entry date with the MTD per status."""
     fl = sv.fact_lancamentos
@@ -265,11 +257,9 @@ def gold_lancamentos_diarios(sv: Silver, cfg: Config) -> DataFrame:
                      .alias("status_pagamento")) \
             .agg(F.sum("valor").alias("valor_dia"))
     combos = base.select("id_centro_custo", "id_categoria", "status_pagamento").distinct()
-    # grid up to the last entry date: a one-row aggregate attached in the same
-    # plan (no separate action over the ledger)
-    last = fl.agg(F.max("data_lancamento").alias("__last"))
-    g = grid.dense_grid(combos, cfg.calendar_start, cfg.calendar_end, "data")
-    g = with_scalars(g, last).filter(F.col("data") <= F.col("__last")).drop("__last")
+    # from the first day of the first year up to the last entry date, in the same plan
+    span = base.agg(F.trunc(F.min("data_lancamento"), "year").alias("inicio"), F.max("data_lancamento").alias("fim"))
+    g = grid.dense_grid(combos, span, "data")
     d = grid.fill_grid(g, base, [("data", "data_lancamento"), ("id_centro_custo", "id_centro_custo"),
                                  ("id_categoria", "id_categoria"), ("status_pagamento", "status_pagamento")],
                        "valor_dia", "valor_dia")
@@ -294,7 +284,7 @@ def gold_lancamentos_consolidados_dia(sv: Silver) -> DataFrame:
 
 
 # ------------------------------------------------------------------ G7
-def mtd_report(sv: Silver, cfg: Config, strategy: str = "auto") -> DataFrame:
+def mtd_report(sv: Silver, cfg: Config) -> DataFrame:
     """For one cost centre name, a date range and a status: per
     day, SUM(valor) and SUM(gasto_mtd_cc_cat).
 
@@ -309,7 +299,7 @@ def mtd_report(sv: Silver, cfg: Config, strategy: str = "auto") -> DataFrame:
             .select(F.col("id_cc").alias("rep_cc"))
     fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start_month), F.lit(cfg.report_end)))
     fl = fl.join(bounded(ids), F.col("id_centro_custo") == F.col("rep_cc"), "left_semi")
-    e = ledger_enriched(sv, with_ledger_mtd(fl, strategy), MTD_COLUMNS)
+    e = ledger_enriched(sv, with_ledger_mtd(fl, MTD_COLUMNS[1:]), MTD_COLUMNS[1:])
     e = e.filter((F.upper(F.rtrim("centro_de_custo")) == cfg.report_cost_centre.rstrip().upper())
                  & F.col("data_lancamento").between(F.lit(cfg.report_start), F.lit(cfg.report_end))
                  & (F.col("status_pagamento") == cfg.report_status))
@@ -336,7 +326,7 @@ def gold_mensal(sv: Silver) -> DataFrame:
                 j.id_categoria == F.col("__cat_id"), "left"))
     o, r = F.col("orcado"), F.col("realizado")
     desvio = F.coalesce(r, F.lit(0)) - F.coalesce(o, F.lit(0))
-    j = j.withColumn("desvio", desvio)
+    j = periods.with_month_total(j.withColumn("desvio", desvio), F.coalesce(r, F.lit(0)), ["ano", "mes"], "__mes")
     ym = ["ano", "id_centro_custo", "id_categoria"]
     return j.select(
         month_end("ano", "mes").alias("data_referencia"), year_month("ano", "mes").alias("ano_mes"),
@@ -346,10 +336,8 @@ def gold_mensal(sv: Silver) -> DataFrame:
         rnd(F.try_divide(r.cast("double"), nullif(o, 0).cast("double")), 6).alias("perc_atingimento"),
         rnd(F.try_divide(F.col("desvio").cast("double"), nullif(o, 0).cast("double")), 6).alias("percentual_desvio"),
         F.when(o.isNotNull(), F.lit(S.FLAG_YES)).otherwise(F.lit(S.FLAG_NO)).alias("flag_houve_orcamento"),
-        periods.window_share(F.coalesce(r, F.lit(0)), ["ano", "mes", "id_centro_custo"], ["ano", "mes"])
-        .alias("peso_centro_custo"),
-        periods.window_share(F.coalesce(r, F.lit(0)), ["ano", "mes", "id_categoria"], ["ano", "mes"])
-        .alias("peso_categoria"),
+        periods.share(F.coalesce(r, F.lit(0)), ["ano", "mes", "id_centro_custo"], "__mes").alias("peso_centro_custo"),
+        periods.share(F.coalesce(r, F.lit(0)), ["ano", "mes", "id_categoria"], "__mes").alias("peso_categoria"),
         money(periods.cumulative(F.coalesce(o, F.lit(0)), ym, ["mes"])).alias("orcado_ytd"),
         money(periods.cumulative(F.coalesce(r, F.lit(0)), ym, ["mes"])).alias("realizado_ytd"),
         money(periods.cumulative(F.col("desvio"), ym, ["mes"])).alias("desvio_ytd"),

@@ -21,6 +21,7 @@ from ledgerlight import schemas as S
 from ledgerlight.functions.safe import money, nullif, rnd
 from ledgerlight.operators import ranking
 from ledgerlight.operators.joins import bounded, runtime_sized, with_scalars
+from ledgerlight.plans import gold
 from ledgerlight.plans.config import Config
 from ledgerlight.plans.silver import Silver
 
@@ -58,22 +59,34 @@ def budget_month(sv: Silver, year: int, month: int, keys: list[str]) -> DataFram
     return fo.groupBy(*keys).agg(F.sum("valor").alias("orcado"))
 
 
-def weights(ref: DataFrame, day: int | Column, cc: bool, cat: bool, name: str) -> DataFrame:
-    """peso_do_dia of the benchmark at the requested grain (-999 = all)."""
-    cond = (F.col("dia") == day)
+def weights(ref: DataFrame, cc: bool, cat: bool, days: list[int]) -> DataFrame:
+    """The benchmark at one grain (-999 = all) as one row per member: ``__w``
+    maps the wanted days to their peso_do_dia, ``__v`` to the median value.
+    All weights of a measure come from this one frame; a map holds at most 31 days."""
+    cond = F.col("dia").isin(*days)
     cond &= (F.col("id_centro_custo") != ALL) if cc else (F.col("id_centro_custo") == ALL)
     cond &= (F.col("id_categoria") != ALL) if cat else (F.col("id_categoria") == ALL)
     keys = (["id_centro_custo"] if cc else []) + (["id_categoria"] if cat else [])
-    return runtime_sized(ref.filter(cond).select(*keys, F.col("peso_do_dia").alias(name)))
 
+    def by_day(value: str, name: str) -> Column:
+        return F.map_from_entries(F.collect_list(F.struct("dia", value))).alias(name)
 
-def projections(base: DataFrame, ref: DataFrame, p: Period, cfg: Config, cc: bool, cat: bool) -> DataFrame:
-    """M4/M5/M6 finals: linear, historical and hybrid closing projections."""
+    return ref.filter(cond).groupBy(*keys).agg(by_day("peso_do_dia", "__w"), by_day("valor_mediano_dia", "__v"))
+
+
+def benchmark_for(sv: Silver, cfg: Config, cc: bool, cat: bool, days: list[int]) -> DataFrame:
+    """G4 at the one grain and the days that a measure needs."""
+    keys = (["id_centro_custo"] if cc else []) + (["id_categoria"] if cat else [])
+    return gold.gold_referencia_mtd(sv, cfg, sets=[keys], days=days)
+
+
+def projections(base: DataFrame, ref: DataFrame, p: Period, cfg: Config, cc: bool, cat: bool,
+                days: list[int] | None = None) -> DataFrame:
+    """M4/M5/M6 finals: linear, historical and hybrid closing projections; ``__w`` keeps the weights by day."""
     keys = (["id_centro_custo"] if cc else []) + (["id_categoria"] if cat else [])
-    b = base
-    for name, day in (("__w_now", p.day), ("__w_final", p.days_in_month)):
-        w = weights(ref, day, cc, cat, name)
-        b = b.join(w, keys, "left") if keys else with_scalars(b, w.agg(F.max(name).alias(name)))
+    w = weights(ref, cc, cat, sorted({p.day, p.days_in_month, *(days or [])}))
+    b = base.join(runtime_sized(w), keys, "left") if keys else with_scalars(base, w)
+    b = b.withColumn("__w_now", F.try_element_at("__w", F.lit(p.day))).withColumn("__w_final", F.try_element_at("__w", F.lit(p.days_in_month)))
     r = money("realizado")
     linear = r / F.lit(p.day) * F.lit(p.days_in_month)
     hist = F.try_divide(r, nullif(F.col("__w_now"), 0.0)) * F.col("__w_final")
@@ -96,16 +109,49 @@ def risk_light(actual: Column, budget: Column, amber: float) -> Column:
 
 
 # ------------------------------------------------------------------ M1 .. M21
-def kpis_by_cost_centre(sv: Silver, cfg: Config) -> DataFrame:
-    """M1: month budget, actual to date and entry count per cost centre."""
+def kpis(sv: Silver, cfg: Config, keys: list[str]) -> DataFrame:
+    """M1 at any grain: month budget, actual to date and entry count per ``keys`` (none: the company)."""
     p = Period.of(cfg)
-    o = budget_month(sv, p.year, p.month, ["id_centro_custo"])
-    r = actual_between(sv, p.month_start, p.as_of, ["id_centro_custo"])
-    j = o.join(r, ["id_centro_custo"], "full_outer")
-    return j.select("id_centro_custo", money("orcado").alias("orcado"), money("realizado").alias("realizado"),
+    o = budget_month(sv, p.year, p.month, keys)
+    r = actual_between(sv, p.month_start, p.as_of, keys)
+    j = o.join(r, keys, "full_outer") if keys else with_scalars(o, r)
+    return j.select(*keys, money("orcado").alias("orcado"), money("realizado").alias("realizado"),
                     F.coalesce(F.col("qtd_lancamentos"), F.lit(0)).alias("qtd_lancamentos"))
 
 
+def kpis_by_cost_centre(sv: Silver, cfg: Config) -> DataFrame:
+    """M1 per cost centre."""
+    return kpis(sv, cfg, ["id_centro_custo"])
+
+
+def company_cards(sv: Silver, cfg: Config) -> DataFrame:
+    """The company's cards: month budget, actual to date and of the whole month, variance, and the changes against
+    the month before, the same days of the last year and the year to date. One conditional aggregate of the ledger."""
+    p = Period.of(cfg)
+    before = p.month_start - dt.timedelta(days=1)
+    day = F.col("data_lancamento")
+
+    def total(start: dt.date, end: dt.date, name: str) -> Column:
+        return F.sum(F.when(day.between(F.lit(start), F.lit(end)), F.col("valor"))).alias(name)
+
+    r = sv.fact_lancamentos.agg(
+        total(p.month_start, p.as_of, "mtd"), total(p.month_start, p.as_of.replace(day=p.days_in_month), "mes"),
+        total(before.replace(day=1), before, "mes_anterior"), total(p.month_start_ly, p.as_of_ly, "mtd_ano_anterior"),
+        total(dt.date(p.year, 1, 1), p.as_of, "ytd"), total(dt.date(p.year - 1, 1, 1), p.as_of_ly, "ytd_ano_anterior"))
+    j = with_scalars(budget_month(sv, p.year, p.month, []), r)
+
+    def change(now: str, then: str) -> Column:
+        return rnd(F.try_divide(F.col(now).cast("double"), nullif(F.col(then), 0).cast("double")) - 1, 6)
+
+    zero = F.lit(0)
+    return j.select(money("orcado").alias("orcado"), money("mtd").alias("realizado"), money("mes").alias("realizado_mes"),
+                    money(F.coalesce("mtd", zero) - F.coalesce("orcado", zero)).alias("desvio"),
+                    money("mes_anterior").alias("realizado_mes_anterior"), change("mes", "mes_anterior").alias("mom_perc"),
+                    money("mtd_ano_anterior").alias("realizado_ano_anterior"), change("mtd", "mtd_ano_anterior").alias("yoy_perc"),
+                    money("ytd").alias("realizado_ytd"), money("ytd_ano_anterior").alias("realizado_ytd_ano_anterior"),
+                    change("ytd", "ytd_ano_anterior").alias("ytd_perc"))
+
+
 def consumption(sv: Silver, cfg: Config) -> DataFrame:
     """M2: % of budget consumed and % of month elapsed."""
     p = Period.of(cfg)
@@ -115,30 +161,34 @@ def consumption(sv: Silver, cfg: Config) -> DataFrame:
                     rnd(F.lit(p.day) / F.lit(p.days_in_month), 6).alias("perc_mes_decorrido"))
 
 
-def ideal_budget_mtd(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def ideal_budget_mtd(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFrame:
     """M3: monthly budget x peso_do_dia of the as-of day, per (cc, cat)."""
     p = Period.of(cfg)
-    o = budget_month(sv, p.year, p.month, ["id_centro_custo", "id_categoria"])
-    w = weights(ref, p.day, True, True, "peso_do_dia")
-    j = o.join(w, ["id_centro_custo", "id_categoria"], "left")
-    return j.select("id_centro_custo", "id_categoria", money("orcado").alias("orcado"), "peso_do_dia",
+    keys = ["id_centro_custo", "id_categoria"]
+    ref = benchmark_for(sv, cfg, True, True, [p.day]) if ref is None else ref
+    w = weights(ref, True, True, [p.day]).select(*keys, F.try_element_at("__w", F.lit(p.day)).alias("peso_do_dia"))
+    j = budget_month(sv, p.year, p.month, keys).join(runtime_sized(w), keys, "left")
+    return j.select(*keys, money("orcado").alias("orcado"), "peso_do_dia",
                     rnd(money("orcado") * F.col("peso_do_dia"), 4).alias("orcado_ideal_mtd"))
 
 
-def _cc_cat_projections(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def linear_projection(sv: Silver, cfg: Config) -> DataFrame:
+    """M4: actual / day x days in month (no benchmark)."""
     p = Period.of(cfg)
-    base = actual_between(sv, p.month_start, p.as_of, ["id_centro_custo", "id_categoria"])
-    return projections(base, ref, p, cfg, True, True)
+    b = actual_between(sv, p.month_start, p.as_of, ["id_centro_custo", "id_categoria"])
+    return b.select("id_centro_custo", "id_categoria", money("realizado").alias("realizado"),
+                    rnd(money("realizado") / F.lit(p.day) * F.lit(p.days_in_month), 4).alias("projecao_linear"))
 
 
-def linear_projection(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
-    """M4: actual / day x days in month."""
-    b = _cc_cat_projections(sv, cfg, ref)
-    return b.select("id_centro_custo", "id_categoria", money("realizado").alias("realizado"),
-                    rnd("__linear", 4).alias("projecao_linear"))
+def _cc_cat_projections(sv: Silver, cfg: Config, ref: DataFrame | None, days: list[int] | None = None) -> DataFrame:
+    p = Period.of(cfg)
+    base = actual_between(sv, p.month_start, p.as_of, ["id_centro_custo", "id_categoria"])
+    if ref is None:
+        ref = benchmark_for(sv, cfg, True, True, sorted({p.day, p.days_in_month, *(days or [])}))
+    return projections(base, ref, p, cfg, True, True, days)
 
 
-def historical_projection(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def historical_projection(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFrame:
     """M5: actual / current weight x final weight."""
     b = _cc_cat_projections(sv, cfg, ref)
     return b.select("id_centro_custo", "id_categoria", money("realizado").alias("realizado"),
@@ -146,15 +196,13 @@ def historical_projection(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
                     rnd("__hist", 4).alias("projecao_historica"))
 
 
-def projection_path(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def projection_path(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFrame:
     """M6: hybrid closing projection and its daily path from the as-of day
     to month end: actual + (final - actual) x (w_day - w_now) / (w_final - w_now)."""
     p = Period.of(cfg)
-    b = _cc_cat_projections(sv, cfg, ref)
+    b = _cc_cat_projections(sv, cfg, ref, list(range(p.day, p.days_in_month + 1)))
     days = b.select("*", F.explode(F.sequence(F.lit(p.day), F.lit(p.days_in_month))).alias("dia"))
-    w = runtime_sized(ref.filter((F.col("id_centro_custo") != ALL) & (F.col("id_categoria") != ALL))
-                .select("id_centro_custo", "id_categoria", "dia", F.col("peso_do_dia").alias("__w_day")))
-    j = days.join(w, ["id_centro_custo", "id_categoria", "dia"], "left")
+    j = days.withColumn("__w_day", F.try_element_at("__w", F.col("dia")))
     frac = F.coalesce(F.try_divide(F.col("__w_day") - F.col("__w_now"),
                                    nullif(F.col("__w_final") - F.col("__w_now"), 0.0)), F.lit(0.0))
     r = money("realizado")
@@ -170,15 +218,16 @@ def risk_matrix(sv: Silver, cfg: Config) -> DataFrame:
                     risk_light(F.col("realizado"), F.col("orcado"), cfg.risk_amber).alias("semaforo"))
 
 
-def _cc_projection(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def _cc_projection(sv: Silver, cfg: Config, ref: DataFrame | None) -> DataFrame:
     p = Period.of(cfg)
+    ref = benchmark_for(sv, cfg, True, False, [p.day, p.days_in_month]) if ref is None else ref
     base = actual_between(sv, p.month_start, p.as_of, ["id_centro_custo"])
     pr = projections(base, ref, p, cfg, True, False)
     o = budget_month(sv, p.year, p.month, ["id_centro_custo"])
     return pr.join(o, ["id_centro_custo"], "left")
 
 
-def pace(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def pace(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFrame:
     """M8: pace status per cost centre from its hybrid projection."""
     j = _cc_projection(sv, cfg, ref)
     return j.select("id_centro_custo", money("orcado").alias("orcado"),
@@ -186,7 +235,7 @@ def pace(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
                     pace_status(F.col("__final"), money("orcado"), cfg.pace_tolerance).alias("status_ritmo"))
 
 
-def forecast_vs_budget(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def forecast_vs_budget(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFrame:
     """Expected month-end result = hybrid projection - budget."""
     j = _cc_projection(sv, cfg, ref)
     return j.select("id_centro_custo", rnd("__final", 2).alias("projecao_fechamento"),
@@ -200,6 +249,25 @@ def top_risk(sv: Silver, cfg: Config) -> DataFrame:
     return ranking.top_k(c, [F.col("perc_consumido").desc_nulls_last(), F.col("id_centro_custo")], cfg.top_k)
 
 
+def top_projected_overrun(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFrame:
+    """M9 by projection: top-k cost centres by expected overrun of the month's budget."""
+    j = _cc_projection(sv, cfg, ref)
+    over = rnd(F.col("__final") - F.coalesce(money("orcado"), F.lit(0.0)), 2).alias("estouro_previsto")
+    j = j.select("id_centro_custo", money("orcado").alias("orcado"), rnd("__final", 2).alias("projecao_fechamento"), over)
+    return ranking.top_k(j, [F.col("estouro_previsto").desc_nulls_last(), F.col("id_centro_custo")], cfg.top_k)
+
+
+def top_suppliers(sv: Silver, cfg: Config) -> DataFrame:
+    """M10 for suppliers: top-k by spend, year to date."""
+    p = Period.of(cfg)
+    a = actual_between(sv, dt.date(p.year, 1, 1), p.as_of, ["id_fornecedor"])
+    top = ranking.top_k(a.select("id_fornecedor", money("realizado").alias("realizado")),
+                        [F.col("realizado").desc(), F.col("id_fornecedor")], cfg.top_k)
+    names = sv.dim_fornecedores.select(F.col("id_forn").alias("__fid"), "nome_forn")
+    return F.broadcast(top).join(names, F.col("id_fornecedor") == F.col("__fid"), "inner") \
+            .select("id_fornecedor", F.col("nome_forn").alias("fornecedor"), "realizado")       # k rows are broadcast
+
+
 def top_categories(sv: Silver, cfg: Config) -> DataFrame:
     """Top-k categories by spend, month to date."""
     p = Period.of(cfg)
@@ -332,20 +400,20 @@ def growth_table(sv: Silver, cfg: Config) -> DataFrame:
     return _yoy(cur, prev, "id_centro_custo")
 
 
-def pace_table(sv: Silver, cfg: Config, ref: DataFrame) -> DataFrame:
+def pace_table(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFrame:
     """Per day of the as-of month: ideal budget MTD, actual MTD,
     historical median MTD and the closing projection path (company level)."""
     p = Period.of(cfg)
-    days = sv.dim_calendario.filter((F.col("ano") == p.year) & (F.col("mes") == p.month)).select("mes", "dia")
-    total_w = ref.filter((F.col("id_centro_custo") == ALL) & (F.col("id_categoria") == ALL)) \
-                 .select("dia", F.col("peso_do_dia").alias("__w_day"), F.col("valor_mediano_dia"))
+    month = list(range(1, p.days_in_month + 1))
+    ref = benchmark_for(sv, cfg, False, False, month) if ref is None else ref
     o = budget_month(sv, p.year, p.month, []).select(money("orcado").alias("__orc"))
     fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(p.month_start), F.lit(p.as_of)))
     daily = fl.groupBy(F.dayofmonth("data_lancamento").alias("dia")).agg(F.sum("valor").alias("__t"))
-    base = actual_between(sv, p.month_start, p.as_of, [])
-    pr = projections(base, ref, p, cfg, False, False).select("realizado", "__w_now", "__w_final", "__final")
-    j = days.join(runtime_sized(total_w), ["dia"], "left").join(runtime_sized(daily), ["dia"], "left")
-    j = with_scalars(with_scalars(j, o), pr)        # one-row budget and projection
+    total = daily.agg(F.sum("__t").alias("realizado"))
+    pr = with_scalars(projections(total, ref, p, cfg, False, False, month), o)      # one row: weights, budget, projection
+    days = pr.select("*", F.lit(p.month).alias("mes"), F.explode(F.sequence(F.lit(1), F.lit(p.days_in_month))).alias("dia"))
+    j = (days.join(runtime_sized(daily), ["dia"], "left").withColumn("__w_day", F.try_element_at("__w", F.col("dia")))
+         .withColumn("valor_mediano_dia", F.try_element_at("__v", F.col("dia"))))
     run = F.sum(F.coalesce(F.col("__t"), F.lit(0))).over(
         Window.partitionBy("mes").orderBy("dia").rowsBetween(Window.unboundedPreceding, 0))
     r = money("realizado")

@@ -15,6 +15,7 @@ gives the same result (no truncate/drop ordering, no duplicate rows).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,18 @@ FACT_PARTITIONS = {"fact_lancamentos": ["ano", "mes"], "fact_orcamento": ["ano"]
 
 
 def bronze(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """B1 for the six raw files (``<raw_dir>/<name>.csv`` or folders of parts)."""
-    return {stg: files.ingest_csv(spark, f"{raw_dir.rstrip('/')}/{name}*", S.STAGING_SCHEMAS[stg])
+    """B1 for the six raw files (``<raw_dir>/<name>.csv`` or the folder ``<raw_dir>/<name>``)."""
+    return {stg: files.ingest_csv(spark, files.raw_path(spark, raw_dir, name), S.STAGING_SCHEMAS[stg])
             for stg, name in RAW_FILES.items()}
 
 
+def bronze_rejects(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """(tabela, linha): every raw line that does not have the declared fields."""
+    parts = [files.ingest_rejects(spark, files.raw_path(spark, raw_dir, name), S.STAGING_SCHEMAS[stg]).select(F.lit(stg).alias("tabela"), "linha")
+             for stg, name in RAW_FILES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def profile_report(stg: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in stg.items():
@@ -80,8 +88,11 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config,
     """Run bronze -> quality -> silver -> gold (-> measures); ``stg`` may
     replace the CSV ingest."""
     out = out_dir.rstrip("/")
-    stg = stg or bronze(spark, raw_dir)
+    from_files = stg is None
+    stg = bronze(spark, raw_dir) if from_files else stg
     files.full_refresh(profile_report(stg), f"{out}/quality/profile")
+    if from_files:
+        files.full_refresh(bronze_rejects(spark, raw_dir), f"{out}/quality/linhas_rejeitadas")
     built = silver_plan.build(spark, stg, cfg)
     persisted = _persist_silver(built, out)
     sv = built.replace(**{k: v for k, v in persisted.items() if k in built.tables() or k.startswith("rejects")})
@@ -90,7 +101,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config,
         "gold_realizado": gold.gold_realizado(sv),
         "gold_lancamentos": gold.gold_lancamentos(sv),
         "gold_referencia_mtd": gold.gold_referencia_mtd(sv, cfg),
-        "gold_lancamentos_diarios": gold.gold_lancamentos_diarios(sv, cfg),
+        "gold_lancamentos_diarios": gold.gold_lancamentos_diarios(sv),
         "gold_lancamentos_consolidados_dia": gold.gold_lancamentos_consolidados_dia(sv),
         "gold_mensal": gold.gold_mensal(sv),
     }
@@ -112,10 +123,12 @@ def measure_reports(sv: silver_plan.Silver, cfg: Config, ref: DataFrame) -> dict
     m = measures
     return {
         "m01_kpis": m.kpis_by_cost_centre(sv, cfg), "m02_consumo": m.consumption(sv, cfg),
-        "m03_orcado_ideal": m.ideal_budget_mtd(sv, cfg, ref), "m04_proj_linear": m.linear_projection(sv, cfg, ref),
+        "m03_orcado_ideal": m.ideal_budget_mtd(sv, cfg, ref), "m04_proj_linear": m.linear_projection(sv, cfg),
         "m05_proj_historica": m.historical_projection(sv, cfg, ref),
         "m06_proj_caminho": m.projection_path(sv, cfg, ref), "m07_semaforo": m.risk_matrix(sv, cfg),
         "m08_ritmo": m.pace(sv, cfg, ref), "m09_top_risco": m.top_risk(sv, cfg),
+        "m09_top_estouro": m.top_projected_overrun(sv, cfg, ref), "m10_top_fornecedores_geral": m.top_suppliers(sv, cfg),
+        "m01_empresa": m.company_cards(sv, cfg),
         "m10_top_categorias": m.top_categories(sv, cfg), "m10_top_fornecedores": m.top_suppliers_per_category(sv, cfg),
         "m11_top_crescimento": m.top_growth(sv, cfg), "m12_pendentes": m.pending_payables(sv, cfg),
         "m13_diario": m.daily_cumulative(sv, cfg), "m14_kpis_anuais": m.annual_kpis(sv, cfg),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlight.plans import gold, measures
+from ledgerlight.plans import measures
 from ledgerlight.plans.config import TESTDATA as CFG
 from ledgerlight.plans.oracle_sql import d, q
 from ledgerlight.plans.queries_gold import REF_CTE
@@ -57,15 +57,33 @@ proj_cc2 AS (SELECT p.*, {LW} * linear + {HW} * COALESCE(hist, linear) AS final,
 """
 
 
-def _ref(sv):
-    return gold.gold_referencia_mtd(sv, CFG)
-
-
 @register("m1", q(BASE + "SELECT * FROM m1"))
 def m1(spark, sf_dir):
     return measures.kpis_by_cost_centre(silver(spark, sf_dir), CFG)
 
 
+@register("m1t", q(f"""
+, o AS (SELECT SUM(valor) AS orcado FROM fact_orcamento WHERE ano = {Y} AND mes = {M}),
+r AS (
+  SELECT SUM(valor) FILTER (WHERE data_lancamento BETWEEN {MS} AND {A}) AS mtd,
+         SUM(valor) FILTER (WHERE date_trunc('month', data_lancamento) = {MS}) AS mes,
+         SUM(valor) FILTER (WHERE date_trunc('month', data_lancamento) = {MS} - INTERVAL 1 MONTH) AS antes,
+         SUM(valor) FILTER (WHERE data_lancamento BETWEEN {MS_LY} AND {A_LY}) AS ly,
+         SUM(valor) FILTER (WHERE data_lancamento BETWEEN DATE '{Y}-01-01' AND {A}) AS ytd,
+         SUM(valor) FILTER (WHERE data_lancamento BETWEEN DATE '{Y - 1}-01-01' AND {A_LY}) AS ytd_ly
+  FROM fact_lancamentos)
+SELECT CAST(orcado AS DOUBLE) AS orcado, CAST(mtd AS DOUBLE) AS realizado, CAST(mes AS DOUBLE) AS realizado_mes,
+       CAST(coalesce(mtd, 0) - coalesce(orcado, 0) AS DOUBLE) AS desvio, CAST(antes AS DOUBLE) AS realizado_mes_anterior,
+       round(CAST(mes AS DOUBLE) / nullif(CAST(antes AS DOUBLE), 0) - 1, 6) AS mom_perc, CAST(ly AS DOUBLE) AS realizado_ano_anterior,
+       round(CAST(mtd AS DOUBLE) / nullif(CAST(ly AS DOUBLE), 0) - 1, 6) AS yoy_perc, CAST(ytd AS DOUBLE) AS realizado_ytd,
+       CAST(ytd_ly AS DOUBLE) AS realizado_ytd_ano_anterior, round(CAST(ytd AS DOUBLE) / nullif(CAST(ytd_ly AS DOUBLE), 0) - 1, 6) AS ytd_perc
+FROM o, r
+"""))
+def m1t(spark, sf_dir):
+    """The company's cards."""
+    return measures.company_cards(silver(spark, sf_dir), CFG)
+
+
 @register("m2", q(BASE + "SELECT * FROM m2"))
 def m2(spark, sf_dir):
     return measures.consumption(silver(spark, sf_dir), CFG)
@@ -78,16 +96,14 @@ SELECT o.id_centro_custo, o.id_categoria, CAST(o.orcado AS DOUBLE) AS orcado, w.
 FROM o LEFT JOIN ref_cc_cat w ON w.dia = {D} AND w.id_centro_custo = o.id_centro_custo AND w.id_categoria = o.id_categoria
 """))
 def m3(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    return measures.ideal_budget_mtd(sv, CFG, _ref(sv))
+    return measures.ideal_budget_mtd(silver(spark, sf_dir), CFG)
 
 
 @register("m4", q(PROJ_CC_CAT + """
 SELECT id_centro_custo, id_categoria, CAST(realizado AS DOUBLE) AS realizado, round(linear, 4) AS projecao_linear FROM proj2
 """))
 def m4(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    return measures.linear_projection(sv, CFG, _ref(sv))
+    return measures.linear_projection(silver(spark, sf_dir), CFG)
 
 
 @register("m5", q(PROJ_CC_CAT + """
@@ -95,8 +111,7 @@ SELECT id_centro_custo, id_categoria, CAST(realizado AS DOUBLE) AS realizado, w_
        round(hist, 4) AS projecao_historica FROM proj2
 """))
 def m5(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    return measures.historical_projection(sv, CFG, _ref(sv))
+    return measures.historical_projection(silver(spark, sf_dir), CFG)
 
 
 @register("m6", q(PROJ_CC_CAT + f"""
@@ -108,8 +123,7 @@ FROM proj_days p
 LEFT JOIN ref_cc_cat wd ON wd.dia = p.dia AND wd.id_centro_custo = p.id_centro_custo AND wd.id_categoria = p.id_categoria
 """))
 def m6(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    return measures.projection_path(sv, CFG, _ref(sv))
+    return measures.projection_path(silver(spark, sf_dir), CFG)
 
 
 @register("m7", q(BASE + f"""
@@ -134,8 +148,7 @@ SELECT id_centro_custo, orcado, round(final, 2) AS projecao_fechamento,
 FROM proj_cc2
 """))
 def m8(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    return measures.pace(sv, CFG, _ref(sv))
+    return measures.pace(silver(spark, sf_dir), CFG)
 
 
 @register("m9", q(BASE + f"SELECT * FROM m2 ORDER BY perc_consumido DESC NULLS LAST, id_centro_custo LIMIT {K}"))
@@ -143,6 +156,25 @@ def m9(spark, sf_dir):
     return measures.top_risk(silver(spark, sf_dir), CFG)
 
 
+@register("m9p", q(PROJ_CC + f"""
+SELECT id_centro_custo, orcado, round(final, 2) AS projecao_fechamento, round(final - COALESCE(orcado, 0.0), 2) AS estouro_previsto
+FROM proj_cc2 ORDER BY estouro_previsto DESC NULLS LAST, id_centro_custo LIMIT {K}
+"""))
+def m9p(spark, sf_dir):
+    """M9 by projected overrun."""
+    return measures.top_projected_overrun(silver(spark, sf_dir), CFG)
+
+
+@register("m10f", q(f"""
+SELECT s.id_forn AS id_fornecedor, s.nome_forn AS fornecedor, CAST(SUM(e.valor) AS DOUBLE) AS realizado
+FROM fact_lancamentos e JOIN dim_fornecedores s ON s.id_forn = e.id_fornecedor
+WHERE e.data_lancamento BETWEEN DATE '{Y}-01-01' AND {A} GROUP BY ALL ORDER BY realizado DESC, id_fornecedor LIMIT {K}
+"""))
+def m10f(spark, sf_dir):
+    """M10 for suppliers over the year to date."""
+    return measures.top_suppliers(silver(spark, sf_dir), CFG)
+
+
 @register("m10", q(f"""
 , a AS (SELECT id_categoria, SUM(valor) AS r FROM fact_lancamentos WHERE data_lancamento BETWEEN {MS} AND {A} GROUP BY 1)
 SELECT a.id_categoria, c.nome_categoria, CAST(a.r AS DOUBLE) AS realizado
@@ -273,8 +305,7 @@ SELECT id_centro_custo, round(final, 2) AS projecao_fechamento, orcado,
 FROM proj_cc2
 """))
 def m20(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    return measures.forecast_vs_budget(sv, CFG, _ref(sv))
+    return measures.forecast_vs_budget(silver(spark, sf_dir), CFG)
 
 
 @register("m21", q(REF + f"""
@@ -302,5 +333,4 @@ SELECT dia, round(orc * w_day, 4) AS orcado_ideal_mtd,
 FROM grid
 """))
 def m21(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    return measures.pace_table(sv, CFG, _ref(sv))
+    return measures.pace_table(silver(spark, sf_dir), CFG)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import money
 from ledgerlight.operators import audit, quality, rules
+from ledgerlight.operators.joins import with_scalars
 from ledgerlight.plans import gold
 from ledgerlight.plans import silver as silver_plan
 from ledgerlight.plans.config import TESTDATA as CFG
-from ledgerlight.plans.oracle_sql import DATA_CALENDAR, q, sentence
+from ledgerlight.plans.oracle_sql import q, sentence
 from ledgerlight.plans.queries_gold import view_ctes
 from ledgerlight.plans.registry import register, silver, staging
 from ledgerlight.sources import files
@@ -106,12 +110,18 @@ def q4(spark, sf_dir):
     return out
 
 
-@register("q5", q("""
-SELECT lower(trim(nome_cat)) AS nome, COUNT(lower(trim(nome_cat))) AS contagem
-FROM stg_dim_categoria GROUP BY 1 HAVING COUNT(lower(trim(nome_cat))) > 1
-"""))
+NAME_COLUMNS = {"stg_dim_centro_custo": "nome_cc", "stg_dim_categoria": "nome_cat",
+                "stg_dim_fornecedores": "nome_forn", "stg_dim_campanha": "nome_camp"}
+
+
+@register("q5", q("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, lower(trim({c})) AS nome, COUNT(*) AS contagem FROM {t} WHERE {c} IS NOT NULL GROUP BY 2 HAVING COUNT(*) > 1"
+    for t, c in NAME_COLUMNS.items())))
 def q5(spark, sf_dir):
-    return quality.duplicate_names(staging(spark, sf_dir)["stg_dim_categoria"], "nome_cat")
+    """Repeated names of all four dimensions."""
+    stg = staging(spark, sf_dir)
+    out = [quality.duplicate_names(stg[t], c).select(F.lit(t).alias("tabela"), "nome", "contagem") for t, c in NAME_COLUMNS.items()]
+    return reduce(DataFrame.unionByName, out)
 
 
 @register("q6", q(f"""
@@ -191,7 +201,7 @@ FK_SQL_RAW = FK_SQL.replace("SELECT id_cc FROM dim_centro_custo", "SELECT id_cc
 def q10(spark, sf_dir):
     stg = staging(spark, sf_dir)["stg_lancamentos"]
     sv = silver(spark, sf_dir)
-    dim_cc = silver_plan.dim_centro_custo(staging(spark, sf_dir)["stg_dim_centro_custo"], with_default=False)
+    dim_cc = silver_plan.dim_centro_custo(staging(spark, sf_dir)["stg_dim_centro_custo"])
     return quality.fk_violations(stg, {
         "id_centro_custo": (F.col("id_centro_custo").try_cast("int"), dim_cc, "id_cc"),
         "id_categoria": (F.col("id_categoria").try_cast("int"), sv.dim_categoria, "id_categoria"),
@@ -207,7 +217,7 @@ WHERE TRY_CAST(id_centro_custo AS INTEGER) NOT IN (SELECT id_cc FROM dim_cc_raw)
 """))
 def q11(spark, sf_dir):
     stg = staging(spark, sf_dir)
-    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"], with_default=False)
+    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"])
     return quality.orphan_keys(stg["stg_lancamentos"], F.col("id_centro_custo").try_cast("int"), dim_cc, "id_cc")
 
 
@@ -228,7 +238,7 @@ def q12(spark, sf_dir):
     stg = staging(spark, sf_dir)
     fl = stg["stg_lancamentos"].withColumn("__v", F.col("valor_lancamento").try_cast("decimal(18,2)"))
     a = quality.financial_impact(fl, F.col("__v"), F.col("data_lancamento").isNull())
-    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"], with_default=False)
+    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"])
     from ledgerlight.operators.joins import bounded
     keys = bounded(dim_cc.select(F.col("id_cc").alias("__pk")).distinct())
     ck = F.col("id_centro_custo").try_cast("int")
@@ -263,33 +273,28 @@ def q14(spark, sf_dir):
     return quality.domain_values(staging(spark, sf_dir)["stg_lancamentos"], "status_pagamento")
 
 
-def _band_sql() -> str:
-    """Oracle of Q15 built from the fixed band table: a band list joined to
-    the rows classified by the first band whose bounds contain the ratio."""
-    case = " ".join(
-        f"WHEN r {'>' if hi is None else ('<' if lo is None else 'BETWEEN')} "
-        + (f"{lo}" if hi is None else (f"{hi}" if lo is None else f"{lo} AND {hi}")) + f" THEN '{name}'"
-        for name, lo, hi in S.DEVIATION_BANDS)
-    names = ", ".join(f"('{name}')" for name, _, _ in S.DEVIATION_BANDS)
-    return f"""
-, typed_budget AS (SELECT id_centro_custo AS g1, id_categoria AS g2, TRY_CAST(valor_orcado AS DECIMAL(18,2)) AS v
-                   FROM stg_orcamento),
-ratios AS (SELECT v, CAST(v AS DOUBLE) / NULLIF(CAST(SUM(v) OVER (PARTITION BY g1, g2) AS DOUBLE)
-                                               / COUNT(v) OVER (PARTITION BY g1, g2), 0) - 1 AS r
-           FROM typed_budget),
-classified AS (SELECT v, CASE {case} END AS band FROM ratios),
-band_names AS (SELECT * FROM (VALUES {names}) AS b(faixa_nome))
-SELECT b.faixa_nome, CAST(COALESCE(SUM(c.v), 0) AS DOUBLE) AS valor_concentrado, COUNT(c.band) AS registros
-FROM band_names b LEFT JOIN classified c ON c.band = b.faixa_nome GROUP BY b.faixa_nome
+#: Q15 as a join of the values to a table of edges; of several matching bands the first counts.
+BANDS_SQL = """
+, edges AS (
+  SELECT * FROM (VALUES (1, '1. 1000%+', 10.0, false, NULL, false), (2, '2. 900~1000%', 9.0, true, 10.0, true), (3, '3. 100~900%', 1.0, true, 9.0, true),
+    (4, '4. 10 ~ 20%', 0.1, true, 0.2, true), (5, '5. 0 ~ 10%', 0.0, true, 0.1, true), (6, '6. -10~0%', -0.1, true, 0.0, true),
+    (7, '7. -20~-10%', -0.2, true, -0.1, true), (8, '8. -30~-20%', -0.3, true, -0.2, true), (9, '9. -30%-', NULL, false, -0.3, false))
+  e(ordem, faixa_nome, de, com_de, ate, com_ate)),
+cells AS (SELECT rowid_ AS cell, id_centro_custo, id_categoria, v FROM (
+  SELECT row_number() OVER () AS rowid_, id_centro_custo, id_categoria, TRY_CAST(valor_orcado AS DECIMAL(18,2)) AS v FROM stg_orcamento)),
+averages AS (SELECT id_centro_custo, id_categoria, CAST(SUM(v) AS DOUBLE) / COUNT(v) AS media FROM cells GROUP BY ALL),
+away AS (SELECT cell, v, CAST(v AS DOUBLE) / nullif(media, 0) - 1 AS r FROM cells JOIN averages USING (id_centro_custo, id_categoria)),
+hits AS (
+  SELECT a.cell, any_value(a.v) AS v, min(e.ordem) AS ordem
+  FROM away a JOIN edges e
+    ON (e.de IS NULL OR a.r > CAST(e.de AS DOUBLE) OR e.com_de AND a.r = CAST(e.de AS DOUBLE))
+   AND (e.ate IS NULL OR a.r < CAST(e.ate AS DOUBLE) OR e.com_ate AND a.r = CAST(e.ate AS DOUBLE))
+  GROUP BY a.cell)
+SELECT e.faixa_nome, CAST(coalesce(SUM(h.v), 0) AS DOUBLE) AS valor_concentrado, COUNT(h.cell) AS registros
+FROM edges e LEFT JOIN hits h USING (ordem) GROUP BY ALL
 """
 
 
-_BAND_SQL = _band_sql()
-
-BANDS_SQL = f"""
-{_BAND_SQL}"""
-
-
 def _bands(spark, sf_dir):
     o = staging(spark, sf_dir)["stg_orcamento"]
     return quality.deviation_bands(o, F.col("valor_orcado").try_cast("decimal(18,2)"),
@@ -297,21 +302,52 @@ def _bands(spark, sf_dir):
 
 
 register("q15", q(BANDS_SQL))(_bands)
-register("j7", q(BANDS_SQL))(_bands)
+register("j7", q(BANDS_SQL))(_bands)      # J7 is the band join inside Q15
+
+
+def _as_lines(table: str, df: DataFrame) -> DataFrame:
+    """Every row of a table as one line, so that tables with different columns can be listed together."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("<nulo>")) for c in df.columns]
+    return df.select(F.lit(table).alias("tabela"), F.concat_ws("|", *cells).alias("linha"))
+
+
+LINES_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, concat_ws('|', " + ", ".join(f"coalesce({c}, '<nulo>')" for c in cols) + f") AS linha FROM {t}"
+    for t, cols in STG_COLUMNS.items())
 
 
-@register("q16", q("SELECT * FROM stg_lancamentos"))
+@register("q16", q(LINES_SQL))
 def q16(spark, sf_dir):
-    return staging(spark, sf_dir)["stg_lancamentos"]
+    """Overview of all six staging tables."""
+    return reduce(DataFrame.unionByName, [_as_lines(t, df) for t, df in staging(spark, sf_dir).items()])
 
 
 # ------------------------------------------------------------------ R1 .. R4
-@register("r1", q("""
-SELECT id_lancamento, COUNT(*) AS contagem FROM vw_lancamentos GROUP BY id_lancamento
-HAVING COUNT(*) > 1 OR bool_or(id_lancamento IS NULL)
-"""))
+#: Views before the keys are enforced, and their keys.
+KEYED_SQL = {"campaign_rows": ("dim_camp_marketing", "id_camp"), "centre_rows": ("dim_centro_custo", "id_cc"),
+             "category_rows": ("dim_categoria", "id_categoria"),
+             "(SELECT TRY_CAST(id_forn AS INTEGER) AS id_forn FROM stg_dim_fornecedores)": ("dim_fornecedores", "id_forn"),
+             "dim_calendario": ("dim_calendario", "data"),
+             "(SELECT DISTINCT ano_mes FROM dim_calendario)": ("dim_mes", "ano_mes"),
+             "vw_lancamentos": ("fact_lancamentos", "id_lancamento"), "vw_orcamento": ("fact_orcamento", "id_orcamento")}
+
+
+@register("r1", q("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, CAST({k} AS VARCHAR) AS chave, COUNT(*) AS contagem FROM {v} GROUP BY {k} HAVING COUNT(*) > 1 OR {k} IS NULL"
+    for v, (t, k) in KEYED_SQL.items())))
 def r1(spark, sf_dir):
-    return rules.uniqueness_violations(silver(spark, sf_dir).vw_lancamentos, ["id_lancamento"])
+    """Repeated and NULL primary keys of all eight tables, before the load keeps one row of each."""
+    sv, stg = silver(spark, sf_dir), staging(spark, sf_dir)
+    views = {"dim_camp_marketing": silver_plan.dim_camp_marketing(stg["stg_dim_campanha"]),
+             "dim_centro_custo": silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"]),
+             "dim_categoria": silver_plan.dim_categoria(stg["stg_dim_categoria"]),
+             "dim_fornecedores": silver_plan.dim_fornecedores(stg["stg_dim_fornecedores"]),
+             "dim_calendario": sv.dim_calendario, "dim_mes": sv.dim_mes,
+             "fact_lancamentos": sv.vw_lancamentos, "fact_orcamento": sv.vw_orcamento}
+    keys = dict(KEYED_SQL.values())
+    return reduce(DataFrame.unionByName, [
+        rules.uniqueness_violations(v, [keys[t]]).select(F.lit(t).alias("tabela"), F.col(keys[t]).cast("string").alias("chave"), "contagem")
+        for t, v in views.items()])
 
 
 LEDGER_RULES_SQL = [
@@ -334,16 +370,75 @@ LEDGER_RULES_SQL = [
 _BROKEN = ", ".join(f"CASE WHEN NOT coalesce({c}, true) THEN '{n}' END" for n, c in LEDGER_RULES_SQL)
 
 
+_LEDGER_ORDER = ("data_lancamento, id_centro_custo, id_categoria, id_fornecedor, id_campanha NULLS FIRST, valor, valor_original, status_pagamento")
+
+
 @register("r2", q(f"""
-SELECT id_lancamento, concat_ws(',', {_BROKEN}) AS regras_violadas FROM vw_lancamentos
-WHERE concat_ws(',', {_BROKEN}) <> ''
+, broken AS (SELECT id_lancamento, valor, concat_ws(',', {_BROKEN}) AS regras_violadas FROM vw_lancamentos)
+SELECT id_lancamento, CAST(valor AS DOUBLE) AS valor, regras_violadas FROM broken WHERE regras_violadas <> ''
+UNION ALL
+SELECT id_lancamento, CAST(valor AS DOUBLE), 'id_lancamento_unique'
+FROM (SELECT *, row_number() OVER (PARTITION BY id_lancamento ORDER BY {_LEDGER_ORDER}) AS nth FROM good_entries) WHERE nth > 1
 """))
 def r2(spark, sf_dir):
+    """Rejected ledger rows, repeats included."""
     sv = silver(spark, sf_dir)
-    return sv.rejects_lancamentos.select("id_lancamento",
+    return sv.rejects_lancamentos.select("id_lancamento", money("valor").alias("valor"),
                                          F.concat_ws(",", rules.RULES_COL).alias(rules.RULES_COL))
 
 
+BUDGET_RULES_SQL = [
+    *[(f"{c}_not_null", f"{c} IS NOT NULL") for c in ("id_orcamento", "data_orcamento", "ano", "mes", "id_centro_custo", "id_categoria",
+                                                      "valor", "status_dado")],
+    ("data_orcamento_range", f"data_orcamento BETWEEN DATE '{CFG.calendar_start}' AND DATE '{CFG.calendar_end}'"),
+    ("ano_range", f"ano >= {CFG.budget_min_year} AND ano <= {CFG.load_date.year}"),
+    ("mes_range", "mes BETWEEN 1 AND 12"), ("valor_positive", "valor > 0"),
+    ("status_domain", "status_dado IN ('Dado suspeito', 'Dado confiavel')"),
+    ("fk_centro_custo", "id_centro_custo IS NULL OR id_centro_custo IN (SELECT id_cc FROM dim_centro_custo)"),
+    ("fk_categoria", "id_categoria IS NULL OR id_categoria IN (SELECT id_categoria FROM dim_categoria)"),
+]
+_BUDGET_BROKEN = ", ".join(f"CASE WHEN NOT coalesce({c}, true) THEN '{n}' END" for n, c in BUDGET_RULES_SQL)
+
+
+@register("r2b", q(f"""
+, broken AS (SELECT id_orcamento, valor, concat_ws(',', {_BUDGET_BROKEN}) AS regras_violadas FROM vw_orcamento)
+SELECT id_orcamento, CAST(valor AS DOUBLE) AS valor, regras_violadas FROM broken WHERE regras_violadas <> ''
+UNION ALL
+SELECT id_orcamento, CAST(valor AS DOUBLE), 'id_orcamento_unique'
+FROM (SELECT *, row_number() OVER (PARTITION BY id_orcamento ORDER BY data_orcamento, ano, mes, id_centro_custo, id_categoria, valor, status_dado) AS nth
+      FROM good_budget) WHERE nth > 1
+"""))
+def r2b(spark, sf_dir):
+    """Rejected budget rows, repeats included."""
+    return silver(spark, sf_dir).rejects_orcamento.select("id_orcamento", money("valor").alias("valor"),
+                                                          F.concat_ws(",", rules.RULES_COL).alias(rules.RULES_COL))
+
+
+@register("r2d", q("""
+SELECT 'dim_centro_custo' AS tabela, CAST(id_cc AS VARCHAR) AS chave, nome_cc AS nome, 'id_cc_not_null' AS regras_violadas
+FROM centre_rows WHERE id_cc IS NULL
+UNION ALL
+SELECT 'dim_centro_custo', CAST(id_cc AS VARCHAR), nome_cc, 'id_cc_unique'
+FROM (SELECT *, row_number() OVER (PARTITION BY id_cc ORDER BY nome_cc) AS nth FROM centre_rows WHERE id_cc IS NOT NULL) WHERE nth > 1
+UNION ALL
+SELECT 'dim_categoria', CAST(id_categoria AS VARCHAR), nome_categoria,
+       concat_ws(',', CASE WHEN id_categoria IS NULL THEN 'id_categoria_not_null' END, CASE WHEN id_cc IS NULL THEN 'id_cc_not_null' END,
+                 CASE WHEN id_cc NOT IN (SELECT id_cc FROM dim_centro_custo) THEN 'fk_id_cc' END)
+FROM category_rows WHERE id_categoria IS NULL OR id_cc IS NULL OR id_cc NOT IN (SELECT id_cc FROM dim_centro_custo)
+UNION ALL
+SELECT 'dim_fornecedores', id_forn, nome_forn, 'id_forn_unique'
+FROM (SELECT *, row_number() OVER (PARTITION BY TRY_CAST(id_forn AS INTEGER) ORDER BY nome_forn) AS nth FROM stg_dim_fornecedores) WHERE nth > 1
+"""))
+def r2d(spark, sf_dir):
+    """Rejected rows of the dimensions: keys that are NULL or no numbers, unknown cost centres, repeats."""
+    sv = silver(spark, sf_dir)
+    cols = {"dim_centro_custo": ("id_cc", "nome_cc"), "dim_categoria": ("id_categoria", "nome_categoria"),
+            "dim_fornecedores": ("id_forn", "nome_forn"), "dim_camp_marketing": ("id_camp", "nome_campanha")}
+    return reduce(DataFrame.unionByName, [
+        sv.dimension_rejects(t).select(F.lit(t).alias("tabela"), F.col(k).cast("string").alias("chave"), F.col(n).alias("nome"),
+                                       F.concat_ws(",", rules.RULES_COL).alias(rules.RULES_COL)) for t, (k, n) in cols.items()])
+
+
 @register("r3", q("""
 SELECT 'fact_orcamento.id_centro_custo' AS coluna, CAST(COUNT(*) AS BIGINT) AS qtd FROM vw_orcamento
 WHERE id_centro_custo NOT IN (SELECT id_cc FROM dim_centro_custo)
@@ -369,28 +464,32 @@ def r3(spark, sf_dir):
     return a.unionByName(b).unionByName(c)
 
 
-@register("r4", q("""
-SELECT id_lancamento, data_lancamento, id_centro_custo, id_categoria, id_fornecedor, id_campanha,
-       CAST(valor AS DOUBLE) AS valor, CAST(valor_original AS DOUBLE) AS valor_original, status_pagamento
-FROM fact_lancamentos
+@register("r4", q("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS regra, CAST(COUNT(*) FILTER (WHERE NOT coalesce({c}, true)) AS BIGINT) AS qtd FROM vw_lancamentos" for n, c in LEDGER_RULES_SQL)
+    + """
+UNION ALL
+SELECT 'id_lancamento_unique', CAST(COUNT(*) - COUNT(DISTINCT id_lancamento) AS BIGINT) FROM good_entries
 """))
 def r4(spark, sf_dir):
-    """Load gate: the loaded fact must pass every rule, else raise."""
+    """Load gate: the verdict per rule over everything that asks to be loaded (``rules.assert_rules`` raises on it)."""
     sv = silver(spark, sf_dir)
-    fl = sv.fact_lancamentos
-    gate = {k: v for k, v in silver_plan.ledger_rules(CFG).items() if not k.startswith("fk_")}
-    checked = rules.assert_rules(fl, gate, on_fail="raise")
-    return checked.withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+    checks = silver_plan.ledger_rules(CFG)
+    valid, _ = rules.split(sv.ledger_flagged, checks)
+    repeats = valid.agg((F.count("id_lancamento") - F.count_distinct("id_lancamento")).alias("qtd"))
+    return rules.rule_counts(sv.ledger_flagged, checks).unionByName(repeats.select(F.lit("id_lancamento_unique").alias("regra"), "qtd"))
 
 
 # ------------------------------------------------------------------ B
-@register("b1", q("SELECT * FROM stg_lancamentos"))
+@register("b1", q(LINES_SQL))
 def b1(spark, sf_dir):
-    """Raw ledger landed as CSV text, then bulk-ingested with the declared
-    all-text staging schema: the round trip must be lossless."""
-    path = files.scratch_path(spark, "bronze-lancamentos")
-    files.write_csv(staging(spark, sf_dir)["stg_lancamentos"], path)
-    return files.ingest_csv(spark, path, S.STG_LANCAMENTOS)
+    """All six raw tables landed as CSV text, then bulk-ingested with the
+    declared all-text staging schemas: the round trip must be lossless."""
+    base = files.scratch_path(spark, "bronze")
+    out = []
+    for t, df in staging(spark, sf_dir).items():
+        files.write_csv(df, f"{base}/{t}")
+        out.append(_as_lines(t, files.ingest_csv(spark, f"{base}/{t}", S.STAGING_SCHEMAS[t])))
+    return files.taken_over(reduce(DataFrame.unionByName, out), base)
 
 
 @register("b2", q("""
@@ -403,7 +502,7 @@ def b2(spark, sf_dir):
     fo = silver(spark, sf_dir).fact_orcamento
     files.full_refresh(fo, path, ["ano"])
     out = files.full_refresh(fo, path, ["ano"])
-    return out.select(*[f.name for f in S.FACT_ORCAMENTO.fields]).withColumn("valor", money("valor"))
+    return files.taken_over(out.select(*[f.name for f in S.FACT_ORCAMENTO.fields]).withColumn("valor", money("valor")), path)
 
 
 @register("b3", q("""
@@ -419,14 +518,28 @@ def b3(spark, sf_dir):
     return audit.audit_counts(silver(spark, sf_dir).tables())
 
 
-@register("b4")
+#: Declared types of the staging columns, and of the generated calendar tables.
+DECLARED = {
+    "stg_lancamentos": {"id_lancamento": "bigint", "data_lancamento": "date", "id_centro_custo": "int", "id_categoria": "int", "id_fornecedor": "int",
+                        "id_campanha_marketing": "double", "valor_lancamento": "decimal(16,2)"},
+    "stg_orcamento": {"id_orcamento": "int", "ano": "int", "mes": "int", "id_centro_custo": "int", "id_categoria": "int", "valor_orcado": "decimal(18,2)"},
+    "stg_dim_centro_custo": {"id_cc": "int"}, "stg_dim_categoria": {"id_cat": "double", "id_cc": "double"},
+    "stg_dim_fornecedores": {"id_forn": "int"}, "stg_dim_campanha": {"id_camp": "int", "mes_ref": "int"},
+    "dim_calendario": {"data": "date", "ano": "int", "mes": "int", "dia": "int", "ano_mes": "int", "semestre": "int", "trimestre": "int", "bimestre": "int"},
+    "dim_mes": {"ano_mes": "int", "ano": "int", "mes": "int", "primeiro_dia": "date", "ultimo_dia": "date"},
+}
+
+
+@register("b4", q(", dim_mes AS (SELECT ano_mes, ano, mes, min(data) AS primeiro_dia, max(data) AS ultimo_dia FROM dim_calendario GROUP BY ALL)\n"
+                  + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, '{c}' AS coluna, '{k}' AS tipo, COUNT(*) AS linhas, "
+    f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {k}) IS NULL) AS nao_convertidos, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulos FROM {t}"
+    for t, cols in DECLARED.items() for c, k in cols.items())))
 def b4(spark, sf_dir):
-    """Schema audit of the silver tables against the declared layouts, with
-    each table's row count (no SQL oracle: DuckDB has other type names)."""
-    sv = silver(spark, sf_dir)
-    tables = {k: v for k, v in sv.tables().items() if k in S.SILVER_SCHEMAS}
-    counts = audit.audit_counts(tables)
-    return audit.schema_audit(spark, tables, S.SILVER_SCHEMAS).join(counts, "tabela", "left")
+    """Schema audit on the data: values that do not cast to the declared types, and NULLs, of every table."""
+    sv, stg = silver(spark, sf_dir), staging(spark, sf_dir)
+    tables = {**stg, "dim_calendario": sv.dim_calendario, "dim_mes": sv.dim_mes}
+    return reduce(DataFrame.unionByName, [audit.cast_audit(t, tables[t], types) for t, types in DECLARED.items()])
 
 
 @register("b5", q("""
@@ -440,20 +553,19 @@ def b5(spark, sf_dir):
     fl = silver(spark, sf_dir).fact_lancamentos
     part = fl.withColumn("ano", F.year("data_lancamento")).withColumn("mes", F.month("data_lancamento"))
     out = files.full_refresh(part, path, ["ano", "mes"])
-    return out.select(*[f.name for f in S.FACT_LANCAMENTOS.fields]) \
-              .withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+    out = out.select(*[f.name for f in S.FACT_LANCAMENTOS.fields]) \
+             .withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+    return files.taken_over(out, path)
 
 
 @register("b7", q(view_ctes("g2") + """
-SELECT ano, mes, id_centro_de_custo, id_categoria, realizado, realizado_ytd FROM v_g2
-WHERE flag_centro_custo_coringa = 'Sim'
+SELECT ano, mes, id_centro_de_custo, id_categoria, realizado, realizado_ytd, flag_centro_custo_coringa FROM v_g2
 """))
 def b7(spark, sf_dir):
     """Gold view published to SQL, then queried by name."""
     view = f"vw_gold_realizado_{abs(hash(sf_dir)) % 10**8}"
     files.publish_views({view: gold.gold_realizado(silver(spark, sf_dir))})
-    return spark.sql(f"SELECT ano, mes, id_centro_de_custo, id_categoria, realizado, realizado_ytd "
-                     f"FROM {view} WHERE flag_centro_custo_coringa = 'Sim'")
+    return spark.sql(f"SELECT ano, mes, id_centro_de_custo, id_categoria, realizado, realizado_ytd, flag_centro_custo_coringa FROM {view}")
 
 
 
@@ -474,8 +586,9 @@ def b1s(spark, sf_dir):
     qry = ledger_stream.start_ingest(spark, landing, f"{base}/out", f"{base}/checkpoint", sv, CFG)
     qry.awaitTermination()
     out = ledger_stream.read_ingested(spark, f"{base}/out")
-    return out.select(*[f.name for f in S.FACT_LANCAMENTOS.fields]) \
-              .withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+    out = out.select(*[f.name for f in S.FACT_LANCAMENTOS.fields]) \
+             .withColumn("valor", money("valor")).withColumn("valor_original", money("valor_original"))
+    return files.taken_over(out, base)
 
 
 CAL_RULES_SQL = [
@@ -492,15 +605,32 @@ CAL_RULES_SQL = [
 ]
 
 
-@register("r2c", q(DATA_CALENDAR + "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS regra, CAST(COUNT(*) FILTER (WHERE NOT coalesce({c}, true)) AS BIGINT) AS qtd FROM data_calendario"
+@register("r2c", q("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS regra, CAST(COUNT(*) FILTER (WHERE NOT coalesce({c}, true)) AS BIGINT) AS qtd FROM dim_calendario"
     for n, c in CAL_RULES_SQL)))
 def r2c(spark, sf_dir):
     """R2 on the calendar generated over the ledger's years: broken rows per rule."""
-    from ledgerlight.operators import calendar
-    cal = calendar.calendar_attributes(calendar.calendar_for(silver(spark, sf_dir).fact_lancamentos,
-                                                             "data_lancamento"))
-    return rules.rule_counts(cal, silver_plan.calendar_rules(CFG))
+    return rules.rule_counts(silver(spark, sf_dir).dim_calendario, silver_plan.calendar_rules(CFG))
+
+
+MONTH_RULES_SQL = [
+    *[(f"{c}_not_null", f"{c} IS NOT NULL") for c in ("ano_mes", "ano", "mes", "primeiro_dia", "ultimo_dia")],
+    ("ano_range", f"ano BETWEEN {CFG.calendar_start.year} AND {CFG.calendar_end.year}"), ("mes_range", "mes BETWEEN 1 AND 12"),
+    ("primeiro_dia_is_first", "day(primeiro_dia) = 1"), ("ultimo_dia_is_month_end", "day(ultimo_dia) BETWEEN 28 AND 31"),
+]
+
+
+@register("r2m", q("""
+, months AS (SELECT ano_mes, ano, mes, min(data) AS primeiro_dia, max(data) AS ultimo_dia FROM dim_calendario GROUP BY ALL)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS regra, COUNT(*) AS linhas, CAST(COUNT(*) FILTER (WHERE NOT coalesce({c}, true)) AS BIGINT) AS qtd FROM months"
+    for n, c in MONTH_RULES_SQL)))
+def r2m(spark, sf_dir):
+    """R2 on the month dimension: rows checked and broken per rule."""
+    months = silver(spark, sf_dir).dim_mes
+    checks = silver_plan.month_rules(CFG)
+    n = months.agg(F.count(F.lit(1)).alias("linhas"))
+    return with_scalars(rules.rule_counts(months, checks), n).select("regra", "linhas", "qtd")
 
 
 @register("a3s", q("""
@@ -508,7 +638,7 @@ SELECT data_lancamento, id_centro_custo, id_categoria, CAST(SUM(valor) AS DOUBLE
 FROM fact_lancamentos GROUP BY 1, 2, 3
 """))
 def a3s(spark, sf_dir):
-    """A3 maintained by a streaming aggregation over landed raw files."""
+    """A3 maintained by the streaming ingest over landed raw files."""
     from ledgerlight.streaming import ledger_stream
     base = files.scratch_path(spark, "stream-a3")
     landing = f"{base}/landing"
@@ -516,5 +646,5 @@ def a3s(spark, sf_dir):
     qry = ledger_stream.start_daily_totals(spark, landing, f"{base}/out", f"{base}/checkpoint",
                                            silver(spark, sf_dir), CFG)
     qry.awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    return out.select("data_lancamento", "id_centro_custo", "id_categoria", money("total_do_dia").alias("total_do_dia"))
+    out = ledger_stream.read_daily_totals(spark, f"{base}/out")
+    return files.taken_over(out.select("data_lancamento", "id_centro_custo", "id_categoria", money("total_do_dia").alias("total_do_dia")), base)

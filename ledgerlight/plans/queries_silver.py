@@ -11,9 +11,9 @@ from ledgerlight.operators import benchmark, calendar, cleanse, grid
 from ledgerlight.operators.joins import anti_join, bounded, with_scalars
 from ledgerlight.plans import gold
 from ledgerlight.plans.config import TESTDATA as CFG
-from ledgerlight.plans.oracle_sql import DATA_CALENDAR, d, q, sentence
+from ledgerlight.plans.oracle_sql import q, sentence
 from ledgerlight.plans.queries_gold import (
-    ACTUAL_MONTHLY, BUDGET_MONTHLY, G2_CTES, G5_SQL, G8_BASE, LEDGER_ENRICHED, MTD_HISTORY, view_ctes,
+    ACTUAL_MONTHLY, BUDGET_MONTHLY, DAY_TOTALS, G2_CTES, G8_BASE, LEDGER_ENRICHED, MTD_HISTORY, REFERENCIA_FINE, STATUS_DAYS, view_ctes,
 )
 from ledgerlight.plans.registry import register, silver, staging
 
@@ -172,21 +172,21 @@ def _data_calendar(spark, sf_dir):
     return calendar.calendar_for(silver(spark, sf_dir).fact_lancamentos, "data_lancamento")
 
 
-@register("c1", q(DATA_CALENDAR + "SELECT data FROM data_days"))
+@register("c1", q("SELECT data FROM cal_days"))
 def c1(spark, sf_dir):
     return _data_calendar(spark, sf_dir)
 
 
-@register("c2", q(DATA_CALENDAR + "SELECT * FROM data_calendario"))
+@register("c2", q("SELECT * FROM dim_calendario"))
 def c2(spark, sf_dir):
     return calendar.calendar_attributes(_data_calendar(spark, sf_dir))
 
 
-@register("c3", q(DATA_CALENDAR + """
+@register("c3", q("""
 SELECT DISTINCT CAST(year(data) * 100 + month(data) AS INTEGER) AS ano_mes, CAST(year(data) AS INTEGER) AS ano,
        CAST(month(data) AS INTEGER) AS mes, CAST(date_trunc('month', data) AS DATE) AS primeiro_dia,
        last_day(data) AS ultimo_dia
-FROM data_calendario
+FROM dim_calendario
 """))
 def c3(spark, sf_dir):
     return calendar.dim_mes(calendar.calendar_attributes(_data_calendar(spark, sf_dir)))
@@ -210,31 +210,25 @@ FROM (SELECT DISTINCT ano AS cal_ano, mes AS cal_mes FROM dim_calendario) c
 LEFT JOIN actual_monthly b ON b.ano = c.cal_ano AND b.mes = c.cal_mes
 """))
 def j2(spark, sf_dir):
-    sv = silver(spark, sf_dir)
-    base = gold.actual_monthly(sv)
-    months = sv.dim_calendario.select(F.col("ano").alias("cal_ano"), F.col("mes").alias("cal_mes")).distinct()
-    j = base.join(months, (F.col("ano") == F.col("cal_ano")) & (F.col("mes") == F.col("cal_mes")), "right")
-    return j.select("cal_ano", "cal_mes", "ano", "mes", "id_centro_de_custo", "id_categoria",
+    return gold.on_months(gold.actual_monthly(silver(spark, sf_dir))).select("cal_ano", "cal_mes", "ano", "mes", "id_centro_de_custo", "id_categoria",
                     money("realizado").alias("realizado"))
 
 
-@register("j3", q(f"""
-SELECT id_centro_custo, id_categoria,
-       CAST(unnest(generate_series({d(CFG.calendar_start)}, {d(CFG.calendar_end)}, INTERVAL 1 DAY)) AS DATE) AS data_lancamento
-FROM (SELECT DISTINCT id_centro_custo, id_categoria FROM fact_lancamentos) l
+@register("j3", q("""
+SELECT DISTINCT c.data AS data_lancamento, l.id_centro_custo, l.id_categoria FROM fact_lancamentos l JOIN dim_calendario c ON true
 """))
 def j3(spark, sf_dir):
-    fl = silver(spark, sf_dir).fact_lancamentos
-    combos = fl.select("id_centro_custo", "id_categoria").distinct()
-    return grid.dense_grid(combos, CFG.calendar_start, CFG.calendar_end, "data_lancamento") \
+    sv = silver(spark, sf_dir)
+    combos = sv.fact_lancamentos.select("id_centro_custo", "id_categoria").distinct()
+    return grid.dense_grid(combos, sv.calendar_span, "data_lancamento") \
                .select("data_lancamento", "id_centro_custo", "id_categoria")
 
 
-@register("j4", q(MTD_HISTORY + """
+@register("j4", q(DAY_TOTALS + """
 SELECT data_lancamento, id_centro_custo, id_categoria, CAST(total_do_dia AS DOUBLE) AS total_do_dia FROM filled_grid
 """))
 def j4(spark, sf_dir):
-    h = gold.daily_grid(silver(spark, sf_dir), CFG)
+    h = gold.daily_grid(silver(spark, sf_dir))
     return h.select("data_lancamento", "id_centro_custo", "id_categoria", money("total_do_dia").alias("total_do_dia"))
 
 
@@ -325,9 +319,8 @@ def a3(spark, sf_dir):
                .withColumn("total_do_dia", money("total_do_dia"))
 
 
-@register("a4", q(G5_SQL.split("status_members AS")[0].rstrip().rstrip(",") + """
-SELECT data_lancamento, id_centro_custo, id_categoria, status_pagamento, CAST(valor_dia AS DOUBLE) AS valor_dia
-FROM status_day_totals
+@register("a4", q(STATUS_DAYS + """
+SELECT data AS data_lancamento, id_centro_custo, id_categoria, status_pagamento, CAST(valor AS DOUBLE) AS valor_dia FROM paid_days
 """))
 def a4(spark, sf_dir):
     fl = silver(spark, sf_dir).fact_lancamentos
@@ -375,11 +368,7 @@ def a7(spark, sf_dir):
     return g.select("dia", *keys, "total", "lancamentos")
 
 
-@register("a8", q(MTD_HISTORY + """
-SELECT dia, id_centro_custo, id_categoria, round(quantile_cont(perc_gasto_mes, 0.5), 6) AS peso_do_dia,
-       round(quantile_cont(CAST(gasto_mtd AS DOUBLE), 0.5), 4) AS valor_mediano_dia
-FROM history_rows GROUP BY 1, 2, 3
-"""))
+@register("a8", q(REFERENCIA_FINE))
 def a8(spark, sf_dir):
     h = gold.mtd_history(silver(spark, sf_dir), CFG)
     m = benchmark.multi_grain_median(h, "dia", ["id_centro_custo", "id_categoria"],
@@ -389,19 +378,10 @@ def a8(spark, sf_dir):
                     rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
 
 
-@register("a8d", q(MTD_HISTORY + """
-SELECT dia, id_centro_custo, id_categoria, round(quantile_cont(perc_gasto_mes, 0.5), 6) AS peso_do_dia,
-       round(quantile_cont(CAST(gasto_mtd AS DOUBLE), 0.5), 4) AS valor_mediano_dia
-FROM history_rows GROUP BY 1, 2, 3
-"""))
+@register("a8d", q(REFERENCIA_FINE))
 def a8d(spark, sf_dir):
-    """A8 by the distributed exact median (ranked with the chunked running count)."""
-    h = gold.mtd_history(silver(spark, sf_dir), CFG)
-    m = benchmark.multi_grain_median(h, "dia", ["id_centro_custo", "id_categoria"],
-                                     {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"},
-                                     sets=[["id_centro_custo", "id_categoria"]], strategy="distributed")
-    return m.select("dia", "id_centro_custo", "id_categoria", rnd("peso_do_dia", 6).alias("peso_do_dia"),
-                    rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
+    """A8 with coarse value ranges (see G4D)."""
+    return gold.gold_referencia_mtd(silver(spark, sf_dir), CFG, sets=[["id_centro_custo", "id_categoria"]], bits=0)
 
 
 @register("a9", q("""
@@ -461,8 +441,7 @@ FROM g a """ + prev("p1", 1) + "\n" + prev("p12", 12)
 
 @register("w3c", q(_calendar_lag_sql()))
 def w3c(spark, sf_dir):
-    """MoM / YoY against the calendar month (mode="calendar"): an equi-join
-    on a month index instead of LAG over rows."""
+    """MoM / YoY against the calendar month: a range window over the month index instead of LAG over rows."""
     return gold.gold_realizado(silver(spark, sf_dir), lag_mode="calendar").select(
         *_split(_G2_KEY), "realizado", "mom_abs", "mom_perc", "yoy_abs", "yoy_perc")
 
@@ -474,24 +453,25 @@ _w("w13", "g3", f"{_MTD_COLS}, gasto_mtd_cc_cat",
    lambda spark, sf_dir: gold.gold_lancamentos(silver(spark, sf_dir)).select(*_split(_MTD_COLS), "gasto_mtd_cc_cat"))
 
 
-def _hist(cols):
+def _hist(cols, cut):
     def fn(spark, sf_dir):
-        h = gold.mtd_history(silver(spark, sf_dir), CFG)
+        h = gold.mtd_history(silver(spark, sf_dir), CFG, cut)
         out = {"gasto_mtd": money("gasto_mtd"), "total_do_mes": money("total_do_mes"),
                "perc_gasto_mes": rnd("perc_gasto_mes", 6)}
         return h.select("data_lancamento", "id_centro_custo", "id_categoria", *[out[c].alias(c) for c in cols])
     return fn
 
 
-for _k, _c, _sql in (("w14", "gasto_mtd", "CAST(gasto_mtd AS DOUBLE) AS gasto_mtd"),
-                     ("w15", "total_do_mes", "CAST(total_do_mes AS DOUBLE) AS total_do_mes"),
-                     ("w16", "perc_gasto_mes", "round(perc_gasto_mes, 6) AS perc_gasto_mes")):
-    register(_k, q(MTD_HISTORY + f"SELECT data_lancamento, id_centro_custo, id_categoria, {_sql} FROM history_rows"))(
-        _hist([_c]))
+# the history cut comes after W14 and W15
+for _k, _c, _sql, _rows in (("w14", "gasto_mtd", "CAST(gasto_mtd AS DOUBLE) AS gasto_mtd", "all_history"),
+                            ("w15", "total_do_mes", "CAST(total_do_mes AS DOUBLE) AS total_do_mes", "all_history"),
+                            ("w16", "perc_gasto_mes", "round(perc_gasto_mes, 6) AS perc_gasto_mes", "history_rows")):
+    register(_k, q(MTD_HISTORY + f"SELECT data_lancamento, id_centro_custo, id_categoria, {_sql} FROM {_rows}"))(
+        _hist([_c], _k == "w16"))
 
 _G5_COLS = "data_lancamento, id_centro_custo, id_categoria, status_pagamento, gasto_mtd_agregado"
 _w("w17", "g5", _G5_COLS,
-   lambda spark, sf_dir: gold.gold_lancamentos_diarios(silver(spark, sf_dir), CFG).select(*_split(_G5_COLS)))
+   lambda spark, sf_dir: gold.gold_lancamentos_diarios(silver(spark, sf_dir)).select(*_split(_G5_COLS)))
 _G6_COLS = "data_lancamento, id_centro_de_custo, id_categoria, id_fornecedor, status_pagamento, total_do_dia, participacao_no_mes"
 _w("w18", "g6", _G6_COLS,
    lambda spark, sf_dir: gold.gold_lancamentos_consolidados_dia(silver(spark, sf_dir)).select(*_split(_G6_COLS)))
@@ -510,9 +490,7 @@ def w19(spark, sf_dir):
 
 
 @register("w20", q(MTD_HISTORY + """
-SELECT DISTINCT dia, id_centro_custo, id_categoria,
-       round(quantile_cont(perc_gasto_mes, 0.5) OVER (PARTITION BY dia, id_centro_custo, id_categoria), 6) AS peso_do_dia
-FROM history_rows
+SELECT dia, id_centro_custo, id_categoria, round(quantile_cont(perc_gasto_mes, 0.5), 6) AS peso_do_dia FROM history_rows GROUP BY ALL
 """))
 def w20(spark, sf_dir):
     h = gold.mtd_history(silver(spark, sf_dir), CFG)

@@ -1,9 +1,12 @@
 """Silver layer: typed, cleansed star schema built from the six staging
-tables (dimensions first, then facts; facts come back as valid + rejects).
-
-At scale the facts are persisted partitioned by (ano, mes) with
-``sources.sinks.write_table``; inside ``queries()`` everything stays lazy so
-Catalyst prunes what a query does not need.
+tables (dimensions first, then facts; all come back as valid + rejects).
+
+Keys are enforced on load: every dimension and fact holds one row per
+non-null key, categories belong to a known cost centre, and rows that break
+a rule, repeats included, are kept apart as rejects. At scale the facts are
+persisted partitioned by (ano, mes) with ``sources.files.full_refresh``;
+inside ``queries()`` everything stays lazy so Catalyst prunes what a query
+does not need.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
 from ledgerlight.operators import cleanse, rules
-from ledgerlight.operators.joins import BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, check_all, fits
+from ledgerlight.operators.joins import BROADCAST_BYTES, check_all, fits
 from ledgerlight.plans.config import Config
 
 
@@ -29,17 +32,14 @@ def dim_camp_marketing(stg: DataFrame) -> DataFrame:
                       F.col("mes_ref").try_cast("int").alias("mes_referente"))
 
 
-def dim_centro_custo(stg: DataFrame, with_default: bool = True) -> DataFrame:
-    """S12 + S7: cost centres, sentence-case names, plus the unknown member."""
-    d = cleanse.sentence_case_names(stg, ["nome_cc"]).select(
-        F.col("id_cc").try_cast("int").alias("id_cc"), "nome_cc")
-    return cleanse.add_default_member(d, "id_cc", "nome_cc") if with_default else d
+def dim_centro_custo(stg: DataFrame) -> DataFrame:
+    """Cost centres with sentence-case names."""
+    return cleanse.sentence_case_names(stg, ["nome_cc"]).select(F.col("id_cc").try_cast("int").alias("id_cc"), "nome_cc")
 
 
 def dim_categoria(stg: DataFrame) -> DataFrame:
-    """Categories: float-text keys to int, null-key rows dropped."""
-    d = cleanse.drop_null_keys(stg, ["id_cat", "id_cc"])
-    d = cleanse.float_keys_to_int(d, ["id_cat", "id_cc"])
+    """Categories: float-text keys to int (null keys become rejects)."""
+    d = cleanse.float_keys_to_int(stg, ["id_cat", "id_cc"])
     return d.select(F.col("id_cat").alias("id_categoria"), "id_cc", F.col("nome_cat").alias("nome_categoria"))
 
 
@@ -79,7 +79,8 @@ def vw_orcamento(stg: DataFrame) -> DataFrame:
         F.col("valor_orcado").try_cast(S.MONEY_BUDGET).alias("valor"),
     )
     df = cleanse.month_end_anchor(df, "ano", "mes", "data_orcamento")
-    df = cleanse.outlier_flag(df, "valor", ["id_centro_custo", "id_categoria"], "status_dado")
+    once, _ = rules.keep_first(df, ["id_orcamento"])         # a repeated id counts once in the means
+    df = cleanse.outlier_flag(df, "valor", ["id_centro_custo", "id_categoria"], "status_dado", over=once)
     return df.select([f.name for f in S.FACT_ORCAMENTO.fields])
 
 
@@ -94,6 +95,20 @@ def _fk_flags(df: DataFrame, fks: dict[str, tuple[str, DataFrame, str]]) -> Data
     return out
 
 
+def dimension_split(dim: DataFrame, key: str, parent: tuple[str, DataFrame, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """R1/R2 of a dimension: (one row per non-null key, rejects). ``parent`` =
+    (column, table, key) adds a foreign-key rule whose column is not null."""
+    checks = rules.not_null(key)
+    flagged = dim
+    if parent:
+        column, table, pk = parent
+        flagged = _fk_flags(dim, {column: (column, table, pk)})
+        checks |= rules.not_null(column) | {f"fk_{column}": F.col(f"__fk_{column}")}
+    valid, broken = rules.split(flagged, checks)
+    kept, repeats = rules.keep_first(valid.select(*dim.columns), [key], f"{key}_unique")
+    return kept, broken.select(*dim.columns, rules.RULES_COL).unionByName(repeats)
+
+
 def ledger_rules(cfg: Config) -> dict:
     c = F.col
     r = rules.not_null("id_lancamento", "data_lancamento", "id_centro_custo", "id_categoria",
@@ -147,6 +162,14 @@ def month_rules(cfg: Config) -> dict:
     return r
 
 
+def _load(flagged: DataFrame, checks: dict, schema, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that break no rule, one per key; rejects with the rules they break)."""
+    columns = [f.name for f in schema.fields]
+    valid, broken = rules.split(flagged, checks)
+    kept, repeats = rules.keep_first(valid.select(*columns), [key], f"{key}_unique")
+    return kept, broken.select(*columns, rules.RULES_COL).unionByName(repeats)
+
+
 class Silver:
     """The silver tables of one run, built lazily: a query that only needs
     the ledger never plans (or checks) the budget, and vice versa."""
@@ -161,50 +184,61 @@ class Silver:
         out.__dict__.update(tables)
         return out
 
+    @cached_property
+    def _splits(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        centres, bad = dimension_split(dim_centro_custo(self.stg["stg_dim_centro_custo"]), "id_cc")
+        centres = cleanse.add_default_member(centres, "id_cc", "nome_cc")
+        return {
+            "dim_centro_custo": (centres, bad),
+            "dim_camp_marketing": dimension_split(dim_camp_marketing(self.stg["stg_dim_campanha"]), "id_camp"),
+            "dim_categoria": dimension_split(dim_categoria(self.stg["stg_dim_categoria"]), "id_categoria", ("id_cc", centres, "id_cc")),
+            "dim_fornecedores": dimension_split(dim_fornecedores(self.stg["stg_dim_fornecedores"]), "id_forn"),
+        }
+
     @cached_property
     def dim_camp_marketing(self) -> DataFrame:
-        return dim_camp_marketing(self.stg["stg_dim_campanha"])
+        return self._splits["dim_camp_marketing"][0]
 
     @cached_property
     def dim_centro_custo(self) -> DataFrame:
-        return dim_centro_custo(self.stg["stg_dim_centro_custo"])
+        """With the unknown member."""
+        return self._splits["dim_centro_custo"][0]
 
     @cached_property
     def dim_categoria(self) -> DataFrame:
-        return dim_categoria(self.stg["stg_dim_categoria"])
+        return self._splits["dim_categoria"][0]
 
     @cached_property
     def dim_fornecedores(self) -> DataFrame:
-        return dim_fornecedores(self.stg["stg_dim_fornecedores"])
+        return self._splits["dim_fornecedores"][0]
+
+    def dimension_rejects(self, name: str) -> DataFrame:
+        """Rows of a dimension's staging table that are not loaded, with the rules they break."""
+        return self._splits[name][1]
 
     @cached_property
-    def dim_calendario(self) -> DataFrame:
-        return cal.dim_calendario(self.spark, self.cfg.calendar_start, self.cfg.calendar_end)
+    def calendar_span(self) -> DataFrame:
+        """One row: first and last day of the years that the ledger covers (no row leaves the calendar)."""
+        return cal.covering_years(self.fact_lancamentos, "data_lancamento")
 
-    @property
-    def calendar_small(self) -> bool:
-        """The generated calendar's size is known without a scan: one row a day."""
-        days = (self.cfg.calendar_end - self.cfg.calendar_start).days + 1
-        return days <= DEFAULT_BROADCAST_ROWS and days * 256 <= BROADCAST_BYTES    # 18 narrow columns
+    @cached_property
+    def dim_calendario(self) -> DataFrame:
+        return cal.calendar_attributes(cal.days_of(self.calendar_span))
 
     def calendar_side(self, df: DataFrame) -> DataFrame:
-        """A projection of the calendar as a join side (broadcast when small)."""
-        return F.broadcast(df) if self.calendar_small else df
+        """A projection of the calendar as a broadcast join side: the ledger rules bound its days by
+        (load_date - ledger_min_date), and that bound is checked."""
+        days = (self.cfg.load_date - self.cfg.ledger_min_date).days + 366
+        return F.broadcast(df) if days * 256 <= BROADCAST_BYTES else df
 
     @cached_property
     def dim_mes(self) -> DataFrame:
         return cal.dim_mes(self.dim_calendario)
 
     @cached_property
-    def dimension_checks(self) -> bool:
-        """Size and NULL-key checks of the four dimensions in one action."""
+    def vw_lancamentos(self) -> DataFrame:
         check_all({"cc": (self.dim_centro_custo, "id_cc"), "cat": (self.dim_categoria, "id_categoria"),
                    "forn": (self.dim_fornecedores, "id_forn"), "camp": (self.dim_camp_marketing, "id_camp")})
-        return True
-
-    @cached_property
-    def vw_lancamentos(self) -> DataFrame:
-        self.dimension_checks
         return vw_lancamentos(self.stg["stg_lancamentos"], self.dim_centro_custo)
 
     @cached_property
@@ -212,37 +246,41 @@ class Silver:
         return vw_orcamento(self.stg["stg_orcamento"])
 
     @cached_property
-    def _ledger_split(self) -> tuple[DataFrame, DataFrame]:
-        f = _fk_flags(self.vw_lancamentos, {
+    def ledger_flagged(self) -> DataFrame:
+        """The ledger view with one flag per foreign key (the input of the ledger rules)."""
+        return _fk_flags(self.vw_lancamentos, {
             "centro_custo": ("id_centro_custo", self.dim_centro_custo, "id_cc"),
             "categoria": ("id_categoria", self.dim_categoria, "id_categoria"),
             "fornecedor": ("id_fornecedor", self.dim_fornecedores, "id_forn"),
             "campanha": ("id_campanha", self.dim_camp_marketing, "id_camp")})
-        return rules.split(f, ledger_rules(self.cfg))
+
+    @cached_property
+    def _ledger_split(self) -> tuple[DataFrame, DataFrame]:
+        return _load(self.ledger_flagged, ledger_rules(self.cfg), S.FACT_LANCAMENTOS, "id_lancamento")
 
     @cached_property
     def _budget_split(self) -> tuple[DataFrame, DataFrame]:
-        self.dimension_checks
+        check_all({"cc": (self.dim_centro_custo, "id_cc"), "cat": (self.dim_categoria, "id_categoria")})
         f = _fk_flags(self.vw_orcamento, {
             "centro_custo": ("id_centro_custo", self.dim_centro_custo, "id_cc"),
             "categoria": ("id_categoria", self.dim_categoria, "id_categoria")})
-        return rules.split(f, budget_rules(self.cfg))
+        return _load(f, budget_rules(self.cfg), S.FACT_ORCAMENTO, "id_orcamento")
 
     @cached_property
     def fact_lancamentos(self) -> DataFrame:
-        return self._ledger_split[0].select([f.name for f in S.FACT_LANCAMENTOS.fields])
+        return self._ledger_split[0]
 
     @cached_property
     def rejects_lancamentos(self) -> DataFrame:
-        return self._ledger_split[1].select(*[f.name for f in S.FACT_LANCAMENTOS.fields], rules.RULES_COL)
+        return self._ledger_split[1]
 
     @cached_property
     def fact_orcamento(self) -> DataFrame:
-        return self._budget_split[0].select([f.name for f in S.FACT_ORCAMENTO.fields])
+        return self._budget_split[0]
 
     @cached_property
     def rejects_orcamento(self) -> DataFrame:
-        return self._budget_split[1].select(*[f.name for f in S.FACT_ORCAMENTO.fields], rules.RULES_COL)
+        return self._budget_split[1]
 
     def tables(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in (

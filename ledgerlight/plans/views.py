@@ -55,7 +55,7 @@ def gold_views(sv: Silver, cfg: Config) -> dict[str, DataFrame]:
         "vw_gold_realizado": gold.gold_realizado(sv),
         "vw_gold_lancamentos": gold.gold_lancamentos(sv),
         "vw_gold_referencia_mtd": gold.gold_referencia_mtd(sv, cfg),
-        "vw_gold_lancamentos_diarios": gold.gold_lancamentos_diarios(sv, cfg),
+        "vw_gold_lancamentos_diarios": gold.gold_lancamentos_diarios(sv),
         "vw_gold_lancamentos_consolidados_dia": gold.gold_lancamentos_consolidados_dia(sv),
         "vw_gold_mensal": gold.gold_mensal(sv),
     }

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings applied only when the session does not define them already.
@@ -30,25 +31,47 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+    wanted = dict(_DEFAULTS)
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLIGHT_DRIVER_MEM", "16g"))
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not _submitted():                        # a submitted driver has its memory already
+        wanted["spark.driver.memory"] = os.environ.get("LEDGERLIGHT_DRIVER_MEM", "16g")
+    for k, v in wanted.items():
+        if not _given(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
 
 
+def _submitted() -> bool:
+    """True when spark-submit (or a running session) started the JVM before this code."""
+    return "PYSPARK_GATEWAY_PORT" in os.environ or SparkContext._active_spark_context is not None
+
+
+def _given(key: str) -> bool:
+    """True when the submit command, the defaults file or the running session sets ``key``."""
+    if f"{key}=" in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        return True
+    return _submitted() and SparkConf().contains(key)
+
+
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names that folder; a local folder is created only when the
-    setting is absent (tests, local runs).
+    The cluster names that folder. Only a local master gets a local folder
+    when the setting is absent (tests); elsewhere that is an error, because
+    executors would not see each other's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:
@@ -64,15 +87,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def input_bytes(paths: list[str]) -> int:
-    """Total size of local input files/folders (for sizing; 0 if unknown)."""
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path): works for any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of input files/folders, from the store that holds them."""
     total = 0
-    for p in paths:
-        if os.path.isfile(p):
-            total += os.path.getsize(p)
-        elif os.path.isdir(p):
-            for root, _, files in os.walk(p):
-                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+    for path in paths:
+        fs, p = file_system(spark, path)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
     return total
 
 

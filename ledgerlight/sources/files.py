@@ -11,25 +11,54 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlight.session import checkpoint_dir
+from ledgerlight.session import checkpoint_dir, file_system
 
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
     "encoding": "UTF-8",
-    "mode": "PERMISSIVE",           # a short/long line never fails the load
+    "mode": "PERMISSIVE",           # a short/long line never fails the load; it is kept as a reject
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 
 
-def ingest_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-               **options: str) -> DataFrame:
-    """B1: bulk-ingest CSV files into an all-text staging DataFrame."""
-    opts = {**CSV_OPTIONS, **options}
-    return spark.read.schema(schema).options(**opts).csv(path if isinstance(path, str) else list(path))
+_BROKEN = "__linha"
+
+
+def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    checked = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+    opts = {**CSV_OPTIONS, "columnNameOfCorruptRecord": _BROKEN, "columnPruning": "false", **options}
+    return spark.read.schema(checked).options(**opts).csv(path if isinstance(path, str) else list(path))
+
+
+def ingest_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, **options: str) -> DataFrame:
+    """B1: bulk-ingest CSV files into an all-text staging DataFrame: the lines
+    that have exactly the declared fields. ``multiLine="true"`` keeps line
+    breaks inside quotes. The other lines are in ``ingest_rejects``."""
+    read = _read_csv(spark, path, schema, options)
+    return read.filter(F.col(_BROKEN).isNull()).select(*schema.names)
+
+
+def ingest_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, **options: str) -> DataFrame:
+    """The lines that ``ingest_csv`` leaves out, whole: surplus or missing fields, broken quotes -> (linha)."""
+    read = _read_csv(spark, path, schema, options)
+    # the reader wants a parsed column beside the line
+    line = F.coalesce(F.col(_BROKEN), F.col(schema.names[0])).alias("linha")
+    return read.filter(F.col(_BROKEN).isNotNull()).select(line)
+
+
+def raw_path(spark: SparkSession, folder: str, name: str) -> str:
+    """``<folder>/<name>.csv`` or the folder ``<folder>/<name>`` of parts, nothing else of a similar name."""
+    base = f"{folder.rstrip('/')}/{name}"
+    for path in (f"{base}.csv", base):
+        fs, p = file_system(spark, path)
+        if fs.exists(p):
+            return path
+    raise FileNotFoundError(f"neither {base}.csv nor {base}/ exists")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -39,17 +68,42 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                  fmt: str = "parquet") -> DataFrame:
-    """Idempotent reload of a target: overwrite, then read back.
+    """Idempotent reload of a target, then read back.
 
-    Re-running replaces the whole target (no truncate/drop ordering
-    problems, no duplicate rows). Partitioned targets (facts by ano/mes)
-    let later reads prune whole months.
+    The new table is written beside the old one and takes its place only when
+    it is whole: a run that fails leaves the old table as it was. Partitioned
+    targets (facts by ano/mes) are rebalanced on their partition columns
+    before the write, so a month is a few files of good size and a hot month
+    is still written by several tasks.
     """
-    w = df.write.mode("overwrite").format(fmt)
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex[:12]
+    fresh, gone = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    try:
+        w.save(fresh)
+    except Exception:
+        remove(spark, fresh)
+        raise
+    fs, target = file_system(spark, path)
+    _, new = file_system(spark, fresh)
+    _, old = file_system(spark, gone)
+    if fs.exists(target):
+        fs.rename(target, old)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(new, target):
+        fs.rename(old, target)
+        raise OSError(f"{fresh} could not take the place of {path}")
+    fs.delete(old, True)
+    return spark.read.format(fmt).load(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -58,6 +112,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/ledgerlight-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def taken_over(df: DataFrame, path: str) -> DataFrame:
+    """``df``, which reads scratch files, as a checkpoint; the scratch folder is removed.
+
+    Checkpoints lie in the shared folder too and go when they are no longer referenced."""
+    out = df.checkpoint()
+    remove(df.sparkSession, path)
+    return out
+
+
 def publish_views(tables: dict[str, DataFrame]) -> list[str]:
     """Expose DataFrames to SQL as temporary views."""
     for name, df in tables.items():

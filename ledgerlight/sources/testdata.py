@@ -13,7 +13,10 @@ Every table is all-text, exactly like a raw CSV landed in staging.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import weakref
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.text import sentence_case
@@ -30,11 +33,29 @@ OUTLIER_FACTOR = 20
 UNSPECIFIED_PRIORITY = "4-NOT SPECIFIED"
 OTHER_CATEGORY_CC = 5                   # categories 101..104 belong to cost centre cat-101
 DUPLICATED_SEGMENT = "BUILDING"         # planted null-key duplicate category name
+REPEATED_ENTRY_MODULUS = 101            # o_orderkey % 101 = 0 -> the id comes twice, the second value + 1
+REPEATED_CELL_MODULUS = 47              # (ano + mes + cc + cat) % 47 = 0 -> the budget id comes twice
+REPEATED_CENTRE_MODULUS = 5             # n_nationkey % 5 = 0 -> a second name under the same key
+BAD_CENTRE_MODULUS, BAD_CENTRE_REST = 11, 1     # n_nationkey % 11 = 1 -> a row whose key is no number
+REPEATED_SUPPLIER_MODULUS = 7           # s_suppkey % 7 = 0 -> the same row twice
 CAMPAIGN_MONTH = (("1", "5"), ("2", "8"), ("3", "11"), ("5", "12"))  # priority digit -> month
 
 
+_OPENED: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table, opened once per session and folder (opening reads the file's schema in a job)."""
+    opened = _OPENED.setdefault(spark, {})
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in opened:
+        opened[path] = spark.read.parquet(path)
+    return opened[path]
+
+
+def copies(repeated: Column) -> Column:
+    """Copy numbers of a row: 0, and 1 for repeated rows (to be exploded)."""
+    return F.explode(F.when(repeated, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
 
 
 def segment_category(col) -> F.Column:
@@ -54,6 +75,7 @@ def stg_lancamentos(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (o.join(c, o.o_custkey == c.c_custkey)
          .join(s, o.o_orderkey == s.l_orderkey, "left"))
     k = F.col("o_orderkey")
+    j = j.select("*", copies(k % REPEATED_ENTRY_MODULUS == 0).alias("copia"))
     value = F.when(k % NEGATIVE_MODULUS == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
     status = (F.when(F.col("o_orderstatus") == "F",
                      F.when(k % 3 == 0, "PAGO").when(k % 3 == 1, "Paga").otherwise("Pago"))
@@ -69,7 +91,7 @@ def stg_lancamentos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderpriority") == UNSPECIFIED_PRIORITY, F.lit(None).cast("string"))
          .otherwise(F.concat(F.substring("o_orderpriority", 1, 1), F.lit(".0")))
          .alias("id_campanha_marketing"),
-        value.cast("decimal(16,2)").cast("string").alias("valor_lancamento"),
+        (value.cast("decimal(16,2)") + F.col("copia")).cast("decimal(16,2)").cast("string").alias("valor_lancamento"),
         status.alias("status_pagamento"),
     )
 
@@ -91,13 +113,14 @@ def stg_orcamento(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(OUTLIER_FACTOR)).otherwise(F.lit(1))
     # Deterministic cell key instead of a global row_number (no single-task window).
     cell_id = (F.col("ano") * 12 + F.col("mes")) * 10000 + F.col("cc") * 100 + F.col("cat") % 100
+    cells = cells.select("*", copies((F.col("ano") + F.col("mes") + F.col("cc") + F.col("cat")) % REPEATED_CELL_MODULUS == 0).alias("copia"))
     return cells.select(
         cell_id.cast("string").alias("id_orcamento"),
         F.col("ano").cast("string").alias("ano"),
         F.col("mes").cast("string").alias("mes"),
         F.col("cc").cast("string").alias("id_centro_custo"),
         F.col("cat").cast("string").alias("id_categoria"),
-        (F.col("v") * factor).cast("decimal(18,2)").cast("string").alias("valor_orcado"),
+        ((F.col("v") * factor).cast("decimal(18,2)") + F.col("copia")).cast("decimal(18,2)").cast("string").alias("valor_orcado"),
     )
 
 
@@ -108,7 +131,11 @@ def stg_dim_centro_custo(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 4 == 1, F.concat(F.lit(" "), F.col("n_name")))
             .when(k % 4 == 2, F.concat(F.col("n_name"), F.lit(" ")))
             .otherwise(F.lower("n_name")))
-    return n.select(k.cast("string").alias("id_cc"), name.alias("nome_cc"))
+    repeated = k % REPEATED_CENTRE_MODULUS == 0
+    again = n.filter(repeated | (k % BAD_CENTRE_MODULUS == BAD_CENTRE_REST)).select(
+        F.when(repeated, k.cast("string")).otherwise(F.concat(F.lit("CC"), k.cast("string"))).alias("id_cc"),
+        F.concat("n_name", F.lit(" bis")).alias("nome_cc"))
+    return n.select(k.cast("string").alias("id_cc"), name.alias("nome_cc")).unionByName(again)
 
 
 def stg_dim_categoria(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +155,7 @@ def stg_dim_categoria(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_dim_fornecedores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", copies(F.col("s_suppkey") % REPEATED_SUPPLIER_MODULUS == 0))
     return s.select(F.col("s_suppkey").cast("string").alias("id_forn"), F.col("s_name").alias("nome_forn"))
 
 
@@ -146,13 +173,27 @@ def stg_dim_campanha(spark: SparkSession, sf_dir: str) -> DataFrame:
                     month.alias("mes_ref"))
 
 
-def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All six staging tables, lazily."""
-    return {
-        "stg_lancamentos": stg_lancamentos(spark, sf_dir),
-        "stg_orcamento": stg_orcamento(spark, sf_dir),
-        "stg_dim_centro_custo": stg_dim_centro_custo(spark, sf_dir),
-        "stg_dim_categoria": stg_dim_categoria(spark, sf_dir),
-        "stg_dim_fornecedores": stg_dim_fornecedores(spark, sf_dir),
-        "stg_dim_campanha": stg_dim_campanha(spark, sf_dir),
-    }
+_BUILDERS = {"stg_lancamentos": stg_lancamentos, "stg_orcamento": stg_orcamento, "stg_dim_centro_custo": stg_dim_centro_custo,
+             "stg_dim_categoria": stg_dim_categoria, "stg_dim_fornecedores": stg_dim_fornecedores, "stg_dim_campanha": stg_dim_campanha}
+
+
+class Staging(Mapping):
+    """The six staging tables; each is planned when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._dir, self._tables = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = _BUILDERS[name](self._spark, self._dir)
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(_BUILDERS)
+
+
+def staging(spark: SparkSession, sf_dir: str) -> Staging:
+    return Staging(spark, sf_dir)

@@ -13,8 +13,8 @@ Each micro-batch is written with ``foreachBatch`` into folders partitioned
 by (ano, mes, lote) with dynamic partition overwrite, so a batch that is
 replayed after a failure rewrites its own partition instead of adding
 duplicates; the checkpoint (in the shared checkpoint folder) records the
-files already consumed. ``daily_actuals_stream`` is the A3 rollup as a
-stateful streaming aggregation with a watermark.
+files already consumed. Ids stay unique: repeats inside a batch and ids of
+earlier batches are rejects. ``start_daily_totals`` also keeps the A3 rollup.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from ledgerlight import schemas as S
 from ledgerlight.operators import rules
 from ledgerlight.plans import silver as silver_plan
 from ledgerlight.plans.config import Config
+from ledgerlight.session import file_system
 from ledgerlight.sources.files import CSV_OPTIONS
 
 BATCH_COL = "lote"
@@ -49,19 +50,32 @@ def cleanse_stream(raw: DataFrame, sv: silver_plan.Silver, cfg: Config) -> DataF
     return flagged.withColumn(rules.RULES_COL, rules._broken(silver_plan.ledger_rules(cfg)))
 
 
-def _writer(out_dir: str):
+def _writer(out_dir: str, totals_dir: str | None = None):
     cols = [f.name for f in S.FACT_LANCAMENTOS.fields]
+    out = out_dir.rstrip("/")
+
+    def append(df: DataFrame, path: str, keys: list[str]) -> None:
+        (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*keys).parquet(path))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()                     # one micro-batch, read by two writes
-        tagged = (batch.withColumn("ano", F.year("data_lancamento"))
-                  .withColumn("mes", F.month("data_lancamento"))
-                  .withColumn(BATCH_COL, F.lit(batch_id)))
-        valid = tagged.filter(F.size(rules.RULES_COL) == 0).select(*cols, "ano", "mes", BATCH_COL)
-        rejects = tagged.filter(F.size(rules.RULES_COL) > 0).select(*cols, rules.RULES_COL, "ano", "mes", BATCH_COL)
-        for df, sub in ((valid, "fact_lancamentos"), (rejects, "rejects_lancamentos")):
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("ano", "mes", BATCH_COL).parquet(f"{out_dir.rstrip('/')}/{sub}"))
+        spark = batch.sparkSession
+        batch.persist()                     # one micro-batch, read by several writes
+        by_month = {"ano": F.year("data_lancamento"), "mes": F.month("data_lancamento"), BATCH_COL: F.lit(batch_id)}
+        kept, repeats = rules.keep_first(batch.filter(F.size(rules.RULES_COL) == 0).select(*cols), ["id_lancamento"], "id_lancamento_unique")
+        fs, fact = file_system(spark, f"{out}/fact_lancamentos")
+        if fs.exists(fact):                 # ids of other batches: the first batch wins, a replayed batch meets no rows of its own
+            loaded = spark.read.parquet(str(fact)).filter(F.col(BATCH_COL) != batch_id).select("id_lancamento")
+            again = kept.join(loaded, "id_lancamento", "left_semi").withColumn(rules.RULES_COL, F.array(F.lit("id_lancamento_unique")))
+            kept, repeats = kept.join(loaded, "id_lancamento", "left_anti"), repeats.unionByName(again)
+        broken = batch.filter(F.size(rules.RULES_COL) > 0).select(*cols, rules.RULES_COL)
+        append(kept.select(*cols).withColumns(by_month), f"{out}/fact_lancamentos", ["ano", "mes", BATCH_COL])
+        append(broken.unionByName(repeats).withColumns(by_month), f"{out}/rejects_lancamentos", ["ano", "mes", BATCH_COL])
+        if totals_dir:
+            days = batch.select("data_lancamento").distinct()
+            totals = (spark.read.parquet(f"{out}/fact_lancamentos").join(days, "data_lancamento", "left_semi")
+                      .groupBy("data_lancamento", "id_centro_custo", "id_categoria").agg(F.sum("valor").alias("total_do_dia")))
+            append(totals, totals_dir, ["data_lancamento"])
         batch.unpersist()
     return write
 
@@ -79,35 +93,19 @@ def read_ingested(spark: SparkSession, out_dir: str, table: str = "fact_lancamen
     return spark.read.parquet(f"{out_dir.rstrip('/')}/{table}")
 
 
-def daily_actuals_stream(stream: DataFrame, watermark: str = "31 days") -> DataFrame:
-    """A3 as a stateful stream: SUM(valor) per (day, cost centre, category).
-
-    The watermark on the entry date lets Spark drop the state of days that
-    can no longer change (``append``) or emit running totals (``update``).
-    """
-    ts = F.col("data_lancamento").cast("timestamp")
-    return (stream.filter(F.size(rules.RULES_COL) == 0)
-            .withColumn("__ts", ts).withWatermark("__ts", watermark)
-            .groupBy(F.window("__ts", "1 day").alias("dia"), "id_centro_custo", "id_categoria")
-            .agg(F.sum("valor").alias("realizado_dia"), F.count(F.lit(1)).alias("lancamentos")))
-
-
 def start_daily_totals(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
                        sv: silver_plan.Silver, cfg: Config, available_now: bool = True) -> StreamingQuery:
-    """A3 maintained incrementally: SUM(valor) per (day, cost centre,
-    category) of the valid entries, kept as streaming state (bounded by days
-    x members, not by entries) in ``complete`` mode; every micro-batch
-    overwrites the result table through ``foreachBatch`` (nothing is
-    collected to the driver)."""
+    """A3 maintained incrementally: the ingest, and after each micro-batch the
+    totals of the days it touched, from the fact table. A day is a partition
+    that is overwritten as a whole, so a crash or a replayed batch leaves
+    every day right, late entries included, and no other day is rewritten."""
     stream = cleanse_stream(read_landing(spark, landing_dir), sv, cfg)
-    totals = (stream.filter(F.size(rules.RULES_COL) == 0)
-              .groupBy("data_lancamento", "id_centro_custo", "id_categoria")
-              .agg(F.sum("valor").alias("total_do_dia")))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
-
-    w = (totals.writeStream.outputMode("complete").foreachBatch(write)
+    w = (stream.writeStream.foreachBatch(_writer(out_dir, f"{out_dir.rstrip('/')}/daily_totals"))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def read_daily_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    days = spark.read.parquet(f"{out_dir.rstrip('/')}/daily_totals")
+    return days.withColumn("data_lancamento", F.col("data_lancamento").cast("date"))

@@ -6,7 +6,7 @@ import tempfile
 sys.path.insert(0, sys.argv[1])
 
 from pyspark import TaskContext  # noqa: E402
-from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerlight.operators.running import running_sum  # noqa: E402
@@ -28,12 +28,13 @@ def fail_once(v):
 
 df = spark.range(0, 20000, numPartitions=4).select(
     F.col("id"), F.when(F.col("id") % 5 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("g"),
-    (F.col("id") % 29).alias("d"), fail_once(F.col("id") % 97).alias("v"))          # fails before the chunks
-out = running_sum(df, ["g"], ["d", "id"], "v", "rs", strategy="chunked")
+    (F.col("id") % 29).alias("d"), fail_once(F.col("id") % 97).alias("v"))          # fails before the blocks
+out = running_sum(df, ["g"], "d", "id", "v", "rs", block=64)
 out = out.withColumn("rs", fail_once(F.col("rs")))                                     # fails after them
 clean = spark.range(0, 20000, numPartitions=4).select(
     F.col("id"), F.when(F.col("id") % 5 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("g"),
     (F.col("id") % 29).alias("d"), (F.col("id") % 97).alias("v"))
-want = running_sum(clean, ["g"], ["d", "id"], "v", "rs", strategy="window")
+w = Window.partitionBy("g").orderBy("d", "id").rowsBetween(Window.unboundedPreceding, 0)
+want = clean.withColumn("rs", F.sum("v").over(w))
 diff = out.select("id", "rs").exceptAll(want.select("id", "rs")).count()
 print("DIFF", diff, out.count())

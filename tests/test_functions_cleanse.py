@@ -59,10 +59,10 @@ def test_rekey_unknown_keeps_null(spark):
     assert rows(out) == [(10, None), (11, 1), (12, -1)]
 
 
-def test_rekey_unknown_null_in_dimension_rekeys_nothing(spark):
+def test_rekey_unknown_ignores_null_dimension_keys(spark):
     dim = spark.createDataFrame([(1, "a"), (None, "b")], "id_cc int, nome_cc string")
     fact = spark.createDataFrame([(11, 1), (12, 999)], "id int, cc int")
-    assert rows(cleanse.rekey_unknown(fact, "cc", dim, "id_cc")) == [(11, 1), (12, 999)]
+    assert rows(cleanse.rekey_unknown(fact, "cc", dim, "id_cc")) == [(11, 1), (12, -1)]
 
 
 def test_default_member_is_idempotent(spark):

@@ -75,10 +75,58 @@ def test_report_matches_full_running_total(sv):
     assert rep                                                  # the case-insensitive name matched
 
 
-def test_chunked_and_window_gold_ledger_agree(sv):
-    a = gold.gold_lancamentos(sv, strategy="chunked")
-    b = gold.gold_lancamentos(sv, strategy="window")
-    assert rows(a) == rows(b)
+def test_gold_ledger_does_not_depend_on_the_block_size(sv):
+    assert rows(gold.gold_lancamentos(sv, block=2)) == rows(gold.gold_lancamentos(sv))
+
+
+def test_early_entries_stay_in_every_view(sv, spark):
+    """Entries of 1993, far outside the configured calendar, reach the monthly view, the grids and the calendar."""
+    early = [("5001", "1993-03-04", "1", "101", "7", None, "70.00", "Pago"), ("5002", "1993-11-30", "999", "102", "7", None, "5.50", "Pago")]
+    stg = {**sv.stg, "stg_lancamentos": sv.stg["stg_lancamentos"].unionByName(spark.createDataFrame(early, S.STG_LANCAMENTOS))}
+    old = silver_plan.Silver(spark, stg, CFG)
+    total = float(old.fact_lancamentos.agg(F.sum("valor")).first()[0])
+    assert abs(total - float(sv.fact_lancamentos.agg(F.sum("valor")).first()[0]) - 75.5) < 1e-6
+    assert abs(gold.gold_realizado(old).agg(F.sum("realizado")).first()[0] - total) < 1e-6
+    assert abs(float(gold.daily_grid(old).agg(F.sum("total_do_dia")).first()[0]) - total) < 1e-6
+    assert gold.gold_lancamentos_diarios(old).agg(F.min("data_lancamento")).first()[0] == dt.date(1993, 1, 1)
+    span = old.dim_calendario.agg(F.min("data"), F.max("data")).first()
+    assert (span[0], span[1]) == (dt.date(1993, 1, 1), dt.date(2024, 12, 31))
+
+
+def test_bad_rows_never_change_the_ledger(sv, spark):
+    """Repeated ids, a doubled dimension and a dimension key that is no number leave the gold ledger as it is."""
+    want = rows(gold.gold_lancamentos(sv))
+    def with_rows(table, *more):
+        return {**sv.stg, table: sv.stg[table].unionByName(spark.createDataFrame(list(more), sv.stg[table].schema))}
+    repeated = sv.stg["stg_lancamentos"].limit(20)
+    cases = [
+        {**sv.stg, "stg_lancamentos": sv.stg["stg_lancamentos"].unionByName(repeated)},
+        with_rows("stg_dim_fornecedores", ("7", "S"), ("7", "Z")),
+        with_rows("stg_dim_centro_custo", ("x", "Bad"), (None, "Null")),
+        with_rows("stg_dim_categoria", (None, "1.0", "A"), ("103.0", "55.0", "No such centre")),
+    ]
+    for stg in cases:
+        bad = silver_plan.Silver(spark, stg, CFG)
+        assert rows(gold.gold_lancamentos(bad)) == want
+    assert silver_plan.Silver(spark, cases[0], CFG).rejects_lancamentos.filter("array_contains(regras_violadas, 'id_lancamento_unique')").count() \
+        + sv.rejects_lancamentos.count() >= 19
+    assert silver_plan.Silver(spark, cases[1], CFG).dimension_rejects("dim_fornecedores").count() == 2
+    assert silver_plan.Silver(spark, cases[2], CFG).dimension_rejects("dim_centro_custo").count() == 2
+    broken = silver_plan.Silver(spark, cases[3], CFG).dimension_rejects("dim_categoria")
+    assert sorted(x for r in broken.collect() for x in r["regras_violadas"]) == ["fk_id_cc", "id_categoria_not_null"]
+
+
+def test_planning_a_query_runs_no_ledger_action(sv, spark):
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        sv.fact_lancamentos                         # dimension sizes are checked once
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("build"))
+        gold.gold_lancamentos(sv)
+        gold.gold_referencia_mtd(sv, CFG)
+        gold.gold_lancamentos_diarios(sv)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_anti_join_with_null_parent_key_reports_nothing(spark):
@@ -89,7 +137,8 @@ def test_anti_join_with_null_parent_key_reports_nothing(spark):
 
 def test_empty_grid_and_unknown_rule(spark):
     combos = spark.createDataFrame([("a",)], "cc string")
-    assert grid.dense_grid(combos, dt.date(2024, 1, 2), dt.date(2024, 1, 1), "d").count() == 0
+    for span in ((dt.date(2024, 1, 2), dt.date(2024, 1, 1)), (None, None)):
+        assert grid.dense_grid(combos, spark.createDataFrame([span], "inicio date, fim date"), "d").count() == 0
     df = spark.createDataFrame([(1, None)], "id int, v int")
     valid, rejects = rules.split(df, {"v_positive": F.col("v") > 0})
     assert valid.count() == 1 and rejects.count() == 0         # NULL rule result passes, like a CHECK

@@ -115,6 +115,41 @@ def test_full_refresh_is_idempotent(spark):
     assert back.count() == 2
 
 
+def test_csv_lines_with_other_fields_are_rejects(spark):
+    d = tempfile.mkdtemp(prefix="ll-csv-")
+    p = os.path.join(d, "dim.csv")
+    with open(p, "w") as fh:
+        fh.write('a,b\n1,Marketing\n1,A,extra\n7\n2,"two\nlines"\n3,Vendas\n')
+    good, bad = files.ingest_csv(spark, p, S.STG_CENTRO_CUSTO), files.ingest_rejects(spark, p, S.STG_CENTRO_CUSTO)
+    assert ("1", "Marketing") in rows(good) and ("3", "Vendas") in rows(good) and ("1", "A") not in rows(good)
+    assert {"1,A,extra", "7"} <= {r[0] for r in bad.collect()}
+    multi = {"multiLine": "true"}
+    assert rows(files.ingest_csv(spark, p, S.STG_CENTRO_CUSTO, **multi)) == [("1", "Marketing"), ("2", "two\nlines"), ("3", "Vendas")]
+    assert len(files.ingest_rejects(spark, p, S.STG_CENTRO_CUSTO, **multi).collect()) == 2
+    os.makedirs(os.path.join(d, "dim_old"))
+    assert files.raw_path(spark, d, "dim").endswith("/dim.csv")
+    with pytest.raises(FileNotFoundError):
+        files.raw_path(spark, d, "di")
+
+
+def test_failed_refresh_keeps_the_old_table_and_months_are_few_files(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="ll-pq-"), "t")
+    df = spark.range(4000).repartition(8).selectExpr("cast(2024 as int) ano", "cast(id % 3 as int) mes", "id")
+    files.full_refresh(df, path, ["ano", "mes"])
+    for m in range(3):
+        assert len([f for f in os.listdir(f"{path}/ano=2024/mes={m}") if f.endswith(".parquet")]) <= 2
+    bad = df.withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        files.full_refresh(bad, path, ["ano", "mes"])
+    assert spark.read.parquet(path).count() == 4000 and os.listdir(os.path.dirname(path)) == ["t"]
+
+
+def test_cast_audit(spark):
+    df = spark.createDataFrame([("1", "2024-01-01"), ("x", None), (None, "2024-13-01")], "a string, b string")
+    got = rows(audit.cast_audit("t", df, {"a": "int", "b": "date"}), "coluna", "linhas", "nao_convertidos", "nulos")
+    assert got == [("a", 3, 1, 1), ("b", 3, 1, 1)]
+
+
 def test_audits(spark):
     a = spark.createDataFrame([(1,)], "x int")
     b = spark.createDataFrame([(1,), (2,)], "y int")

@@ -11,7 +11,7 @@ def test_size_shuffles_and_input_bytes(spark):
     d = tempfile.mkdtemp(prefix="ll-size-")
     with open(os.path.join(d, "a.bin"), "wb") as fh:
         fh.write(b"x" * 1000)
-    assert session.input_bytes([d, os.path.join(d, "missing")]) == 1000
+    assert session.input_bytes(spark, [d, os.path.join(d, "missing")]) == 1000
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert session.size_shuffles(spark, 1000, total_cores=4) == 8                  # 2 per core

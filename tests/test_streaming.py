@@ -30,11 +30,14 @@ def test_stream_ingest_equals_batch_and_is_idempotent(spark):
     assert ledger_stream.read_ingested(spark, f"{base}/out").count() == want.count()
 
 
-def test_daily_stream_aggregate_plans(spark):
+def test_daily_totals_take_late_files_and_reject_known_ids(spark):
     base = tempfile.mkdtemp(prefix="ll-stream-agg-")
     os.makedirs(f"{base}/landing")
-    with open(f"{base}/landing/a.csv", "w") as fh:
-        fh.write("h1,h2,h3,h4,h5,h6,h7,h8\n1,2024-01-05,1,101,7,1.0,10.50,Pago\n2,2024-01-05,1,101,7,,5.00,PAGO\n")
+
+    def land(name, *lines):
+        with open(f"{base}/landing/{name}.csv", "w") as fh:
+            fh.write("h1,h2,h3,h4,h5,h6,h7,h8\n" + "".join(x + "\n" for x in lines))
+
     dims = {
         "stg_dim_campanha": spark.createDataFrame([("1", "Urgent", "5")], "id_camp string, nome_camp string, mes_ref string"),
         "stg_dim_centro_custo": spark.createDataFrame([("1", "A")], "id_cc string, nome_cc string"),
@@ -43,10 +46,15 @@ def test_daily_stream_aggregate_plans(spark):
     }
     from ledgerlight.plans import silver as silver_plan
     sv = silver_plan.Silver(spark, dims, TESTDATA.with_(load_date=TESTDATA.calendar_end.replace(year=2030)))
-    stream = ledger_stream.cleanse_stream(ledger_stream.read_landing(spark, f"{base}/landing"), sv, sv.cfg)
-    agg = ledger_stream.daily_actuals_stream(stream)
-    q = (agg.writeStream.outputMode("update").format("memory").queryName("ll_daily_test")
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    r = spark.sql("SELECT * FROM ll_daily_test").collect()
-    assert len(r) == 1 and float(r[0]["realizado_dia"]) == 15.5 and r[0]["lancamentos"] == 2
+
+    def run():
+        ledger_stream.start_daily_totals(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", sv, sv.cfg).awaitTermination()
+        return {str(r["data_lancamento"]): float(r["total_do_dia"]) for r in ledger_stream.read_daily_totals(spark, f"{base}/out").collect()}
+
+    land("a", "1,2024-01-05,1,101,7,1.0,10.50,Pago", "2,2024-01-05,1,101,7,,5.00,PAGO", "3,2024-02-01,1,101,7,,1.00,PAGO")
+    assert run() == {"2024-01-05": 15.5, "2024-02-01": 1.0}
+    # months later: an old day, and an id that is loaded already
+    land("b", "4,2024-01-05,1,101,7,,4.00,Pago", "3,2024-02-01,1,101,7,,9.00,PAGO", "5,2023-06-01,1,101,7,,2.00,PAGO")
+    assert run() == {"2024-01-05": 19.5, "2024-02-01": 1.0, "2023-06-01": 2.0}
+    rejects = ledger_stream.read_ingested(spark, f"{base}/out", "rejects_lancamentos").collect()
+    assert [(r["id_lancamento"], r["regras_violadas"]) for r in rejects] == [(3, ["id_lancamento_unique"])]
