@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import shutil
 import tempfile
@@ -31,9 +32,14 @@ def scratch_root(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package's code to the executors, once per application; Spark's own file server hands it out."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, "10000") == "10000":      # rows are whole documents: shorter batches than the default
+        spark.conf.set(_BATCH, "1024")
     if not getattr(sc, "_ledgerlight_shipped", False):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         folder = tempfile.mkdtemp(prefix="ledgerlight-code-")
@@ -42,6 +48,25 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SCOPE: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, name: str):
+    """Tables that ``stored`` writes inside go to a folder of their own, emptied first: for work in stages whose
+    results are written before the next stage begins, so that a stage's leftovers go when the next one starts."""
+    _remove(spark, f"{_scratch_folder(spark)}/{name}")
+    _SCOPE.append(name)
+    try:
+        yield
+    finally:
+        _SCOPE.pop()
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/ledgerlight-llm/{spark.sparkContext.applicationId}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a fresh table in the shared folder and read it back.
 
@@ -49,16 +74,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     ``<root>/ledgerlight-llm/<application>/...``; ``clear_scratch`` removes it.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/ledgerlight-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    path = "/".join([_scratch_folder(spark), *_SCOPE, f"{name}-{uuid.uuid4().hex[:12]}"])
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the table of ``stored`` once everything that is derived from it is stored itself."""
+    _remove(df.sparkSession, df._scratch_path)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove this application's scratch tables; call it once the results are written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/ledgerlight-llm/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, _scratch_folder(spark))
+
+
+#: Keys that are broadcast to find their rows; more of them go to the rows by a shuffle.
+FEW = 1_000_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """A one-column frame of numbers, to be broadcast if a count proves that there are few of them."""
+    return F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys
 
 
 def count_words(text: Column) -> Column:
@@ -149,7 +193,7 @@ def fold_grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def text_chunks(texts: list[str], limit: int = 1 << 21):
+def text_chunks(texts: list[str], limit: int = 1 << 19):
     """Split a batch into runs of texts of about ``limit`` bytes: yields (indices, list of UTF-8 bytes)."""
     some, own, size = [], [], 0
     for i, t in enumerate(texts):
