@@ -83,8 +83,8 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window:
     gone = later.groupBy("d", "h").agg(F.array_sort(F.collect_set("at")).alias("gone"))
 
     names = {c: free_name(docs, c) for c in ("n_lines", "n_removed")}
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), d.alias("d"), h.alias("h"), F.col(f"`{text}`").alias("t"))
-    joined = whole.join(gone, ["d", "h"], "left").select("row", F.coalesce("t", F.lit("")).alias("t"), "gone")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), d.alias("d"), h.alias("h"))
+    joined = whole.join(gone, ["d", "h"], "left").select("row", F.coalesce(f"row.`{text}`", F.lit("")).alias("t"), "gone")
     cut = joined.where("gone is not null").mapInArrow(_cutter(run), _cut_schema(joined))
     kept = joined.where("gone is null").select("row", F.col("t").alias("text"), F.size(F.split("t", "\n", -1)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
     both = cut.select("row", "text", "n_lines", "n_removed").union(kept)
