@@ -81,14 +81,16 @@ def multi_grain_median(df: DataFrame, always: str, optional: Sequence[str], valu
                        bits: int = RANGE_BITS) -> DataFrame:
     """Median of each ``values`` column per grain (every subset of ``optional`` by default), with ``always``.
 
-    A group all of whose values are NULL has a NULL median.
+    All values are ranked in one pass: each row gives one (name, value) per
+    column. A group all of whose values are NULL has a NULL median; a zero
+    under a name of its own, one counted row per group, keeps it in the result.
     """
     optional = list(optional)
     sets = [list(st) for st in sets] if sets is not None else _all_sets(optional)
     keys = [always, *optional]
     rows = expand_grains(df, [always], optional, sets, values, sentinel)
-    out = rows.select(*keys).distinct().withColumn("__k", F.struct(*keys))
-    for name in values:
-        found = group_median(rows.select(*keys, name), keys, name, bits).select(F.struct(*keys).alias("__k"), name)
-        out = out.join(found, "__k", "left")
-    return out.select(*keys, *values.keys())
+    named = F.array(F.struct(F.lit("").alias("__name"), F.lit(0.0).alias("__value")),
+                    *[F.struct(F.lit(v).alias("__name"), F.col(v).alias("__value")) for v in values])
+    long = rows.select(*keys, F.explode(named).alias("__x")).select(*keys, "__x.__name", "__x.__value")
+    found = group_median(long, [*keys, "__name"], "__value", bits)
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == v, F.col("__value"))).alias(v) for v in values])

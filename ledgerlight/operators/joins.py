@@ -3,9 +3,9 @@
 Three kinds of small sides, three rules:
 
 * dimensions: broadcast only behind a size check (``fits`` / ``bounded`` /
-  ``check_all``): at most ``row_limit`` rows, i.e. 2 M rows capped so that
-  rows x estimated width <= 64 MB, counted with a limited scan. Above the
-  bound the plain DataFrame is returned and Spark plans a shuffle join.
+  ``check_all``): at most 2 M rows and 64 MB, both measured with a limited
+  scan. Above the bound the plain DataFrame is returned and Spark plans a
+  shuffle join.
 * sides derived from the data (group means, month totals, benchmark rows):
   no hint and no eager count (``runtime_sized``); AQE converts the join to a
   broadcast after measuring the side's shuffle output.
@@ -43,6 +43,13 @@ def row_limit(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
     return min(max_rows, BROADCAST_BYTES // row_width(df))
 
 
+def _seen_bytes(df: DataFrame) -> Column:
+    """Aggregate: real bytes of the rows, fixed-width columns by type and texts by length."""
+    fixed = sum((16 if t.startswith("decimal") else _WIDTH.get(t, 64)) for t in (f.dataType.simpleString() for f in df.schema.fields) if t != "string")
+    texts = [F.coalesce(F.sum(F.octet_length(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return reduce(lambda x, y: x + y, texts, F.count(F.lit(1)) * max(fixed, 1)).cast("long")
+
+
 _CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
 
 
@@ -56,10 +63,16 @@ def _memo(kind: str, df: DataFrame, arg, compute) -> bool:
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``row_limit`` rows: ``max_rows`` capped so
-    that rows x estimated width <= BROADCAST_BYTES (scans <= limit + 1 rows)."""
+    """True when ``df`` has at most ``row_limit`` rows (``max_rows`` capped by
+    the estimated width) and its real size, texts measured, is at most
+    BROADCAST_BYTES; one scan of <= limit + 1 rows."""
     n = row_limit(df, max_rows)
-    return _memo("fits", df, max_rows, lambda: df.limit(n + 1).count() <= n)
+
+    def check() -> bool:
+        rows, size = df.limit(n + 1).agg(F.count(F.lit(1)), _seen_bytes(df)).first()
+        return rows <= n and size <= BROADCAST_BYTES
+
+    return _memo("fits", df, max_rows, check)
 
 
 def has_null(df: DataFrame, col: str) -> bool:
@@ -77,8 +90,8 @@ def check_all(dims: dict[str, tuple[DataFrame, str]], max_rows: int = DEFAULT_BR
         return
     limits = {name: row_limit(df, max_rows) for name, (df, _) in todo.items()}
     parts = [df.limit(limits[name] + 1)
-               .agg(F.count(F.lit(1)).alias("n"), F.max(F.col(key).isNull().cast("int")).alias("nulls"))
-               .select(F.lit(name).alias("dim"), "n", "nulls")
+               .agg(F.count(F.lit(1)).alias("n"), F.max(F.col(key).isNull().cast("int")).alias("nulls"), _seen_bytes(df).alias("size"))
+               .select(F.lit(name).alias("dim"), "n", "nulls", "size")
              for name, (df, key) in todo.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -87,15 +100,9 @@ def check_all(dims: dict[str, tuple[DataFrame, str]], max_rows: int = DEFAULT_BR
         df, key = todo[r["dim"]]
         seen = _CHECKED.setdefault(df, {})
         whole = r["n"] <= limits[r["dim"]]
-        seen[("fits", max_rows)] = whole
+        seen[("fits", max_rows)] = whole and r["size"] <= BROADCAST_BYTES
         if whole:
             seen[("null", key)] = bool(r["nulls"])
-            seen[("rows", None)] = int(r["n"])
-
-
-def row_count(df: DataFrame) -> int:
-    """Exact row count, reused from ``check_all`` when it saw the whole table."""
-    return _memo("rows", df, None, df.count)
 
 
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -120,21 +127,6 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[lc].eqNullSafe(right[rc]) for lc, rc in pairs])
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                   how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """fact LEFT JOIN dim ON fact.fact_key = dim.dim_key (``=``: NULL never matches).
-
-    The dimension key column is kept (under its own name) so callers can
-    tell matched from unmatched rows.
-    """
-    d = bounded(dim, max_rows)
-    return fact.join(d, fact[fact_key] == d[dim_key], how)
-
-
 def anti_join(child: DataFrame, parent: DataFrame, child_key: Column | str, parent_key: str,
               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``child`` whose non-null key is absent from ``parent``.

@@ -33,3 +33,5 @@ def test_broadcast_limit_caps_bytes(spark):
     assert joins.row_limit(wide) == joins.BROADCAST_BYTES // (40 * 32)
     assert joins.fits(narrow) and joins.fits(wide)
     assert not joins.fits(spark.range(20), max_rows=10)
+    long = spark.range(70).selectExpr("repeat('x', 1000000) AS name")             # few rows, 70 MB
+    assert not joins.fits(long) and joins.fits(long.limit(10))
