@@ -120,8 +120,8 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     again = later.groupBy("d", "h").agg(F.array_sort(F.collect_set("at")).alias("again"))
 
     span = T.StructType([T.StructField(c, T.LongType()) for c in ("start", "end", "words")])
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), d.alias("d"), h.alias("h"), F.col(f"`{text}`").alias("t"))
-    joined = whole.join(again, ["d", "h"], "left").select("row", F.coalesce("t", F.lit("")).alias("t"), F.coalesce("again", F.array().cast("array<int>")).alias("again"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), d.alias("d"), h.alias("h"))
+    joined = whole.join(again, ["d", "h"], "left").select("row", F.coalesce(f"row.`{text}`", F.lit("")).alias("t"), F.coalesce("again", F.array().cast("array<int>")).alias("again"))
     schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_chunks", T.LongType()),
                            T.StructField("n_repeated", T.LongType()), T.StructField("removed", T.ArrayType(span))])
     arrow_span = pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "end", "words")]))
