@@ -6,6 +6,8 @@ the next one's ``docs``. All but the last keep the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +15,30 @@ from ledgerlight.llm.lines import line_dedup
 from ledgerlight.llm.mixing import drawn, mix
 from ledgerlight.llm.packing import pack
 from ledgerlight.llm.quality import quality_rules
-from ledgerlight.llm.shared import WORD_PATTERN, stored
+from ledgerlight.llm.shared import WORD_PATTERN, few, scratch_scope, stored
 from ledgerlight.llm.similarity import near_duplicates
 
+
+def _stage(work):
+    """A stage whose scratch tables go when the next one begins; by then its result is written."""
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with scratch_scope(spark, "pipeline"):
+            return work(spark, docs, sf_dir)
+    return run_stage
+
+
 #: Near duplicates: shingles of five words, 80 % or more in common.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; null and empty texts go, as too short."""
     return quality_rules(docs, carry=True).where("kept").select("row.*")
 
 
+@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeated runs of lines; those left without a word go. ``n_chars`` follows the text."""
     cut = line_dedup(docs)
@@ -32,19 +46,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+@_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the smallest ``doc_id``; rows with one id count as one
     document, rows without an id stay."""
-    found = near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    stay = found.where("key = component").select(F.col("key").alias("doc_id")).distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id is null"))
+    found = near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT).select(F.col("key").alias("doc_id"), "component")
+    found = stored(found.where("doc_id is not null"), "near")
+    again = few(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    gone = few(found.where("doc_id <> component").select("doc_id").distinct())
+    stay = docs.join(gone, "doc_id", "left_anti")
+    return stay.join(again, "doc_id", "left_anti").union(stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
 
 
+@_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the sources' target weights, shuffled; a document may be drawn twice."""
     return drawn(docs, mix(docs)).select(*docs.columns)
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: one row per piece of a document."""
     return pack(docs).withColumnRenamed("key", "doc_id").withColumn("ids_crc32", F.crc32("ids"))
