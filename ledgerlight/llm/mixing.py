@@ -145,6 +145,8 @@ def splitting_tree(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
                                              F.struct((F.col("shard") * 2 + 1).alias("shard"), keep(right).alias("q")))).alias("c")).select("c.shard", "c.q")
         if level == 7:
             node = node.repartition(F.col("shard"))
+        if level % 3 == 2:                      # a few numbers per node: keeps the plans small
+            node = node.checkpoint()
     return node.select("shard", F.explode("q").alias("x")).select("shard", "x.rank", "x.start", "x.n")
 
 
@@ -178,7 +180,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     # the permutation of a source's blocks: multiply by a prime beyond any block number, shift by the source's rank
     at = F.pmod(_hash("key", seed=seed) % F.col("blocks") * _PRIME + F.col("rank"), F.col("blocks"))
     rows = sized.join(small, same).select("key", sized["source"], "size", "source_size", "target", "rank", "blocks", "whole",
-                                          "partial", at.alias("block"), _hash("key", seed=seed + 1).alias("order"))
+                                          "partial", at.alias("block"), _hash("key", seed=seed + 1).alias("order")).checkpoint()
 
     # the cut: runs of blocks, blocks of the run at the cut, documents of the block at the cut
     blocks = rows.groupBy("rank", "block").agg(F.sum("size").alias("size"), F.first("partial").alias("partial"),
