@@ -193,7 +193,14 @@ WHERE CAST(TRUNC(TRY_CAST(id_campanha_marketing AS DOUBLE)) AS INTEGER) NOT IN (
 
 
 # The profiling runs on staging BEFORE the default member exists.
-Q10_PREFIX = ", dim_cc_raw AS (SELECT TRY_CAST(id_cc AS INTEGER) AS id_cc FROM stg_dim_centro_custo)\n"
+# Keys that are no numbers are rejects of the dimension; with them, NOT IN would report nothing at all.
+Q10_PREFIX = ", dim_cc_raw AS (SELECT id_cc FROM centre_rows WHERE id_cc IS NOT NULL)\n"
+
+
+def _raw_centres(spark, sf_dir):
+    return silver_plan.dim_centro_custo(staging(spark, sf_dir)["stg_dim_centro_custo"]).filter(F.col("id_cc").isNotNull())
+
+
 FK_SQL_RAW = FK_SQL.replace("SELECT id_cc FROM dim_centro_custo", "SELECT id_cc FROM dim_cc_raw", 1)
 
 
@@ -201,7 +208,7 @@ FK_SQL_RAW = FK_SQL.replace("SELECT id_cc FROM dim_centro_custo", "SELECT id_cc
 def q10(spark, sf_dir):
     stg = staging(spark, sf_dir)["stg_lancamentos"]
     sv = silver(spark, sf_dir)
-    dim_cc = silver_plan.dim_centro_custo(staging(spark, sf_dir)["stg_dim_centro_custo"])
+    dim_cc = _raw_centres(spark, sf_dir)
     return quality.fk_violations(stg, {
         "id_centro_custo": (F.col("id_centro_custo").try_cast("int"), dim_cc, "id_cc"),
         "id_categoria": (F.col("id_categoria").try_cast("int"), sv.dim_categoria, "id_categoria"),
@@ -217,7 +224,7 @@ WHERE TRY_CAST(id_centro_custo AS INTEGER) NOT IN (SELECT id_cc FROM dim_cc_raw)
 """))
 def q11(spark, sf_dir):
     stg = staging(spark, sf_dir)
-    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"])
+    dim_cc = _raw_centres(spark, sf_dir)
     return quality.orphan_keys(stg["stg_lancamentos"], F.col("id_centro_custo").try_cast("int"), dim_cc, "id_cc")
 
 
@@ -238,7 +245,7 @@ def q12(spark, sf_dir):
     stg = staging(spark, sf_dir)
     fl = stg["stg_lancamentos"].withColumn("__v", F.col("valor_lancamento").try_cast("decimal(18,2)"))
     a = quality.financial_impact(fl, F.col("__v"), F.col("data_lancamento").isNull())
-    dim_cc = silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"])
+    dim_cc = _raw_centres(spark, sf_dir)
     from ledgerlight.operators.joins import bounded
     keys = bounded(dim_cc.select(F.col("id_cc").alias("__pk")).distinct())
     ck = F.col("id_centro_custo").try_cast("int")
