@@ -1,7 +1,7 @@
 """Quality rules: base counts of a text, and bands on tokeniser fertility per language or script.
 
-One pass measures every document with public vocabularies: characters per token and byte-fallback share
-(``piece_bpe_32k``), entropy of the token distribution (``byte_bpe_50k``). The measures are written once. Over all
+One pass measures every document with public vocabularies: characters per token and entropy of the token
+distribution (``byte_bpe_50k``), and the share of bytes that ``piece_bpe_32k`` can only spell as bytes. The measures are written once. Over all
 documents, the medians of each language (script where the language is null) set the bands, for the entropy by octave
 of the token count; copies count once, and values are rounded first, so an exact median needs only a few thousand
 counters whatever the group's size.
@@ -46,7 +46,7 @@ SCRIPTS = [(0x0041, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530,
            (0x1E00, "Latin"), (0x1F00, "Greek"), (0x3040, "Kana"), (0x3400, "Han"), (0xAC00, "Hangul"), (0xF900, "Han")]
 
 _MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, "
-             "n_pieces long, n_fallback long, n_tokens long, entropy double, script string")
+             "n_bytes long, n_fallback long, n_tokens long, entropy double, script string")
 
 
 def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -110,20 +110,33 @@ def script_of(text: str) -> str | None:
 
 
 @functools.lru_cache(maxsize=2)
-def _fallback_pieces(folder: str | None) -> np.ndarray:
+def _fallback_bytes(folder: str | None) -> np.ndarray:
+    """For each code point, the bytes that the piece vocabulary spells it with: 0 if a piece holds the character.
+
+    Pieces are merged from characters, so a character falls back to its bytes exactly if it is in no piece."""
     sp = tokens.piece_bpe(folder)
-    return np.array([sp.is_byte(i) for i in range(sp.get_piece_size())])
+    known = np.zeros(0x110000, dtype=bool)
+    known[0x20] = True
+    for i in range(sp.get_piece_size()):
+        piece = sp.id_to_piece(i)
+        if len(piece) == 1 and not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i)):
+            known[ord(piece)] = True
+    size = np.full(0x110000, 4, dtype=np.uint8)
+    size[:0x10000], size[:0x800], size[:0x80] = 3, 2, 1
+    return np.where(known, np.uint8(0), size)
 
 
 def fertility(text: str, folder: str | None = None) -> tuple[int, int, int, float]:
-    """(pieces, byte-fallback pieces, byte-BPE tokens, entropy of these tokens in bits) of a text."""
-    pieces = np.asarray(tokens.piece_bpe(folder).encode(text), dtype=np.int64)
+    """(UTF-8 bytes, bytes that the piece vocabulary falls back to, byte-BPE tokens, entropy of these tokens in bits)."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    fallback = int(_fallback_bytes(folder)[points].sum())
     ids = np.asarray(tokens.encode(text, folder), dtype=np.int64)
+    size = len(text.encode("utf-8", "surrogatepass"))
     if not len(ids):
-        return len(pieces), 0, 0, 0.0
+        return size, fallback, 0, 0.0
     count = np.unique(ids, return_counts=True)[1]
     share = count / len(ids)
-    return len(pieces), int(_fallback_pieces(folder)[pieces].sum()), len(ids), float(-(share * np.log2(share)).sum())
+    return size, fallback, len(ids), float(-(share * np.log2(share)).sum())
 
 
 def measure(rows: DataFrame, vocabulary_folder: str | None = None) -> DataFrame:
@@ -144,8 +157,8 @@ def measure(rows: DataFrame, vocabulary_folder: str | None = None) -> DataFrame:
                 for k, v in base_counts(raw).items():
                     found[k].extend(v.tolist())
                 for i in some:
-                    pieces, fallback, n, entropy = fertility(texts[i], vocabulary_folder)
-                    for k, v in (("n_chars", len(texts[i])), ("n_pieces", pieces), ("n_fallback", fallback), ("n_tokens", n),
+                    size, fallback, n, entropy = fertility(texts[i], vocabulary_folder)
+                    for k, v in (("n_chars", len(texts[i])), ("n_bytes", size), ("n_fallback", fallback), ("n_tokens", n),
                                  ("entropy", entropy), ("script", script_of(texts[i]))):
                         found[k].append(v)
             own = [batch.column(batch.schema.get_field_index(f.name)).cast(arrow.field(f.name).type) for f in carried]
@@ -172,8 +185,8 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     found = (found
              .withColumn("group", F.coalesce("lang", F.concat(F.lit("script "), "script")))
              .withColumn("octave", F.when(F.col("n_tokens") > 0, F.floor(F.log2("n_tokens"))).cast("int"))
-             .withColumn("chars_per_token", F.when(F.col("n_pieces") > 0, F.col("n_chars") / F.col("n_pieces")))
-             .withColumn("fallback_share", F.when(F.col("n_pieces") > 0, F.col("n_fallback") / F.col("n_pieces")))
+             .withColumn("chars_per_token", F.when(F.col("n_tokens") > 0, F.col("n_chars") / F.col("n_tokens")))
+             .withColumn("fallback_share", F.when(F.col("n_bytes") > 0, F.col("n_fallback") / F.col("n_bytes")))
              .withColumn("entropy_ratio", F.when(F.col("n_tokens") > 1, F.col("entropy") / F.log2(F.least(n, F.lit(512.0))))))
 
     # copies count once; rounded values keep the counters of an exact median few

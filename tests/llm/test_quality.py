@@ -40,8 +40,11 @@ def test_base_counts_of_odd_texts():
 
 
 def test_fertility():
-    pieces, fallback, n, entropy = quality.fertility("你\U0001f9ec zzz")
-    assert fallback > 0 and pieces >= fallback and n == len(tokens.byte_bpe_json().encode("你\U0001f9ec zzz", add_special_tokens=False).ids)
+    for text in ("plain words\n", "é\u4f60\u597d \U0001f9ec\U0001f600 z\u0301", "\u2603\tab \u0416\u05d0", "naïve Straße"):
+        pieces = tokens.piece_bpe().encode(text)
+        assert quality.fertility(text)[1] == sum(map(tokens.piece_bpe().is_byte, pieces)), text
+    size, fallback, n, entropy = quality.fertility("你\U0001f9ec zzz")
+    assert 0 < fallback <= size == 11 and n == len(tokens.byte_bpe_json().encode("你\U0001f9ec zzz", add_special_tokens=False).ids)
     assert quality.fertility("") == (0, 0, 0, 0.0) and quality.fertility("the the the the")[3] < 1.0 < entropy
     assert quality.script_of("Привет, world") == "Cyrillic" and quality.script_of("123 !") is None and quality.script_of("été") == "Latin"
 
