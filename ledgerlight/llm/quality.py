@@ -34,7 +34,7 @@ MIN_GROUP = 30
 #: The table of bands is broadcast up to this many rows.
 BROADCAST_BANDS = 100_000
 #: Half-widths in standard errors: characters per token (both sides), token entropy (below).
-FERTILITY_WIDTH, ENTROPY_WIDTH = 4.0, 2.2
+FERTILITY_WIDTH, ENTROPY_WIDTH = 5.5, 2.2
 #: Relative spread between clean documents, and variances per token of the two measures.
 SPREAD, FERTILITY_VARIANCE, ENTROPY_VARIANCE = 0.02, 2.0, 0.4
 #: Byte-fallback share above the group's median: a margin and a multiple of its standard error.
