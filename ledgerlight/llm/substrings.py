@@ -3,7 +3,8 @@
 The gear hash of the last 16 bytes decides where a text is cut: at white space where the hash falls below a
 threshold. Boundaries depend on nearby bytes only, so equal passages have equal chunks inside whatever stands
 before them. Chunks are deduplicated by digest: the first occurrence in key order stays. What is removed are runs
-of adjoining repeated chunks of at least ``min_words`` words, so short common phrases are left alone.
+of adjoining repeated chunks of at least ``min_words`` words, or of as much text without blanks (``CHARS_A_WORD`` code
+points for a word), so short common phrases are left alone.
 
 Digests that occur once leave after one count; first occurrences are found, and joined back, for the rest only.
 """
@@ -28,6 +29,8 @@ WARM = 16
 BLANKLESS, MOST = 64, 512
 #: Words of a run of repeated chunks that is removed.
 MIN_WORDS = 20
+#: Code points that stand for a word in text without blanks: words of over BLANKLESS bytes, and scripts that use none.
+CHARS_A_WORD = 5
 _FIRST_DOC = -(1 << 63)
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) >> np.uint64(40)).astype(np.uint16)
 
@@ -83,10 +86,22 @@ def _buffer(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Digest of every chunk without the white space at its end, so that a passage may end a text or not."""
-    words, word_ends = word_spans(data)
-    last = np.searchsorted(word_ends, ends, side="right") - 1
-    stop = np.where((last >= 0) & (word_ends[last.clip(min=0)] > starts), word_ends[last.clip(min=0)], starts)
-    return span_hashes(data, starts, stop)
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    stop = np.maximum.accumulate(np.where(blank, 0, np.arange(1, len(data) + 1)))[ends - 1]
+    return span_hashes(data, starts, np.maximum(stop, starts))
+
+
+def blankless_chars(data: np.ndarray) -> np.ndarray:
+    """Marks the first byte of every code point of text without blanks."""
+    word, stop = word_spans(data)
+    long = stop - word > BLANKLESS
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[word[long]], edge[stop[long]] = 1, -1
+    second = np.append(data[1:], np.uint8(0))
+    scripts = ((data >= 0xE3) & (data <= 0xE9) | (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)       # Kana, Han; Thai, Lao
+               | (data == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second == 0x9E) | (second == 0x9F))   # Myanmar; Khmer
+               | (data == 0xEF) & ((second >= 0xA4) & (second <= 0xAB) | (second >= 0xBC)) | (data == 0xF0) & (second >= 0xA0))
+    return scripts | (np.cumsum(edge[:-1]) > 0) & ((data & 0xC0) != 0x80)
 
 
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -133,10 +148,14 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
             for some, raw in text_chunks(texts):
                 data, first, starts, ends, doc = _buffer(raw)
                 words = np.diff(np.searchsorted(word_spans(data)[0], np.concatenate([starts, [len(data)]])))
+                chars_before = np.concatenate([[0], np.cumsum(blankless_chars(data))])
+                blankless = chars_before[ends] - chars_before[starts]
                 edge = np.searchsorted(doc, np.arange(len(raw) + 1))
                 for k, i in enumerate(some):
                     a, b, base = edge[k], edge[k + 1], first[k]
-                    spans = [(starts[a + x] - base, min(ends[a + y] - base, len(raw[k])), n) for x, y, n in runs(repeated[i], words[a:b]) if n >= min_words]
+                    counted = zip(runs(repeated[i], words[a:b]), runs(repeated[i], blankless[a:b]))
+                    spans = [(starts[a + x] - base, min(ends[a + y] - base, len(raw[k])), n) for (x, y, n), (*_, c) in counted
+                             if n >= min_words or c >= CHARS_A_WORD * min_words]
                     kept, at, found, chars = [], 0, [], 0
                     for s, e, n in spans:
                         before, gone = raw[k][at:s].decode(), raw[k][s:e].decode()

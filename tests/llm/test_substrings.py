@@ -97,3 +97,22 @@ def test_edge_rows(spark):
     assert len(got[7]) == 2 and got[7][0] == got[7][1]
     assert len(got[6][0]["text"]) < 5000            # one phrase over and over
     assert substring_dedup(empty_docs(spark)).count() == 0
+
+
+def test_text_without_blanks(spark):
+    rng = random.Random(3)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    thai = lambda n: "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(n))
+    data = lambda n: "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(n))
+    docs, planted = {}, {}
+    for i, text in enumerate((han, thai, data)):
+        copied, passage = text(400), text(600)
+        docs |= {10 * i: copied, 10 * i + 1: copied, 10 * i + 2: text(300) + passage + text(300), 10 * i + 3: text(250) + passage + text(350), 10 * i + 4: text(900)}
+        planted[10 * i + 3] = passage
+    clauses = " ".join(han(9) for _ in range(18))       # fewer than 20 words, none of them long
+    docs |= {40: clauses, 41: clauses}
+    got = {r["doc_id"]: r["text"] for r in substring_dedup(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert all(got[k] == docs[k] for k in docs if k % 10 in (0, 2, 4)) and not any(got[k] for k in (1, 11, 21, 41))
+    for k, passage in planted.items():
+        before, after = docs[k].split(passage)
+        assert got[k].startswith(before) and got[k].endswith(after) and len(docs[k]) - len(got[k]) >= 300
