@@ -3,7 +3,7 @@
 One pass measures every document with public vocabularies: characters per token and entropy of the token
 distribution (``byte_bpe_50k``), and the share of bytes that ``piece_bpe_32k`` can only spell as bytes. The measures are written once. Over all
 documents, the medians of each language (script where the language is null) set the bands, for the entropy by octave
-of the token count; copies count once, and values are rounded first, so an exact median needs only a few thousand
+of the token count; small groups take the band of the next wider one; copies count once, and values are rounded first, so an exact median needs only a few thousand
 counters whatever the group's size.
 Widths are fixed multiples of the sampling error at the document's length, so long texts are held to narrower bands.
 """
@@ -17,7 +17,7 @@ from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import tokens
@@ -29,8 +29,14 @@ REPEAT_WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 #: Texts with fewer tokens are not judged by the bands.
 MIN_TOKENS = 16
-#: Groups with fewer different texts set no band.
+#: Groups with fewer different texts are judged by the band of the next wider group.
 MIN_GROUP = 30
+#: How much wider than in a language the spread between clean documents is across a script's languages, and across scripts.
+WIDER = {"lang": 1.0, "script": 5.0, "all": 10.0}
+#: The same for the entropy, which falls with the octave up to that of 512 tokens: own octave, all octaves from there on,
+#: one and two octaves to either side, all octaves of the language, of the script, of all rows.
+ENTROPY_WIDER = {"octave": 1.0, "near0": 1.0, "near1": 2.0, "near2": 4.0, "lang": 7.0, "script": 8.0, "all": 10.0}
+FULL_OCTAVE = 9
 #: The table of bands is broadcast up to this many rows.
 BROADCAST_BANDS = 100_000
 #: Half-widths in standard errors: characters per token (both sides), token entropy (below).
@@ -167,6 +173,42 @@ def measure(rows: DataFrame, vocabulary_folder: str | None = None) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+_BAND = ["group", "script", "octave"]
+
+
+def _bands(found: DataFrame) -> DataFrame:
+    """``_group, _script, _octave, m_c, m_f, wider, m_e, wider_e`` for all that occur: the medians of the narrowest group that
+    has ``MIN_GROUP`` different texts, of all rows if none has, and how much wider than a language's own the band is."""
+    # copies count once; rounded values keep the counters of an exact median few
+    values = stored(found.where(F.col("n_tokens") >= MIN_TOKENS)
+                    .select(*_BAND, "n_tokens", F.round("chars_per_token", 2).alias("c"), F.round("entropy_ratio", 3).alias("e"),
+                            F.round("fallback_share", 3).alias("f")).distinct(), "bands")
+    bands = found.select(*[F.col(c).alias(f"_{c}") for c in _BAND]).distinct()
+
+    def attached(rows: DataFrame, values: DataFrame, by: list[str], of: str, name: str, least: int = MIN_GROUP) -> DataFrame:
+        medians = (values.where(reduce(and_, [F.col(c).isNotNull() for c in by], F.lit(True))).groupBy(*[F.col(c).alias(f"{name}_{c}") for c in by])
+                   .agg(F.count("*").alias("_n"), *[F.expr(f"percentile({x}, 0.5)").alias(f"{name}_{x}") for x in of])
+                   .where(F.col("_n") >= least).drop("_n"))
+        return rows.join(medians, reduce(and_, [F.col(f"_{c}") == F.col(f"{name}_{c}") for c in by], F.lit(True)), "left")
+
+    bands = attached(bands, values, ["group", "octave"], "e", "octave")
+    length = F.least(F.col("octave"), F.lit(FULL_OCTAVE))
+    bands = bands.withColumn("_length", F.least(F.col("_octave"), F.lit(FULL_OCTAVE)))
+    for r in (0, 1, 2):
+        spread = values.withColumn("length", F.explode(F.sequence(length - r, length + r)))
+        bands = attached(bands, spread, ["group", "length"], "e", f"near{r}")
+    bands = attached(bands, values, ["group"], "cef", "lang")
+    bands = attached(bands, values, ["script"], "cef", "script")
+    bands = attached(bands, values, [], "cef", "all", least=1)
+
+    def narrowest(x: str, widths: dict[str, float]) -> tuple[Column, Column]:
+        found_at = [F.when(F.col(f"{name}_{x}").isNotNull(), F.lit(wider)) for name, wider in widths.items()]
+        return F.coalesce(*[F.col(f"{name}_{x}") for name in widths]), F.coalesce(*found_at)
+
+    (c, wider), (f, _), (e, wider_e) = narrowest("c", WIDER), narrowest("f", WIDER), narrowest("e", ENTROPY_WIDER)
+    return bands.select(*[f"_{x}" for x in _BAND], c.alias("m_c"), f.alias("m_f"), wider.alias("wider"), e.alias("m_e"), wider_e.alias("wider_e"))
+
+
 def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", carry: bool = False,
                   vocabulary_folder: str | None = None) -> DataFrame:
     """Every row with its measures, ``base_failed`` and ``kept``; with ``carry``, ``row`` holds the whole input row.
@@ -174,8 +216,10 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     ``base_failed``: fewer than ``MIN_WORDS`` words, or more than ``MAX_REPEAT_PERCENT`` % of the words in 5-word
     windows that occur twice. ``kept`` is false for these, and for texts whose characters per token, entropy or
     byte-fallback share leave the bands of their group. A null text counts as empty (base_failed); a null
-    language is judged by the script, a rare language or script by no band. Repeated rows get equal results, an empty table none. Input columns are kept
-    inside ``row``, so their names cannot clash.
+    language is judged by the script, a group with fewer than ``MIN_GROUP`` different texts by the next wider one (entropy:
+    neighbour octaves, language, script, all rows; the others: language, script, all rows), with wider bands across languages and
+    scripts, so every text of ``MIN_TOKENS`` tokens is judged. Repeated rows get equal results, an empty table none. Input columns
+    are kept inside ``row``, so their names cannot clash.
     """
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"),
                        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
@@ -189,27 +233,14 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
              .withColumn("fallback_share", F.when(F.col("n_bytes") > 0, F.col("n_fallback") / F.col("n_bytes")))
              .withColumn("entropy_ratio", F.when(F.col("n_tokens") > 1, F.col("entropy") / F.log2(F.least(n, F.lit(512.0))))))
 
-    # copies count once; rounded values keep the counters of an exact median few
-    values = (found.where((F.col("n_tokens") >= MIN_TOKENS) & F.col("group").isNotNull())
-              .select("group", "octave", "n_tokens", F.round("chars_per_token", 2).alias("c"), F.round("entropy_ratio", 3).alias("e"),
-                      F.round("fallback_share", 3).alias("f")).distinct())
-
-    def medians(by: list[str], of: str, name: str) -> DataFrame:
-        return (values.groupBy(*[F.col(c).alias(f"{name}_{c}") for c in by])
-                .agg(F.count("*").alias("_n"), *[F.expr(f"percentile({x}, 0.5)").alias(f"m_{x}") for x in of])
-                .where(F.col("_n") >= MIN_GROUP).drop("_n"))
-
-    def attached(rows: DataFrame, by: list[str], of: str, name: str) -> DataFrame:
-        # the bands are broadcast only if there are few of them, else rows go to them by a shuffle
-        table = medians(by, of, name).checkpoint()
-        small = F.broadcast(table) if table.count() <= BROADCAST_BANDS else table
-        return rows.join(small, reduce(and_, [F.col(c) == F.col(f"{name}_{c}") for c in by]), "left")
-
-    judged = attached(attached(found, ["group"], "cf", "g"), ["group", "octave"], "e", "o")
+    bands = _bands(found).checkpoint()
+    # the bands are broadcast only if there are few of them, else rows go to them by a shuffle
+    small = F.broadcast(bands) if bands.count() <= BROADCAST_BANDS else bands
+    judged = found.join(small, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _BAND]), "left")
     middle = {x: F.col(f"m_{x}") for x in "cef"}
-    off_c = (F.col("chars_per_token") - middle["c"]) / F.sqrt(F.pow(middle["c"] * SPREAD, 2) + FERTILITY_VARIANCE / n)
-    off_e = (F.col("entropy_ratio") - middle["e"]) / F.sqrt(F.lit(SPREAD ** 2) + ENTROPY_VARIANCE / n)
-    most_f = middle["f"] + FALLBACK_MARGIN + FALLBACK_WIDTH * F.sqrt(middle["f"] * (1 - middle["f"]) / n)
+    off_c = (F.col("chars_per_token") - middle["c"]) / F.sqrt(F.pow(middle["c"] * SPREAD * F.col("wider"), 2) + FERTILITY_VARIANCE / n)
+    off_e = (F.col("entropy_ratio") - middle["e"]) / F.sqrt(F.pow(SPREAD * F.col("wider_e"), 2) + ENTROPY_VARIANCE / n)
+    most_f = middle["f"] + FALLBACK_MARGIN * F.col("wider") + FALLBACK_WIDTH * F.sqrt(middle["f"] * (1 - middle["f"]) / n)
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     outside = [F.coalesce(x, F.lit(False)) for x in (F.abs(off_c) > FERTILITY_WIDTH, off_e < -ENTROPY_WIDTH, F.col("fallback_share") > most_f)]
     judge = (F.col("n_tokens") >= MIN_TOKENS) & (outside[0] | outside[1] | outside[2])

@@ -79,3 +79,25 @@ def test_edge_rows(spark):
     assert got[1][0]["row"].asDict() == df.where("doc_id = 1").first().asDict()
     assert got[6][0]["base_failed"] and got[10][0]["n_words"] == 1
     assert quality.quality_rules(empty_docs(spark), carry=True).count() == 0
+
+
+def test_small_groups_are_judged_by_wider_ones(spark):
+    rng = random.Random(8)
+    found = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    docs = [(r["doc_id"], r["text"], "en") for r in found if r["lang"] == "en"]
+    german, french = ([r["text"] for r in found if r["lang"] == x and r["n_chars"] > 900] for x in ("de", "fr"))
+    noise = lambda n: " ".join("".join(rng.choice("ǆǇꙮⱤɀȸǂƾȹƨ") for _ in range(8)) for _ in range(n))
+    few = lambda n: " ".join(rng.choice(docs[3][1].split()[:40]) for _ in range(n))
+    russian = ("Вечером мы вышли из дома и долго шли вдоль реки, потому что никто не хотел возвращаться. Старый мост уже закрыли, "
+               "и пришлось идти через рынок, где продавцы убирали ящики с яблоками и спорили о завтрашней погоде.")
+    chinese = "昨天下午我和朋友 去城里的图书馆 看了一本关于古代航海的书 后来下起大雨 我们只好 在门口等了很久 才坐公共汽车 回到学校 晚饭以后 又继续讨论 书里的故事"
+    good = [(10_000, " ".join(t for _, t, _ in docs[:60]), "en"), (10_001, german[0], "xx"), (10_002, french[0], "yy"), (10_003, russian, "ru"), (10_004, chinese, "zh")]
+    bad = [(20_000, few(9000), "en"), (20_001, noise(30), "vv"), (20_002, noise(900), "ww")]
+    rows = spark.createDataFrame(docs + good + bad + [(30_000, " ".join(str(i * i) for i in range(90)), None)],
+                                 "doc_id long, text string, lang string")
+    got = {r["key"]: r for r in quality.quality_rules(rows).collect()}
+    assert [k for k, *_ in bad if got[k]["base_failed"] or got[k]["kept"]] == []
+    assert [k for k, *_ in good if not (got[k]["kept"] or got[k]["base_failed"])] == [] and sum(got[k]["kept"] for k, *_ in good) >= 4
+    assert all(r["entropy_offset"] is not None and r["fertility_offset"] is not None for r in got.values() if r["n_words"])
+    lone = quality.quality_rules(rows.where("doc_id = 10003")).first()
+    assert lone["kept"] and lone["entropy_offset"] is not None
