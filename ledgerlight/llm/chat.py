@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,7 +53,7 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
-def expand(turns: list[tuple[str, str]]) -> Iterator[tuple[int, str, int, int]]:
+def expand(turns: Iterable[tuple[str, str]]) -> Iterator[tuple[int, str, int, int]]:
     """``(target turn or -1, formatted, loss start, loss end)`` for each example of a conversation."""
     prefix, waiting = "", False
     for n, (role, text) in enumerate(turns):
@@ -64,6 +66,12 @@ def expand(turns: list[tuple[str, str]]) -> Iterator[tuple[int, str, int, int]]:
         yield -1, prefix, len(prefix), len(prefix)
 
 
+def _turns(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    for batch in batches:
+        for k, r, t in zip(batch["conv_id"], batch["role"], batch["text"]):
+            yield None if pd.isna(k) else k, r, t
+
+
 def chat_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """``conv_id, example, target, formatted, loss_start, loss_end`` (code points): one row per example.
 
@@ -77,30 +85,20 @@ def chat_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
     kind = rows.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, key, out, size = [], None, [], 0
-
-        def flush() -> None:
-            nonlocal size
-            for n, (target, formatted, a, b) in enumerate(expand(own)):
-                out.append((key, n, target, formatted, a, b))
-                size += len(formatted)
-
-        for batch in batches:
-            for k, r, t in zip(batch["conv_id"], batch["role"], batch["text"]):
-                k = None if pd.isna(k) else k
-                if own and k != key:
-                    flush()
-                    own = []
-                key = k
-                own.append((r, t))
-                if size > _BATCH_CHARS:
-                    yield pd.DataFrame(out, columns=_COLUMNS)
-                    out.clear()
-                    size = 0
-        if own:
-            flush()
-        for at in range(0, len(out), 256):
-            yield pd.DataFrame(out[at:at + 256], columns=_COLUMNS)
+        def examples() -> Iterator[tuple]:
+            for key, own in groupby(_turns(batches), key=itemgetter(0)):
+                for n, (target, formatted, a, b) in enumerate(expand((r, t) for _, r, t in own)):
+                    yield key, n, target, formatted, a, b
+
+        out, size = [], 0
+        for row in examples():
+            out.append(row)
+            size += len(row[3])
+            if size > _BATCH_CHARS:
+                yield pd.DataFrame(out, columns=_COLUMNS)
+                out, size = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=_COLUMNS)
 
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInPandas(run, _SCHEMA.format(key=kind))
 

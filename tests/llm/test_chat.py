@@ -53,3 +53,22 @@ def test_one_example_per_assistant_turn(n):
     examples = list(chat.expand(turns))
     assert len(examples) == n + 1 and examples[-1][0] == -1 and examples[-1][2] == examples[-1][3]
     assert chat.read_turns(examples[-1][1]) == turns
+
+
+def test_a_long_conversation_leaves_in_small_batches(spark, monkeypatch):
+    """The 300 prefixes of one conversation are never held together."""
+    sent = []
+
+    class Rows:
+        schema = {"conv_id": type("F", (), {"dataType": type("T", (), {"simpleString": staticmethod(lambda: "long")})})}
+        repartition = sortWithinPartitions = select = lambda self, *a: self
+        sparkSession = spark
+
+        def mapInPandas(self, run, schema):
+            turns = chat.pd.DataFrame({"conv_id": [1] * 600, "role": ["user", "assistant"] * 300, "text": ["x"] * 600})
+            sent.extend(run(iter([turns[:350], turns[350:]])))
+
+    monkeypatch.setattr(chat, "_BATCH_CHARS", 50_000)
+    chat.chat_examples(Rows())
+    assert len(sent) > 20 and max(b["formatted"].str.len().sum() for b in sent) < 100_000
+    assert [e for b in sent for e in b["example"]] == list(range(300))
