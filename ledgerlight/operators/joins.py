@@ -105,6 +105,20 @@ def check_all(dims: dict[str, tuple[DataFrame, str]], max_rows: int = DEFAULT_BR
             seen[("null", key)] = bool(r["nulls"])
 
 
+def remember(df: DataFrame, rows: int, size: int, keys: dict[str, bool], max_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
+    """Answers of ``fits`` and ``has_null`` for a table whose rows, bytes and NULL keys were counted when it was
+    written, so that no query counts them again."""
+    seen = _CHECKED.setdefault(df, {})
+    seen[("fits", max_rows)] = rows <= row_limit(df, max_rows) and size <= BROADCAST_BYTES
+    for column, nulls in keys.items():
+        seen[("null", column)] = nulls
+
+
+def size_facts(df: DataFrame, key: str) -> dict[str, Column]:
+    """Aggregates that ``remember`` wants of a dimension."""
+    return {"rows": F.count(F.lit(1)), "size": _seen_bytes(df), "nulls": F.count_if(F.col(key).isNull())}
+
+
 def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for ``df`` only if its size is proven small."""
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -21,7 +21,7 @@ def not_null(*cols: str) -> dict[str, Column]:
     return {f"{c}_not_null": F.col(c).isNotNull() for c in cols}
 
 
-def _broken(rules: Mapping[str, Column]) -> Column:
+def broken(rules: Mapping[str, Column]) -> Column:
     # NULL rule result (unknown) passes, like a SQL CHECK constraint
     return F.array_compact(F.array(*[F.when(~F.coalesce(cond, F.lit(True)), F.lit(name))
                                      for name, cond in rules.items()]))
@@ -29,7 +29,7 @@ def _broken(rules: Mapping[str, Column]) -> Column:
 
 def split(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """R2: (valid rows, rejected rows + broken rule names)."""
-    tagged = df.withColumn(RULES_COL, _broken(rules))
+    tagged = df.withColumn(RULES_COL, broken(rules))
     valid = tagged.filter(F.size(RULES_COL) == 0).drop(RULES_COL)
     rejects = tagged.filter(F.size(RULES_COL) > 0)
     return valid, rejects
@@ -56,14 +56,27 @@ def keep_first(df: DataFrame, key: Sequence[str], rule: str = "chave_unica") ->
 
     The smallest row by the other columns stays (NULLs first), whatever the
     input order. A filter on ``row_number() = 1`` is pushed below the shuffle
-    (each task keeps one row per key), so a key of any size is safe for the
-    rows that stay.
+    (each task keeps one row per key), so a key of any size is safe. The
+    repeats come from counts: equal rows collapse to one counted row before
+    the shuffle, the row that stays loses one of its copies, and no task
+    sorts or holds all rows of a key.
     """
     others = [F.col(c).asc_nulls_first() for c in df.columns if c not in key]
     nth = F.row_number().over(Window.partitionBy(*key).orderBy(*(others or [F.col(key[0])])))
-    numbered = df.withColumn("__nth", nth)
-    return (numbered.filter("__nth = 1").drop("__nth"),
-            numbered.filter("__nth > 1").drop("__nth").withColumn(RULES_COL, F.array(F.lit(rule))))
+    kept = df.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
+    return kept, _repeats(df, key).withColumn(RULES_COL, F.array(F.lit(rule)))
+
+
+def _repeats(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """All rows of ``df`` but the smallest of each key."""
+    row = F.struct(*[c for c in df.columns if c not in key]) if len(key) < len(df.columns) else F.lit(0)
+    counted = df.select(F.struct(*key).alias("__key"), row.alias("__row")).groupBy("__key", "__row").agg(F.count(F.lit(1)).alias("__n"))
+    again = (counted.groupBy("__key").agg(F.sum("__n").alias("__all"), F.min("__row").alias("__first"))
+             .filter("__all > 1").select(F.col("__key").alias("__again"), "__first"))
+    more = (counted.join(again, F.col("__key").eqNullSafe(F.col("__again")))
+            .withColumn("__left", F.col("__n") - F.col("__row").eqNullSafe(F.col("__first")).cast("int")).filter("__left > 0"))
+    fields = [(F.col("__key")[c] if c in key else F.col("__row")[c]).alias(c) for c in df.columns]
+    return more.select(*fields, F.explode(F.sequence(F.lit(1), F.col("__left"))).alias("__copy")).drop("__copy")
 
 
 class RuleViolation(Exception):

@@ -297,7 +297,7 @@ def mtd_report(sv: Silver, cfg: Config) -> DataFrame:
     same_name = F.upper(F.rtrim("nome_cc")) == cfg.report_cost_centre.rstrip().upper()   # CI collation
     ids = sv.dim_centro_custo.filter(same_name) \
             .select(F.col("id_cc").alias("rep_cc"))
-    fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start_month), F.lit(cfg.report_end)))
+    fl = sv.entries_between(start_month, cfg.report_end)
     fl = fl.join(bounded(ids), F.col("id_centro_custo") == F.col("rep_cc"), "left_semi")
     e = ledger_enriched(sv, with_ledger_mtd(fl, MTD_COLUMNS[1:]), MTD_COLUMNS[1:])
     e = e.filter((F.upper(F.rtrim("centro_de_custo")) == cfg.report_cost_centre.rstrip().upper())

@@ -50,7 +50,7 @@ class Period:
 
 # ------------------------------------------------------------------ building blocks
 def actual_between(sv: Silver, start: dt.date, end: dt.date, keys: list[str]) -> DataFrame:
-    fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start), F.lit(end)))
+    fl = sv.entries_between(start, end)
     return fl.groupBy(*keys).agg(F.sum("valor").alias("realizado"), F.count(F.lit(1)).alias("qtd_lancamentos"))
 
 
@@ -134,7 +134,8 @@ def company_cards(sv: Silver, cfg: Config) -> DataFrame:
     def total(start: dt.date, end: dt.date, name: str) -> Column:
         return F.sum(F.when(day.between(F.lit(start), F.lit(end)), F.col("valor"))).alias(name)
 
-    r = sv.fact_lancamentos.agg(
+    first = min(dt.date(p.year - 1, 1, 1), before.replace(day=1))
+    r = sv.entries_between(first, p.as_of.replace(day=p.days_in_month)).agg(
         total(p.month_start, p.as_of, "mtd"), total(p.month_start, p.as_of.replace(day=p.days_in_month), "mes"),
         total(before.replace(day=1), before, "mes_anterior"), total(p.month_start_ly, p.as_of_ly, "mtd_ano_anterior"),
         total(dt.date(p.year, 1, 1), p.as_of, "ytd"), total(dt.date(p.year - 1, 1, 1), p.as_of_ly, "ytd_ano_anterior"))
@@ -310,7 +311,7 @@ def top_growth(sv: Silver, cfg: Config) -> DataFrame:
 def pending_payables(sv: Silver, cfg: Config) -> DataFrame:
     """Total pending and share pending, month to date."""
     p = Period.of(cfg)
-    fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(p.month_start), F.lit(p.as_of)))
+    fl = sv.entries_between(p.month_start, p.as_of)
     pend = F.sum(F.when(F.col("status_pagamento") == S.STATUS_OPEN, F.col("valor")))
     tot = F.sum("valor")
     return fl.agg(money(tot).alias("total"), money(F.coalesce(pend, F.lit(0))).alias("total_pendente"),
@@ -321,7 +322,7 @@ def pending_payables(sv: Silver, cfg: Config) -> DataFrame:
 def daily_cumulative(sv: Silver, cfg: Config) -> DataFrame:
     """Per day of the period: total, running total and cumulative %."""
     p = Period.of(cfg)
-    fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(p.month_start), F.lit(p.as_of)))
+    fl = sv.entries_between(p.month_start, p.as_of)
     d = fl.groupBy("data_lancamento").agg(F.sum("valor").alias("__t")) \
           .withColumn("__ano", F.year("data_lancamento")).withColumn("__mes", F.month("data_lancamento"))
     month = ["__ano", "__mes"]                       # the period lies in one month: <= 31 rows
@@ -337,7 +338,7 @@ def annual_kpis(sv: Silver, cfg: Config) -> DataFrame:
     p = Period.of(cfg)
     o = sv.fact_orcamento.filter((F.col("ano") == p.year) & (F.col("mes") <= p.month)) \
           .agg(F.sum("valor").alias("orcado_ytd"))
-    r = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(dt.date(p.year, 1, 1)), F.lit(p.as_of))) \
+    r = sv.entries_between(dt.date(p.year, 1, 1), p.as_of) \
           .agg(F.sum("valor").alias("realizado_ytd"))
     j = with_scalars(o, r)                          # two one-row aggregates
     desvio = F.coalesce(F.col("realizado_ytd"), F.lit(0)) - F.coalesce(F.col("orcado_ytd"), F.lit(0))
@@ -376,7 +377,7 @@ def variance_matrix(sv: Silver, cfg: Config) -> DataFrame:
 def yoy_monthly(sv: Silver, cfg: Config) -> DataFrame:
     """Actual per month, previous year vs as-of year side by side."""
     y = cfg.as_of.year
-    fl = sv.fact_lancamentos.withColumn("ano", F.year("data_lancamento")).filter(F.col("ano").isin(y - 1, y))
+    fl = sv.entries_between(dt.date(y - 1, 1, 1), dt.date(y, 12, 31)).withColumn("ano", F.year("data_lancamento"))
     pv = fl.groupBy(F.month("data_lancamento").alias("mes")).pivot("ano", [y - 1, y]).agg(F.sum("valor"))
     return pv.select("mes", money(F.col(str(y - 1))).alias("ano_anterior"), money(F.col(str(y))).alias("ano_atual"))
 
@@ -392,11 +393,8 @@ def ytd_vs_last_year(sv: Silver, cfg: Config) -> DataFrame:
 def growth_table(sv: Silver, cfg: Config) -> DataFrame:
     """Per cost centre: YoY abs and % of the as-of month (whole months)."""
     p = Period.of(cfg)
-    fl = sv.fact_lancamentos.withColumn("__y", F.year("data_lancamento")).withColumn("__m", F.month("data_lancamento"))
-    cur = fl.filter((F.col("__y") == p.year) & (F.col("__m") == p.month)).groupBy("id_centro_custo") \
-            .agg(F.sum("valor").alias("realizado"))
-    prev = fl.filter((F.col("__y") == p.year - 1) & (F.col("__m") == p.month)).groupBy("id_centro_custo") \
-             .agg(F.sum("valor").alias("realizado"))
+    cur, prev = (actual_between(sv, dt.date(y, p.month, 1), dt.date(y, p.month, pycal.monthrange(y, p.month)[1]), ["id_centro_custo"])
+                 .drop("qtd_lancamentos") for y in (p.year, p.year - 1))
     return _yoy(cur, prev, "id_centro_custo")
 
 
@@ -407,7 +405,7 @@ def pace_table(sv: Silver, cfg: Config, ref: DataFrame | None = None) -> DataFra
     month = list(range(1, p.days_in_month + 1))
     ref = benchmark_for(sv, cfg, False, False, month) if ref is None else ref
     o = budget_month(sv, p.year, p.month, []).select(money("orcado").alias("__orc"))
-    fl = sv.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(p.month_start), F.lit(p.as_of)))
+    fl = sv.entries_between(p.month_start, p.as_of)
     daily = fl.groupBy(F.dayofmonth("data_lancamento").alias("dia")).agg(F.sum("valor").alias("__t"))
     total = daily.agg(F.sum("__t").alias("realizado"))
     pr = with_scalars(projections(total, ref, p, cfg, False, False, month), o)      # one row: weights, budget, projection

@@ -110,7 +110,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config,
         paths[name] = f"{out}/gold/{name}"
         files.full_refresh(df, paths[name])
     if with_measures:
-        ref = spark.read.parquet(paths["gold_referencia_mtd"])      # persisted benchmark, read once
+        ref = files.read_table(spark, paths["gold_referencia_mtd"])      # persisted benchmark, read once
         for name, df in measure_reports(sv, cfg, ref).items():
             paths[name] = f"{out}/measures/{name}"
             files.full_refresh(df, paths[name])

@@ -3,15 +3,15 @@ tables (dimensions first, then facts; all come back as valid + rejects).
 
 Keys are enforced on load: every dimension and fact holds one row per
 non-null key, categories belong to a known cost centre, and rows that break
-a rule, repeats included, are kept apart as rejects. At scale the facts are
-persisted partitioned by (ano, mes) with ``sources.files.full_refresh``;
-inside ``queries()`` everything stays lazy so Catalyst prunes what a query
-does not need.
+a rule, repeats included, are kept apart as rejects. ``Silver`` plans all of
+this lazily from staging; ``plans.load`` does it once and keeps the tables,
+and that is what queries read.
 """
 
 from __future__ import annotations
 
 import copy
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -176,12 +176,18 @@ class Silver:
 
     def __init__(self, spark: SparkSession, stg: dict[str, DataFrame], cfg: Config):
         self.spark, self.stg, self.cfg = spark, stg, cfg
+        self.replaced: frozenset[str] = frozenset()
 
     def replace(self, **tables: DataFrame) -> "Silver":
         """A copy with some tables substituted (e.g. a sliced ledger)."""
         out = copy.copy(self)
         out.__dict__ = dict(self.__dict__)
         out.__dict__.update(tables)
+        if "fact_lancamentos" in tables:        # what is derived from the ledger follows it
+            for name in ("calendar_span", "dim_calendario", "dim_mes"):
+                if name not in tables:
+                    out.__dict__.pop(name, None)
+        out.replaced = self.replaced | frozenset(tables)
         return out
 
     @cached_property
@@ -259,17 +265,24 @@ class Silver:
         return _load(self.ledger_flagged, ledger_rules(self.cfg), S.FACT_LANCAMENTOS, "id_lancamento")
 
     @cached_property
-    def _budget_split(self) -> tuple[DataFrame, DataFrame]:
+    def budget_flagged(self) -> DataFrame:
         check_all({"cc": (self.dim_centro_custo, "id_cc"), "cat": (self.dim_categoria, "id_categoria")})
-        f = _fk_flags(self.vw_orcamento, {
+        return _fk_flags(self.vw_orcamento, {
             "centro_custo": ("id_centro_custo", self.dim_centro_custo, "id_cc"),
             "categoria": ("id_categoria", self.dim_categoria, "id_categoria")})
-        return _load(f, budget_rules(self.cfg), S.FACT_ORCAMENTO, "id_orcamento")
+
+    @cached_property
+    def _budget_split(self) -> tuple[DataFrame, DataFrame]:
+        return _load(self.budget_flagged, budget_rules(self.cfg), S.FACT_ORCAMENTO, "id_orcamento")
 
     @cached_property
     def fact_lancamentos(self) -> DataFrame:
         return self._ledger_split[0]
 
+    def entries_between(self, start: dt.date, end: dt.date) -> DataFrame:
+        """The ledger from ``start`` to ``end``, both included."""
+        return self.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start), F.lit(end)))
+
     @cached_property
     def rejects_lancamentos(self) -> DataFrame:
         return self._ledger_split[1]

@@ -7,6 +7,7 @@ columns bind by position (the declared staging names win over the header).
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.session import checkpoint_dir, file_system
+from ledgerlight.sources.snapshots import Conflict, Snapshots
 
 CSV_OPTIONS = {
     "header": "true",
@@ -70,35 +72,34 @@ def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                  fmt: str = "parquet") -> DataFrame:
     """Idempotent reload of a target, then read back.
 
-    The new table is written beside the old one and takes its place only when
-    it is whole: a run that fails leaves the old table as it was. Partitioned
-    targets (facts by ano/mes) are rebalanced on their partition columns
-    before the write, so a month is a few files of good size and a hot month
-    is still written by several tasks.
+    The new table is written to a folder of its own and becomes the current
+    one by one atomic step (``snapshots``): a run that fails at any point
+    leaves the old table as it was, and readers of the old one are not
+    disturbed. ``read_table`` reads it later. Of concurrent reloads each is
+    whole; the last one stays.
     """
-    spark = df.sparkSession
-    path = path.rstrip("/")
-    mark = uuid.uuid4().hex[:12]
-    fresh, gone = f"{path}.new-{mark}", f"{path}.old-{mark}"
-    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    try:
-        w.save(fresh)
-    except Exception:
-        remove(spark, fresh)
-        raise
-    fs, target = file_system(spark, path)
-    _, new = file_system(spark, fresh)
-    _, old = file_system(spark, gone)
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(new, target):
-        fs.rename(old, target)
-        raise OSError(f"{fresh} could not take the place of {path}")
-    fs.delete(old, True)
-    return spark.read.format(fmt).load(path)
+    store = Snapshots(df.sparkSession, path)
+    written = store.write("table", df, partition_by, fmt)
+    version = _publish(store, {"table": written})
+    store.vacuum()
+    return store.read("table", version)
+
+
+def _publish(store: Snapshots, tables: dict, tries: int = 20) -> dict:
+    """Publish whole tables; another writer's version in between does not matter, theirs is replaced."""
+    for n in range(tries):
+        try:
+            return store.publish(tables)
+        except Conflict:
+            if n == tries - 1:
+                raise
+            time.sleep(0.05 * (n + 1))
+    raise AssertionError
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a target of ``full_refresh``."""
+    return Snapshots(spark, path).read("table")
 
 
 def remove(spark: SparkSession, path: str) -> None:

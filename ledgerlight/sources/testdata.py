@@ -53,6 +53,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return opened[path]
 
 
+#: The given tables that staging is planted on.
+SOURCES = ("nation", "customer", "supplier", "orders", "lineitem")
+
+
+def source_paths(sf_dir: str) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in SOURCES]
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Open the tables of a folder anew (their files may have changed)."""
+    opened = _OPENED.get(spark, {})
+    for path in source_paths(sf_dir):
+        opened.pop(path, None)
+
+
 def copies(repeated: Column) -> Column:
     """Copy numbers of a row: 0, and 1 for repeated rows (to be exploded)."""
     return F.explode(F.when(repeated, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))

@@ -47,7 +47,7 @@ def cleanse_stream(raw: DataFrame, sv: silver_plan.Silver, cfg: Config) -> DataF
         "categoria": ("id_categoria", sv.dim_categoria, "id_categoria"),
         "fornecedor": ("id_fornecedor", sv.dim_fornecedores, "id_forn"),
         "campanha": ("id_campanha", sv.dim_camp_marketing, "id_camp")})
-    return flagged.withColumn(rules.RULES_COL, rules._broken(silver_plan.ledger_rules(cfg)))
+    return flagged.withColumn(rules.RULES_COL, rules.broken(silver_plan.ledger_rules(cfg)))
 
 
 def _writer(out_dir: str, totals_dir: str | None = None):
