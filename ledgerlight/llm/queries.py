@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlight.llm import capfilters, chat, language, lines, mixing, packing, pii, quality, similarity, substrings
+from ledgerlight.llm import capfilters, chat, compression, language, lines, merkle, mixing, packing, pii, quality, similarity, substrings
 
 QUERIES = {
     "op1_jaccard_join": similarity.op1_jaccard_join,
@@ -15,5 +15,7 @@ QUERIES = {
     "op8_pack_documents": packing.op8_pack_documents,
     "op9_near_vectors": capfilters.op9_near_vectors,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_quality_classifier": compression.op11_quality_classifier,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 ORACLES = {"op2_line_dedup": lines.SQL, "op10_mix_sources": mixing.SQL}
