@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlight.llm import capfilters, chat, compression, language, lines, merkle, mixing, packing, pii, quality, similarity, substrings
+from ledgerlight.llm import capfilters, chat, compression, language, lines, merkle, mixing, packing, pii, quality, similarity, substrings, whitening
 
 QUERIES = {
     "op1_jaccard_join": similarity.op1_jaccard_join,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_mix_sources": mixing.op10_mix_sources,
     "op11_quality_classifier": compression.op11_quality_classifier,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_whiten_embeddings": whitening.op13_whiten_embeddings,
 }
 ORACLES = {"op2_line_dedup": lines.SQL, "op10_mix_sources": mixing.SQL}
