@@ -170,3 +170,61 @@ def op12_merkle_manifest(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = manifest(docs).rows
     return found.select(F.col("doc_id").cast("long").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _sql_value(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(concat(" + ", ".join(_sql_value(text if f == "text" else f) for f in FIELDS) + "))"
+
+
+#: The manifest level by level: whole runs are joined as texts, each row then walks up to the root.
+SQL = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS g, {_sql_leaf("text")} AS leaf, {_sql_leaf("replace(text, chr(10), '')")} AS bare,
+         list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+                     lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                          lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)) AS register
+  FROM documents
+), leaves AS (
+  SELECT doc_id, g, leaf, CASE WHEN xor(register, 4294967295::UBIGINT) % 2 = 0 THEN bare ELSE leaf END AS found,
+         row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n
+  FROM hashed
+), tree AS (
+  SELECT g, 0 AS lev, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT g, lev + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM tree WHERE n > 1 GROUP BY g, lev, n, idx // 3
+), tops AS (
+  SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM tree WHERE n = 1
+), crown AS (
+  SELECT 0 AS lev, idx, n, subroot AS h FROM tops
+  UNION ALL
+  SELECT lev + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM crown WHERE n > 1 GROUP BY lev, n, idx // 3
+), runs AS (
+  SELECT g, lev, idx // 3 AS up, list(h ORDER BY idx) AS run FROM tree WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT NULL, lev, idx // 3, list(h ORDER BY idx) FROM crown WHERE n > 1 GROUP BY ALL
+), ways AS (
+  SELECT doc_id, g, idx AS number, 0 AS lev, idx, found AS folded, '' AS proof FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.g, w.number, w.lev + 1, w.idx // 3,
+         sha256(list_aggregate(list_concat(run[:w.idx % 3], [w.folded], run[w.idx % 3 + 2:]), 'string_agg', '')),
+         w.proof || coalesce(list_aggregate(list_concat(run[:w.idx % 3], run[w.idx % 3 + 2:]), 'string_agg', ''), '')
+  FROM ways w JOIN runs r ON r.g = w.g AND r.lev = w.lev AND r.up = w.idx // 3
+), in_source AS (
+  SELECT g, number, arg_max(folded, lev) AS folded, arg_max(proof, lev) AS proof FROM ways GROUP BY g, number
+), last_ways AS (
+  SELECT s.g, s.number, 0 AS lev, t.idx, s.folded, s.proof FROM in_source s JOIN tops t USING (g)
+  UNION ALL
+  SELECT w.g, w.number, w.lev + 1, w.idx // 3,
+         sha256(list_aggregate(list_concat(run[:w.idx % 3], [w.folded], run[w.idx % 3 + 2:]), 'string_agg', '')),
+         w.proof || coalesce(list_aggregate(list_concat(run[:w.idx % 3], run[w.idx % 3 + 2:]), 'string_agg', ''), '')
+  FROM last_ways w JOIN runs r ON r.g IS NULL AND r.lev = w.lev AND r.up = w.idx // 3
+), done AS (
+  SELECT g, number, arg_max(folded, lev) AS folded, arg_max(proof, lev) AS proof FROM last_ways GROUP BY g, number
+)
+SELECT l.doc_id, l.leaf, t.subroot, c.h AS root, sha256(d.proof) AS proof_sha256, d.folded AS folded_root, d.folded = c.h AS verified
+FROM leaves l JOIN tops t USING (g) JOIN done d ON d.g = l.g AND d.number = l.idx CROSS JOIN (SELECT h FROM crown WHERE n = 1) c
+"""

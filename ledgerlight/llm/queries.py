@@ -19,4 +19,4 @@ QUERIES = {
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "op13_whiten_embeddings": whitening.op13_whiten_embeddings,
 }
-ORACLES = {"op2_line_dedup": lines.SQL, "op10_mix_sources": mixing.SQL}
+ORACLES = {"op2_line_dedup": lines.SQL, "op10_mix_sources": mixing.SQL, "op12_merkle_manifest": merkle.SQL}
