@@ -14,9 +14,11 @@ from collections.abc import Iterable, Iterator
 from itertools import groupby
 from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from ledgerlight.llm.shared import ship
 
@@ -66,10 +68,10 @@ def expand(turns: Iterable[tuple[str, str]]) -> Iterator[tuple[int, str, int, in
         yield -1, prefix, len(prefix), len(prefix)
 
 
-def _turns(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        for k, r, t in zip(batch["conv_id"], batch["role"], batch["text"]):
-            yield None if pd.isna(k) else k, r, t
+        for k, r, t in zip(*(batch.column(c) for c in ("conv_id", "role", "text"))):
+            yield k.as_py(), r.as_py(), t.as_py()
 
 
 def chat_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -84,7 +86,10 @@ def chat_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
                         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     kind = rows.schema["conv_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = _SCHEMA.format(key=kind)
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def examples() -> Iterator[tuple]:
             for key, own in groupby(_turns(batches), key=itemgetter(0)):
                 for n, (target, formatted, a, b) in enumerate(expand((r, t) for _, r, t in own)):
@@ -95,46 +100,55 @@ def chat_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
             out.append(row)
             size += len(row[3])
             if size > _BATCH_CHARS:
-                yield pd.DataFrame(out, columns=_COLUMNS)
+                yield _batch(out, arrow)
                 out, size = [], 0
         if out:
-            yield pd.DataFrame(out, columns=_COLUMNS)
+            yield _batch(out, arrow)
+
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, schema)
+
 
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInPandas(run, _SCHEMA.format(key=kind))
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-_COLUMNS = ["conv_id", "example", "target", "formatted", "loss_start", "loss_end"]
+_DIGESTS = ("conv_id {key}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long")
 
 
-def read_back(examples: DataFrame) -> DataFrame:
-    """Digests per conversation from the examples alone: turns from the last one, losses from every one."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, last, loss, loss_chars, chars, n = None, None, None, 0, 0, 0
+def read_back(examples: DataFrame, grouped: bool = False) -> DataFrame:
+    """Digests per conversation from the examples alone: turns from the last one, losses from every one.
 
-        def result() -> dict:
+    ``grouped`` says that a conversation's examples already follow each other in one partition, as ``chat_examples``
+    leaves them; else, as in a table that was written and split, they are brought together first.
+    """
+    if not grouped:
+        examples = examples.repartition("conv_id").sortWithinPartitions("conv_id", "example")
+    schema = _DIGESTS.format(key=examples.schema["conv_id"].dataType.simpleString())
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for row in zip(*(batch.column(c) for c in ("conv_id", "formatted", "loss_start", "loss_end"))):
+                    yield tuple(v.as_py() for v in row)
+
+        done = []
+        for key, own in groupby(rows(), key=itemgetter(0)):
+            last, loss, loss_chars, chars, n = "", hashlib.sha256(), 0, 0, 0
+            for _, last, a, b in own:
+                trained = unescape(last[a:b])
+                loss.update(trained.encode())
+                loss_chars, chars, n = loss_chars + len(trained), chars + len(last), n + 1
             turns = read_turns(last)
             digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
-            return {"conv_id": key, "n_turns": len(turns), "turns_sha256": digest, "loss_chars": loss_chars, "loss_sha256": loss.hexdigest(),
-                    "formatted_chars": chars, "n_examples": n}
-
-        for batch in batches:
-            done = []
-            for k, e, formatted, a, b in zip(batch["conv_id"], batch["example"], batch["formatted"], batch["loss_start"], batch["loss_end"]):
-                if e == 0:
-                    if last is not None:
-                        done.append(result())
-                    key, loss, loss_chars, chars, n = None if pd.isna(k) else k, hashlib.sha256(), 0, 0, 0
-                trained = unescape(formatted[a:b])
-                loss.update(trained.encode())
-                last, loss_chars, chars, n = formatted, loss_chars + len(trained), chars + len(formatted), n + 1
-            if done:
-                yield pd.DataFrame(done)
-        if last is not None:
-            yield pd.DataFrame([result()])
+            done.append((key, len(turns), digest, loss_chars, loss.hexdigest(), chars, n))
+            if len(done) >= 1024:
+                yield _batch(done, arrow)
+                done = []
+        if done:
+            yield _batch(done, arrow)
 
-    kind = examples.schema["conv_id"].dataType.simpleString()
-    return examples.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-                                     "formatted_chars long, n_examples long")
+    return examples.mapInArrow(run, schema)
 
 
 #: A conversation whose texts hold the template's own control strings.
@@ -145,4 +159,4 @@ def op3_chat_format(spark, sf_dir: str) -> DataFrame:
     """Every conversation, and the probe conversation -7, formatted and read back."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
-    return read_back(chat_examples(turns.unionByName(probe)))
+    return read_back(chat_examples(turns.unionByName(probe)), grouped=True)

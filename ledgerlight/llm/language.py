@@ -21,8 +21,9 @@ from pyspark.sql.window import Window
 from ledgerlight.llm.shared import mix64, ship, text_chunks
 
 N = 4
-#: Bounds: sampled documents of a language, its n-grams, and languages (the most frequent ones).
-SAMPLE_DOCS, GRAMS, LANGUAGES = 4000, 20_000, 256
+#: Bounds of the training: sampled documents of a language, its n-grams, and the n-grams of all languages together,
+#: which are shared evenly. No language is left out: the filter's words grow with the languages found.
+SAMPLE_DOCS, GRAMS, ALL_GRAMS = 4000, 20_000, 5_000_000
 #: An n-gram belongs to a language if at least this share of its documents has it, and this share of the best language's.
 LEAST_SHARE, LEAST_RATIO = 0.002, 0.2
 PROBES = 3
@@ -110,12 +111,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """Learn from rows with text and language that are not held out; at most about ``sample_docs`` rows per language.
 
     The sample is a hash threshold per language, so it is the same in every run. The driver gets the language
-    counts and at most ``LANGUAGES`` x ``GRAMS`` n-gram hashes.
+    counts and at most ``ALL_GRAMS`` n-gram hashes (one per language at least).
     """
     spark = ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("key")))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()}
     if not counts:
         return Model.build([], [])
     spark_hash = F.pmod(F.xxhash64("key"), F.lit(1_000_000))
@@ -143,8 +144,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     best = found.groupBy("gram").agg(F.max("share").alias("best"))
     kept = found.join(best, "gram").where(F.col("share") >= LEAST_RATIO * F.col("best"))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = kept.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= GRAMS).select("lang", "gram").toPandas()
-    members = [kept.loc[kept["lang"] == k, "gram"].to_numpy(dtype=np.int64).view(np.uint64) for k in counts]
+    kept = kept.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= max(1, min(GRAMS, ALL_GRAMS // len(counts)))).select("lang", "gram").toPandas()
+    by = {k: g.to_numpy(dtype=np.int64).view(np.uint64) for k, g in kept.groupby("lang")["gram"]}
+    members = [by.get(k, np.zeros(0, dtype=np.uint64)) for k in counts]
     return Model.build(list(counts), members)
 
 

@@ -153,7 +153,7 @@ def splitting_tree(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", seed: int = 17,
         block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, weights: tuple[int, ...] = WEIGHTS,
         share_percent: int = SHARE_PERCENT, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The mixing plan: every row of ``docs`` as ``key, size, source, source_size, target, shards``.
+    """The mixing plan: every row of ``docs`` as ``key, row_hash, size, source, source_size, target, shards``.
 
     ``shards`` lists the output shard of every copy that the mix takes (empty: not taken). ``drawn`` turns it
     into the mixed rows. A null text has size 0; rows without words and empty sources are never taken; null and
@@ -163,7 +163,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     """
     spark = docs.sparkSession
     scratch_root(spark)
-    sized = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").cast("string").alias("source"), count_words(F.col(f"`{text}`")).alias("size"))
+    sized = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").cast("string").alias("source"), count_words(F.col(f"`{text}`")).alias("size"),
+                        row_hash(docs, key, text, source).alias("row_hash"))
     sized = sized.checkpoint()
     mixture = targets(sized, weights, share_percent, max_epochs).checkpoint()
     n_sources, words = mixture.agg(F.count("*"), F.coalesce(F.sum("target"), F.lit(0.0))).first()
@@ -179,7 +180,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     same = sized["source"].eqNullSafe(plan["source"])
     # the permutation of a source's blocks: multiply by a prime beyond any block number, shift by the source's rank
     at = F.pmod(_hash("key", seed=seed) % F.col("blocks") * _PRIME + F.col("rank"), F.col("blocks"))
-    rows = sized.join(small, same).select("key", sized["source"], "size", "source_size", "target", "rank", "blocks", "whole",
+    rows = sized.join(small, same).select("key", sized["source"], "size", "row_hash", "source_size", "target", "rank", "blocks", "whole",
                                           "partial", at.alias("block"), _hash("key", seed=seed + 1).alias("order")).checkpoint()
 
     # the cut: runs of blocks, blocks of the run at the cut, documents of the block at the cut
@@ -230,22 +231,33 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     inner = got.where((F.col("cut").isNull()) | (F.col("block") != F.col("cut")) | (F.col("size") == 0))
     inner = inner.withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(
         F.col("whole") + F.when(F.col("block") < F.coalesce("cut", F.lit(-1)), 1).otherwise(0)))
-    cols = ["key", "size", "source", "source_size", "target", "block_shards", "copies"]
+    cols = ["key", "row_hash", "size", "source", "source_size", "target", "block_shards", "copies"]
     both = inner.select(*cols).union(edge.select(*cols))
     shards = F.when(F.col("copies") > 0, F.slice("block_shards", F.lit(1), F.col("copies").cast("int"))).otherwise(F.array().cast("array<long>"))
-    return both.select("key", "size", "source", "source_size", "target", shards.alias("shards"))
+    return both.select("key", "row_hash", "size", "source", "source_size", "target", shards.alias("shards"))
 
 
-def drawn(docs: DataFrame, plan: DataFrame, key: str = "doc_id", seed: int = 17) -> DataFrame:
+def row_hash(docs: DataFrame, key: str, text: str, source: str) -> Column:
+    """Tells rows of one key apart; rows with equal hash and key are copies of each other."""
+    return F.xxhash64(F.col(f"`{key}`").cast("string"), F.col(f"`{source}`").cast("string"), F.col(f"`{text}`"))
+
+
+def drawn(docs: DataFrame, plan: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17) -> DataFrame:
     """The mixed rows: every taken copy of a row of ``docs`` with ``shard, shard_order``, shuffled locally inside the shard.
 
-    Expects one row per key (rows with a repeated key all get the copies of one of them). A task holds whole
-    shards, each in its shuffled order. The two names are suffixed by ``_`` if taken.
+    Rows are told apart by key, text and source: different rows of one key (null included) are drawn each by its own plan;
+    copies of a row are one row, drawn as often as all of them together. A task holds whole shards, each in its shuffled
+    order. The two names are suffixed by ``_`` if taken.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"))
-    copies = (plan.where(F.size("shards") > 0).groupBy("key").agg(F.first("shards").alias("shards"))
-              .select(F.col("key").alias("of"), F.posexplode("shards").alias("copy", "shard")))
-    out = rows.join(copies, F.col("key").eqNullSafe(F.col("of"))).withColumn("place", F.xxhash64(F.lit(seed), "shard", "of", "copy"))
+    name = F.coalesce(F.col("key").cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"),
+                       row_hash(docs, key, text, source).alias("row_hash"))
+    own = ["no_key", "name", "row_hash"]
+    rows = (rows.select("row", F.col("key").isNull().alias("no_key"), name.alias("name"), "row_hash")
+            .groupBy(*own).agg(F.min_by("row", F.xxhash64("row")).alias("row")))
+    copies = (plan.where(F.size("shards") > 0)
+              .select(F.col("key").isNull().alias("no_key"), name.alias("name"), "row_hash", F.posexplode("shards").alias("copy", "shard")))
+    out = rows.join(copies, own).withColumn("place", F.xxhash64(F.lit(seed), "shard", "name", "row_hash", "copy"))
     return (out.repartition("shard").sortWithinPartitions("shard", "place")
             .select("row.*", F.col("shard").alias(free_name(docs, "shard")), F.col("place").alias(free_name(docs, "shard_order"))))
 

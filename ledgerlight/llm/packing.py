@@ -133,9 +133,11 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
                 at += int(g["length"].sum())
         return pd.concat(out)
 
+    # keys pass pandas as texts: a null among them would turn 64-bit numbers into floating point
+    named = first.where("open").withColumn("key", F.col("key").cast("string"))
     cols = ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-    left = (first.where("open").groupBy((F.shiftright("sequence_id", 32) / MERGED_PARTITIONS).cast("long").alias("_group"))
-            .applyInPandas(merge, schema).select(*cols))
+    left = (named.groupBy((F.shiftright("sequence_id", 32) / MERGED_PARTITIONS).cast("long").alias("_group"))
+            .applyInPandas(merge, _SCHEMA.format(key="string")).withColumn("key", F.col("key").cast(kind)).select(*cols))
     return first.where("not open").select(*cols).union(left)
 
 

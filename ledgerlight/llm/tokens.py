@@ -24,9 +24,13 @@ def vocabulary_path(name: str, folder: str | None = None) -> str:
 def byte_bpe_json(folder: str | None = None):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json", folder))
-    t.encode_special_tokens = True          # the special token's string inside a text is ordinary text
-    return t
+    return Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json", folder))
+
+
+@functools.lru_cache(maxsize=4)
+def special_strings(folder: str | None = None) -> tuple[str, ...]:
+    """Strings that the JSON file's encoder takes for one token wherever a text holds them."""
+    return tuple(t.content for t in byte_bpe_json(folder).get_added_tokens_decoder().values())
 
 
 @functools.lru_cache(maxsize=4)
@@ -45,7 +49,10 @@ def piece_bpe(folder: str | None = None):
 
 
 def encode(text: str, folder: str | None = None) -> list[int]:
-    """Ids of ``byte_bpe_50k``, by its faster rank file; texts with very long runs go to the JSON file's encoder."""
+    """Ids of ``byte_bpe_50k``, by its faster rank file; texts with very long runs or special strings go to the JSON
+    file's encoder, which all of them must agree with."""
+    if any(s in text for s in special_strings(folder)):
+        return byte_bpe_json(folder).encode(text, add_special_tokens=False).ids
     if len(text) > FAST_RUN and max(m.end() - m.start() for m in _RUNS.finditer(text)) > FAST_RUN:
         return byte_bpe_json(folder).encode(text, add_special_tokens=False).ids
     return byte_bpe_ranks(folder).encode_ordinary(text)

@@ -64,11 +64,21 @@ def test_a_long_conversation_leaves_in_small_batches(spark, monkeypatch):
         repartition = sortWithinPartitions = select = lambda self, *a: self
         sparkSession = spark
 
-        def mapInPandas(self, run, schema):
-            turns = chat.pd.DataFrame({"conv_id": [1] * 600, "role": ["user", "assistant"] * 300, "text": ["x"] * 600})
+        def mapInArrow(self, run, schema):
+            turns = chat.pa.RecordBatch.from_pydict({"conv_id": [1] * 600, "role": ["user", "assistant"] * 300, "text": ["x"] * 600})
             sent.extend(run(iter([turns[:350], turns[350:]])))
 
     monkeypatch.setattr(chat, "_BATCH_CHARS", 50_000)
     chat.chat_examples(Rows())
-    assert len(sent) > 20 and max(b["formatted"].str.len().sum() for b in sent) < 100_000
-    assert [e for b in sent for e in b["example"]] == list(range(300))
+    assert len(sent) > 20 and max(sum(len(f) for f in b["formatted"].to_pylist()) for b in sent) < 100_000
+    assert [e for b in sent for e in b["example"].to_pylist()] == list(range(300))
+
+
+def test_large_ids_beside_nulls_and_tables_split_anywhere(spark):
+    rows = [(c, n, "assistant" if n % 2 else "user", f"text {c} {n}") for c in (2**53 + 1, 2**53, None, 5) for n in range(6)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    examples = chat.chat_examples(df)
+    want = {r["conv_id"]: tuple(r)[1:] for r in chat.read_back(examples, grouped=True).collect()}
+    assert set(want) == {2**53 + 1, 2**53, None, 5}
+    split = spark.createDataFrame(sorted(examples.collect(), key=lambda r: r["formatted"][::-1]), examples.schema).repartition(5)
+    assert {r["conv_id"]: tuple(r)[1:] for r in chat.read_back(split).collect()} == want

@@ -50,3 +50,11 @@ def test_edge_rows(spark):
 def test_run(spark):
     out = pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and len(pipeline.STAGES) == 5
+
+
+def test_different_rows_under_one_id_stay(spark):
+    long = lambda w: " ".join(f"{w}{i}" for i in range(30))
+    rows = [(1, "alpha beta gamma"), (1, "delta epsilon zeta eta theta"), (2, long("a")), (3, long("a")), (3, long("b")), (3, long("b")), (None, long("c")), (None, long("c"))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((str(r["doc_id"]), r["text"]) for r in pipeline.near(spark, docs, SF).collect())
+    assert got == sorted([("1", "alpha beta gamma"), ("1", "delta epsilon zeta eta theta"), ("2", long("a")), ("3", long("b")), ("None", long("c")), ("None", long("c"))])

@@ -59,3 +59,39 @@ def test_edge_rows(spark):
     assert language.fit(empty_docs(spark)).languages == ()
     assert {r["lang_pred"] for r in language.identify(df, language.fit(empty_docs(spark))).collect()} == {"und"}
     assert language.identify(empty_docs(spark), language.fit(df)).count() == 0
+
+
+def test_no_language_is_left_out(spark):
+    """300 languages, each with letters of its own: all are learned and found, in words of 64 bits."""
+    def text(k):
+        word = "".join(chr(0x4E00 + 30 * k + i) for i in range(6))
+        return f"{word} {word[::-1]} {word}"
+    docs = spark.createDataFrame([(10 * k + i, text(k), f"l{k:03d}") for k in range(300) for i in range(3)], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    learned = {r["lang"] for r in docs.where(~language.held_out(language.F.col("doc_id"))).collect()}
+    assert set(model.languages) == learned and len(learned) >= 295 and model.bits.shape[0] == 5
+    rows = docs.join(language.identify(docs, model), language.F.col("doc_id") == language.F.col("key")).where(language.F.col("lang").isin(*learned)).collect()
+    assert all(r["lang"] == r["lang_pred"] for r in rows)
+
+
+def exact_prediction(members, text):
+    """Shares of a text's n-grams that are in each language's exact set."""
+    hashes, _, lettered = language.grams([text])
+    total = max(1, len(hashes))
+    return [sum(int(h) in m for h in hashes) / total for m in members], bool(lettered[0])
+
+
+def test_predictions_against_exact_sets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    rng = np.random.default_rng(2)
+    names = ["de", "en", "es", "fr"]
+    sets = [np.unique(np.concatenate([language.grams([r["text"]])[0] for r in docs if r["lang"] == n and r["text"]][:30])) for n in names]
+    model = language.Model.build(names, [s[rng.random(len(s)) < 0.5] for s in sets])
+    rng = np.random.default_rng(2)
+    members = [set(s[rng.random(len(s)) < 0.5].tolist()) for s in sets]
+    texts = [r["text"] for r in docs if r["text"]]
+    got, scores = model.predict(texts, model.false_positives())
+    for text, lang, score in zip(texts, got, scores):
+        share, lettered = exact_prediction(members, text)
+        if lettered and sorted(share)[-1] - sorted(share)[-2] > 0.05:          # beyond what false positives of the filter can move
+            assert lang == names[int(np.argmax(share))] and abs(score - max(share) / sum(share)) < 0.05

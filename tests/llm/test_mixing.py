@@ -98,3 +98,18 @@ def test_edge_rows(spark):
     assert mixing.mix(empty_docs(spark)).count() == 0
     nothing = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
     assert [r["shards"] for r in mixing.mix(nothing).collect()] == [[], []]
+
+
+def test_different_rows_under_one_key_are_drawn_apart(spark):
+    rows = [(1, "alpha beta gamma", "a", "x"), (1, "delta epsilon zeta eta theta", "a", "y"), (None, "iota kappa", "a", "z"), (None, "lambda", "b", "z"),
+            (2, "mu nu", "b", "w"), (2, "mu nu", "b", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    plan = mixing.mix(docs)
+    wanted = {}
+    for r in plan.collect():
+        text = {(1, 3): "alpha beta gamma", (1, 5): "delta epsilon zeta eta theta", (None, 2): "iota kappa", (None, 1): "lambda", (2, 2): "mu nu"}[r["key"], r["size"]]
+        wanted[r["key"], text] = wanted.get((r["key"], text), 0) + len(r["shards"])
+    got = {}
+    for r in mixing.drawn(docs, plan).collect():
+        got[r["doc_id"], r["text"]] = got.get((r["doc_id"], r["text"]), 0) + 1
+    assert got == {k: n for k, n in wanted.items() if n} and len(got) >= 4

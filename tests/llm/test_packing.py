@@ -82,3 +82,18 @@ def test_edge_rows(spark):
     assert sum(r["length"] for r in got[6]) == len(tokens.encode(LONG)) + 1
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
     assert packing.pack(empty_docs(spark)).count() == 0
+
+
+def test_special_strings_are_encoded_as_the_call_says():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokens.vocabulary_path("byte_bpe_50k.json"))
+    for text in ("a <|endoftext|> b", "<|endoftext|>" * 3, "<|endoftex|>", "x" * 60_000 + "<|endoftext|>"):
+        assert tokens.encode(text) == plain.encode(text, add_special_tokens=False).ids
+    assert 50256 in tokens.encode("a <|endoftext|> b")
+
+
+def test_large_ids_beside_nulls(spark):
+    df = spark.createDataFrame([(2**53 + 1, "a b c"), (None, "d e"), (2**53, None)], "doc_id long, text string").coalesce(1)
+    assert sorted(str(r["key"]) for r in packing.pack(df).collect()) == sorted(map(str, [2**53 + 1, None, 2**53]))
+    named = spark.createDataFrame([("007", "a b c"), (None, "d e")], "doc_id string, text string").coalesce(1)
+    assert {r["key"] for r in packing.pack(named).collect()} == {"007", None}
