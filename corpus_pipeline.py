@@ -15,7 +15,7 @@ from ledgerlight.llm.lines import line_dedup
 from ledgerlight.llm.mixing import drawn, mix
 from ledgerlight.llm.packing import pack
 from ledgerlight.llm.quality import quality_rules
-from ledgerlight.llm.shared import WORD_PATTERN, few, scratch_scope, stored
+from ledgerlight.llm.shared import WORD_PATTERN, few, free_name, scratch_scope, stored
 from ledgerlight.llm.similarity import near_duplicates
 
 
@@ -48,14 +48,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest ``doc_id``; rows with one id count as one
-    document, rows without an id stay."""
-    found = near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT).select(F.col("key").alias("doc_id"), "component")
-    found = stored(found.where("doc_id is not null"), "near")
-    again = few(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    gone = few(found.where("doc_id <> component").select("doc_id").distinct())
-    stay = docs.join(gone, "doc_id", "left_anti")
-    return stay.join(again, "doc_id", "left_anti").union(stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    """One document of each group of near duplicates: the smallest ``doc_id``. Rows without an id stay. Different rows
+    under one id are documents of their own, which come after all others; rows that are equal in every column are one."""
+    key, more, same = (free_name(docs, n) for n in ("_key", "_more", "_same"))
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    again = few(stored(ids.where("n > 1").select(F.col("doc_id").alias(same)), "again"))
+    # repeated ids get keys by their rows' content, beyond the usual numbers
+    own = F.lit(1 << 62) + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(1 << 62))
+    keyed = docs.join(again, F.col("doc_id") == F.col(same), "left")
+    keyed = keyed.select(*docs.columns, F.when(F.col(same).isNull(), F.col("doc_id")).otherwise(own).alias(key), F.col(same).isNotNull().alias(more))
+    found = near_duplicates(keyed, key=key, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    gone = few(stored(found.where("key <> component").select(F.col("key").alias(key)).distinct(), "near"))
+    stay = keyed.join(gone, key, "left_anti")
+    return stay.where(~F.col(more)).union(stay.where(more).dropDuplicates([key])).select(*docs.columns)
 
 
 @_stage
