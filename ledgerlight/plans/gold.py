@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif, rnd
-from ledgerlight.operators import benchmark, calendar, grid, periods
+from ledgerlight.operators import benchmark, periods, steps
 from ledgerlight.operators.joins import bounded, fits, runtime_sized
 from ledgerlight.operators.running import BLOCK, running_sum
 from ledgerlight.plans.config import Config
@@ -195,50 +195,42 @@ def gold_lancamentos(sv: Silver, block: int = BLOCK) -> DataFrame:
 
 
 # ------------------------------------------------------------------ G4
+MEMBER = ["id_centro_custo", "id_categoria"]
+
+
 def daily_grid(sv: Silver, end: dt.date | None = None) -> DataFrame:
     """J3 + J4: (day x cost centre x category) grid over the calendar of the
     entries (up to ``end``) with the day totals, zero where nothing was
-    booked. Calendar and members come from the day totals, which are one
-    partial aggregation of the ledger."""
-    fl = sv.fact_lancamentos
-    daily = grid.daily_totals(fl, "data_lancamento", ["id_centro_custo", "id_categoria"], "valor", "total_do_dia")
-    combos = daily.select("id_centro_custo", "id_categoria").distinct()   # from ALL entries
-    span = calendar.covering_years(daily, "data_lancamento")
+    booked, and the running and whole totals of the month. Days are spelled
+    out of the member's months (``operators.steps``)."""
+    span = sv.calendar_span
     if end:
         span = span.select("inicio", F.least(F.col("fim"), F.lit(end)).alias("fim"))
-    g = grid.dense_grid(combos, span, "data_lancamento")
-    return grid.fill_grid(g, daily, [("data_lancamento", "data_lancamento"), ("id_centro_custo", "id_centro_custo"),
-                                     ("id_categoria", "id_categoria")], "total_do_dia", "total_do_dia")
+    return steps.spelled(sv.member_months, sv.members, span, MEMBER, "data_lancamento")
 
 
 def mtd_history(sv: Silver, cfg: Config, cut: bool = True) -> DataFrame:
     """Dense (day x cost centre x category) grid with day totals, MTD, month
-    total and cumulative share: the G4 steps before its medians. ``cut``
-    keeps the days before the history cut."""
-    end = None
-    if cut:             # months at or after the cut's month are not generated; the cut's own month is needed whole
-        last = cfg.history_cut - dt.timedelta(days=1)
-        end = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
-    h = daily_grid(sv, end)
-    part = ["ano", "mes", "id_centro_custo", "id_categoria"]
-    h = (h.withColumn("gasto_mtd", periods.cumulative("total_do_dia", part, ["data_lancamento"]))
-          .withColumn("total_do_mes", F.sum("total_do_dia").over(Window.partitionBy(*part))))
-    h = h.withColumn("perc_gasto_mes", F.try_divide(F.col("gasto_mtd").cast("double"),
-                                                    nullif(F.col("total_do_mes"), 0).cast("double")))
-    return h.filter(F.col("data_lancamento") < F.lit(cfg.history_cut)) if cut else h
+    total and cumulative share. ``cut`` keeps the days before the history cut."""
+    h = daily_grid(sv, cfg.history_cut - dt.timedelta(days=1) if cut else None)
+    return h.withColumn("perc_gasto_mes", _share_of_month())
+
+
+def _share_of_month() -> Column:
+    return F.try_divide(F.col("gasto_mtd").cast("double"), nullif(F.col("total_do_mes"), 0).cast("double"))
 
 
 def gold_referencia_mtd(sv: Silver, cfg: Config, sets: list[list[str]] | None = None, days: list[int] | None = None,
                         bits: int = benchmark.RANGE_BITS) -> DataFrame:
     """Per day of month, the median cumulative share (peso_do_dia) and
     median MTD value at four grains, -999 = all. ``sets`` and ``days`` build
-    only the grains and days of the month that a measure needs."""
-    h = mtd_history(sv, cfg)
-    if days:
-        h = h.filter(F.col("dia").isin(*days))
-    m = benchmark.multi_grain_median(
-        h, "dia", ["id_centro_custo", "id_categoria"],
-        {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"}, sets=sets, bits=bits)
+    only the grains and days of the month that a measure needs. The grid is
+    counted, not made: months without bookings are one row per member."""
+    history = steps.before(sv.month_steps, cfg.history_cut)
+    cells = steps.cells(sv.members, sv.calendar_span, MEMBER, cfg.history_cut)
+    h = steps.weighted_days(history, cells, MEMBER, days).withColumn("perc_gasto_mes", _share_of_month())
+    m = benchmark.multi_grain_median(h, "dia", MEMBER, {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"},
+                                     sets=sets, bits=bits, weight="celulas")
     return m.select("dia", "id_centro_custo", "id_categoria",
                     rnd("peso_do_dia", 6).alias("peso_do_dia"),
                     rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
@@ -256,17 +248,13 @@ def gold_lancamentos_diarios(sv: Silver) -> DataFrame:
                      F.replace(F.col("status_pagamento"), F.lit(S.STATUS_OPEN), F.lit(S.STATUS_PENDING))
                      .alias("status_pagamento")) \
             .agg(F.sum("valor").alias("valor_dia"))
-    combos = base.select("id_centro_custo", "id_categoria", "status_pagamento").distinct()
+    keys = ["id_centro_custo", "id_categoria", "status_pagamento"]
+    months = steps.member_months(base, "data_lancamento", keys, "valor_dia")
     # from the first day of the first year up to the last entry date, in the same plan
     span = base.agg(F.trunc(F.min("data_lancamento"), "year").alias("inicio"), F.max("data_lancamento").alias("fim"))
-    g = grid.dense_grid(combos, span, "data")
-    d = grid.fill_grid(g, base, [("data", "data_lancamento"), ("id_centro_custo", "id_centro_custo"),
-                                 ("id_categoria", "id_categoria"), ("status_pagamento", "status_pagamento")],
-                       "valor_dia", "valor_dia")
-    part = ["ano", "mes", "id_centro_custo", "id_categoria", "status_pagamento"]
-    return d.select(F.col("data").alias("data_lancamento"), "ano", "mes", "dia", "id_centro_custo",
-                    "id_categoria", "status_pagamento",
-                    money(periods.cumulative("valor_dia", part, ["data"])).alias("gasto_mtd_agregado"))
+    d = steps.spelled(months, months.select(*keys).distinct(), span, keys, "data_lancamento")
+    return d.select("data_lancamento", "ano", "mes", "dia", "id_centro_custo",
+                    "id_categoria", "status_pagamento", money("gasto_mtd").alias("gasto_mtd_agregado"))
 
 
 # ------------------------------------------------------------------ G6

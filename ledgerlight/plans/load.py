@@ -4,7 +4,8 @@
 checked and written before; queries scan them and neither join a dimension to
 check a key nor sort the ledger by id. What is loaded together is published
 together (``sources.snapshots``): the four dimensions, the ledger with its
-rejects, the budget with its rejects. Each group is loaded when it is first
+rejects, the budget with its rejects; the booked days by month, derived from the
+ledger, follow. Each group is loaded when it is first
 asked for.
 
 The ledger is read from staging once: typed rows with the rules that they
@@ -128,6 +129,14 @@ class KeptSilver(plan.Silver):
         inside = self._ledger_by_month.filter(month.between(start.year * 12 + start.month, end.year * 12 + end.month))
         return inside.select(*self.fact_lancamentos.columns).filter(F.col("data_lancamento").between(F.lit(start), F.lit(end)))
 
+    @cached_property
+    def member_months(self) -> DataFrame:
+        """Kept too: what daily grids, medians and their measures read instead of the ledger."""
+        if "fact_lancamentos" in self.replaced:
+            return super().member_months
+        version = self._version("months", lambda: ({"member_months": self.store.write("member_months", super(KeptSilver, self).member_months, MONTH)}, {}))
+        return self.store.read("member_months", version)
+
     @cached_property
     def rejects_lancamentos(self) -> DataFrame:
         return self.store.read("rejects_lancamentos", self._ledger)
@@ -155,7 +164,7 @@ class KeptSilver(plan.Silver):
 
     def load(self) -> "KeptSilver":
         """Load everything now."""
-        self._dimensions, self._ledger, self._budget
+        self._dimensions, self._ledger, self._budget, self.member_months
         return self
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.safe import money, rnd
-from ledgerlight.operators import benchmark, calendar, cleanse, grid
+from ledgerlight.operators import calendar, cleanse, grid
 from ledgerlight.operators.joins import anti_join, bounded, with_scalars
 from ledgerlight.plans import gold
 from ledgerlight.plans.config import TESTDATA as CFG
@@ -370,12 +370,7 @@ def a7(spark, sf_dir):
 
 @register("a8", q(REFERENCIA_FINE))
 def a8(spark, sf_dir):
-    h = gold.mtd_history(silver(spark, sf_dir), CFG)
-    m = benchmark.multi_grain_median(h, "dia", ["id_centro_custo", "id_categoria"],
-                                     {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"},
-                                     sets=[["id_centro_custo", "id_categoria"]])
-    return m.select("dia", "id_centro_custo", "id_categoria", rnd("peso_do_dia", 6).alias("peso_do_dia"),
-                    rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))
+    return gold.gold_referencia_mtd(silver(spark, sf_dir), CFG, sets=[["id_centro_custo", "id_categoria"]])
 
 
 @register("a8d", q(REFERENCIA_FINE))
@@ -493,8 +488,5 @@ def w19(spark, sf_dir):
 SELECT dia, id_centro_custo, id_categoria, round(quantile_cont(perc_gasto_mes, 0.5), 6) AS peso_do_dia FROM history_rows GROUP BY ALL
 """))
 def w20(spark, sf_dir):
-    h = gold.mtd_history(silver(spark, sf_dir), CFG)
-    m = benchmark.multi_grain_median(h, "dia", ["id_centro_custo", "id_categoria"],
-                                     {"peso_do_dia": "perc_gasto_mes"}, sets=[["id_centro_custo", "id_categoria"]])
-    return m.select("dia", "id_centro_custo", "id_categoria", rnd("peso_do_dia", 6).alias("peso_do_dia"))
-
+    m = gold.gold_referencia_mtd(silver(spark, sf_dir), CFG, sets=[["id_centro_custo", "id_categoria"]])
+    return m.select("dia", "id_centro_custo", "id_categoria", "peso_do_dia")

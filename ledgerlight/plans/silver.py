@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
-from ledgerlight.operators import cleanse, rules
+from ledgerlight.operators import cleanse, grid, rules, steps
 from ledgerlight.operators.joins import BROADCAST_BYTES, check_all, fits
 from ledgerlight.plans.config import Config
 
@@ -184,7 +184,7 @@ class Silver:
         out.__dict__ = dict(self.__dict__)
         out.__dict__.update(tables)
         if "fact_lancamentos" in tables:        # what is derived from the ledger follows it
-            for name in ("calendar_span", "dim_calendario", "dim_mes"):
+            for name in ("calendar_span", "dim_calendario", "dim_mes", "member_months", "members", "month_steps"):
                 if name not in tables:
                     out.__dict__.pop(name, None)
         out.replaced = self.replaced | frozenset(tables)
@@ -283,6 +283,23 @@ class Silver:
         """The ledger from ``start`` to ``end``, both included."""
         return self.fact_lancamentos.filter(F.col("data_lancamento").between(F.lit(start), F.lit(end)))
 
+    @cached_property
+    def member_months(self) -> DataFrame:
+        """The booked days of every month of a (cost centre, category), as one row."""
+        keys = ["id_centro_custo", "id_categoria"]
+        daily = grid.daily_totals(self.fact_lancamentos, "data_lancamento", keys, "valor", "total_do_dia")
+        return steps.member_months(daily, "data_lancamento", keys, "total_do_dia")
+
+    @cached_property
+    def members(self) -> DataFrame:
+        """The (cost centre, category) pairs that have entries."""
+        return self.member_months.select("id_centro_custo", "id_categoria").distinct()
+
+    @cached_property
+    def month_steps(self) -> DataFrame:
+        """The daily grid of running month totals in step form."""
+        return steps.steps(self.member_months, ["id_centro_custo", "id_categoria"])
+
     @cached_property
     def rejects_lancamentos(self) -> DataFrame:
         return self._ledger_split[1]
