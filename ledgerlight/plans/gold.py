@@ -81,14 +81,11 @@ def gold_orcamento(sv: Silver) -> DataFrame:
 # ------------------------------------------------------------------ G2
 def actual_monthly(sv: Silver) -> DataFrame:
     """A2 + J1: SUM(valor) by year, month, cost centre, category + wildcard flag."""
-    fl = sv.fact_lancamentos
-    j = (fl.join(cc_dim(sv), F.col("id_centro_custo") == F.col("cc_id"), "left")
-           .join(cat_dim(sv), F.col("id_categoria") == F.col("cat_id"), "left"))
-    y, m = F.year("data_lancamento"), F.month("data_lancamento")
-    return j.groupBy(y.alias("ano"), m.alias("mes"), F.col("id_centro_custo").alias("id_centro_de_custo"),
-                     F.col("cc_nome").alias("centro_de_custo"), F.col("cat_id").alias("id_categoria"),
-                     F.col("cat_nome").alias("categoria")) \
-            .agg(F.sum("valor").alias("realizado")) \
+    t = sv.monthly_totals
+    j = (t.join(cc_dim(sv), F.col("id_centro_custo") == F.col("cc_id"), "left")
+          .join(cat_dim(sv), F.col("id_categoria") == F.col("cat_id"), "left"))
+    return j.select("ano", "mes", F.col("id_centro_custo").alias("id_centro_de_custo"), F.col("cc_nome").alias("centro_de_custo"),
+                    F.col("cat_id").alias("id_categoria"), F.col("cat_nome").alias("categoria"), "realizado") \
             .withColumn("ano_mes", year_month("ano", "mes")) \
             .withColumn("flag_centro_custo_coringa",
                         F.when(F.col("id_centro_de_custo") == S.DEFAULT_MEMBER_ID, F.lit(S.FLAG_YES))
@@ -303,9 +300,7 @@ def gold_mensal(sv: Silver) -> DataFrame:
     outer so spend without budget and budget without spend both stay."""
     orc = sv.fact_orcamento.groupBy("ano", "mes", "id_centro_custo", "id_categoria") \
                            .agg(F.sum("valor").alias("orcado"))
-    fl = sv.fact_lancamentos
-    real = fl.groupBy(F.year("data_lancamento").alias("ano"), F.month("data_lancamento").alias("mes"),
-                      "id_centro_custo", "id_categoria").agg(F.sum("valor").alias("realizado"))
+    real = sv.monthly_totals
     keys = ["ano", "mes", "id_centro_custo", "id_categoria"]
     j = orc.join(real, keys, "full_outer")
     cc, cat = _dim(sv.dim_centro_custo), _dim(sv.dim_categoria)

@@ -39,16 +39,17 @@ MONTH = ["ano", "mes"]
 
 
 class KeptSilver(plan.Silver):
-    """Silver tables under ``root``, loaded from ``stg`` when there is no version of them yet."""
+    """Silver tables under ``root``, loaded from ``stg`` when there is no version of them yet. ``version`` reads
+    that version (it may not be published yet) instead of the newest."""
 
-    def __init__(self, spark: SparkSession, stg, cfg: Config, root: str) -> None:
+    def __init__(self, spark: SparkSession, stg, cfg: Config, root: str, version: dict | None = None) -> None:
         super().__init__(spark, stg, cfg)
-        self.store = Snapshots(spark, root)
+        self.store, self.version = Snapshots(spark, root), version
 
     # ---------------------------------------------------------------- loading
     def _version(self, group: str, build) -> dict:
         """The version that holds ``group``; ``build`` writes its tables if none does yet."""
-        found = self.store.latest()
+        found = self.version or self.store.latest()
         if group in found["notes"]:
             return found
         tables, notes = build()

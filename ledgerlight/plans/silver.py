@@ -290,6 +290,12 @@ class Silver:
         daily = grid.daily_totals(self.fact_lancamentos, "data_lancamento", keys, "valor", "total_do_dia")
         return steps.member_months(daily, "data_lancamento", keys, "total_do_dia")
 
+    @property
+    def monthly_totals(self) -> DataFrame:
+        """A2: SUM(valor) by month, cost centre and category, from the booked days."""
+        total = F.aggregate(steps.BOOKED, F.lit(0).cast("decimal(38,2)"), lambda a, x: (a + x["valor"]).cast("decimal(38,2)"))
+        return self.member_months.select("ano", "mes", "id_centro_custo", "id_categoria", total.alias("realizado"))
+
     @cached_property
     def members(self) -> DataFrame:
         """The (cost centre, category) pairs that have entries."""
