@@ -70,8 +70,7 @@ def expand(turns: Iterable[tuple[str, str]]) -> Iterator[tuple[int, str, int, in
 
 def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        for k, r, t in zip(*(batch.column(c) for c in ("conv_id", "role", "text"))):
-            yield k.as_py(), r.as_py(), t.as_py()
+        yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")))
 
 
 def chat_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -129,8 +128,7 @@ def read_back(examples: DataFrame, grouped: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for row in zip(*(batch.column(c) for c in ("conv_id", "formatted", "loss_start", "loss_end"))):
-                    yield tuple(v.as_py() for v in row)
+                yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_start", "loss_end")))
 
         done = []
         for key, own in groupby(rows(), key=itemgetter(0)):
