@@ -8,6 +8,7 @@ rounded to 6 digits.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end, year_month
 from ledgerlight.functions.safe import money, nullif, rnd
-from ledgerlight.operators import benchmark, periods, steps
+from ledgerlight.operators import benchmark, median_state, periods, steps
 from ledgerlight.operators.joins import bounded, fits, runtime_sized
 from ledgerlight.operators.running import BLOCK, running_sum
 from ledgerlight.plans.config import Config
-from ledgerlight.plans.silver import Silver
+from ledgerlight.plans.silver import BENCHMARK_VALUES, MEMBER, Silver, share_of_month
 
 
 def _dim(df: DataFrame, **names: str) -> DataFrame:
@@ -192,9 +193,6 @@ def gold_lancamentos(sv: Silver, block: int = BLOCK) -> DataFrame:
 
 
 # ------------------------------------------------------------------ G4
-MEMBER = ["id_centro_custo", "id_categoria"]
-
-
 def daily_grid(sv: Silver, end: dt.date | None = None) -> DataFrame:
     """J3 + J4: (day x cost centre x category) grid over the calendar of the
     entries (up to ``end``) with the day totals, zero where nothing was
@@ -210,11 +208,7 @@ def mtd_history(sv: Silver, cfg: Config, cut: bool = True) -> DataFrame:
     """Dense (day x cost centre x category) grid with day totals, MTD, month
     total and cumulative share. ``cut`` keeps the days before the history cut."""
     h = daily_grid(sv, cfg.history_cut - dt.timedelta(days=1) if cut else None)
-    return h.withColumn("perc_gasto_mes", _share_of_month())
-
-
-def _share_of_month() -> Column:
-    return F.try_divide(F.col("gasto_mtd").cast("double"), nullif(F.col("total_do_mes"), 0).cast("double"))
+    return h.withColumn("perc_gasto_mes", share_of_month())
 
 
 def gold_referencia_mtd(sv: Silver, cfg: Config, sets: list[list[str]] | None = None, days: list[int] | None = None,
@@ -222,12 +216,23 @@ def gold_referencia_mtd(sv: Silver, cfg: Config, sets: list[list[str]] | None =
     """Per day of month, the median cumulative share (peso_do_dia) and
     median MTD value at four grains, -999 = all. ``sets`` and ``days`` build
     only the grains and days of the month that a measure needs. The grid is
-    counted, not made: months without bookings are one row per member."""
-    history = steps.before(sv.month_steps, cfg.history_cut)
-    cells = steps.cells(sv.members, sv.calendar_span, MEMBER, cfg.history_cut)
-    h = steps.weighted_days(history, cells, MEMBER, days).withColumn("perc_gasto_mes", _share_of_month())
-    m = benchmark.multi_grain_median(h, "dia", MEMBER, {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"},
-                                     sets=sets, bits=bits, weight="celulas")
+    counted, not made: months without bookings are one row per member. Grains
+    that put members together read the kept counts of their months
+    (``operators.median_state``); with other ``bits`` all are counted anew."""
+    sets = benchmark._all_sets(MEMBER) if sets is None else [list(st) for st in sets]
+    kept = [st for st in sets if bits == benchmark.RANGE_BITS and len(st) < len(MEMBER)]
+    anew = [st for st in sets if st not in kept]
+    history = steps.before(sv.month_steps, cfg.history_cut).withColumn("perc_gasto_mes", share_of_month())
+    found = []
+    if kept:
+        cells = median_state.all_cells(sv.members, sv.calendar_span, MEMBER, kept, cfg.history_cut, days)
+        found.append(median_state.medians(median_state.before(sv.median_ranges, cfg.history_cut), history, cells, MEMBER, BENCHMARK_VALUES,
+                                          "valor_mediano_dia", kept, days))
+    if anew:
+        cells = steps.cells(sv.members, sv.calendar_span, MEMBER, cfg.history_cut)
+        h = steps.weighted_days(history.drop("perc_gasto_mes"), cells, MEMBER, days).withColumn("perc_gasto_mes", share_of_month())
+        found.append(benchmark.multi_grain_median(h, "dia", MEMBER, BENCHMARK_VALUES, sets=anew, bits=bits, weight="celulas"))
+    m = reduce(DataFrame.unionByName, found)
     return m.select("dia", "id_centro_custo", "id_categoria",
                     rnd("peso_do_dia", 6).alias("peso_do_dia"),
                     rnd("valor_mediano_dia", 4).alias("valor_mediano_dia"))

@@ -4,9 +4,9 @@
 checked and written before; queries scan them and neither join a dimension to
 check a key nor sort the ledger by id. What is loaded together is published
 together (``sources.snapshots``): the four dimensions, the ledger with its
-rejects, the budget with its rejects; the booked days by month, derived from the
-ledger, follow. Each group is loaded when it is first
-asked for.
+rejects, the budget with its rejects; the booked days by month and the counts of the
+benchmark by month, derived from the ledger, follow. Each group is loaded when it is
+first asked for.
 
 The ledger is read from staging once: typed rows with the rules that they
 break are landed, and while they are written every rule is counted
@@ -138,6 +138,14 @@ class KeptSilver(plan.Silver):
         version = self._version("months", lambda: ({"member_months": self.store.write("member_months", super(KeptSilver, self).member_months, MONTH)}, {}))
         return self.store.read("member_months", version)
 
+    @cached_property
+    def median_ranges(self) -> DataFrame:
+        """Kept by month: benchmarks add the counts of the months that they look at."""
+        if "fact_lancamentos" in self.replaced:
+            return super().median_ranges
+        version = self._version("ranges", lambda: ({"median_ranges": self.store.write("median_ranges", plan.median_ranges(self.member_months), MONTH)}, {}))
+        return self.store.read("median_ranges", version)
+
     @cached_property
     def rejects_lancamentos(self) -> DataFrame:
         return self.store.read("rejects_lancamentos", self._ledger)
@@ -165,7 +173,7 @@ class KeptSilver(plan.Silver):
 
     def load(self) -> "KeptSilver":
         """Load everything now."""
-        self._dimensions, self._ledger, self._budget, self.member_months
+        self._dimensions, self._ledger, self._budget, self.member_months, self.median_ranges
         return self
 
 

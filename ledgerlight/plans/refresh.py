@@ -6,7 +6,7 @@ rules as the first load and publishes one new version in which
 
 * the ledger's touched months are replaced: months that get an entry, or lose one
   to a smaller row with the same id (the row that a full load would keep);
-* rejects are appended, and the booked days of the touched months replaced;
+* rejects are appended, and the booked days and benchmark counts of the touched months replaced;
 * gold tables whose rows depend on their own month alone are built from the touched
   months only;
 * gold tables that look across months (year-to-date, lags, yearly means) are built
@@ -148,10 +148,11 @@ def add_entries(sv: KeptSilver, late: DataFrame) -> Change:
         notes.update(_span(store.read("fact_lancamentos", draft()), new, gone, notes))
         part = _reader(sv, draft())
         fact = store.read("fact_lancamentos", draft()).filter(Snapshots.among(MONTH, touched)).select(*LEDGER)
-        keys = ["id_centro_custo", "id_categoria"]
-        daily = grid.daily_totals(fact, "data_lancamento", keys, "valor", "total_do_dia")
-        tables["member_months"] = store.replace("member_months", steps.member_months(daily, "data_lancamento", keys, "total_do_dia"), touched, base)
-        rewritten.update({t: touched for t in ("fact_lancamentos", "member_months")})
+        daily = grid.daily_totals(fact, "data_lancamento", plan.MEMBER, "valor", "total_do_dia")
+        tables["member_months"] = store.replace("member_months", steps.member_months(daily, "data_lancamento", plan.MEMBER, "total_do_dia"), touched, base)
+        booked = store.read("member_months", draft()).filter(Snapshots.among(MONTH, touched))
+        tables["median_ranges"] = store.replace("median_ranges", plan.median_ranges(booked), touched, base)
+        rewritten.update({t: touched for t in ("fact_lancamentos", "member_months", "median_ranges")})
         for name, make in OF_MONTH.items():
             if name in base["tables"]:
                 tables[name] = store.replace(name, _by_month(make(part.replace(fact_lancamentos=fact))), touched, base)

@@ -14,15 +14,30 @@ import copy
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
-from ledgerlight.operators import cleanse, grid, rules, steps
+from ledgerlight.functions.safe import nullif
+from ledgerlight.operators import cleanse, grid, median_state, rules, steps
 from ledgerlight.operators.joins import BROADCAST_BYTES, check_all, fits
 from ledgerlight.plans.config import Config
 
+#: The keys of a member of the daily grid; the benchmark's columns and what they are medians of.
+MEMBER = ["id_centro_custo", "id_categoria"]
+BENCHMARK_VALUES = {"peso_do_dia": "perc_gasto_mes", "valor_mediano_dia": "gasto_mtd"}
+
+
+def share_of_month() -> Column:
+    """The running total's share of the whole month (NULL for a month without spend)."""
+    return F.try_divide(F.col("gasto_mtd").cast("double"), nullif(F.col("total_do_mes"), 0).cast("double"))
+
+
+def median_ranges(months: DataFrame) -> DataFrame:
+    """The benchmark's state of the booked ``months``: counted value ranges by month, grain and day."""
+    return median_state.month_ranges(steps.steps(months, MEMBER).withColumn("perc_gasto_mes", share_of_month()), MEMBER, BENCHMARK_VALUES)
+
 
 # ---------------------------------------------------------------- dimensions
 def dim_camp_marketing(stg: DataFrame) -> DataFrame:
@@ -184,7 +199,7 @@ class Silver:
         out.__dict__ = dict(self.__dict__)
         out.__dict__.update(tables)
         if "fact_lancamentos" in tables:        # what is derived from the ledger follows it
-            for name in ("calendar_span", "dim_calendario", "dim_mes", "member_months", "members", "month_steps"):
+            for name in ("calendar_span", "dim_calendario", "dim_mes", "median_ranges", "member_months", "members", "month_steps"):
                 if name not in tables:
                     out.__dict__.pop(name, None)
         out.replaced = self.replaced | frozenset(tables)
@@ -286,9 +301,8 @@ class Silver:
     @cached_property
     def member_months(self) -> DataFrame:
         """The booked days of every month of a (cost centre, category), as one row."""
-        keys = ["id_centro_custo", "id_categoria"]
-        daily = grid.daily_totals(self.fact_lancamentos, "data_lancamento", keys, "valor", "total_do_dia")
-        return steps.member_months(daily, "data_lancamento", keys, "total_do_dia")
+        daily = grid.daily_totals(self.fact_lancamentos, "data_lancamento", MEMBER, "valor", "total_do_dia")
+        return steps.member_months(daily, "data_lancamento", MEMBER, "total_do_dia")
 
     @property
     def monthly_totals(self) -> DataFrame:
@@ -304,7 +318,12 @@ class Silver:
     @cached_property
     def month_steps(self) -> DataFrame:
         """The daily grid of running month totals in step form."""
-        return steps.steps(self.member_months, ["id_centro_custo", "id_categoria"])
+        return steps.steps(self.member_months, MEMBER)
+
+    @cached_property
+    def median_ranges(self) -> DataFrame:
+        """What medians of the grid are found by, at the grains that put members together."""
+        return median_ranges(self.member_months)
 
     @cached_property
     def rejects_lancamentos(self) -> DataFrame:
