@@ -25,7 +25,8 @@ from ledgerlight.llm.shared import components, ship, stored
 
 THRESHOLD = 0.98
 #: Scores within this of the best are listed: about three standard errors of a pair at the threshold in 64 dimensions.
-MARGIN = 0.08
+#: These errors shrink with the root of the dimension, and the margin with them (``fitted``).
+MARGIN, MARGIN_DIM = 0.08, 64
 #: Vectors that a filter should hold on average, and bounds of a half's code.
 PER_FILTER, LEAST_CODE, MOST_CODE = 64, 16, 4096
 #: Vectors of one block of a filter.
@@ -44,6 +45,12 @@ def product_code(dim: int, size: int, seed: int = 5) -> tuple[np.ndarray, np.nda
     return rotation, halves[0], halves[1]
 
 
+def fitted(dim: int, size: int, margin: float) -> tuple[int, float]:
+    """Code size of a half and margin for vectors of ``dim`` dimensions, so that lists stay short in all of them: few
+    dimensions have room for few distinct directions, many have scores that differ little."""
+    return min(size, 8 << dim // 2), margin * min(1.0, float(np.sqrt(MARGIN_DIM / dim)))
+
+
 def decode(units: np.ndarray, size: int, margin: float) -> tuple[np.ndarray, list[np.ndarray]]:
     """Best direction and list of directions within ``margin`` of it for each unit vector."""
     rotation, one, two = product_code(units.shape[1], size)
@@ -102,7 +109,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
                 units = _matrix(batch.column(1).take(pa.array(own)), int(d))
                 units = units / np.abs(units).max(axis=1, keepdims=True)
                 units = units / np.linalg.norm(units, axis=1, keepdims=True)
-                b, some = decode(units, size, margin)
+                b, some = decode(units, *fitted(int(d), size, margin))
                 best[own] = b
                 for i, x in zip(own, some):
                     lists[i] = x

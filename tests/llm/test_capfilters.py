@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from ledgerlight.llm import capfilters
 from ledgerlight.llm.capfilters import near_vectors
@@ -65,6 +66,36 @@ def test_recall_at_the_threshold(spark):
     assert len(linked) / 2 / want >= 0.97
 
 
+def planted(rng, dim, count, cosine=0.9801):
+    """``count`` vectors and as many partners at the cosine."""
+    x, z = rng.standard_normal((2, count, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    return x, cosine * x + math.sqrt(1 - cosine * cosine) * z
+
+
+@pytest.mark.parametrize("dim", [2, 3, 4, 8, 16, 32, 64, 128, 384, 768])
+@pytest.mark.parametrize("size", [16, 125, 1000])
+def test_lists_stay_short_and_partners_meet_in_any_dimension(dim, size):
+    """At each code size, pairs at the threshold meet, and a list holds few of the directions."""
+    some, partners = planted(np.random.default_rng([dim, size]), dim, 400)
+    code = capfilters.fitted(dim, size, capfilters.MARGIN)
+    best, lists = capfilters.decode(some, *code)
+    best_of_partner, partner_lists = capfilters.decode(partners, *code)
+    met = [b in q or c in p for b, c, p, q in zip(best, best_of_partner, lists, partner_lists)]
+    assert np.mean(met) >= 0.9
+    assert np.mean([len(x) for x in lists]) <= 128
+
+
+@pytest.mark.parametrize("dim", [3, 16, 256])
+def test_recall_in_other_dimensions(spark, dim):
+    x, y = planted(np.random.default_rng(dim), dim, 300)
+    rows = [(i, v.tolist(), i % 300) for i, v in enumerate([*x, *y])]        # a pair has a label of its own
+    got = found(frame(spark, rows))
+    assert sum(n for _, n, _ in got) / 600 >= 0.9
+
+
 def test_hot_groups_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(capfilters, "BLOCK", 16)
     rng = np.random.default_rng(3)
