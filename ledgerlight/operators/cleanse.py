@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas as S
 from ledgerlight.functions.dates import month_end
 from ledgerlight.functions.text import float_text_to_int, normalise_status, sentence_case
-from ledgerlight.operators.joins import fits, runtime_sized
+from ledgerlight.operators.joins import runtime_sized, with_missing
 
 
 def typed_projection(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
@@ -56,12 +56,10 @@ def rekey_unknown(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
     NULL keys of the dimension match nothing, so a bad dimension row cannot
     switch the re-keying off (a literal ``NOT IN`` would be unknown for all).
     """
-    keys = dim.filter(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("__pk")).distinct()
-    k = F.broadcast(keys) if fits(dim) else keys                 # keys <= dimension rows
-    j = df.join(k, df[key] == k["__pk"], "left")
-    fixed = F.when(F.col(key).isNotNull() & F.col("__pk").isNull(), F.lit(default)).otherwise(F.col(key))
-    return j.select(*[fixed.cast(df.schema[key].dataType).alias(c) if c == key else F.col(c)
-                      for c in df.columns])
+    flagged = with_missing(df, key, dim, dim_key, "__unknown")
+    fixed = F.when(F.col("__unknown"), F.lit(default)).otherwise(F.col(key))
+    return flagged.select(*[fixed.cast(df.schema[key].dataType).alias(c) if c == key else F.col(c)
+                            for c in df.columns])
 
 
 def add_default_member(dim: DataFrame, key: str, name_col: str,

@@ -10,6 +10,10 @@ Three kinds of small sides, three rules:
   no hint and no eager count (``runtime_sized``); AQE converts the join to a
   broadcast after measuring the side's shuffle output.
 * one-row global aggregates (``with_scalars``): bounded by construction.
+
+A foreign key whose parent is beyond the bound does not send the child's rows
+through a shuffle either: its distinct keys are looked up (``absent_keys``), and
+the rows meet only the keys that were not found, which are few in sound data.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight.session import checkpoint_dir
+
 # A dimension is broadcast when it has at most this many rows AND its
 # estimated size (rows x schema width) stays under BROADCAST_BYTES.
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -141,6 +147,37 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn(k, F.lit(1)).join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k)
 
 
+def absent_keys(child: DataFrame, key: Column | str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """(__gone): the distinct non-null keys of ``child`` that ``parent`` lacks, as a checkpoint.
+
+    Only keys travel: equal ones collapse before the shuffle, so a key that a third of all rows share is a row per
+    task. The checkpoint lets the size of the result decide how the rows are joined with it."""
+    checkpoint_dir(child.sparkSession)                   # the cluster's folder, set where it is not yet
+    used = child.select((F.col(key) if isinstance(key, str) else key).alias("__gone")).filter(F.col("__gone").isNotNull()).distinct()
+    keys = parent.select(F.col(parent_key).alias("__pk"))
+    return used.join(keys, used["__gone"] == keys["__pk"], "left_anti").checkpoint()
+
+
+def with_missing(child: DataFrame, key: Column | str, parent: DataFrame, parent_key: str, flag: str,
+                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``child`` with the boolean ``flag``: TRUE where the non-null ``key`` is not among the parent's keys (whose
+    NULLs match nothing), never NULL. Rows are neither lost nor repeated.
+
+    A parent of proven size is broadcast. Of a larger one only the absent keys meet the rows (``absent_keys``);
+    these are broadcast if they are proven few, so the rows are not shuffled.
+    """
+    ck = F.col(key) if isinstance(key, str) else key
+    own, other = f"__ck_{flag}", f"__pk_{flag}"
+    probe = child.withColumn(own, ck)
+    if fits(parent, max_rows):
+        keys = F.broadcast(parent.select(F.col(parent_key).alias(other)).distinct())        # keys <= parent rows
+        missing = F.col(own).isNotNull() & F.col(other).isNull()
+    else:
+        keys = bounded(absent_keys(child, ck, parent, parent_key).withColumnRenamed("__gone", other), max_rows)
+        missing = F.col(other).isNotNull()
+    return probe.join(keys, F.col(own) == F.col(other), "left").withColumn(flag, missing).drop(own, other)
+
+
 def anti_join(child: DataFrame, parent: DataFrame, child_key: Column | str, parent_key: str,
               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``child`` whose non-null key is absent from ``parent``.
@@ -152,7 +189,9 @@ def anti_join(child: DataFrame, parent: DataFrame, child_key: Column | str, pare
     ck = F.col(child_key) if isinstance(child_key, str) else child_key
     if has_null(parent, parent_key):
         return child.limit(0)
-    keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
     probe = child.withColumn("__ck", ck).filter(F.col("__ck").isNotNull())
-    k = F.broadcast(keys) if fits(parent, max_rows) else keys     # keys <= parent rows
-    return probe.join(k, probe["__ck"] == k["__pk"], "left_anti").drop("__ck")
+    if fits(parent, max_rows):
+        keys = F.broadcast(parent.select(F.col(parent_key).alias("__pk")).distinct())        # keys <= parent rows
+        return probe.join(keys, probe["__ck"] == keys["__pk"], "left_anti").drop("__ck")
+    gone = bounded(absent_keys(child, ck, parent, parent_key), max_rows)
+    return probe.join(gone, probe["__ck"] == gone["__gone"], "left_semi").drop("__ck")

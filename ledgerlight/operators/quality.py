@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.safe import rnd
 
 from ledgerlight import schemas as S
 from ledgerlight.functions.text import has_extra_space, is_null_or_blank, sentence_case
-from ledgerlight.operators.joins import anti_join, fits, has_null, runtime_sized
+from ledgerlight.operators.joins import anti_join, has_null, runtime_sized, with_missing
 
 RULE_EXTRA_SPACE = "espacos_extras"
 RULE_NULL_OR_EMPTY = "nulos_ou_vazios"
@@ -102,21 +102,17 @@ def fk_violations(child: DataFrame, checks: Mapping[str, tuple[Column | str, Dat
     parent (NOT IN semantics: a NULL among the parent keys reports nothing).
     ``checks``: name -> (child key, parent, parent key). Returns (coluna, qtd).
 
-    ONE scan of the child: each parent's distinct keys are left-joined
-    (broadcast when the parent is proven small) and a single conditional
-    aggregate counts the misses of every key."""
+    A parent that is proven small is broadcast, so the child is scanned once;
+    of a larger one the child's distinct keys are looked up first
+    (``with_missing``). A single conditional aggregate counts all misses."""
     probe = child
     counts = []
     for i, (name, (ck, parent, pk)) in enumerate(checks.items()):
-        key = F.col(ck) if isinstance(ck, str) else ck
-        probe = probe.withColumn(f"__ck{i}", key)
         if has_null(parent, pk):
             counts.append(F.lit(0).cast("long").alias(f"__n{i}"))
             continue
-        keys = parent.select(F.col(pk).alias(f"__pk{i}")).distinct()
-        keys = F.broadcast(keys) if fits(parent) else keys
-        probe = probe.join(keys, F.col(f"__ck{i}") == F.col(f"__pk{i}"), "left")
-        counts.append(F.count_if(F.col(f"__ck{i}").isNotNull() & F.col(f"__pk{i}").isNull()).alias(f"__n{i}"))
+        probe = with_missing(probe, ck, parent, pk, f"__m{i}")
+        counts.append(F.count_if(f"__m{i}").alias(f"__n{i}"))
     wide = probe.agg(*counts)
     pairs = [F.struct(F.lit(name).alias("coluna"), F.col(f"__n{i}").alias("qtd")) for i, name in enumerate(checks)]
     return wide.select(F.explode(F.array(*pairs)).alias("__p")).select("__p.coluna", "__p.qtd")
@@ -183,15 +179,33 @@ def deviation_bands(df: DataFrame, value: Column, group_cols: Sequence[str],
                       F.coalesce(F.col("registros"), F.lit(0)).alias("registros"))
 
 
+_SEP = "\u0001"
+#: The fact that counts a table's rows.
+ROWS = f"linhas{_SEP}*"
+
+
+def profile_facts(cols: Sequence[str], rules: Mapping[str, Predicate] | None = None, rows: Column | None = None) -> dict[str, Column]:
+    """The aggregates of a table's profile, for a scan (``profile``) or to be observed while the table is written;
+    ``rows``: only rows for which it holds are counted."""
+    rules = dict(rules or STANDARD_RULES)
+    counted = (lambda c: c) if rows is None else (lambda c: rows & c)
+    facts = {ROWS: F.count_if(counted(F.lit(True)))}
+    return facts | {f"{r}{_SEP}{c}": F.count_if(counted(pred(c))) for r, pred in rules.items() for c in cols}
+
+
+def profile_of(spark: SparkSession, seen: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The profile (tabela, coluna, regra, qtd) of tables from the facts counted when they were written: no scan.
+    The list is columns x rules long, never rows."""
+    long = [(table, name.split(_SEP)[1], name.split(_SEP)[0], int(n)) for table, facts in seen.items() for name, n in facts.items() if _SEP in name]
+    return spark.createDataFrame(long, "tabela string, coluna string, regra string, qtd long")
+
+
 def profile(df: DataFrame, table: str, cols: Sequence[str] | None = None,
             rules: Mapping[str, Predicate] | None = None) -> DataFrame:
     """Q17: every rule on every column in ONE scan -> (tabela, coluna, regra, qtd)."""
-    cols = list(cols or df.columns)
-    rules = dict(rules or STANDARD_RULES)
-    aggs = [F.count_if(pred(c)).alias(f"{r}\u0001{c}") for r, pred in rules.items() for c in cols]
-    wide = df.agg(F.count(F.lit(1)).alias(f"linhas\u0001*"), *aggs)
+    wide = df.agg(*[c.alias(name) for name, c in profile_facts(list(cols or df.columns), rules).items()])
     long = wide.unpivot([], wide.columns, "chave", "qtd")
     return long.select(F.lit(table).alias("tabela"),
-                       F.split_part("chave", F.lit("\u0001"), F.lit(2)).alias("coluna"),
-                       F.split_part("chave", F.lit("\u0001"), F.lit(1)).alias("regra"),
+                       F.split_part("chave", F.lit(_SEP), F.lit(2)).alias("coluna"),
+                       F.split_part("chave", F.lit(_SEP), F.lit(1)).alias("regra"),
                        F.col("qtd").cast("long").alias("qtd"))

@@ -1,7 +1,8 @@
 """The whole medallion run: raw files -> profile -> silver -> gold.
 
-  bronze   B1: ingest the six raw CSV files with their declared all-text layouts
-  quality  Q17: one-scan profile of every staging table (persisted report)
+  bronze   B1, B2: the six raw CSV files, read once and landed with their declared all-text layouts, the lines that
+           do not have the declared fields beside them
+  quality  Q17, B3: profile and line counts of every staging table, counted while it is landed (no scan)
   silver   S/R: typed dimensions and facts, rejects kept apart, written with
            idempotent full refreshes; facts partitioned by (ano, mes)
   gold     G1-G9 written from the persisted silver tables (lineage cut: gold
@@ -26,6 +27,7 @@ from ledgerlight.plans import gold, measures
 from ledgerlight.plans import silver as silver_plan
 from ledgerlight.plans.config import Config
 from ledgerlight.sources import files
+from ledgerlight.sources.snapshots import Snapshots
 
 RAW_FILES = {
     "stg_lancamentos": "fact_lancamentos",
@@ -39,25 +41,54 @@ RAW_FILES = {
 FACT_PARTITIONS = {"fact_lancamentos": ["ano", "mes"], "fact_orcamento": ["ano"]}
 
 
-def bronze(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """B1 for the six raw files (``<raw_dir>/<name>.csv`` or the folder ``<raw_dir>/<name>``)."""
-    return {stg: files.ingest_csv(spark, files.raw_path(spark, raw_dir, name), S.STAGING_SCHEMAS[stg])
-            for stg, name in RAW_FILES.items()}
+REJECTED_LINES = "linhas_rejeitadas"
 
 
-def bronze_rejects(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """(tabela, linha): every raw line that does not have the declared fields."""
-    parts = [files.ingest_rejects(spark, files.raw_path(spark, raw_dir, name), S.STAGING_SCHEMAS[stg]).select(F.lit(stg).alias("tabela"), "linha")
-             for stg, name in RAW_FILES.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def profile_report(stg: dict[str, DataFrame]) -> DataFrame:
-    out = None
-    for name, df in stg.items():
-        p = quality.profile(df, name)
-        out = p if out is None else out.unionByName(p)
-    return out
+@dataclass
+class Landed:
+    """The landed staging tables, their profile and the lines that were left out."""
+    tables: dict[str, DataFrame]
+    profile: DataFrame
+    rejected: DataFrame
+    seen: dict[str, dict[str, int]]
+
+    def counts(self) -> DataFrame:
+        """B3 of the load: (tabela, total_registros, linhas_rejeitadas), as counted while landing."""
+        spark = self.rejected.sparkSession
+        rows = [(n, s[quality.ROWS], s[REJECTED_LINES]) for n, s in self.seen.items()]
+        return spark.createDataFrame(rows, "tabela string, total_registros long, linhas_rejeitadas long")
+
+
+def land(spark: SparkSession, lines: dict[str, DataFrame], root: str) -> Landed:
+    """Write the staging tables and profile them on the way.
+
+    ``lines`` are frames of staging columns and, if read from files, the column of rejected lines. Each is read
+    once: rows are landed as they are, and every rule of the profile is counted in the writing stage (observed
+    metrics), so neither the profile nor the rejects nor silver read a raw file again. All tables become visible
+    by one version."""
+    store = Snapshots(spark, root)
+    written = {}
+    for name, df in lines.items():
+        columns = [c for c in df.columns if c != files.REJECTED_LINE]
+        if files.REJECTED_LINE not in df.columns:
+            df = df.withColumn(files.REJECTED_LINE, F.lit(None).cast("string"))
+        bad = F.col(files.REJECTED_LINE).isNotNull()
+        written[name] = store.write(name, df, facts={**quality.profile_facts(columns, rows=~bad), REJECTED_LINES: F.count_if(bad)})
+    version = files.publish(store, written)
+    store.vacuum()
+    tables, rejects = {}, []
+    for name in lines:
+        df = store.read(name, version)
+        bad = F.col(files.REJECTED_LINE).isNotNull()
+        tables[name] = df.filter(~bad).drop(files.REJECTED_LINE)
+        rejects.append(df.filter(bad).select(F.lit(name).alias("tabela"), files.REJECTED_LINE))
+    seen = {name: version["tables"][name]["seen"] for name in lines}
+    return Landed(tables, quality.profile_of(spark, seen), reduce(DataFrame.unionByName, rejects), seen)
+
+
+def raw_frames(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    """All lines of the six raw files, for ``land``."""
+    return {stg: files.raw_lines(spark, files.raw_path(spark, raw_dir, name), S.STAGING_SCHEMAS[stg]) for stg, name in RAW_FILES.items()}
 
 
 @dataclass
@@ -65,6 +96,7 @@ class Result:
     silver: silver_plan.Silver
     counts: DataFrame
     paths: dict[str, str]
+    landed: Landed
 
 
 def _persist_silver(sv: silver_plan.Silver, out: str) -> dict[str, DataFrame]:
@@ -88,12 +120,11 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config,
     """Run bronze -> quality -> silver -> gold (-> measures); ``stg`` may
     replace the CSV ingest."""
     out = out_dir.rstrip("/")
-    from_files = stg is None
-    stg = bronze(spark, raw_dir) if from_files else stg
-    files.full_refresh(profile_report(stg), f"{out}/quality/profile")
-    if from_files:
-        files.full_refresh(bronze_rejects(spark, raw_dir), f"{out}/quality/linhas_rejeitadas")
-    built = silver_plan.build(spark, stg, cfg)
+    landed = land(spark, raw_frames(spark, raw_dir) if stg is None else stg, f"{out}/bronze")
+    files.full_refresh(landed.profile, f"{out}/quality/profile")
+    files.full_refresh(landed.counts(), f"{out}/quality/contagens")
+    files.full_refresh(landed.rejected, f"{out}/quality/linhas_rejeitadas")
+    built = silver_plan.build(spark, landed.tables, cfg)
     persisted = _persist_silver(built, out)
     sv = built.replace(**{k: v for k, v in persisted.items() if k in built.tables() or k.startswith("rejects")})
     views = {
@@ -115,7 +146,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config,
             paths[name] = f"{out}/measures/{name}"
             files.full_refresh(df, paths[name])
     counts = audit.audit_counts(sv.tables())
-    return Result(sv, counts, paths)
+    return Result(sv, counts, paths, landed)
 
 
 def measure_reports(sv: silver_plan.Silver, cfg: Config, ref: DataFrame) -> dict[str, DataFrame]:

@@ -21,7 +21,7 @@ from ledgerlight import schemas as S
 from ledgerlight.operators import calendar as cal
 from ledgerlight.functions.safe import nullif
 from ledgerlight.operators import cleanse, grid, median_state, rules, steps
-from ledgerlight.operators.joins import BROADCAST_BYTES, check_all, fits
+from ledgerlight.operators.joins import BROADCAST_BYTES, check_all, with_missing
 from ledgerlight.plans.config import Config
 
 #: The keys of a member of the daily grid; the benchmark's columns and what they are medians of.
@@ -103,10 +103,7 @@ def _fk_flags(df: DataFrame, fks: dict[str, tuple[str, DataFrame, str]]) -> Data
     """Attach one boolean per FK: parent found (or child key NULL)."""
     out = df
     for name, (ck, parent, pk) in fks.items():
-        keys = parent.select(F.col(pk).alias(f"__fk_{name}")).distinct()
-        keys = F.broadcast(keys) if fits(parent) else keys      # keys <= dimension rows
-        out = (out.join(keys, out[ck] == keys[f"__fk_{name}"], "left")
-               .withColumn(f"__fk_{name}", F.col(ck).isNull() | F.col(f"__fk_{name}").isNotNull()))
+        out = with_missing(out, ck, parent, pk, f"__fk_{name}").withColumn(f"__fk_{name}", ~F.col(f"__fk_{name}"))
     return out
 
 

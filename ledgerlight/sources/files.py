@@ -29,6 +29,7 @@ CSV_OPTIONS = {
 
 
 _BROKEN = "__linha"
+REJECTED_LINE = "linha"
 
 
 def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, options: dict[str, str]) -> DataFrame:
@@ -53,6 +54,12 @@ def ingest_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     return read.filter(F.col(_BROKEN).isNotNull()).select(line)
 
 
+def raw_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, **options: str) -> DataFrame:
+    """Every line of CSV files: the declared text columns, and ``linha``, which holds the whole line where it does not
+    have the declared fields (NULL otherwise). ``ingest_csv`` and ``ingest_rejects`` in one reading."""
+    return _read_csv(spark, path, schema, options).withColumnRenamed(_BROKEN, REJECTED_LINE)
+
+
 def raw_path(spark: SparkSession, folder: str, name: str) -> str:
     """``<folder>/<name>.csv`` or the folder ``<folder>/<name>`` of parts, nothing else of a similar name."""
     base = f"{folder.rstrip('/')}/{name}"
@@ -80,12 +87,12 @@ def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     """
     store = Snapshots(df.sparkSession, path)
     written = store.write("table", df, partition_by, fmt)
-    version = _publish(store, {"table": written})
+    version = publish(store, {"table": written})
     store.vacuum()
     return store.read("table", version)
 
 
-def _publish(store: Snapshots, tables: dict, tries: int = 20) -> dict:
+def publish(store: Snapshots, tables: dict, tries: int = 20) -> dict:
     """Publish whole tables; another writer's version in between does not matter, theirs is replaced."""
     for n in range(tries):
         try:
