@@ -76,15 +76,21 @@ def period_change(df: DataFrame, value: str, members: Sequence[str], year: str,
               .withColumn(out_pct, change_pct(v, F.col("__prev"))).drop("__prev"))
 
 
-def with_month_total(df: DataFrame, value: str | Column, keys: Sequence[str], out: str) -> DataFrame:
+def month_totals(df: DataFrame, value: str | Column, keys: Sequence[str], out: str) -> DataFrame:
+    """SUM(value) per ``keys``, which name a month (and perhaps a status)."""
+    return df.groupBy(*keys).agg(F.sum(F.col(value) if isinstance(value, str) else value).alias(out))
+
+
+def with_month_total(df: DataFrame, value: str | Column, keys: Sequence[str], out: str, totals: DataFrame | None = None) -> DataFrame:
     """Attach SUM(value) per ``keys``, which name a month (and perhaps a
     status): a partial aggregate joined back, never a window over a month.
+    ``totals`` (``month_totals``) says them where they are found more cheaply than
+    from ``df``, e.g. over the rows that it was grouped from.
 
     The totals are broadcast: the load rules bound the months by the ledger's
     and the calendar's date range, and statuses are a fixed list.
     """
-    v = F.col(value) if isinstance(value, str) else value
-    totals = df.groupBy(*keys).agg(F.sum(v).alias(out))
+    totals = month_totals(df, value, keys, out) if totals is None else totals
     side = totals.select(*[F.col(k).alias(f"__m_{k}") for k in keys], out)
     on = [F.col(k) == F.col(f"__m_{k}") for k in keys]
     return df.join(F.broadcast(side), on, "left").select(*df.columns, out)
@@ -101,9 +107,9 @@ def share(value: str | Column, part: Sequence, total: str, digits: int = 6, guar
 
 
 def share_of_total(df: DataFrame, value: str, total_keys: Sequence[str], out: str,
-                   digits: int = 6) -> DataFrame:
-    """Row value / total of its month, the total attached by ``with_month_total``."""
-    j = with_month_total(df, value, total_keys, "__tot")
+                   digits: int = 6, totals: DataFrame | None = None) -> DataFrame:
+    """Row value / total of its month, the total attached by ``with_month_total`` (``totals``: as ``__tot``)."""
+    j = with_month_total(df, value, total_keys, "__tot", totals)
     return j.select(*df.columns, rnd(F.try_divide(F.col(value).cast("double"),
                                                       F.col("__tot").cast("double")), digits).alias(out))
 

@@ -262,13 +262,25 @@ def gold_lancamentos_diarios(sv: Silver) -> DataFrame:
 # ------------------------------------------------------------------ G6
 def gold_lancamentos_consolidados_dia(sv: Silver) -> DataFrame:
     """Daily totals per cost centre, category, supplier, status and the
-    share of the month (month total via partial aggregate + join)."""
-    e = ledger_enriched(sv)
+    share of the month (month total via partial aggregate + join).
+
+    Ids are grouped and names joined to the groups: the load gives every entry
+    one parent of each kind. The month totals are taken over the entries, a row per
+    month and task, so that the groups, nearly as many as entries, are made once."""
     keys = ["data_lancamento", "id_centro_de_custo", "centro_de_custo", "id_categoria", "categoria",
             "id_fornecedor", "fornecedor", "status_pagamento"]
-    b = e.groupBy(*keys).agg(F.sum("valor").alias("total_do_dia")) \
-         .withColumn("__ano", F.year("data_lancamento")).withColumn("__mes", F.month("data_lancamento"))
-    s = periods.share_of_total(b, "total_do_dia", ["__ano", "__mes"], "participacao_no_mes")
+    c, month = F.col, ["__ano", "__mes"]
+    status = F.replace(c("status_pagamento"), F.lit(S.STATUS_OPEN), F.lit(S.STATUS_PENDING)).alias("status_pagamento")
+    e = sv.fact_lancamentos.withColumn("__ano", F.year("data_lancamento")).withColumn("__mes", F.month("data_lancamento"))
+    b = e.select("data_lancamento", "id_centro_custo", c("id_categoria").alias("__cat"), c("id_fornecedor").alias("__forn"), status, *month, "valor") \
+         .groupBy("data_lancamento", "id_centro_custo", "__cat", "__forn", "status_pagamento", *month).agg(F.sum("valor").alias("total_do_dia"))
+    b = (b.join(cc_dim(sv), c("id_centro_custo") == c("cc_id"), "left")
+          .join(cat_dim(sv), c("__cat") == c("cat_id"), "left")
+          .join(forn_dim(sv), c("__forn") == c("forn_id"), "left"))
+    b = b.select("data_lancamento", c("cc_id").alias("id_centro_de_custo"), c("cc_nome").alias("centro_de_custo"),
+                 c("cat_id").alias("id_categoria"), c("cat_nome").alias("categoria"),
+                 c("forn_id").alias("id_fornecedor"), c("forn_nome").alias("fornecedor"), "status_pagamento", "total_do_dia", *month)
+    s = periods.share_of_total(b, "total_do_dia", month, "participacao_no_mes", totals=periods.month_totals(e, "valor", month, "__tot"))
     return s.select(*keys[:7], money("total_do_dia").alias("total_do_dia"), "status_pagamento",
                     "participacao_no_mes")
 
