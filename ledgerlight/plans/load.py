@@ -158,6 +158,20 @@ class KeptSilver(plan.Silver):
     def rejects_orcamento(self) -> DataFrame:
         return self.store.read("rejects_orcamento", self._budget)
 
+    @property
+    def ledger_rows(self) -> DataFrame:
+        """All rows of the ledger view: a load leaves each one either in the fact or among the rejects."""
+        if "fact_lancamentos" in self.replaced:
+            return super().ledger_rows
+        return self.fact_lancamentos.unionByName(self.rejects_lancamentos.drop(rules.RULES_COL))
+
+    @property
+    def budget_rows(self) -> DataFrame:
+        """All rows of the budget view, from the fact and the rejects."""
+        if "fact_orcamento" in self.replaced:
+            return super().budget_rows
+        return self.fact_orcamento.unionByName(self.rejects_orcamento.drop(rules.RULES_COL))
+
     @cached_property
     def calendar_span(self) -> DataFrame:
         """First and last day of the ledger's years, from the notes of the load: no scan."""

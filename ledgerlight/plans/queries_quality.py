@@ -343,14 +343,16 @@ KEYED_SQL = {"campaign_rows": ("dim_camp_marketing", "id_camp"), "centre_rows":
     f"SELECT '{t}' AS tabela, CAST({k} AS VARCHAR) AS chave, COUNT(*) AS contagem FROM {v} GROUP BY {k} HAVING COUNT(*) > 1 OR {k} IS NULL"
     for v, (t, k) in KEYED_SQL.items())))
 def r1(spark, sf_dir):
-    """Repeated and NULL primary keys of all eight tables, before the load keeps one row of each."""
+    """Repeated and NULL primary keys of all eight tables, before the load keeps one row of each.
+
+    The facts' views are not planned from staging again: what was loaded and what was rejected are all their rows."""
     sv, stg = silver(spark, sf_dir), staging(spark, sf_dir)
     views = {"dim_camp_marketing": silver_plan.dim_camp_marketing(stg["stg_dim_campanha"]),
              "dim_centro_custo": silver_plan.dim_centro_custo(stg["stg_dim_centro_custo"]),
              "dim_categoria": silver_plan.dim_categoria(stg["stg_dim_categoria"]),
              "dim_fornecedores": silver_plan.dim_fornecedores(stg["stg_dim_fornecedores"]),
              "dim_calendario": sv.dim_calendario, "dim_mes": sv.dim_mes,
-             "fact_lancamentos": sv.vw_lancamentos, "fact_orcamento": sv.vw_orcamento}
+             "fact_lancamentos": sv.ledger_rows, "fact_orcamento": sv.budget_rows}
     keys = dict(KEYED_SQL.values())
     return reduce(DataFrame.unionByName, [
         rules.uniqueness_violations(v, [keys[t]]).select(F.lit(t).alias("tabela"), F.col(keys[t]).cast("string").alias("chave"), "contagem")

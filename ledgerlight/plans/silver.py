@@ -263,6 +263,16 @@ class Silver:
     def vw_orcamento(self) -> DataFrame:
         return vw_orcamento(self.stg["stg_orcamento"])
 
+    @property
+    def ledger_rows(self) -> DataFrame:
+        """All rows of the ledger view, rejects included."""
+        return self.vw_lancamentos
+
+    @property
+    def budget_rows(self) -> DataFrame:
+        """All rows of the budget view, rejects included."""
+        return self.vw_orcamento
+
     @cached_property
     def ledger_flagged(self) -> DataFrame:
         """The ledger view with one flag per foreign key (the input of the ledger rules)."""
