@@ -10,10 +10,14 @@ or returns the split.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.operators.joins import bounded
+from ledgerlight.session import checkpoint_dir
+
 RULES_COL = "regras_violadas"
 
 
@@ -67,6 +71,29 @@ def keep_first(df: DataFrame, key: Sequence[str], rule: str = "chave_unica") ->
     return kept, _repeats(df, key).withColumn(RULES_COL, F.array(F.lit(rule)))
 
 
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The non-null keys that occur more than once, as a checkpoint; only keys and counts travel."""
+    checkpoint_dir(df.sparkSession)                      # the cluster's folder, set where it is not yet
+    return df.select(*key).dropna(how="any").groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*key).checkpoint()
+
+
+def keep_first_of_few(df: DataFrame, key: Sequence[str], rule: str = "chave_unica") -> tuple[DataFrame, DataFrame]:
+    """``keep_first`` for tables whose keys are mostly unique, with the same rows for all others too.
+
+    The repeated keys are found first, from the keys alone; only their rows (and
+    those with a NULL in the key) are ranked and counted, all others stay as
+    they are. The list is broadcast if it is proven small, so the rows are not
+    shuffled; a longer one is joined by a shuffle. ``df`` is read several times: give a
+    table that was written or is kept.
+    """
+    again = bounded(repeated_keys(df, key).select(*[F.col(k).alias(f"__again_{k}") for k in key]))
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"__again_{k}") for k in key])
+    unknown = reduce(Column.__or__, [F.col(k).isNull() for k in key])
+    alone = df.filter(~unknown).join(again, same, "left_anti")
+    kept, repeats = keep_first(df.filter(~unknown).join(again, same, "left_semi").unionByName(df.filter(unknown)), key, rule)
+    return alone.unionByName(kept), repeats
+
+
 def _repeats(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of ``df`` but the smallest of each key."""
     row = F.struct(*[c for c in df.columns if c not in key]) if len(key) < len(df.columns) else F.lit(0)

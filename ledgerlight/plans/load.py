@@ -74,7 +74,7 @@ class KeptSilver(plan.Silver):
         rows = self.store.write(f"landed_{name}", landed, facts={n: F.count_if(F.array_contains(rules.RULES_COL, n)) for n in checks})
         landed = self.store.read("landed", {"tables": {"landed": rows}})
         unique = f"{key}_unique"
-        kept, repeats = rules.keep_first(landed.filter(F.size(rules.RULES_COL) == 0).select(*columns), [key], unique)
+        kept, repeats = rules.keep_first_of_few(landed.filter(F.size(rules.RULES_COL) == 0).select(*columns), [key], unique)
         fact = self.store.write(f"fact_{name}", by_month(kept), MONTH, facts={
             "rows": F.count(F.lit(1)), "first": F.min(day).cast("string"), "last": F.max(day).cast("string")})
         rejects = self.store.write(f"rejects_{name}", landed.filter(F.size(rules.RULES_COL) > 0).unionByName(repeats),
