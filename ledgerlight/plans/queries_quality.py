@@ -17,7 +17,11 @@ from ledgerlight.plans.config import TESTDATA as CFG
 from ledgerlight.plans.oracle_sql import q, sentence
 from ledgerlight.plans.queries_gold import view_ctes
 from ledgerlight.plans.registry import register, silver, staging
-from ledgerlight.sources import files
+from ledgerlight.session import input_bytes
+from ledgerlight.sources import files, testdata
+
+#: Bytes of the given tables per landed file.
+LANDED_BYTES = 64 << 20
 
 STG_COLUMNS = {name: [f.name for f in st.fields] for name, st in S.STAGING_SCHEMAS.items()}
 
@@ -579,6 +583,12 @@ def b7(spark, sf_dir):
 
 
 
+def _as_files(spark, sf_dir: str, raw: DataFrame, most: int) -> DataFrame:
+    """``raw`` in several parts, each of about a block of the given tables; not more than ``most``, what one trigger
+    takes, since of a repeated id the smallest row of its batch stays."""
+    return raw.repartition(min(most, 4 + input_bytes(spark, testdata.source_paths(sf_dir)) // LANDED_BYTES))
+
+
 @register("b1s", q("""
 SELECT id_lancamento, data_lancamento, id_centro_custo, id_categoria, id_fornecedor, id_campanha,
        CAST(valor AS DOUBLE) AS valor, CAST(valor_original AS DOUBLE) AS valor_original, status_pagamento
@@ -590,7 +600,7 @@ def b1s(spark, sf_dir):
     from ledgerlight.streaming import ledger_stream
     base = files.scratch_path(spark, "stream")
     landing = f"{base}/landing"
-    files.write_csv(staging(spark, sf_dir)["stg_lancamentos"].repartition(4), landing)
+    files.write_csv(_as_files(spark, sf_dir, staging(spark, sf_dir)["stg_lancamentos"], ledger_stream.FILES_PER_TRIGGER), landing)
     sv = silver(spark, sf_dir)
     qry = ledger_stream.start_ingest(spark, landing, f"{base}/out", f"{base}/checkpoint", sv, CFG)
     qry.awaitTermination()
@@ -651,7 +661,7 @@ def a3s(spark, sf_dir):
     from ledgerlight.streaming import ledger_stream
     base = files.scratch_path(spark, "stream-a3")
     landing = f"{base}/landing"
-    files.write_csv(staging(spark, sf_dir)["stg_lancamentos"].repartition(4), landing)
+    files.write_csv(_as_files(spark, sf_dir, staging(spark, sf_dir)["stg_lancamentos"], ledger_stream.FILES_PER_TRIGGER), landing)
     qry = ledger_stream.start_daily_totals(spark, landing, f"{base}/out", f"{base}/checkpoint",
                                            silver(spark, sf_dir), CFG)
     qry.awaitTermination()

@@ -45,15 +45,20 @@ from ledgerlight.sources.snapshots import Snapshots
 
 BATCH_COL = "lote"
 
+FILES_PER_TRIGGER = 100
+
 #: Ids of one range of the index.
 ID_RANGE = 1 << 20
 
+#: Ids that a task of the index's write sorts, about.
+IDS_OF_TASK = 1 << 21
+
 #: Groups of the running totals (with the month), by column.
 RUNNING = {"gasto_mtd": ["id_centro_custo", "id_categoria", "id_fornecedor", "id_campanha"], "gasto_mtd_cc_cat": ["id_centro_custo", "id_categoria"]}
 _DAY = "data_lancamento"
 
 
-def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
+def read_landing(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Raw ledger CSV files as an all-text stream (schema declared, never inferred)."""
     return (spark.readStream.schema(S.STG_LANCAMENTOS).options(**CSV_OPTIONS)
             .option("maxFilesPerTrigger", str(max_files_per_trigger)).csv(landing_dir))
@@ -135,7 +140,7 @@ def _writer(out_dir: str, totals: bool = False, running: bool = False):
         spark = batch.sparkSession
         batch.persist()                     # one micro-batch, read by several writes
         by_month = {"ano": F.year(_DAY), "mes": F.month(_DAY), BATCH_COL: F.lit(batch_id)}
-        kept, repeats = rules.keep_first(batch.filter(F.size(rules.RULES_COL) == 0).select(*cols), ["id_lancamento"], "id_lancamento_unique")
+        kept, repeats = rules.keep_first_of_few(batch.filter(F.size(rules.RULES_COL) == 0).select(*cols), ["id_lancamento"], "id_lancamento_unique")
         index = LoadedIds(spark, out)
         loaded = index.among(kept, batch_id)
         if loaded is not None:              # ids of other batches: the first batch wins, a replayed batch meets no rows of its own
