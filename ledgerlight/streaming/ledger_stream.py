@@ -95,7 +95,8 @@ class LoadedIds:
     def add(self, loaded: DataFrame) -> None:
         """Index the ids of ``loaded`` (``id_lancamento, lote``); a batch that is replayed replaces its own."""
         ids = loaded.select("id_lancamento", BATCH_COL)
-        (ids.hint("rebalance", BATCH_COL).sortWithinPartitions(BATCH_COL, "id_lancamento").write.mode("overwrite")
+        tasks = 1 + ids.count() // IDS_OF_TASK                          # a task sorts some ranges, however many ids the batch has
+        (ids.repartition(tasks, BATCH_COL, _id_range()).sortWithinPartitions(BATCH_COL, "id_lancamento").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(self.ids))
         _append(ids.select(_id_range(), BATCH_COL).distinct(), self.ranges, [BATCH_COL])
 
